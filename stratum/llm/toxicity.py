@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from stratum.llm import _text as t
 from stratum.llm._spark import held, labelled_sample
 
-FIT_ROWS = 1500  # training rows of each class at most
-BUCKETS, DIM = 1 << 17, 6
+FIT_ROWS = 3000  # training rows of each class at most
+BITS, DIM = 19, 6
+BUCKETS = 1 << BITS
+FALSE_ALARM = 5  # a clean training document above the cut weighs as much as so many toxic ones below it
 WINDOW, STRIDE = 16, 8
 GRAMS = (3, 4, 5)
 
@@ -55,7 +57,7 @@ def _gram_ids(text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     ok = np.ones(n, bool)
     for i in range(1, k - 1):
         ok &= text[i : n + i] != 32
-    return (h >> np.uint32(15)).astype(np.int32), ok
+    return (h >> np.uint32(32 - BITS)).astype(np.int32), ok
 
 
 def _word_ids(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -95,7 +97,7 @@ def _window_means(values: np.ndarray, first: np.ndarray, past: np.ndarray) -> np
     return (total[past] - total[first]) / np.maximum(past - first, 1).reshape(-1, *[1] * (values.ndim - 1))
 
 
-def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 10) -> dict:
+def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dict:
     """{"table": softmax difference of each bucket, "bias": of the softmax}."""
     if not len(y) or y.min() == y.max():
         return {"table": np.zeros(BUCKETS, np.float32), "bias": -40.0}
@@ -147,9 +149,7 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 10) -> dic
             weight = np.where(y[owner] == 0, 1.0, target)
             hard = (y[owner] == 0) & (z < np.quantile(z, 0.3)) & (rng.random(len(z)) < 0.7)
             weight[hard] = 0
-        pos, neg = (weight * target).sum(), (weight * (1 - target)).sum()
-        pull = weight * np.where(target == 1, neg / max(pos, 1), 1.0) if turn >= 2 else weight
-        live = rng.permutation(np.flatnonzero(pull > 0))
+        live = rng.permutation(np.flatnonzero(weight > 0))
         for batch in np.array_split(live, max(1, len(live) // 8000)):
             size = past[batch] - first[batch]
             pos = np.repeat(first[batch] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
@@ -161,7 +161,7 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 10) -> dic
             part = 1 / np.maximum(size, 1)
             row = np.repeat(np.arange(len(batch)), size)
             mean = np.stack([np.bincount(row, vec[back, d], len(batch)) for d in range(DIM)], 1) * part[:, None]
-            e = pull[batch] * (1 / (1 + np.exp(-np.clip(mean @ softmax + bias, -40, 40))) - target[batch]) / pull[batch].sum()
+            e = weight[batch] * (1 / (1 + np.exp(-np.clip(mean @ softmax + bias, -40, 40))) - target[batch]) / weight[batch].sum()
             coef = np.bincount(back, (e * part)[row], len(local)) / number  # gradient of each word's mean, along the softmax
             hit = np.bincount(subs, np.repeat(coef, number), BUCKETS)
             at_once = np.flatnonzero(hit)
@@ -176,7 +176,7 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 10) -> dic
     model = {"table": (table @ softmax).astype(np.float32), "bias": float(bias)}
     top = np.maximum.reduceat(logits(), at[:-1])  # the cut between the classes' highest windows goes to 0.5
     cuts = np.quantile(top, np.linspace(0, 1, 2001))
-    wrong = [((top >= c) != (y == 1)).mean() for c in cuts]
+    wrong = [(FALSE_ALARM * ((top >= c) & (y == 0)) + ((top < c) & (y == 1))).mean() for c in cuts]
     best = np.flatnonzero(np.isclose(wrong, min(wrong)))
     model["bias"] -= float(cuts[best].mean()) if len(best) else 0.0
     return model
