@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, mixing, quality_pairs, quality_rules, toxicity
+from stratum.llm import decontaminate, html_text, jaccard_join, language, mixing, quality_pairs, quality_rules, toxicity
 from stratum.llm._spark import table
 
 
@@ -23,15 +23,29 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op5_toxicity, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op4_html_text, op5_toxicity, op8_jaccard_join, op9_language, op10_decontaminate,
+)}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
