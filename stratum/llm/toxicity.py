@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stratum.llm import _text as t
 from stratum.llm._spark import held, labelled_sample
 
-FIT_ROWS = 3000  # training rows of each class at most
+FIT_ROWS = 2500  # training rows of each class at most
 BITS, DIM = 19, 6
 BUCKETS = 1 << BITS
 FALSE_ALARM = 5  # a clean training document above the cut weighs as much as so many toxic ones below it
@@ -102,39 +102,40 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dic
     if not len(y) or y.min() == y.max():
         return {"table": np.zeros(BUCKETS, np.float32), "bias": -40.0}
     rng = np.random.default_rng(seed)
-    word_of, doc_first, sub_word, sub_id, known = [], [], [], [], {}
-    for i, j, buf, off in t.chunks(pa.array(texts, pa.large_string())):
+    word_of, doc_first, sub_ids, sub_sizes, known = [], [], [], [], {}
+    for _, _, buf, off in t.chunks(pa.array(texts, pa.large_string())):
         text, starts, ends, bounds = _layout(buf, off)
-        h = t.Spans(text).hash(starts, ends)
-        unique, one, back = np.unique(h, return_index=True, return_inverse=True)
-        ids, fresh = np.empty(len(unique), np.int64), []
+        unique, one, back = np.unique(t.Spans(text).hash(starts, ends), return_index=True, return_inverse=True)
+        ids, fresh = np.empty(len(unique), np.int32), []
         for n, u in enumerate(unique.tolist()):
             if (w := known.get(u)) is None:
                 known[u] = w = len(known)
                 fresh.append(n)
             ids[n] = w
-        if fresh:
-            s, e, w = starts[one[fresh]], ends[one[fresh]], ids[fresh]
-            sub_word.append(w), sub_id.append(_word_ids(text, s, e))
-            for k in GRAMS:
-                if len(text) < k:
-                    continue
-                gram, ok = _gram_ids(text, k)
-                size = np.maximum(e - s + 3 - k, 0)
-                pos = np.repeat(s - 1 - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                good = (pos < len(gram)) & ok[np.minimum(pos, len(gram) - 1)]
-                sub_word.append(np.repeat(w, size)[good]), sub_id.append(gram[pos[good]])
+        s, e = starts[one[fresh]], ends[one[fresh]]
+        own, grams = [np.arange(len(s), dtype=np.int32)], [_word_ids(text, s, e)]
+        for k in GRAMS:
+            if len(text) < k:
+                continue
+            gram, ok = _gram_ids(text, k)
+            size = np.maximum(e - s + 3 - k, 0)
+            pos = np.repeat(s - 1 - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            good = (pos < len(gram)) & ok[np.minimum(pos, len(gram) - 1)]
+            own.append(np.repeat(own[0], size)[good]), grams.append(gram[pos[good]])
+        own = np.concatenate(own)
+        sub_ids.append(np.concatenate(grams)[np.argsort(own, kind="stable")])
+        sub_sizes.append(np.bincount(own, minlength=len(s)))
         word_of.append(ids[back]), doc_first.append(np.diff(bounds))
+    del known
     words = np.concatenate(word_of)
     bounds = np.concatenate([[0], np.cumsum(np.concatenate(doc_first))])
-    sub_word, sub_id = np.concatenate(sub_word), np.concatenate(sub_id)
-    order = np.argsort(sub_word, kind="stable")
-    sub_id, sub_at = sub_id[order], np.searchsorted(sub_word[order], np.arange(len(known) + 1))
-    sub_count = np.diff(sub_at)
+    sub_id, sub_count = np.concatenate(sub_ids), np.concatenate(sub_sizes)
+    sub_at = np.concatenate([[0], np.cumsum(sub_count)])
+    del word_of, doc_first, sub_ids, sub_sizes
     first, past, at = windows(bounds)
     owner = t.owners(at)
-    table, softmax, bias = rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.5, DIM), 0.0
-    g_table, g_soft, g_bias = np.full((BUCKETS, DIM), 1e-8), np.full(DIM, 1e-8), 1e-8
+    table, softmax, bias = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.5, DIM), 0.0
+    g_table, g_soft, g_bias = np.full((BUCKETS, DIM), 1e-8, np.float32), np.full(DIM, 1e-8), 1e-8
 
     def logits() -> np.ndarray:
         each = np.add.reduceat((table @ softmax)[sub_id], sub_at[:-1]) / sub_count
