@@ -1,4 +1,55 @@
-"""Corpus cleaning: quality rules, near-duplicate removal, repeated-passage removal, decontamination, mixing."""
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""Corpus cleaning as five stages over the documents table.
+
+Quality rules drop rejected documents; the n-gram Jaccard join keeps one document of each near-duplicate group; repeated
+byte strings are cut out of the texts; documents that leak benchmark items go; the rest is mixed to target weights.
+Each stage takes the whole output of the one before, written as Parquet.  Nulls, empty texts, repeated rows and extra
+columns are handled as the operators state.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratum.llm import decontaminate, jaccard_join, mixing, quality_rules, repeated_bytes
+from stratum.llm._spark import shared, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
+    return judged.where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one(docs, k=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = repeated_bytes.remove_repeats(docs).withColumn("text", F.col("kept_text"))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(docs)
+
+
+STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("benchmark leaks", benchmark_leaks), ("mix", mix)]
+
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result but the last is written to the shared checkpoint folder and read again."""
+    shared(spark)
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        path = f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -67,32 +67,63 @@ def item_rows(items: DataFrame) -> DataFrame:
     return items.select("item_id", "text").mapInArrow(cut, f"h long, k int, q long, need long, signature boolean, item_id {kind}, row long").withColumn("item", F.struct(F.spark_partition_id().alias("p"), "row"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared, containment) of each document and item that it leaks."""
-    rows = item_rows(items)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = rows.limit(broadcast_hashes + 1).toPandas()
+def _index(items: DataFrame, broadcast_hashes: int) -> tuple | None:
+    """The search tables, or None if the benchmark has more hashes than may be broadcast."""
+    found = item_rows(items).limit(broadcast_hashes + 1).toPandas()
     if len(found) > broadcast_hashes:
-        return _by_shuffle(docs, rows, kind)
+        return None
     found["item"] = found.groupby(found["item"].map(tuple) if len(found) else found["h"], sort=True).ngroup().astype("int64")
     found = found.sort_values(["k", "h", "item"], kind="stable")
     hashes, item, k = found["h"].to_numpy(np.int64).view(np.uint64), found["item"].to_numpy(np.int64), found["k"].to_numpy(np.int32)
     per_item = found.drop_duplicates("item").sort_values("item")
-    ids = pa.array(per_item["item_id"], from_pandas=True)
     tables = {int(n): _table(hashes[k == n], item[k == n], found["signature"].to_numpy(bool)[k == n]) for n in np.unique(k)}
-    index = docs.sparkSession.sparkContext.broadcast((tables, per_item["q"].to_numpy(np.int64), per_item["need"].to_numpy(np.int64), ids))
+    return tables, per_item["q"].to_numpy(np.int64), per_item["need"].to_numpy(np.int64), pa.array(per_item["item_id"], from_pandas=True)
+
+
+def _search(index: tuple, buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+    """[document, item, shared shingles] of the leaks in a chunk."""
+    tables, _, least, _ = index
+    pairs = [_shared(tables[n], least, *doc_shingles(buf, off, n)) for n in tables]
+    return [np.concatenate([p[x] for p in pairs]) if pairs else np.zeros(0, np.int64) for x in range(3)]
+
+
+def leaks(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+    """(doc_id, item_id, n_item, n_shared, containment) of each document and item that it leaks."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = _index(items, broadcast_hashes)
+    if found is None:
+        return _by_shuffle(docs, item_rows(items), kind).drop("row")
+    index = docs.sparkSession.sparkContext.broadcast(found)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, q, least, ids = index.value
+        _, q, _, ids = index.value
         for b in batches:
-            for i, j, buf, off in t.chunks(b.column("text")):
-                pairs = [_shared(tables[n], least, *doc_shingles(buf, off, n)) for n in tables]
-                doc, item, shared = (np.concatenate([p[x] for p in pairs]) if pairs else np.zeros(0, np.int64) for x in range(3))
+            for i, _, buf, off in t.chunks(b.column("text")):
+                doc, item, shared = _search(index.value, buf, off)
                 yield pa.record_batch([b.column("doc_id").take(pa.array(i + doc)), ids.take(pa.array(item)), pa.array(q[item]), pa.array(shared), pa.array(shared / np.maximum(q[item], 1))], ["doc_id", "item_id", "n_item", "n_shared", "containment"])
 
     return docs.select("doc_id", "text").mapInArrow(search, f"doc_id {kind}, item_id {items.schema['item_id'].dataType.simpleString()}, n_item long, n_shared long, containment double")
 
 
+def clean(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+    """The rows of ``docs`` that leak no item, with all their columns."""
+    found = _index(items, broadcast_hashes)
+    if found is None:
+        marked = docs.withColumn("leak_row", F.monotonically_increasing_id())
+        leaky = _by_shuffle(docs, item_rows(items), docs.schema["doc_id"].dataType.simpleString()).select(F.col("row").alias("leak_row")).distinct()
+        return marked.join(leaky, "leak_row", "left_anti").drop("leak_row")
+    index = docs.sparkSession.sparkContext.broadcast(found)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            leaky = np.zeros(b.num_rows, bool)
+            for i, _, buf, off in t.chunks(b.column("text")):
+                leaky[i + _search(index.value, buf, off)[0]] = True
+            yield b.filter(pa.array(~leaky))
+
+    return docs.mapInArrow(search, docs.schema)
+
+
 def _table(hashes: np.ndarray, item: np.ndarray, signature: np.ndarray) -> tuple:
     """Sorted hashes with their items, the signature hashes, and a bit table that passes few foreign hashes."""
     order = np.argsort(hashes, kind="stable")
@@ -141,4 +172,4 @@ def _by_shuffle(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
     pairs = cuts.join(rows.where("signature").select("h", "k", "item").withColumnRenamed("item", "candidate"), ["h", "k"]).select("row", "candidate").distinct()
     shared = cuts.join(rows.select("h", "k", "item", "item_id", "q", "need"), ["h", "k"]).join(pairs.withColumnRenamed("candidate", "item"), ["row", "item"])
     found = shared.groupBy("row", "item", "doc_id", "item_id", "q", "need").agg(F.count("*").alias("n_shared")).where("n_shared >= need")
-    return found.select("doc_id", "item_id", F.col("q").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("q")).alias("containment"))
+    return found.select("row", "doc_id", "item_id", F.col("q").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("q")).alias("containment"))

@@ -60,8 +60,19 @@ def digests(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
 
 
 def short(digest: bytes) -> int:
-    """64 bits of a digest; a clash only makes a candidate group larger."""
-    return int.from_bytes(digest[:8], "little", signed=True)
+    """48 bits of a digest; a clash only makes a candidate group larger."""
+    return int.from_bytes(digest[:6], "little")
+
+
+def _six(x: np.ndarray) -> np.ndarray:
+    """The low six bytes of each number, one row each."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()
+
+
+def _eight(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = raw.reshape(-1, 6)
+    return out.ravel().view("<u8").astype(np.int64)
 
 
 def part_keys(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +131,8 @@ def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             key, own = np.concatenate(keys), np.concatenate(owners)
-            dealt = list(deal(((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64), parts, key=key, own=own))
+            part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            dealt = list(deal(part, parts, key=_six(key), own=_six(own)))
             return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x[c] for _, x in dealt], pa.binary()) for c in ("key", "own"))], ["part", "key", "own"])
 
         for b in batches:
@@ -137,11 +149,12 @@ def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield flush()
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = unpack(batches, key=np.uint64, own=np.int64)
+        x = unpack(batches, key=np.uint8, own=np.uint8)
         if not len(x["key"]):
             return
-        order = np.lexsort((x["own"], x["key"]))
-        key, own = x["key"][order], x["own"][order]
+        key, own = _eight(x["key"]), _eight(x["own"])
+        order = np.lexsort((own, key))
+        key, own = key[order], own[order]
         head = np.concatenate([[True], key[1:] != key[:-1]])
         least = own[np.flatnonzero(head)][np.cumsum(head) - 1]
         pairs = np.unique(np.stack([own, least], 1)[own != least], axis=0)
@@ -194,15 +207,16 @@ def link_sets(h: np.ndarray, at: np.ndarray, percent: int, block: np.ndarray, co
 
 
 def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every row of ``docs(doc_id, text)``."""
+    """(doc_id, n_shingles, component_id, n_links, digest, keeps) of every row of ``docs(doc_id, text)``.
+
+    ``keeps`` marks the rows of one class and id in each component: the class with the least id, then the least digest."""
     docs = docs.select("doc_id", "text")
     rows = settle(document_sets(docs, k))
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     groups = components(candidate_edges(docs, k, percent)).withColumnRenamed("id", "short").withColumnRenamed("root", "grp")
     # in a group: one document of each class, with its block
-    first8 = F.hex(F.substring("digest", 1, 8))
-    little = F.concat(*(F.substring(first8, i, 2) for i in range(15, 0, -2)))
-    low = F.conv(little, 16, -10).cast("long")
+    text = F.hex("digest")
+    low = F.conv(F.concat(*(F.substring(text, i, 2) for i in range(11, 0, -2))), 16, 10).cast("long")
     active = settle(classes.withColumn("short", low).join(groups, "short"))
     blocks = active.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = active.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
@@ -233,6 +247,30 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     found = components(linked.select("a", "b"))
     links = linked.groupBy("a").agg(F.sum("links").alias("links"))
     named = classes.join(found.withColumnRenamed("id", "digest"), "digest", "left").join(links.withColumnRenamed("a", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("digest", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return rows.join(named, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    first = F.min(F.struct(F.col("least").isNull(), "least", "digest"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"), first["digest"].alias("chosen"))
+    named = named.join(ids, "root").select("digest", "component_id", "least", (F.col("digest") == F.col("chosen")).alias("chosen"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    empty = F.col("digest").isNull()
+    keeps = F.when(empty, True).otherwise(F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("least")))
+    return rows.join(named, "digest", "left").select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "digest", keeps.alias("keeps"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component (that of the least id), and every document without words."""
+    names = docs.columns
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, buf, off in t.chunks(b.column("text")):
+                yield pa.record_batch([*(b.column(n)[i:j] for n in names), pa.array(digests(*sets(buf, off, k)), pa.binary())], [*names, "set_digest"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "set_digest binary"])
+    named = docs.mapInArrow(name, schema)
+
+    def keys(digest: str) -> dict:
+        parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("doc_id").isNull(), F.col(digest)]
+        return {"key_1": F.xxhash64(F.lit(1), *parts), "key_2": F.xxhash64(F.lit(2), *parts)}
+
+    chosen = near_classes(docs, k, percent).where("keeps AND digest IS NOT NULL").withColumns(keys("digest")).select("key_1", "key_2").distinct()
+    kept = named.where("set_digest IS NOT NULL").withColumns(keys("set_digest")).join(chosen, ["key_1", "key_2"], "left_semi").dropDuplicates(["key_1", "key_2"])
+    return kept.select(*(f"`{n}`" for n in names)).unionByName(named.where("set_digest IS NULL").select(*(f"`{n}`" for n in names)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import decontaminate, html_text, jaccard_join, language, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
+from stratum.llm import context_mixing, decontaminate, html_text, jaccard_join, language, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
 from stratum.llm._spark import table
 
 
@@ -35,8 +35,12 @@ def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.digest(repeated_bytes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.token_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op4_html_text, op5_toxicity, op6_repeated_bytes, op8_jaccard_join, op9_language, op10_decontaminate,
+    op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op4_html_text, op5_toxicity, op6_repeated_bytes, op7_context_mixing, op8_jaccard_join, op9_language, op10_decontaminate,
 )}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"

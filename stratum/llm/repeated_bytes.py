@@ -235,8 +235,10 @@ def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Every row of ``docs`` with n_bytes, n_removed, n_spans, spans (array of start, end) and kept (the remaining bytes).
 
+    A run may cut a code point in two; ``kept_text`` is ``kept`` without the bytes of such broken code points.
+
     All columns of ``docs`` are kept in front; a clashing one gives way to the new column."""
-    new = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<start:int,end:int>>", "kept": "binary"}
+    new = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<start:int,end:int>>", "kept": "binary", "kept_text": "string"}
     old = docs.drop(*new)
     ids = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -255,8 +257,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                     for start, end in spans:
                         kept.append(data[at:start])
                         at = end
-                    rows.append((len(data), sum(e - s for s, e in spans), len(spans), [{"start": s, "end": e} for s, e in spans], b"".join([*kept, data[at:]])))
-                made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()))]
+                    left = b"".join([*kept, data[at:]])
+                    rows.append((len(data), sum(e - s for s, e in spans), len(spans), [{"start": s, "end": e} for s, e in spans], left, left.decode(errors="ignore") if spans else text))
+                made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary(), pa.string()))]
                 yield pa.record_batch([*(part.column(n) for n in names), *made], [*names, *new])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in old.schema), *(f"{k} {v}" for k, v in new.items())])
