@@ -36,8 +36,9 @@ from stratum.llm import _text as t
 from stratum.llm._blocks import deal, unpack
 
 LENGTH, GRAM = 400, 64
-HOT = 4000
-SLICE_WINDOWS = 2_000_000
+HOT = 1000
+SLICE_WINDOWS = 400_000
+PIECE = 1 << 20  # bytes of text that a task works on at a time
 _KEYS = ("k1", "k2")
 
 
@@ -102,7 +103,7 @@ def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int) -> Da
         for b in batches:
             keys = [b.column(k).to_numpy() for k in _KEYS]
             found = []
-            for i, _, buf, off in t.chunks(b.column("text")):
+            for i, _, buf, off in t.chunks(b.column("text"), PIECE):
                 a = anchors(buf, off, length, gram)
                 doc = a.pop("doc") + i
                 found.append(a | {k: v[doc] for k, v in zip(_KEYS, keys, strict=True)})
@@ -142,7 +143,7 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
         for b in batches:
             k1, k2 = (b.column(k).to_numpy() for k in _KEYS)
             lists = b.column("anchors")
-            for i, j, buf, off in t.chunks(b.column("text")):
+            for i, j, buf, off in t.chunks(b.column("text"), PIECE):
                 part = lists[i:j]
                 doc = np.repeat(np.arange(j - i), part.value_lengths().to_numpy())
                 a = {k: part.flatten().field(k).to_numpy() for k in ("kh", "low", "high", "n")}
