@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _TWO52 = 4503599627370496.0
 _CUBE = math.sqrt(2) / math.pi
@@ -24,7 +25,7 @@ def hash_uniform(*key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *key)), 1, 13), 16, 10).cast("long") / F.lit(_TWO52)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _secure(batch: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for x in batch:
         yield pd.Series((np.frombuffer(os.urandom(8 * len(x)), np.uint64) >> np.uint64(11)) / 2.0**53)
@@ -78,7 +79,7 @@ def laplace_variance(scale: float) -> float:
     return 2 * scale**2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def heavy_tail(u: pd.Series) -> pd.Series:
     """Quantile of the density sqrt(2) / (pi (1 + z^4)), by bisection on its closed-form distribution function."""
     q = u.to_numpy(float)

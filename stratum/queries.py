@@ -208,8 +208,8 @@ _LABEL = "concat_ws('_', CASE grouping(hhgq) WHEN 0 THEN 'hhgq' END, CASE groupi
 
 def _family(name: str, sizes: list[int]) -> None:
     sets = ", ".join("(geolevel, geocode, " + s.strip("()") + ")" for k in sizes for s in _SETS[k].replace("), (", ")|(").split("|"))
-    sql = BASE + f"SELECT geolevel, geocode, {_LABEL} AS marginal, CAST(hhgq AS INTEGER) AS hhgq, CAST(va AS INTEGER) AS va, CAST(hisp AS INTEGER) AS hisp, CAST(race AS INTEGER) AS race, CAST(sum(n) AS BIGINT) AS n FROM axes GROUP BY GROUPING SETS ({sets})"
-    query(sql, name)(lambda spark, sf: marginal_family(DOMAIN, hist(spark, sf), sizes, *KEYS))
+    sql = BASE + f"SELECT geolevel, geocode, {_LABEL} AS marginal, CAST(coalesce(hhgq, -1) AS INTEGER) AS hhgq, CAST(coalesce(va, -1) AS INTEGER) AS va, CAST(coalesce(hisp, -1) AS INTEGER) AS hisp, CAST(coalesce(race, -1) AS INTEGER) AS race, CAST(sum(n) AS BIGINT) AS n FROM axes GROUP BY GROUPING SETS ({sets})"
+    query(sql, name)(lambda spark, sf: marginal_family(DOMAIN, hist(spark, sf), sizes, *KEYS).fillna(-1, list(DOMAIN.names)))
 
 
 _family("marginal_1way_all", [1])
@@ -218,10 +218,11 @@ _family("marginal_3way_all", [3])
 _family("marginal_all", [1, 2, 3])
 
 
-@query(BASE + "SELECT geolevel, CAST(hhgq AS INTEGER) AS hhgq, CAST(va AS INTEGER) AS va, CAST(race AS INTEGER) AS race, CAST(grouping(hhgq) * 4 + grouping(va) * 2 + grouping(race) AS BIGINT) AS gid, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE geolevel = 'region' GROUP BY GROUPING SETS ((geolevel, hhgq, va, race), (geolevel, hhgq, va), (geolevel, hhgq, race), (geolevel, va, race), (geolevel, hhgq), (geolevel, va), (geolevel, race), (geolevel))")
+@query(BASE + "SELECT geolevel, CAST(coalesce(hhgq, -1) AS INTEGER) AS hhgq, CAST(coalesce(va, -1) AS INTEGER) AS va, CAST(coalesce(race, -1) AS INTEGER) AS race, CAST(grouping(hhgq) * 4 + grouping(va) * 2 + grouping(race) AS BIGINT) AS gid, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE geolevel = 'region' GROUP BY GROUPING SETS ((geolevel, hhgq, va, race), (geolevel, hhgq, va), (geolevel, hhgq, race), (geolevel, va, race), (geolevel, hhgq), (geolevel, va), (geolevel, race), (geolevel))")
 def marginal_cube(spark, sf):
     rows = DOMAIN.decode(hist(spark, sf).where("geolevel = 'region'"))
-    return rows.groupBy("geolevel").agg(F.lit(1)).select("geolevel").join(rows.cube("hhgq", "va", "race").agg(F.grouping_id().alias("gid"), F.sum("n").cast("long").alias("n")), how="full").select("geolevel", "hhgq", "va", "race", "gid", "n")
+    cube = rows.cube("hhgq", "va", "race").agg(F.grouping_id().alias("gid"), F.sum("n").cast("long").alias("n"))
+    return cube.fillna(-1, ["hhgq", "va", "race"]).withColumn("geolevel", F.lit("region"))
 
 
 def _race_table(name: str, groups: str, make: Callable[[], LinearQuery]) -> None:
@@ -645,10 +646,10 @@ def validate_reasons(spark, sf):
 # ---- recodes, sources, migration ---------------------------------------------------------------------------------------
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE (CAST(l_quantity > 25 AS INTEGER) * 4 + CAST(l_discount > 0.05 AS INTEGER) * 2 + CAST(l_tax > 0.04 AS INTEGER)) WHEN 4 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 WHEN 6 THEN 3 WHEN 5 THEN 4 WHEN 3 THEN 5 WHEN 7 THEN 6 END AS combo FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CASE (CAST(l_quantity > 25 AS INTEGER) * 4 + CAST(l_discount > 0.05 AS INTEGER) * 2 + CAST(l_tax > 0.04 AS INTEGER)) WHEN 4 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 WHEN 6 THEN 3 WHEN 5 THEN 4 WHEN 3 THEN 5 WHEN 7 THEN 6 ELSE -1 END AS combo FROM lineitem")
 def race_combination_recode(spark, sf):
     flags = [(F.col("l_quantity") > 25).cast("int"), (F.col("l_discount") > 0.05).cast("int"), (F.col("l_tax") > 0.04).cast("int")]
-    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", R.race_combination(flags).alias("combo"))
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.coalesce(R.race_combination(flags), F.lit(-1)).alias("combo"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 10 < 7 THEN p_size % 10 ELSE 7 END AS gq18, CASE WHEN p_size % 10 BETWEEN 2 AND 4 THEN -1 WHEN p_size % 10 BETWEEN 6 AND 9 THEN -2 ELSE p_size % 10 END AS gq40, CASE p_size % 17 WHEN 16 THEN 2 WHEN 15 THEN 1 ELSE 0 END AS rel, CAST(p_size >= 18 AS INTEGER) AS va FROM part")
