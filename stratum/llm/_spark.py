@@ -27,6 +27,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` doesn't have in any case: the wanted ones, with underscores where they clash."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lower(text: Column) -> Column:
     """A-Z only."""
     return F.translate(text, LETTERS, LETTERS.lower())

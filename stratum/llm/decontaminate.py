@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
+from stratum.llm._spark import fresh
 
 THRESHOLD = Fraction(8, 10)
 WORDS = 5
@@ -109,9 +110,10 @@ def clean(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_H
     """The rows of ``docs`` that leak no item, with all their columns."""
     found = _index(items, broadcast_hashes)
     if found is None:
-        marked = docs.withColumn("leak_row", F.monotonically_increasing_id())
-        leaky = _by_shuffle(docs, item_rows(items), docs.schema["doc_id"].dataType.simpleString()).select(F.col("row").alias("leak_row")).distinct()
-        return marked.join(leaky, "leak_row", "left_anti").drop("leak_row")
+        (mark,) = fresh(docs, "leak_row")
+        marked = docs.withColumn(mark, F.monotonically_increasing_id())
+        leaky = _by_shuffle(docs, item_rows(items), docs.schema["doc_id"].dataType.simpleString()).select(F.col("row").alias(mark)).distinct()
+        return marked.join(leaky, mark, "left_anti").drop(mark)
     index = docs.sparkSession.sparkContext.broadcast(found)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, runs, unpack
-from stratum.llm._spark import components, settle
+from stratum.llm._spark import components, fresh, settle
 
 BLOCK = 2048
 FLUSH_KEYS = 2_000_000
@@ -258,19 +258,20 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component (that of the least id), and every document without words."""
     names = docs.columns
+    set_digest, key_1, key_2 = fresh(docs, "set_digest", "key_1", "key_2")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, off in t.chunks(b.column("text")):
-                yield pa.record_batch([*(b.column(n)[i:j] for n in names), pa.array(digests(*sets(buf, off, k)), pa.binary())], [*names, "set_digest"])
+                yield pa.record_batch([*(b.column(n)[i:j] for n in names), pa.array(digests(*sets(buf, off, k)), pa.binary())], [*names, set_digest])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "set_digest binary"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"{set_digest} binary"])
     named = docs.mapInArrow(name, schema)
 
     def keys(digest: str) -> dict:
         parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("doc_id").isNull(), F.col(digest)]
-        return {"key_1": F.xxhash64(F.lit(1), *parts), "key_2": F.xxhash64(F.lit(2), *parts)}
+        return {key_1: F.xxhash64(F.lit(1), *parts), key_2: F.xxhash64(F.lit(2), *parts)}
 
-    chosen = near_classes(docs, k, percent).where("keeps AND digest IS NOT NULL").withColumns(keys("digest")).select("key_1", "key_2").distinct()
-    kept = named.where("set_digest IS NOT NULL").withColumns(keys("set_digest")).join(chosen, ["key_1", "key_2"], "left_semi").dropDuplicates(["key_1", "key_2"])
-    return kept.select(*(f"`{n}`" for n in names)).unionByName(named.where("set_digest IS NULL").select(*(f"`{n}`" for n in names)))
+    chosen = near_classes(docs, k, percent).where("keeps AND digest IS NOT NULL").withColumns(keys("digest")).select(key_1, key_2).distinct()
+    kept = named.where(F.col(set_digest).isNotNull()).withColumns(keys(set_digest)).join(chosen, [key_1, key_2], "left_semi").dropDuplicates([key_1, key_2])
+    return kept.select(*(f"`{n}`" for n in names)).unionByName(named.where(F.col(set_digest).isNull()).select(*(f"`{n}`" for n in names)))

@@ -70,5 +70,16 @@ docs AS (SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS s FR
 SELECT doc_id, item_id, q AS n_item, count(*) AS n_shared, count(*) / q AS containment
 FROM docs JOIN items USING (k, s) JOIN sized USING (item_id, k)
 GROUP BY doc_id, item_id, q HAVING 10 * count(*) >= 8 * q
+""",
+    "op8_jaccard_join": f"""
+WITH RECURSIVE dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+runs AS (SELECT doc_id, w, least(len(w), 3) AS k, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS p FROM dw WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + k - 1], ' ') AS s FROM runs),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id, coalesce(c.c, 0) AS n_links
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) r USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS c FROM link GROUP BY a) c USING (doc_id)
 """,
 }

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, unpack
+from stratum.llm._spark import fresh
 
 LENGTH, GRAM = 400, 64
 HOT = 1000
@@ -243,8 +244,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     old = docs.drop(*new)
     ids = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = old.withColumns({"k1": F.xxhash64(F.lit(1), *ids), "k2": F.xxhash64(F.lit(2), *ids)})
-    runs = covered_runs(keyed.select("k1", "k2", "text"), parts, length, gram, hot).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    k1, k2, found_runs = fresh(old, "k1", "k2", "runs")
+    keyed = old.withColumns({k1: F.xxhash64(F.lit(1), *ids), k2: F.xxhash64(F.lit(2), *ids)})
+    runs = covered_runs(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text"), parts, length, gram, hot)
+    runs = runs.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end")).alias(found_runs))
     names = old.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +255,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
                 rows = []
-                for text, found in zip(part.column("text").to_pylist(), part.column("runs").to_pylist(), strict=True):
+                for text, found in zip(part.column("text").to_pylist(), part.column(found_runs).to_pylist(), strict=True):
                     data, spans = (text or "").encode(), merge([(r["start"], r["end"]) for r in found or []])
                     kept, at = [], 0
                     for start, end in spans:
@@ -264,7 +267,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 yield pa.record_batch([*(part.column(n) for n in names), *made], [*names, *new])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in old.schema), *(f"{k} {v}" for k, v in new.items())])
-    return keyed.join(runs, [*_KEYS], "left").select(*(f"`{n}`" for n in names), "runs").mapInArrow(cut, schema)
+    return keyed.join(runs, [k1, k2], "left").select(*(f"`{n}`" for n in names), found_runs).mapInArrow(cut, schema)
 
 
 def digest(removed: DataFrame) -> DataFrame:
