@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lean(spark: SparkSession) -> None:
+    """Arrow batches of 2,000 rows where the session has the default of 10,000: whole texts are long rows."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +49,14 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def settle_table(df: DataFrame) -> DataFrame:
+    """The same as ``settle``, as a compressed Parquet table in the shared folder: for rows by the million."""
+    shared(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lower(text: Column) -> Column:
     """A-Z only."""
     return F.translate(text, LETTERS, LETTERS.lower())

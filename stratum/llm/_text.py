@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 8192
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -69,12 +70,12 @@ def raw(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, past row, bytes, offsets) of runs of rows of about ``most`` bytes; one row is never split."""
+    """(first row, past row, bytes, offsets) of runs of rows of about ``most`` bytes, and CHUNK_ROWS rows at most; one row is never split."""
     buf, off = raw(column)
     row, n = 0, len(off) - 1
     while row < n:
         end = max(row + 1, int(np.searchsorted(off, off[row] + most, "right")) - 1)
-        end = min(end, n)
+        end = min(end, n, row + CHUNK_ROWS)
         yield row, end, buf[off[row] : off[end]], off[row : end + 1] - off[row]
         row = end
 

@@ -39,7 +39,7 @@ from stratum.llm._spark import fresh
 LENGTH, GRAM = 400, 64
 HOT = 1000
 SLICE_WINDOWS = 400_000
-PIECE = 1 << 20  # bytes of text that a task works on at a time
+PIECE = 1 << 19  # bytes of text that a task works on at a time
 _KEYS = ("k1", "k2")
 
 
