@@ -8,8 +8,8 @@ consistently: each LENGTH-byte string is represented by its anchor, the GRAM-byt
 (leftmost if equal).  Equal strings have equal anchors at the same place, so only suffixes at anchors take part and no
 repeat is missed.
 
-1. Anchors (about 2 of LENGTH - GRAM bytes) are range-partitioned by their leading GRAM bytes (as a hash, so equal
-   splitters hold) and sorted; those that occur once are dropped.
+1. Anchors (about 2 of LENGTH - GRAM bytes) are range-partitioned by their leading GRAM bytes (as a uniform hash, so evenly
+   spaced splitters hold and none need be sampled) and sorted; those that occur once are dropped.
 2. Documents get the list of their repeated anchors; the bytes around each anchor are range-partitioned by its leading
    bytes again.  A bucket sorts all strings at those anchors (by 64-bit hash) and compares neighbours: equal neighbours are repeats.
    Equal strings share an anchor, hence a bucket, so no comparison crosses a boundary.
@@ -41,6 +41,7 @@ HOT = 1000
 SLICE_WINDOWS = 400_000
 PIECE = 1 << 19  # bytes of text that a task works on at a time
 _KEYS = ("k1", "k2")
+_SEED = np.uint64(0xA0761D6478BD642F)
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,7 +75,8 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
 
 
 def _range(h: np.ndarray, parts: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    """The range of each hash among ``parts`` even ones; hashes are mixed again, as those of anchors are the least of many."""
+    return ((t.mix(h ^ _SEED) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _equal_neighbours(h: np.ndarray) -> np.ndarray:
