@@ -98,14 +98,15 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 3, rounds: int = 60) -> dic
     n = len(y)
     if not n or y.min() == y.max():
         return {"w": np.zeros((3, BUCKETS), np.float32), "bias": 0.0, "platt": (0.0, 0.0)}
-    parts = [_grams(buf, off) for _, _, buf, off in t.chunks(pa.array(texts, pa.large_string()))]
-    grams = []
-    for k in range(3):
-        ids = np.concatenate([p[k][0] for p in parts])
-        size = np.concatenate([np.diff(p[k][1]) for p in parts])
-        doc = np.repeat(np.arange(n, dtype=np.int32), size)
-        key, number = np.unique(doc.astype(np.int64) * BUCKETS + ids, return_counts=True)  # one entry for each (document, bucket)
-        grams.append(((key // BUCKETS).astype(np.int32), (key % BUCKETS).astype(np.int32), (number / np.maximum(size, 1)[key // BUCKETS]).astype(np.float32)))
+    parts: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[], [], []]
+    for first, _, buf, off in t.chunks(pa.array(texts, pa.large_string())):
+        for k, (ids, at) in enumerate(_grams(buf, off)):
+            size = np.diff(at)
+            key, number = np.unique(t.owners(at) * BUCKETS + ids, return_counts=True)  # one entry for each (document, bucket)
+            doc = key // BUCKETS
+            parts[k].append(((first + doc).astype(np.int32), (key % BUCKETS).astype(np.int32), (number / np.maximum(size, 1)[doc]).astype(np.float32)))
+    grams = [tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts]
+    del parts
     fitted = np.random.default_rng(seed).random(n) < 0.8
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) * fitted
     w, g2, bias, gb = np.zeros((3, BUCKETS), np.float64), np.full((3, BUCKETS), 1e-10), 0.0, 1e-10
