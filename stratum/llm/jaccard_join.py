@@ -4,11 +4,11 @@ A document's set is its distinct k-word shingles (words ``[^\\x20\\x09-\\x0D]+``
 whole sequence; none: the empty set, linked with nothing).  Documents with equal sets form one class, so copies cost one
 set.  Two classes link if 100 * intersection >= percent * union.
 
-1. Candidates.  Sets of sizes that can link meet in a size scheme whose tokens are hashed into H + 1 parts, H being the
-   most elements in which two linking sets of the scheme can differ: one part at least is equal in both, so classes with an
-   equal (scheme, part, tokens of the part) are candidates and none is lost.  Where a part may be empty in both, small sets
-   are dealt out again with other salts.  Keys travel packed in numpy blocks; a partition links the classes of a key to
-   the least of them, never in pairs.
+1. Candidates.  Tokens have one order: by the count of their hash slot over all documents, rare ones first, then by hash.  Sets
+   that link share a token among the first size - ceil(percent * size / 100) + 1 of each (the prefix filter), whatever the
+   order, so classes with a common prefix token are candidates and none is lost; the order by counts keeps passages that
+   many documents share out of the prefixes.  Keys travel packed in numpy blocks; a partition links the classes of a key to the
+   least of them, never in pairs.
 2. Groups of candidates are connected components of these links.  A group is cut into blocks of about BLOCK sets; each
    pair of blocks is a task, so no task grows with a group.
 3. In a task sets lie in index lists by token, ordered by position in the set order.  Overlaps of a set with all
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +35,7 @@ from stratum.llm._spark import components, fresh, settle
 
 BLOCK = 2048
 FLUSH_KEYS = 2_000_000
-SALTS, SALTED = 4, 40  # schemes of at most SALTED parts are dealt again up to SALTS times: a miss has odds below 1e-15
-
-
-@cache
-def levels(percent: int) -> np.ndarray:
-    """First sizes of the size levels: a set's partners are in its own level or the next ones up and down."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(out[-1] * 100 // percent + 1)
-    return np.array(out, np.int64)
+SLOTS, PIECES = 1 << 18, 32  # of the counts that order tokens
 
 
 def sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,38 +65,38 @@ def _eight(raw: np.ndarray) -> np.ndarray:
     return out.ravel().view("<u8").astype(np.int64)
 
 
-def part_keys(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, key) for each non-empty part of each set in its two size schemes."""
-    first = levels(percent)
-    size = np.diff(at)
-    level = np.searchsorted(first, size, "right") - 1
-    out_set, out_key = [], []
-    for scheme in (level - 1, level):
-        live = (scheme >= 0) & (size > 0)
-        top = first[np.minimum(scheme + 2, len(first) - 1)] - 1
-        parts = 2 * top * (100 - percent) // (100 + percent) + 1
-        for salt in range(SALTS):
-            own = np.flatnonzero(live)
-            if not len(own):
-                break
-            n = size[own]
-            row = np.repeat(np.arange(len(own)), n)
-            tokens = h[np.repeat(at[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            place = (t.mix(tokens + np.uint64(salt * 0x9E37 + 1)) >> np.uint64(11)) % parts[own][row].astype(np.uint64)
-            base = np.cumsum(parts[own]) - parts[own]
-            slot = base[row] + place.astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            cut = np.flatnonzero(np.concatenate([[True], slot[order][1:] != slot[order][:-1]])) if len(slot) else np.zeros(0, np.int64)
-            total = np.add.reduceat(t.mix(tokens[order]), cut)
-            filled = slot[order][cut]
-            who = row[order][cut]
-            tag = (scheme[own][who] * 8 + salt).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (filled - base[who]).astype(np.uint64)
-            out_set.append(own[who])
-            out_key.append(t.mix(total ^ t.mix(tag)))
-            empty = np.bincount(who, minlength=len(own)) < parts[own]
-            live = np.zeros(len(size), bool)
-            live[own[empty & (parts[own] <= SALTED)]] = True
-    return np.concatenate(out_set), np.concatenate(out_key)
+def prefix_keys(h: np.ndarray, at: np.ndarray, percent: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(set, key) for each token in the prefix of each set."""
+    size, own = np.diff(at), t.owners(at)
+    order = np.lexsort((h, counts[(h % np.uint64(SLOTS)).astype(np.int64)], own))
+    keep = np.arange(len(h)) - at[own] < (size + 1 + -size * percent // 100)[own]
+    return own[keep], t.mix(h[order][keep])
+
+
+def slot_counts(docs: DataFrame, k: int) -> np.ndarray:
+    """Sets with a token in each hash slot, over all documents; a table of fixed size is all that travels from a task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for _, _, buf, off in t.chunks(b.column("text")):
+                total += np.bincount((sets(buf, off, k)[0] % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        if total.any():
+            yield pa.record_batch([pa.array(np.arange(PIECES, dtype=np.int32)), pa.array([x.tobytes() for x in np.split(total, PIECES)])], ["piece", "numbers"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for p, x in zip(b.column("piece").to_pylist(), b.column("numbers").to_pylist(), strict=True):
+                sums[p] = sums.get(p, 0) + np.frombuffer(x, np.int64)
+        if sums:
+            yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()])], ["piece", "numbers"])
+
+    kind = "piece int, numbers binary"
+    out = np.zeros((PIECES, SLOTS // PIECES), np.int64)
+    for row in docs.select("text").mapInArrow(count, kind).repartition(PIECES, "piece").mapInArrow(add, kind).collect():  # PIECES rows
+        out[row["piece"]] = np.frombuffer(row["numbers"], np.int64)
+    return out.ravel()
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -123,7 +113,8 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): short digests of classes that share a part, each linked to the least of its key."""
+    """(a, b): short digests of classes that share a prefix token, each linked to the least of its key."""
+    counts = docs.sparkSession.sparkContext.broadcast(slot_counts(docs, k))  # of fixed size
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +129,7 @@ def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for b in batches:
             for _, _, buf, off in t.chunks(b.column("text")):
                 h, at = sets(buf, off, k)
-                own, key = part_keys(h, at, percent)
+                own, key = prefix_keys(h, at, percent, counts.value)
                 name = np.array([short(d) if d else 0 for d in digests(h, at)], np.int64)
                 keys.append(key), owners.append(name[own])
                 waiting += len(key)
