@@ -1,7 +1,7 @@
 """Corpus cleaning as five stages over the documents table.
 
 Quality rules drop rejected documents; the n-gram Jaccard join keeps one document of each near-duplicate group; repeated
-byte strings are cut out of the texts; documents that leak benchmark items go; the rest is mixed to target weights.
+passages (more than 50 words, or 400 bytes) are cut out of the texts; documents that leak benchmark items go; the rest is mixed to target weights.
 Each stage takes the whole output of the one before, written as Parquet.  Nulls, empty texts, repeated rows and extra
 columns are handled as the operators state.
 """
@@ -17,6 +17,9 @@ from stratum.llm import decontaminate, jaccard_join, mixing, quality_rules, repe
 from stratum.llm._spark import shared, table
 
 
+PASSAGE_WORDS = 51  # every repeat of more than 50 words holds a repeated run of so many
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
     return judged.where("kept").select(*docs.columns)
@@ -27,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = repeated_bytes.remove_repeats(docs).withColumn("text", F.col("kept_text"))
+    cut = repeated_bytes.remove_repeats(docs, words=PASSAGE_WORDS).withColumn("text", F.col("kept_text"))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

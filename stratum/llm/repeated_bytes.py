@@ -18,6 +18,11 @@ repeat is missed.
    string itself.
 4. Covered runs are gathered per document and cut out.
 
+``remove_repeats(words=n)`` (the pipeline's passages) cuts repeated runs of n words too, whatever their bytes and the blanks
+between them.  The steps are the same over the sequence of a document's word hashes; a bucket gets the 64-bit hash of
+each run of n words in place of the words.  Where a script has no blanks (Thai to Tibetan, Myanmar, Khmer, kana, Chinese)
+each character counts as a word, so no repeat of n words of any length is missed.
+
 Documents are identified by 128 bits of (doc_id, text); repeated rows repeat each other and are judged so.  Equality
 of strings is that of 64-bit hashes within a bucket.  Null and empty texts have nothing to remove; texts shorter than
 LENGTH neither; extra columns are ignored; empty tables give empty results.
@@ -37,13 +42,39 @@ from stratum.llm._blocks import deal, unpack
 from stratum.llm._spark import fresh
 
 LENGTH, GRAM = 400, 64
+WORD_GRAM = 12  # words
 HOT = 1000
 SLICE_WINDOWS = 400_000
 PIECE = 1 << 19  # bytes of text that a task works on at a time
 _KEYS = ("k1", "k2")
+_SOLO = ((0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE2BA, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0B3))  # leading two bytes
 _SEED = np.uint64(0xA0761D6478BD642F)
 
 
+def word_units(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bounds) as ``t.words``; each character of a script without blanks is a word of its own."""
+    starts, ends, bounds = t.words(buf, off)
+    p = np.flatnonzero(buf[:-2] >= 0xE0)
+    lead = buf[p].astype(np.int64) << 8 | buf[p + 1]
+    p = p[sum(((lead >= a) & (lead <= b) for a, b in _SOLO), np.zeros(len(p), bool))]
+    if not len(p):
+        return starts, ends, bounds
+    first, last = np.zeros(len(buf) + 1, bool), np.zeros(len(buf) + 1, bool)
+    first[starts], last[ends] = True, True
+    past = p + 3 + (buf[p] >= 0xF0)
+    inner, new = p[~first[p]], past[~last[past]]
+    first[p], last[past] = True, True
+    first[new], last[inner] = True, True
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last), np.searchsorted(starts, off)
+
+
+def _word_values(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of a chunk, and their document bounds."""
+    starts, ends, bounds = word_units(buf, off)
+    return t.Spans(buf).hash(starts, ends), bounds
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of ``width`` values, by prefix and suffix minima of blocks."""
     n = len(values) - width + 1
@@ -98,8 +129,8 @@ def _covered(owner: np.ndarray, p: np.ndarray, hit: np.ndarray, length: int) ->
     return owner[head], p[head], p[np.concatenate([head[1:], [len(p)]]) - 1] + length
 
 
-def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
-    """(k1, k2, kh, at, low, high, n) of the anchors whose gram occurs n >= 2 times."""
+def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int, words: bool = False) -> DataFrame:
+    """(k1, k2, kh, at, low, high, n) of the anchors whose gram occurs n >= 2 times; units are bytes or ``words``."""
     kinds = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "at": np.int32, "low": np.int32, "high": np.int32}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +138,7 @@ def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int) -> Da
             keys = [b.column(k).to_numpy() for k in _KEYS]
             found = []
             for i, _, buf, off in t.chunks(b.column("text"), PIECE):
-                a = anchors(buf, off, length, gram)
+                a = anchors(*(_word_values(buf, off) if words else (buf, off)), length, gram)
                 doc = a.pop("doc") + i
                 found.append(a | {k: v[doc] for k, v in zip(_KEYS, keys, strict=True)})
             a = {k: np.concatenate([x[k] for x in found]) for k in kinds} if found else {}
@@ -130,13 +161,14 @@ def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int) -> Da
     return packed.repartition(parts, "part").mapInArrow(keep, "k1 long, k2 long, kh long, at int, low int, high int, n long")
 
 
-def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(k1, k2, start, end): runs of bytes of documents that repeated strings cover; runs may touch or overlap."""
-    lists = repeated_anchors(keyed, parts, length, gram).groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "low", "high", "n")).alias("anchors"))  # of one document
+def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: bool = False) -> DataFrame:
+    """(k1, k2, start, end): runs of bytes (or ``words``) of documents that repeated strings cover; runs may touch or overlap."""
+    lists = repeated_anchors(keyed, parts, length, gram, words).groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "low", "high", "n")).alias("anchors"))  # of one document
     members = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "low": np.int32, "high": np.int32}
     singles = {"wh": np.uint64, "many": np.bool_, "wk1": np.int64, "wk2": np.int64, "p": np.int32}
     settled = {"dk1": np.int64, "dk2": np.int64, "start": np.int32, "end": np.int32}
     columns = [*members, "bytes", *singles, *settled]
+    reach = 1 if words else length  # words travel as the hashes of their strings
     schema = "part int, " + ", ".join(f"{c} binary" for c in columns)
 
     def rows(dealt: list[tuple[int, dict[str, bytes]]]) -> pa.RecordBatch:
@@ -147,6 +179,11 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
             k1, k2 = (b.column(k).to_numpy() for k in _KEYS)
             lists = b.column("anchors")
             for i, j, buf, off in t.chunks(b.column("text"), PIECE):
+                sent = buf
+                if words:
+                    buf, off = _word_values(buf, off)
+                    start = np.arange(max(len(buf) - length + 1, 0))
+                    sent = t.Spans(buf).hash(start, start + length)
                 part = lists[i:j]
                 doc = np.repeat(np.arange(j - i), part.value_lengths().to_numpy())
                 a = {k: part.flatten().field(k).to_numpy() for k in ("kh", "low", "high", "n")}
@@ -160,7 +197,7 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
                     edges = np.searchsorted(where, np.arange(parts + 1))
                     for p in np.flatnonzero(np.diff(edges)):
                         m = c[edges[p] : edges[p + 1]]
-                        text, _ = t.take_spans(buf, off[doc[m]] + low[m], off[doc[m]] + high[m] + length)
+                        text, _ = t.take_spans(sent, off[doc[m]] + low[m], off[doc[m]] + high[m] + reach)
                         dealt.append((int(p), {"kh": kh[m].tobytes(), "k1": k1[i + doc[m]].tobytes(), "k2": k2[i + doc[m]].tobytes(), "low": low[m].tobytes(), "high": high[m].tobytes(), "bytes": text.tobytes()}))
                     yield rows(dealt)
                 if not cold.all():
@@ -198,9 +235,9 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
                 k1, k2, p = w["wk1"][order], w["wk2"][order], w["p"][order]
                 first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (p[1:] != p[:-1] + 1)]))
                 yield out(k1[first], k2[first], p[first], p[np.append(first[1:], len(p)) - 1] + length)
-        m = unpack(kept, **members, bytes=np.uint8)
+        m = unpack(kept, **members, bytes=np.uint64 if words else np.uint8)
         del kept
-        size = (m["high"] - m["low"] + length).astype(np.int64)
+        size = (m["high"] - m["low"] + reach).astype(np.int64)
         begin = np.cumsum(size) - size
         order = np.argsort(m["kh"], kind="stable")
         number = (m["high"] - m["low"] + 1).astype(np.int64)[order]
@@ -215,7 +252,7 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
             own = np.repeat(np.arange(len(some)), n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             pos = text_at[own] + step
-            who, start, stop = _covered(own, step, _equal_neighbours(t.Spans(text).hash(pos, pos + length)), length)
+            who, start, stop = _covered(own, step, _equal_neighbours(text[pos] if words else t.Spans(text).hash(pos, pos + length)), length)
             if len(who):
                 row = some[who]
                 yield out(m["k1"][row], m["k2"][row], m["low"][row] + start, m["low"][row] + stop)
@@ -236,9 +273,11 @@ def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
     """Every row of ``docs`` with n_bytes, n_removed, n_spans, spans (array of start, end) and kept (the remaining bytes).
 
+    With ``words``, repeated runs of so many words go as well, from the first byte of their first word to the last of their last.
+
     A run may cut a code point in two; ``kept_text`` is ``kept`` without the bytes of such broken code points.
 
     All columns of ``docs`` are kept in front; a clashing one gives way to the new column."""
@@ -248,17 +287,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     k1, k2, found_runs = fresh(old, "k1", "k2", "runs")
     keyed = old.withColumns({k1: F.xxhash64(F.lit(1), *ids), k2: F.xxhash64(F.lit(2), *ids)})
-    runs = covered_runs(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text"), parts, length, gram, hot)
-    runs = runs.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end")).alias(found_runs))
+    texts = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text")
+    runs = covered_runs(texts, parts, length, gram, hot).withColumn("by_word", F.lit(False))
+    if words:
+        runs = runs.unionByName(covered_runs(texts, parts, words, min(WORD_GRAM, words), hot, words=True).withColumn("by_word", F.lit(True)))
+    runs = runs.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end", "by_word")).alias(found_runs))
     names = old.columns
 
+    def in_bytes(data: bytes, found: list[dict]) -> list[tuple[int, int]]:
+        if not any(r["by_word"] for r in found):
+            return [(r["start"], r["end"]) for r in found]
+        starts, ends, _ = word_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        return [(int(starts[r["start"]]), int(ends[r["end"] - 1])) if r["by_word"] else (r["start"], r["end"]) for r in found]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
                 rows = []
                 for text, found in zip(part.column("text").to_pylist(), part.column(found_runs).to_pylist(), strict=True):
-                    data, spans = (text or "").encode(), merge([(r["start"], r["end"]) for r in found or []])
+                    data = (text or "").encode()
+                    spans = merge(in_bytes(data, found or []))
                     kept, at = [], 0
                     for start, end in spans:
                         kept.append(data[at:start])

@@ -200,6 +200,32 @@ def test_repeated_bytes(spark, sf, docs, hot):
         assert sorted((str(r[0]), *r[1:]) for r in got) == want
 
 
+def brute_words(texts, length, n):
+    """Byte masks of the repeated byte strings and of the repeated runs of n words."""
+    data = [(x or "").encode() for x in texts]
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    runs = [[tuple(d[a:b] for a, b in s[p : p + n]) for p in range(len(s) - n + 1)] for d, s in zip(data, spans, strict=True)]
+    seen, strings = collections.Counter(x for r in runs for x in r), collections.Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d, s, r in zip(data, spans, runs, strict=True):
+        gone = np.zeros(len(d), bool)
+        for p in range(len(d) - length + 1):
+            gone[p : p + length] |= strings[d[p : p + length]] > 1
+        for p, x in enumerate(r):
+            gone[s[p][0] : s[p + n - 1][1]] |= seen[x] > 1
+        out.append(bytes(b for b, g in zip(d, gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_repeated_words(spark, sf, docs, hot):
+    for frame, n, length in ((spark.read.parquet(f"{sf}/documents.parquet").limit(120), 20, 400), (docs.where("length(text) < 10000 OR text IS NULL"), 5, 60)):
+        data = frame.collect()
+        want = sorted((str(r["doc_id"]), x) for r, x in zip(data, brute_words([r["text"] for r in data], length, n), strict=True))
+        got = repeated_bytes.remove_repeats(spark.createDataFrame(data, frame.schema), length, 16, hot, words=n).select("doc_id", "kept").collect()
+        assert sorted((str(a), bytes(b)) for a, b in got) == want
+
+
 def test_repeated_bytes_keeps_columns(docs, none):
     out = repeated_bytes.remove_repeats(docs)
     assert out.columns[: len(docs.columns)] == docs.columns and out.count() == docs.count()
