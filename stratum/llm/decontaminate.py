@@ -54,6 +54,7 @@ def item_rows(items: DataFrame) -> DataFrame:
     kind = items.schema["item_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = 0  # rows of the task's earlier batches
         for b in batches:
             for i, _, buf, off in t.chunks(b.column("text")):
                 low = t.LOWER[buf]
@@ -62,7 +63,8 @@ def item_rows(items: DataFrame) -> DataFrame:
                 h, at = t.distinct(*t.shingles(t.Spans(low).hash(starts, ends), bounds, WORDS))
                 own, q = t.owners(at), np.diff(at)
                 place = np.arange(len(h)) - at[own]  # hashes are sorted: the place is the MinHash rank
-                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(number[own].astype(np.int32)), pa.array(q[own].astype(np.int64)), pa.array(need(q)[own].astype(np.int64)), pa.array(place <= (q - need(q))[own]), b.column("item_id").take(pa.array(i + own)), pa.array((i + own).astype(np.int64))], ["h", "k", "q", "need", "signature", "item_id", "row"])
+                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(number[own].astype(np.int32)), pa.array(q[own].astype(np.int64)), pa.array(need(q)[own].astype(np.int64)), pa.array(place <= (q - need(q))[own]), b.column("item_id").take(pa.array(i + own)), pa.array((start + i + own).astype(np.int64))], ["h", "k", "q", "need", "signature", "item_id", "row"])
+            start += b.num_rows
 
     # one task per file split numbers its own rows; a repeated item gets its own number by its place
     return items.select("item_id", "text").mapInArrow(cut, f"h long, k int, q long, need long, signature boolean, item_id {kind}, row long").withColumn("item", F.struct(F.spark_partition_id().alias("p"), "row"))

@@ -319,6 +319,34 @@ def test_decontaminate(spark, docs, none, sf):
     assert decontaminate.leaks(none, items).count() == decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_HASHES, 3])
+def test_benchmark_of_many_batches(spark, most):
+    """Items of one split in three Arrow batches, short ones at the places of long ones, with equal ids too."""
+    rng = np.random.default_rng(10)
+    texts = [" ".join(f"v{x}" for x in rng.integers(0, 400, n)) for n in [*([30] * 20), *rng.integers(1, 12, 20), *([30] * 10)]]
+    bench = spark.createDataFrame([(i % 20, x) for i, x in enumerate(texts)], "item_id long, text string").coalesce(1)
+    frame = spark.createDataFrame([(d, f"q{d} {' '.join(texts[d * 3 : d * 3 + 2])} r{d}") for d in range(17)] + [(90, "no item here at all"), (91, f"{texts[0]} z {texts[40]}")], "doc_id long, text string")
+    want = []
+    for i in bench.collect():
+        w = words(i["text"])
+        n = min(len(w), 5)
+        q = {tuple(w[p : p + n]) for p in range(len(w) - n + 1)}
+        for d in frame.collect():
+            x = words(d["text"])
+            shared = len(q & {tuple(x[p : p + n]) for p in range(len(x) - n + 1)})
+            if 10 * shared >= 8 * len(q):
+                want.append((d["doc_id"], i["item_id"], len(q), shared))
+    rows_before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = decontaminate.leaks(frame, bench, most).collect()
+        left = decontaminate.clean(frame, bench, most).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_before)
+    assert sorted(tuple(r[:4]) for r in got) == sorted(want)
+    assert {r["doc_id"] for r in left} == {r["doc_id"] for r in frame.collect()} - {w[0] for w in want}
+
+
 def test_edge_rows_are_scored(docs, none, labels):
     n = docs.count()
     for made in (quality_pairs.quality_scores, toxicity.toxicity_scores):
