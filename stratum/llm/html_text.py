@@ -1,7 +1,7 @@
 """Operator 4 - main text of HTML pages by a recurrent block labeller.
 
 A page becomes a sequence of leaf blocks (runs of text between block-level tags).  A block is a hashed vector of its
-tag path (tags with their class and id words), a hashed vector of its words and a few numbers; a bidirectional LSTM in
+tag path (tags with their class and id words), a hashed vector of all its words (their mean) and a few numbers; a bidirectional LSTM in
 numpy reads the page's whole sequence and labels each block as article text or not.  It is trained at the start of a
 job on pages that a seeded generator makes up with many layouts, so no labelled page is needed and the model is the
 same in every run.
@@ -128,7 +128,7 @@ def vectors(page: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
     for i, (path, text, links) in enumerate(page):
         row = out[i]
         row[:PATH] = _path_vector(path)
-        some = text[:4000].lower().split()[:24]  # cue words stand in front; the numbers below read the whole block
+        some = text.lower().split()
         for w in some:
             h = _hash(w.strip(".,:;!?()[]\"'"))
             row[PATH + h % WORDS] += (1 if h >> 16 & 1 else -1) / len(some)

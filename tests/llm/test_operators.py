@@ -177,6 +177,17 @@ def test_html(spark, table):
         assert r["text"] == "\n".join(x for x in parts if x)
 
 
+def test_html_blocks_are_read_whole():
+    front = " ".join(f"word{i}" for i in range(24))
+    for before in (front, f"{front} {'x' * 4000}"):
+        made = [html_text.vectors([(("p",), f"{before} {last}", 0)])[0] for last in ("cookies", "privacy")]
+        assert (made[0] != made[1]).any()
+    many = [f"word{i % 700}," for i in range(5000)]
+    mean = np.mean([html_text.vectors([(("p",), w, 0)])[0][html_text.PATH : html_text.PATH + html_text.WORDS] for w in many], 0)
+    whole = html_text.vectors([(("p",), " ".join(many), 0)])[0][html_text.PATH : html_text.PATH + html_text.WORDS]
+    assert whole == pytest.approx(mean, abs=1e-5)
+
+
 def brute_cut(texts, length):
     data = [(x or "").encode() for x in texts]
     seen = collections.Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
