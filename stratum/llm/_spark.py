@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession) -> None:
-    """Make checkpoints go to the cluster's ``spark.checkpoint.dir``; only where none is set (tests) to a local folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    """Make checkpoints go to the folder that the cluster shares, as ``spark.checkpoint.dir`` names it; a session on one machine
+    (tests) without that setting gets a temporary folder, on a cluster it is an error."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -88,22 +96,46 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_per_cla
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def ranges(docs: DataFrame, size: int) -> int:
+    """Ranges to deal out what ``docs(text)`` holds: one for each ``size`` bytes of text, as many as shuffle partitions at least."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // size))
+
+
+FILTER_BITS = 1 << 24
+SALTS = 8
+
+
+def id_filter(rows: DataFrame, column: str) -> Callable[[np.ndarray], np.ndarray]:
+    """A test that passes all ids of ``rows`` (48 bits of a hash each) and few others: a broadcast table of FILTER_BITS bits, of one size for any input."""
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    words = rows.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod({column}, 64) as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared_table = rows.sparkSession.sparkContext.broadcast(table)
+
+    def passes(ids: np.ndarray) -> np.ndarray:
+        at = ids % FILTER_BITS
+        return (shared_table.value[at // 64] >> (at % 64)) & 1 == 1
+
+    return passes
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(id, root): the least id that each id of ``edges(a, b)`` reaches, by alternating large and small stars.
 
     Every round is two aggregations on the shuffled edge list, cut by a checkpoint; the driver only sees whether
-    the list still changes.  Ids without an edge to another id are not returned."""
+    the list still changes, and the rounds end when it doesn't (their number grows as the logarithm of a chain's length).
+    The edges of a centre are spread over SALTS tasks.  Ids without an edge to another id are not returned."""
     e = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    for _ in range(rounds):
+    salt, every = F.pmod(F.xxhash64("v"), F.lit(SALTS)).alias("salt"), F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt")
+    before, now = None, e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
+    while now != before:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"), every)
+        large = both.select("u", "v", salt).join(low, ["u", "salt"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = settle(star.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if now == before:
-            return e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "id").unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
-        before = now
-    raise RuntimeError(f"components: no fixed point after {rounds} rounds")
+        before, now = now, e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
+    return e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "id").unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())

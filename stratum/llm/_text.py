@@ -2,7 +2,7 @@
 
 A chunk of documents is one contiguous ``uint8`` buffer plus offsets.  Words are maximal runs of bytes
 outside ``\\x20 \\x09-\\x0D``; these bytes never occur inside a multi-byte UTF-8 sequence, so byte logic
-equals code-point logic.  Spans get 64-bit polynomial hashes from one prefix sum, finished by a mixer.
+equals code-point logic.  Spans get 62-bit polynomial hashes from prefix sums, spread over 64 bits by a mixer.
 """
 
 from __future__ import annotations
@@ -14,24 +14,33 @@ import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 8192
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_ODD_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+PRIME = (1 << 31) - 1
+_P, _31 = np.uint64(PRIME), np.uint64(31)
+# bases of the two lanes of a span's hash, drawn once at random below PRIME
+_BASES = (1_279_365_593, 1_803_416_927)
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    base = _ODD if kind == "pow" else _ODD_INV
-    table = _powers.get(kind)
-    if table is None or len(table) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
-        steps[0] = 1
-        table = _powers[kind] = np.multiply.accumulate(steps)
+def _fold(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x below 2^62."""
+    x = (x & _P) + (x >> _31)
+    x = (x & _P) + (x >> _31)
+    return x - _P * (x >= _P)
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """The first n powers of ``base`` modulo PRIME."""
+    table = _powers.get(base, np.ones(1, np.uint64))
+    while len(table) < n:
+        step = np.uint64(pow(base, len(table), PRIME))
+        table = np.concatenate([table, _fold(table * step)])
+    _powers[base] = table
     return table[:n]
 
 
@@ -43,16 +52,30 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of arbitrary spans of one sequence of integers."""
+    """Hashes of arbitrary spans of one sequence of bytes, or of 64-bit hashes of words.
+
+    A hash has two polynomials modulo the prime 2^31 - 1 with fixed random bases: two different spans of n units agree with
+    odds of (n / 2^31)^2, whatever their content (a polynomial modulo 2^64 has strings that always agree)."""
 
     def __init__(self, values: np.ndarray):
-        n = len(values)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power("pow", n), out=self.prefix[1:])
+        narrow = values.dtype.itemsize < 4
+        wide = values.astype(np.uint64)
+        lanes = (wide, wide) if narrow else (wide & _P, wide >> np.uint64(33))
+        self.prefix = []
+        for base, lane in zip(_BASES, lanes, strict=True):
+            terms = (lane + np.uint64(1)) * _power(base, len(values))
+            if not narrow or len(values) > 1 << 24:
+                terms = _fold(terms)  # else their sums stay below 2^64
+            total = np.zeros(len(values) + 1, np.uint64)
+            np.cumsum(terms, out=total[1:])
+            self.prefix.append(total)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        shift = _power("inv", len(self.prefix))
-        return mix((self.prefix[end] - self.prefix[start]) * shift[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        out = np.zeros(len(start), np.uint64)
+        for base, total in zip(_BASES, self.prefix, strict=True):
+            shift = _power(pow(base, -1, PRIME), len(total))
+            out = (out << _31) | _fold(_fold(total[end] - total[start]) * shift[start])
+        return mix(out)
 
 
 def raw(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -4,26 +4,28 @@ A document's set is its distinct k-word shingles (words ``[^\\x20\\x09-\\x0D]+``
 whole sequence; none: the empty set, linked with nothing).  Documents with equal sets form one class, so copies cost one
 set.  Two classes link if 100 * intersection >= percent * union.
 
-1. Candidates.  Sets of sizes that can link meet in a size scheme whose tokens are hashed into H + 1 parts, H being the
-   most elements in which two linking sets of the scheme can differ: one part at least is equal in both, so classes with an
-   equal (scheme, part, tokens of the part) are candidates and none is lost.  Where a part may be empty in both, small sets
-   are dealt out again with other salts.  Keys travel packed in numpy blocks; a partition links the classes of a key to
-   the least of them, never in pairs.
-2. Groups of candidates are connected components of these links.  A group is cut into blocks of about BLOCK sets; each
-   pair of blocks is a task, so no task grows with a group.
-3. In a task sets lie in index lists by token, ordered by position in the set order.  Overlaps of a set with all
-   others are derived from those of the set before it, a similar one: only the lists of the tokens in which the two differ
-   are read, and lists' blocks of sets outside the size range are skipped.  Links feed a union-find; only its forest leaves.
-
-Null text is empty; repeated rows are separate documents of one class; a null doc_id counts in links, but a component's id
-is the least non-null id (null if there is none); extra columns are ignored; empty tables give empty results.
+1. Tokens have one order for all sets: by hash, then the most frequent ones (at most HOT_TOKENS, counted over all documents), so
+   passages that many documents share come last.  The least common token of two linking sets lies among the first
+   n - ceil(percent * n / 100) + 1 of each, its prefix.  Any such order finds every link; this one finds few others.
+2. Prefix tokens are dealt by hash and sorted into index lists by size.  A list falls into runs wherever two neighbouring sizes
+   can't link; an entry without a partner that its size and position allow goes.  Each run is led by its least set,
+   and a set is sent once to each of its leaders, with the places of the tokens that they share, never to each partner.
+3. A leader's sets are compared in one task (beyond BLOCK sets in one for each pair of blocks).  Index lists are ordered by
+   token, size and position, and blocks of one size are skipped from the first position that can't reach the threshold.
+   The overlaps of a set with all others are derived from those of the set before it where that is similar: only lists of
+   the tokens in which the two differ are read.  A pair counts in the task that leads its least common token, so once.
+   Links feed a union-find; only its forest and the number of links of each set leave, so components join true links alone.
+
+Tokens are 62-bit hashes, lists and sets are known by 48 bits of a hash where a clash only makes a task larger.
+Null text is empty; repeated rows are separate documents of one class; ties between classes go to the least id, then the
+least digest; a null doc_id counts in links, but a component's id is the least non-null id (null if there is none); extra
+columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +34,12 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, runs, unpack
-from stratum.llm._spark import components, fresh, settle
+from stratum.llm._spark import components, fresh, id_filter, ranges, settle, settle_table
 
-BLOCK = 2048
+BLOCK = 4096
 FLUSH_KEYS = 2_000_000
-SALTS, SALTED = 4, 40  # schemes of at most SALTED parts are dealt again up to SALTS times: a miss has odds below 1e-15
-
-
-@cache
-def levels(percent: int) -> np.ndarray:
-    """First sizes of the size levels: a set's partners are in its own level or the next ones up and down."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(out[-1] * 100 // percent + 1)
-    return np.array(out, np.int64)
+HOT_TOKENS, HOT_PER_TASK, HOT_LEAST = 1 << 18, 1 << 15, 4  # in the order, sent by a task, least number of documents in a task's chunk
+RANGE_BYTES = 16 << 20  # of text for each range of tokens
 
 
 def sets(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +54,7 @@ def digests(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
 
 
 def short(digest: bytes) -> int:
-    """48 bits of a digest; a clash only makes a candidate group larger."""
+    """48 bits of a digest."""
     return int.from_bytes(digest[:6], "little")
 
 
@@ -75,38 +69,16 @@ def _eight(raw: np.ndarray) -> np.ndarray:
     return out.ravel().view("<u8").astype(np.int64)
 
 
-def part_keys(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, key) for each non-empty part of each set in its two size schemes."""
-    first = levels(percent)
-    size = np.diff(at)
-    level = np.searchsorted(first, size, "right") - 1
-    out_set, out_key = [], []
-    for scheme in (level - 1, level):
-        live = (scheme >= 0) & (size > 0)
-        top = first[np.minimum(scheme + 2, len(first) - 1)] - 1
-        parts = 2 * top * (100 - percent) // (100 + percent) + 1
-        for salt in range(SALTS):
-            own = np.flatnonzero(live)
-            if not len(own):
-                break
-            n = size[own]
-            row = np.repeat(np.arange(len(own)), n)
-            tokens = h[np.repeat(at[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            place = (t.mix(tokens + np.uint64(salt * 0x9E37 + 1)) >> np.uint64(11)) % parts[own][row].astype(np.uint64)
-            base = np.cumsum(parts[own]) - parts[own]
-            slot = base[row] + place.astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            cut = np.flatnonzero(np.concatenate([[True], slot[order][1:] != slot[order][:-1]])) if len(slot) else np.zeros(0, np.int64)
-            total = np.add.reduceat(t.mix(tokens[order]), cut)
-            filled = slot[order][cut]
-            who = row[order][cut]
-            tag = (scheme[own][who] * 8 + salt).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (filled - base[who]).astype(np.uint64)
-            out_set.append(own[who])
-            out_key.append(t.mix(total ^ t.mix(tag)))
-            empty = np.bincount(who, minlength=len(own)) < parts[own]
-            live = np.zeros(len(size), bool)
-            live[own[empty & (parts[own] <= SALTED)]] = True
-    return np.concatenate(out_set), np.concatenate(out_key)
+def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
+    return np.where(n > 0, n + 1 + (-n * percent) // 100, 0)
+
+
+def ordered(h: np.ndarray, at: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The tokens of each set in the common order: by hash, then those of ``hot`` (sorted by hash)."""
+    if not len(hot):
+        return h
+    late = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
+    return h[np.lexsort((late, t.owners(at)))] if late.any() else h
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -122,88 +94,215 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {kind}, n_shingles long, digest binary")
 
 
-def candidate_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): short digests of classes that share a part, each linked to the least of its key."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
+    """Sorted hashes of the most frequent tokens.  They only order tokens, so a count may miss occurrences spread thinly over tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for b in batches:
+            for _, _, buf, off in t.chunks(b.column("text")):
+                seen, n = np.unique(sets(buf, off, k)[0], return_counts=True)
+                often = n >= HOT_LEAST
+                tokens, place = np.unique(np.concatenate([tokens, seen[often]]), return_inverse=True)
+                number = np.bincount(place, np.concatenate([number, n[often]]), len(tokens)).astype(np.int64)
+                if len(tokens) > 4 * HOT_PER_TASK:
+                    most = np.sort(np.argsort(-number, kind="stable")[: 2 * HOT_PER_TASK])
+                    tokens, number = tokens[most], number[most]
+        most = np.argsort(-number, kind="stable")[:HOT_PER_TASK]
+        yield pa.record_batch([pa.array(tokens[most].view(np.int64)), pa.array(number[most])], ["h", "n"])
+
+    found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return np.sort(found.orderBy(F.desc("n"), "h").limit(HOT_TOKENS).toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def _kept_entries(token: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Entries (sorted by token, size) that have another one in their list whose size their size and position allow."""
+    rank = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])]).astype(np.int64) << 32
+    key = rank | size
+    low, high = -(-percent * size // 100), (size - place) * (100 + percent) // percent - size
+    n = np.searchsorted(key, rank | np.clip(high, 0, (1 << 32) - 1), "right") - np.searchsorted(key, rank | low)
+    return n - ((low <= size) & (size <= high)) > 0
+
+
+def led(token: np.ndarray, own: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """(leader, member, place) of the entries of index lists that have partners."""
+    order = np.lexsort((own, size, token))
+    token, own, size, place = token[order], own[order], size[order], place[order]
+    keep = np.ones(len(token), bool)
+    keep[1:] = (token[1:] != token[:-1]) | (own[1:] != own[:-1])
+    for _ in range(2):  # what goes may leave others without a partner
+        token, own, size, place = token[keep], own[keep], size[keep], place[keep]
+        if not len(token):
+            return own, own, place
+        keep = _kept_entries(token, size, place, percent)
+    token, own, size, place = token[keep], own[keep], size[keep], place[keep]
+    if not len(token):
+        return own, own, place
+    head = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (size[1:] * percent > size[:-1] * 100)]))
+    number = np.diff(np.append(head, len(token)))
+    leader = np.repeat(np.minimum.reduceat(own, head), number)
+    many = np.repeat(number > 1, number)
+    return leader[many], own[many], place[many]
+
+
+def shared_leaders(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> DataFrame:
+    """(leader, member, places): each set with the sets that lead index lists of its prefix tokens, and the places of these tokens."""
+    parts = ranges(docs, RANGE_BYTES)
+    model = docs.sparkSession.sparkContext.broadcast(hot)
+    columns = ("token", "own", "size", "place")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, owners, waiting = [], [], 0
+        found: list[tuple[np.ndarray, ...]] = []
+        waiting, seen = 0, set()
 
         def flush() -> pa.RecordBatch:
-            key, own = np.concatenate(keys), np.concatenate(owners)
-            part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            dealt = list(deal(part, parts, key=_six(key), own=_six(own)))
-            return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x[c] for _, x in dealt], pa.binary()) for c in ("key", "own"))], ["part", "key", "own"])
+            token, own, size, place = (np.concatenate(x) for x in zip(*found, strict=True))
+            part = (t.mix(token) % np.uint64(parts)).astype(np.int64)
+            dealt = list(deal(part, parts, token=_six(token), own=_six(own), size=size.astype(np.uint32), place=place.astype(np.uint32)))
+            return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x[c] for _, x in dealt], pa.binary()) for c in columns)], ["part", *columns])
 
         for b in batches:
             for _, _, buf, off in t.chunks(b.column("text")):
                 h, at = sets(buf, off, k)
-                own, key = part_keys(h, at, percent)
-                name = np.array([short(d) if d else 0 for d in digests(h, at)], np.int64)
-                keys.append(key), owners.append(name[own])
-                waiting += len(key)
+                name = np.array([short(d) if d else -1 for d in digests(h, at)], np.int64)
+                new = np.zeros(len(name), bool)
+                for i, x in enumerate(name.tolist()):  # copies in a task count once
+                    if x >= 0 and x not in seen:
+                        seen.add(x)
+                        new[i] = True
+                h = ordered(h, at, model.value)
+                n = np.where(new, prefix_size(np.diff(at), percent), 0)
+                own = np.repeat(np.arange(len(n)), n)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                found.append((h[at[own] + place], name[own], np.diff(at)[own], place))
+                waiting += len(own)
                 if waiting >= FLUSH_KEYS:
                     yield flush()
-                    keys, owners, waiting = [], [], 0
+                    found, waiting = [], 0
         if waiting:
             yield flush()
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = unpack(batches, key=np.uint8, own=np.uint8)
-        if not len(x["key"]):
-            return
-        key, own = _eight(x["key"]), _eight(x["own"])
-        order = np.lexsort((own, key))
-        key, own = key[order], own[order]
-        head = np.concatenate([[True], key[1:] != key[:-1]])
-        least = own[np.flatnonzero(head)][np.cumsum(head) - 1]
-        pairs = np.unique(np.stack([own, least], 1)[own != least], axis=0)
-        for i in range(0, len(pairs), 1 << 18):
-            yield pa.record_batch([pa.array(pairs[i : i + (1 << 18), 0]), pa.array(pairs[i : i + (1 << 18), 1])], ["a", "b"])
-
-    return docs.select("text").mapInArrow(emit, "part int, key binary, own binary").repartition(parts, "part").mapInArrow(link, "a long, b long")
-
-
-def link_sets(h: np.ndarray, at: np.ndarray, percent: int, block: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(label of each set: the least set it is linked to in this task, documents linked to it across the blocks)."""
-    size, n = np.diff(at), len(at) - 1
-    first = h[at[:-1]]  # the least hash: similar sets mostly share it
-    order = np.lexsort((size, first))
-    back = np.empty(n, np.int64)
-    back[order] = np.arange(n)
-    ids, token = np.unique(h, return_inverse=True)
-    own = back[t.owners(at)]
-    by_token = np.lexsort((own, token))
-    lists, list_at = own[by_token], np.searchsorted(token[by_token], np.arange(len(ids) + 1))
-    size_at, block_at, copies_at = size[order], block[order], copies[order]
-    both = len(np.unique(block)) > 1
+        x = unpack(batches, token=np.uint8, own=np.uint8, size=np.uint32, place=np.uint32)
+        leader, member, place = led(_eight(x["token"]), _eight(x["own"]), x["size"].astype(np.int64), x["place"].astype(np.int64), percent)
+        order = np.lexsort((place, member, leader))
+        leader, member, place = leader[order], member[order], place[order].astype(np.uint32)
+        head = np.flatnonzero(np.concatenate([[True], (leader[1:] != leader[:-1]) | (member[1:] != member[:-1])])) if len(leader) else np.zeros(0, np.int64)
+        at = np.append(head, len(leader))
+        for i in range(0, len(head), 1 << 15):
+            some = head[i : i + (1 << 15)]
+            packed = [place[a:b].tobytes() for a, b in zip(some.tolist(), at[i + 1 : i + 1 + len(some)].tolist(), strict=True)]
+            yield pa.record_batch([pa.array(leader[some]), pa.array(member[some]), pa.array(packed, pa.binary())], ["leader", "member", "places"])
+
+    dealt = docs.select("text").mapInArrow(emit, "part int, " + ", ".join(f"{c} binary" for c in columns)).repartition(parts, "part")
+    return dealt.mapInArrow(link, "leader long, member long, places binary")
+
+
+class Sets:
+    """The sets of a task with their index lists.  ``h``: tokens in the common order, ``led``: for each prefix token whether this task leads its list."""
+
+    def __init__(self, h: np.ndarray, at: np.ndarray, led: np.ndarray, percent: int):
+        self.at, self.size, self.percent = at, np.diff(at), percent
+        self.prefix = prefix_size(self.size, percent)
+        self.prefix_at = np.concatenate([[0], np.cumsum(self.prefix)])
+        self.led = led
+        ids, self.token = np.unique(h, return_inverse=True)
+        own = t.owners(at)
+        by = np.argsort(self.token, kind="stable")
+        self.lists, self.list_at = own[by], np.searchsorted(self.token[by], np.arange(len(ids) + 1))
+        # prefix tokens: (token, size, position), in blocks of one token and size
+        own = np.repeat(np.arange(len(self.size)), self.prefix)
+        place = np.arange(self.prefix_at[-1]) - self.prefix_at[own]
+        token = self.token[at[own] + place]
+        by = np.lexsort((place, self.size[own], token))
+        self.entries, self.places, token, size = own[by], place[by], token[by], self.size[own][by]
+        self.block = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (size[1:] != size[:-1])])) if len(by) else np.zeros(0, np.int64)
+        self.block_size = size[self.block]
+        self.block_key = token[self.block].astype(np.int64) << 32 | self.block_size
+        number = np.diff(np.append(self.block, len(by)))
+        self.by_place = np.repeat(np.arange(len(self.block)), number) << 32 | self.places
+        self.entry_at = np.searchsorted(token, np.arange(len(ids) + 1))
+
+    def tokens(self, s: int) -> np.ndarray:
+        return self.token[self.at[s] : self.at[s + 1]]
+
+    def has_candidates(self, s: int) -> bool:
+        """Whether another set stands in a block that size and position don't skip."""
+        n, p = self.size[s], self.percent
+        token = self.tokens(s)[: self.prefix[s]].astype(np.int64)
+        low = np.searchsorted(self.block_key, token << 32 | -(-p * n // 100))
+        high = np.searchsorted(self.block_key, token << 32 | 100 * n // p, "right")
+        number = high - low
+        block = np.repeat(low - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        place = np.repeat(np.arange(len(token)), number)
+        least = -(-p * (n + self.block_size[block]) // (100 + p))  # overlap that a link needs
+        live = n - place >= least
+        block, least = block[live], least[live]
+        end = np.searchsorted(self.by_place, block << 32 | np.maximum(self.block_size[block] - least + 1, 0))
+        return bool((end - self.block[block]).sum() > (self.size[s] > 0) * np.count_nonzero(n - np.arange(len(token)) >= -(-p * 2 * n // (100 + p))))
+
+    def read(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of the tokens each set has."""
+        low, number = self.list_at[tokens], self.list_at[tokens + 1] - self.list_at[tokens]
+        return np.bincount(self.lists[np.repeat(low - (np.cumsum(number) - number), number) + np.arange(number.sum())], minlength=len(self.size)).astype(np.int32)
+
+    def own_pairs(self, s: int, hit: np.ndarray) -> np.ndarray:
+        """Of the sets linked to ``s``, those whose least common token with it is led here."""
+        token, mine = self.tokens(s)[: self.prefix[s]], self.led[self.prefix_at[s] : self.prefix_at[s + 1]]
+        if mine.all() or not len(hit):
+            return hit
+        waits = np.zeros(len(self.size), bool)
+        waits[hit] = True
+        left, out = len(hit), []
+        for place, here in zip(token.tolist(), mine.tolist(), strict=True):
+            low, high = self.entry_at[place], self.entry_at[place + 1]
+            if high - low == 1:
+                continue
+            some = self.entries[low:high]
+            some = some[waits[some]]
+            if here:
+                out.append(some)
+            waits[some] = False
+            left -= len(some)
+            if not left:
+                break
+        return np.sort(np.concatenate(out)) if out else hit[:0]
+
+
+def link_sets(x: Sets, block: np.ndarray, copies: np.ndarray, both: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(label of each set: the least set it is linked to in this task, documents in other sets that it links to).
+
+    ``both``: the task is for pairs across its two blocks."""
+    n = len(x.size)
     label, links = np.arange(n), np.zeros(n, np.int64)
-    before: np.ndarray = np.zeros(0, np.int64)
+    first = np.array([x.tokens(s)[0] for s in range(n)])
+    order = np.lexsort((x.size, first))  # similar sets mostly share their first token
+    before: np.ndarray | None = None
     overlap = np.zeros(n, np.int32)
-
-    def read(tokens: np.ndarray) -> np.ndarray:
-        low, number = list_at[tokens], list_at[tokens + 1] - list_at[tokens]
-        return np.bincount(lists[np.repeat(low - (np.cumsum(number) - number), number) + np.arange(number.sum())], minlength=n).astype(np.int32)
-
-    for p in range(n):
-        mine = token[at[order[p]] : at[order[p] + 1]]  # sorted, as hashes are
-        fresh, gone = np.setdiff1d(mine, before, assume_unique=True), np.setdiff1d(before, mine, assume_unique=True)
-        if len(fresh) + len(gone) < len(mine):
-            if len(fresh):
-                overlap += read(fresh)
-            if len(gone):
-                overlap -= read(gone)
-        else:
-            overlap = read(mine)
+    for s in order.tolist():
+        mine = np.sort(x.tokens(s))
+        derived = False
+        if before is not None:
+            new, gone = np.setdiff1d(mine, before, assume_unique=True), np.setdiff1d(before, mine, assume_unique=True)
+            if derived := len(new) + len(gone) < len(mine):
+                if len(new):
+                    overlap += x.read(new)
+                if len(gone):
+                    overlap -= x.read(gone)
+        if not derived:
+            if not x.has_candidates(s):
+                continue
+            overlap = x.read(mine)
         before = mine
-        s = size_at[p]
-        hit = np.flatnonzero((size_at * 100 >= percent * s) & (size_at * percent <= 100 * s) & (100 * overlap >= percent * (size_at + s - overlap)))
-        across = hit[block_at[hit] != block_at[p]] if both else hit
-        links[p] = copies_at[across].sum() - (0 if both else copies_at[p])  # without its own class
-        names = np.unique(label[hit])
+        size = x.size[s]
+        hit = np.flatnonzero(100 * overlap.astype(np.int64) >= x.percent * (x.size + size - overlap))
+        hit = hit[(hit != s) & ((block[hit] != block[s]) | (not both))]
+        hit = x.own_pairs(s, hit)
+        links[s] = copies[hit].sum()
+        names = np.unique(label[np.append(hit, s)])
         if len(names) > 1:
             label[np.isin(label, names)] = names[0]
-    return order[label][back], links[back]
+    return label, links
 
 
 def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -213,37 +312,56 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = settle(document_sets(docs, k))
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    groups = components(candidate_edges(docs, k, percent)).withColumnRenamed("id", "short").withColumnRenamed("root", "grp")
-    # in a group: one document of each class, with its block
+    hot = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k))
     text = F.hex("digest")
     low = F.conv(F.concat(*(F.substring(text, i, 2) for i in range(11, 0, -2))), 16, 10).cast("long")
-    active = settle(classes.withColumn("short", low).join(groups, "short"))
-    blocks = active.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = active.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = placed.withColumn("other", F.explode(other)).withColumn("pair", F.struct("grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    wanted = placed.select("least", "digest", "copies", "block", F.xxhash64("pair").alias("task"), "pair")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["least"])).select("task", F.to_json("pair").alias("pair"), "digest", "copies", "block", "text")
+    copies = classes.groupBy(low.alias("member")).agg(F.max("copies").alias("copies"))
+    pairs = settle_table(shared_leaders(docs, k, percent, hot.value).groupBy("member", "leader").agg(F.collect_list("places").alias("places")).join(copies, "member"))
+    crowds = pairs.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    wanted = id_filter(pairs, "member")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b in batches:
+            for i, j, buf, off in t.chunks(b.column("text")):
+                made = digests(*sets(buf, off, k))
+                number = np.array([short(d) if d else -1 for d in made], np.int64)
+                live = []
+                for x in np.flatnonzero(wanted(number)).tolist():
+                    if made[x] is not None and made[x] not in seen:  # copies in a task are sent once
+                        seen.add(made[x])
+                        live.append(x)
+                some = pa.array(live, pa.int64())
+                yield pa.record_batch([pa.array(number[live]), pa.array([made[x] for x in live], pa.binary()), b.column("text")[i:j].take(some)], ["member", "digest", "text"])
+
+    texts = docs.select("text").mapInArrow(name, "member long, digest binary, text string")
+    placed = texts.join(pairs, "member").join(crowds, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.withColumn("task", F.concat_ws("-", "leader", F.least("block", "other"), F.greatest("block", "other"))).select("task", "block", "copies", "places", "digest", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, "pair"):
-            found: dict[bytes, tuple[np.ndarray, int, int]] = {}
+        for run in runs(batches, "task"):
+            found: dict[bytes, tuple[np.ndarray, np.ndarray, int, int]] = {}
             for b in run.to_batches():
                 for i, j, buf, off in t.chunks(b.column("text")):
                     h, at = sets(buf, off, k)
-                    for n, d in enumerate(digests(h, at)):
-                        if d == b.column("digest")[i + n].as_py():  # else another row with that id
-                            found[d] = (h[at[n] : at[n + 1]], b.column("block")[i + n].as_py(), b.column("copies")[i + n].as_py())
+                    prefix, h = prefix_size(np.diff(at), percent), ordered(h, at, hot.value)
+                    part = b.slice(i, j - i)
+                    for n, (d, places, block, number) in enumerate(zip(*(part.column(c).to_pylist() for c in ("digest", "places", "block", "copies")), strict=True)):
+                        led = np.zeros(prefix[n], bool)
+                        led[np.concatenate([np.frombuffer(x, np.uint32) for x in places])] = True
+                        found[d] = (h[at[n] : at[n + 1]], led, block, number)
             names = sorted(found)
-            if not names:
+            if len(names) < 2:
                 continue
-            h = np.concatenate([found[d][0] for d in names])
-            at = np.concatenate([[0], np.cumsum([len(found[d][0]) for d in names])])
-            label, links = link_sets(h, at, percent, np.array([found[d][1] for d in names]), np.array([found[d][2] for d in names]))
-            yield pa.record_batch([pa.array(names, pa.binary()), pa.array([names[x] for x in label], pa.binary()), pa.array(links)], ["a", "b", "links"])
-
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    linked = settle(texts.repartition(parts, "task").sortWithinPartitions("task", "pair").mapInArrow(verify, "a binary, b binary, links long"))
+            h, led, block, number = zip(*(found[d] for d in names), strict=True)
+            x = Sets(np.concatenate(h), np.concatenate([[0], np.cumsum([len(v) for v in h])]), np.concatenate(led), percent)
+            label, links = link_sets(x, np.array(block), np.array(number), len(set(run.column("task")[0].as_py().split("-")[1:])) > 1)
+            live = np.flatnonzero((links > 0) | (label != np.arange(len(label))))
+            yield pa.record_batch([pa.array([names[i] for i in live], pa.binary()), pa.array([names[label[i]] for i in live], pa.binary()), pa.array(links[live])], ["a", "b", "links"])
+
+    parts = ranges(docs, RANGE_BYTES)
+    linked = settle(placed.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(verify, "a binary, b binary, links long"))
     found = components(linked.select("a", "b"))
     links = linked.groupBy("a").agg(F.sum("links").alias("links"))
     named = classes.join(found.withColumnRenamed("id", "digest"), "digest", "left").join(links.withColumnRenamed("a", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
