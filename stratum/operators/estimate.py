@@ -7,6 +7,7 @@ parent.  With more queries per unit the problem couples cells; ``couple`` solves
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -24,7 +25,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Rows written once to the shared checkpoint folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):  # a temporary folder is for sessions on one machine only
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 
 
