@@ -10,7 +10,9 @@ set.  Two classes link if 100 * intersection >= percent * union.
 2. Prefix tokens are dealt by hash and sorted into index lists by size.  A list falls into runs wherever two neighbouring sizes
    can't link; an entry without a partner that its size and position allow goes.  Each run is led by its least set,
    and a set is sent once to each of its leaders, with the places of the tokens that they share, never to each partner.
-3. A leader's sets are compared in one task (beyond BLOCK sets in one for each pair of blocks).  Index lists are ordered by
+3. A leader's list drops sets without a partner that their sketches allow: parities of the numbers of tokens in as many cells as a
+   set has tokens, which differ in no more cells than the sets in tokens, so no link is lost.
+4. A leader's sets are compared in one task (beyond BLOCK sets in one for each pair of blocks).  Index lists are ordered by
    token, size and position, and blocks of one size are skipped from the first position that can't reach the threshold.
    The overlaps of a set with all others are derived from those of the set before it where that is similar: only lists of
    the tokens in which the two differ are read.  A pair counts in the task that leads its least common token, so once.
@@ -37,6 +39,7 @@ from stratum.llm._blocks import deal, runs, unpack
 from stratum.llm._spark import components, fresh, id_filter, ranges, settle, settle_table
 
 BLOCK = 4096
+PRUNE = 8192  # a longer list is compared without looking at sketches first
 FLUSH_KEYS = 2_000_000
 HOT_TOKENS, HOT_PER_TASK, HOT_LEAST = 1 << 18, 1 << 15, 4  # in the order, sent by a task, least number of documents in a task's chunk
 RANGE_BYTES = 16 << 20  # of text for each range of tokens
@@ -81,37 +84,44 @@ def ordered(h: np.ndarray, at: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return h[np.lexsort((late, t.owners(at)))] if late.any() else h
 
 
+def parity_sketch(h: np.ndarray) -> bytes:
+    """For each of 2^m >= n cells, 64 at least, whether the cell has an odd number of tokens.  Two sketches differ in no more cells than their sets in tokens."""
+    cells = 1 << max(6, int(len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1, bitorder="little").tobytes()
+
+
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest) of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """(doc_id, n_shingles, digest, sketch, often, times) of every row; the last rows of a task have its frequent tokens and their counts alone."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, digest binary, sketch binary, often long, times long"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_shingles", "digest", "sketch", "often", "times"]
+        tokens, number, ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
         for b in batches:
+            ids = b.column("doc_id")
             for i, j, buf, off in t.chunks(b.column("text")):
                 h, at = sets(buf, off, k)
-                yield pa.record_batch([b.column("doc_id")[i:j], pa.array(np.diff(at)), pa.array(digests(h, at), pa.binary())], ["doc_id", "n_shingles", "digest"])
-
-    return docs.select("doc_id", "text").mapInArrow(measure, f"doc_id {kind}, n_shingles long, digest binary")
-
-
-def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
-    """Sorted hashes of the most frequent tokens.  They only order tokens, so a count may miss occurrences spread thinly over tasks."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for b in batches:
-            for _, _, buf, off in t.chunks(b.column("text")):
-                seen, n = np.unique(sets(buf, off, k)[0], return_counts=True)
+                sketches = [parity_sketch(h[x:y]) if y > x else None for x, y in zip(at[:-1], at[1:], strict=True)]
+                yield pa.record_batch([ids[i:j], pa.array(np.diff(at)), pa.array(digests(h, at), pa.binary()), pa.array(sketches, pa.binary()), *[pa.nulls(j - i, pa.int64())] * 2], names)
+                seen, n = np.unique(h, return_counts=True)
                 often = n >= HOT_LEAST
                 tokens, place = np.unique(np.concatenate([tokens, seen[often]]), return_inverse=True)
                 number = np.bincount(place, np.concatenate([number, n[often]]), len(tokens)).astype(np.int64)
                 if len(tokens) > 4 * HOT_PER_TASK:
                     most = np.sort(np.argsort(-number, kind="stable")[: 2 * HOT_PER_TASK])
                     tokens, number = tokens[most], number[most]
-        most = np.argsort(-number, kind="stable")[:HOT_PER_TASK]
-        yield pa.record_batch([pa.array(tokens[most].view(np.int64)), pa.array(number[most])], ["h", "n"])
+        if len(tokens):
+            most = np.argsort(-number, kind="stable")[:HOT_PER_TASK]
+            m = len(most)
+            yield pa.record_batch([pa.nulls(m, ids.type), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.binary())] * 2, pa.array(tokens[most].view(np.int64)), pa.array(number[most])], names)
+
+    return docs.select("doc_id", "text").mapInArrow(measure, schema)
 
-    found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+def frequent_tokens(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the most frequent tokens.  They only order tokens, so a count may miss occurrences spread thinly over tasks."""
+
+    found = rows.where("often IS NOT NULL").groupBy(F.col("often").alias("h")).agg(F.sum("times").alias("n"))
     return np.sort(found.orderBy(F.desc("n"), "h").limit(HOT_TOKENS).toPandas()["h"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -198,6 +208,33 @@ def shared_leaders(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> Da
     return dealt.mapInArrow(link, "leader long, member long, places binary")
 
 
+def with_partner(size: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Whether each set has another one that by sizes and sketches it may link to; none that links is missed."""
+    order = np.argsort(size, kind="stable")
+    size = size[order]
+    words = [np.frombuffer(sketches[i], np.uint64) for i in order.tolist()]
+    kinds = {n: np.flatnonzero([len(w) == n for w in words]) for n in {len(w) for w in words}}
+    rows = {n: np.stack([words[i] for i in at]) for n, at in kinds.items()}
+    out = np.zeros(len(size), bool)
+    for i, w in enumerate(words):
+        first = int(np.searchsorted(size, -(-percent * size[i] // 100)))
+        while len(w) >= 1:  # partners of at most the same size; the longer sketch is folded to the shorter
+            at = kinds.get(len(w), np.zeros(0, np.int64))
+            low, high = np.searchsorted(at, [first, i])
+            if high > low:
+                some = at[low:high]
+                both = size[some] + size[i]
+                near = np.bitwise_count(rows[len(w)][low:high] ^ w).sum(1) <= both - 2 * -(-percent * both // (100 + percent))
+                out[some[near]] = True
+                out[i] |= near.any()
+            if len(w) == 1 or 64 * len(w) <= size[first]:  # all partners have been seen
+                break
+            w = w[: len(w) // 2] ^ w[len(w) // 2 :]
+    back = np.empty(len(out), bool)
+    back[order] = out
+    return back
+
+
 class Sets:
     """The sets of a task with their index lists.  ``h``: tokens in the common order, ``led``: for each prefix token whether this task leads its list."""
 
@@ -310,13 +347,23 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 
     ``keeps`` marks the rows of one class and id in each component: the class with the least id, then the least digest."""
     docs = docs.select("doc_id", "text")
-    rows = settle(document_sets(docs, k))
+    made = settle_table(document_sets(docs, k))
+    rows = made.where("often IS NULL").select("doc_id", "n_shingles", "digest")
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    hot = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k))
+    hot = docs.sparkSession.sparkContext.broadcast(frequent_tokens(made))
     text = F.hex("digest")
     low = F.conv(F.concat(*(F.substring(text, i, 2) for i in range(11, 0, -2))), 16, 10).cast("long")
-    copies = classes.groupBy(low.alias("member")).agg(F.max("copies").alias("copies"))
-    pairs = settle_table(shared_leaders(docs, k, percent, hot.value).groupBy("member", "leader").agg(F.collect_list("places").alias("places")).join(copies, "member"))
+    described = made.where("digest IS NOT NULL").groupBy(low.alias("member")).agg(F.count("*").alias("copies"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    parts = ranges(docs, RANGE_BYTES)
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, "leader"):
+            if run.num_rows <= PRUNE:
+                run = run.filter(pa.array(with_partner(run.column("size").to_numpy(), run.column("sketch").to_pylist(), percent)))
+            yield from run.select(["leader", "member", "places", "copies"]).to_batches()
+
+    led_sets = shared_leaders(docs, k, percent, hot.value).groupBy("member", "leader").agg(F.collect_list("places").alias("places")).join(described, "member").select("leader", "member", "places", "copies", "size", "sketch")
+    pairs = settle_table(led_sets.repartition(parts, "leader").sortWithinPartitions("leader").mapInArrow(prune, "leader long, member long, places array<binary>, copies long"))
     crowds = pairs.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
     wanted = id_filter(pairs, "member")
 
@@ -360,7 +407,6 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
             live = np.flatnonzero((links > 0) | (label != np.arange(len(label))))
             yield pa.record_batch([pa.array([names[i] for i in live], pa.binary()), pa.array([names[label[i]] for i in live], pa.binary()), pa.array(links[live])], ["a", "b", "links"])
 
-    parts = ranges(docs, RANGE_BYTES)
     linked = settle(placed.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(verify, "a binary, b binary, links long"))
     found = components(linked.select("a", "b"))
     links = linked.groupBy("a").agg(F.sum("links").alias("links"))
