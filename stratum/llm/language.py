@@ -7,10 +7,12 @@ whole text is parsed, in segments of SEGMENT symbols that run side by side in nu
 every language alike).  The score is the winner's share of exp(-bits) over the languages, on a scale of at most
 EVIDENCE characters.
 
-Fitting: at most DOCS documents per language, chosen by seeded hash, and SYMBOLS symbols in all languages together
-(never more than PER_LANGUAGE each), so the broadcast tables are bounded.  Null texts and texts without a letter are
-`und` with score 0, and so is everything if there is no labelled row.  Ties go to the language first in code-point
-order; repeated rows are predicted each; extra columns are ignored.
+Fitting: of the LANGUAGES languages with the most documents (ties: the first in code-point order), DOCS documents each, fewer where
+ROWS doesn't allow so many but one at least, by the least seeded hash of the id, and SYMBOLS symbols in all languages
+together (never more than PER_LANGUAGE each, a quarter of that of one document).  So the sample, which is cut on the executors,
+and the broadcast tables are bounded.  Null texts and texts without a letter are `und` with score 0, and so is everything if
+there is no labelled row.  Ties go to the language first in code-point order; repeated rows are predicted each; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from stratum.llm import _text as t
 from stratum.llm._spark import held
 
-DOCS, PER_LANGUAGE, SYMBOLS = 64, 24_000, 1_200_000
+LANGUAGES, ROWS, DOCS, PER_LANGUAGE, SYMBOLS = 2000, 12_000, 64, 24_000, 1_200_000
 SEGMENT = 1024
 EVIDENCE = 64
 
@@ -40,10 +42,13 @@ _LETTER = _letter_bytes()
 
 
 def symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased letters' bytes with one blank (32) for every run of other bytes, and document bounds."""
+    """Lower-cased letters' bytes with one blank (32) for every run of other bytes but a leading one, and document bounds."""
     plain = np.where(_LETTER[buf], buf, 32).astype(np.uint8)
     keep = plain != 32
-    keep[1:] |= plain[:-1] != 32
+    after = np.zeros(len(buf) + 1, bool)
+    after[1:] = keep
+    after[off] = False  # a document begins anew: what stands before it in the batch has no part in it
+    keep |= after[:-1]
     return plain[keep], np.concatenate([[0], np.cumsum(keep)])[off]
 
 
@@ -73,23 +78,14 @@ def automaton(text: bytes) -> list[dict[int, int]]:
     return step
 
 
-def fit(rows: list[tuple[str, str]]) -> dict:
-    """From (language, lower-cased text): languages, class of each byte, one transition table for all, and bits a phrase."""
-    by: dict[str, list[str]] = {}
+def fit(rows: list[tuple[str, bytes]]) -> dict:
+    """From (language, symbols): languages, class of each byte, one transition table for all, and bits a phrase."""
+    by: dict[str, list[bytes]] = {}
     for lang, text in rows:
-        by.setdefault(lang, []).append(text)
+        by.setdefault(lang, []).append(bytes(text))
     names = sorted(by, key=lambda x: x.encode())
     most = min(PER_LANGUAGE, SYMBOLS // max(len(names), 1))
-    samples = []
-    for name in names:
-        parts, left = [], most
-        for text in sorted(by[name], key=len):
-            plain, _ = symbols(*t.raw(pa.array([text])))
-            if left <= 0:
-                break
-            parts.append(plain[:left].tobytes() + b" ")
-            left -= len(plain)
-        samples.append(b"".join(parts))
+    samples = [b" ".join(sorted(by[name], key=len))[:most] + b" " for name in names]
     classes = np.zeros(256, np.uint8)  # 0: a symbol no sample has
     seen = sorted(set(b"".join(samples)))
     classes[seen] = np.arange(1, len(seen) + 1)
@@ -145,9 +141,20 @@ def languages(docs: DataFrame, folds: int = 4, out_fold: int = 2, seed: int = 9)
     out = held(F.col("doc_id"), folds, out_fold)
     h = F.xxhash64(F.lit(seed), "doc_id")
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~out)
-    chosen = known.groupBy("lang", F.pmod(h, F.lit(DOCS)).alias("slot")).agg(F.min(F.struct(h.alias("h"), "doc_id")).alias("pick")).select("lang", F.col("pick.doc_id").alias("doc_id"))
-    ids = chosen.limit(SYMBOLS // 100)  # at most DOCS rows a language: the broadcast is bounded
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", F.lower("text").alias("text")).orderBy("lang", "text").toPandas()
+    learnt = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+    number = max(1, learnt.count())
+    each, most = max(1, min(DOCS, ROWS // number)), min(PER_LANGUAGE, SYMBOLS // number)
+    slots = known.join(F.broadcast(learnt), "lang").groupBy("lang", F.pmod(h, F.lit(each)).alias("slot"))  # at most ROWS of them, or one for each language
+    ids = slots.agg(F.min(F.struct(h.alias("h"), "doc_id")).alias("pick")).select("lang", F.col("pick.doc_id").alias("doc_id"))
+
+    def cut_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, buf, off in t.chunks(b.column("text")):
+                sym, at = symbols(buf, off)
+                yield pa.record_batch([b.column("lang")[i:j], pa.array([sym[x : min(y, x + max(most // 4, 1))].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["lang", "symbols"])
+
+    sample = docs.select("doc_id", "lang", F.lower("text").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
+    rows = sample.select("lang", "text").mapInArrow(cut_symbols, "lang string, symbols binary").orderBy("lang", "symbols").toPandas()
     model = docs.sparkSession.sparkContext.broadcast(fit(list(rows.itertuples(index=False, name=None))))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -1,4 +1,4 @@
-"""Operator 6 - removal of bytes covered by repeated strings, by partitioned sorting of sampled suffixes.
+"""Operator 6 - suffix-array deduplication: removal of bytes covered by repeated strings.
 
 A byte goes if a LENGTH-byte string that covers it also starts anywhere else in the table.  Strings are judged on the
 input, byte by byte, over whole texts, and never cross documents.
@@ -8,24 +8,25 @@ consistently: each LENGTH-byte string is represented by its anchor, the GRAM-byt
 (leftmost if equal).  Equal strings have equal anchors at the same place, so only suffixes at anchors take part and no
 repeat is missed.
 
-1. Anchors (about 2 of LENGTH - GRAM bytes) are range-partitioned by their leading GRAM bytes (as a uniform hash, so evenly
-   spaced splitters hold and none need be sampled) and sorted; those that occur once are dropped.
-2. Documents get the list of their repeated anchors; the bytes around each anchor are range-partitioned by its leading
-   bytes again.  A bucket sorts all strings at those anchors (by 64-bit hash) and compares neighbours: equal neighbours are repeats.
-   Equal strings share an anchor, hence a bucket, so no comparison crosses a boundary.
-3. An anchor found more than HOT times (a passage in a great many documents) isn't sent to one bucket: a task first
-   settles among its own strings what repeats there, and only one witness for each distinct string is dealt out, by the
-   string itself.
-4. Covered runs are gathered per document and cut out.
+1. Anchors (about 2 of LENGTH - GRAM bytes) are counted by the hash of their gram; those that occur once are dropped.
+2. The suffixes at the others, with the bytes before them, are range-partitioned by their leading bytes.  Splitters are sampled
+   quantiles of the leading bytes; where one value spans several ranges, its grams are dealt out among these.
+3. A bucket sorts the suffixes of each gram, and the reversed texts before them, by multikey quicksort on 8-byte characters.  Bytes
+   that neighbours in the two orders share tell which strings around an anchor are equal, byte by byte and without hashes.
+4. An anchor found more than HOT times (a passage in a great many documents) has no bucket of its own: a task first settles
+   among its own strings what repeats there, and one witness for each distinct string is compared across the
+   boundaries of tasks, dealt by the 62-bit hash of the string.
+5. Covered runs are gathered per text and cut out.
+
+Rows with equal texts count once in all this (their texts repeat as a whole), so copies cost one text for each task.
 
 ``remove_repeats(words=n)`` (the pipeline's passages) cuts repeated runs of n words too, whatever their bytes and the blanks
-between them.  The steps are the same over the sequence of a document's word hashes; a bucket gets the 64-bit hash of
-each run of n words in place of the words.  Where a script has no blanks (Thai to Tibetan, Myanmar, Khmer, kana, Chinese)
-each character counts as a word, so no repeat of n words of any length is missed.
+between them.  The steps are the same over the sequence of a document's word hashes, which are its characters.
+Where a script has no blanks (Thai to Tibetan, Myanmar, Khmer, kana, Chinese) each character counts as a word, so no repeat
+of n words of any length is missed.
 
-Documents are identified by 128 bits of (doc_id, text); repeated rows repeat each other and are judged so.  Equality
-of strings is that of 64-bit hashes within a bucket.  Null and empty texts have nothing to remove; texts shorter than
-LENGTH neither; extra columns are ignored; empty tables give empty results.
+Texts are identified by 128 bits of hash; there are no ties.  Null and empty texts have nothing to remove; texts
+shorter than LENGTH neither; extra columns are kept; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -39,13 +40,15 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, unpack
-from stratum.llm._spark import fresh
+from stratum.llm._spark import fresh, ranges, settle_table
 
 LENGTH, GRAM = 400, 64
 WORD_GRAM = 12  # words
 HOT = 1000
-SLICE_WINDOWS = 400_000
+SLICE = 4000  # suffixes that a bucket sorts at a time, whole grams
+SPREAD = 2_000_000  # (suffix, place) pairs that it compares at a time
 PIECE = 1 << 19  # bytes of text that a task works on at a time
+RANGE_BYTES = 8 << 20  # of text for each range
 _KEYS = ("k1", "k2")
 _SOLO = ((0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE2BA, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0B3))  # leading two bytes
 _SEED = np.uint64(0xA0761D6478BD642F)
@@ -120,6 +123,15 @@ def _equal_neighbours(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of rows with equal columns begin."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], 0)
+    return np.flatnonzero(new)
+
+
 def _covered(owner: np.ndarray, p: np.ndarray, hit: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, start, end) of the runs covered by the hit strings; strings of an owner are in order."""
     owner, p = owner[hit], p[hit]
@@ -129,18 +141,132 @@ def _covered(owner: np.ndarray, p: np.ndarray, hit: np.ndarray, length: int) ->
     return owner[head], p[head], p[np.concatenate([head[1:], [len(p)]]) - 1] + length
 
 
+def characters(units: np.ndarray, first: np.ndarray, step: int, size: np.ndarray, width: int) -> np.ndarray:
+    """(strings, characters): ``size`` units from ``first`` on, forward or backward; bytes in big-endian words of eight, zeros behind."""
+    i = np.arange(width)
+    inside = i < size[:, None]
+    out = np.where(inside, units[np.where(inside, first[:, None] + step * i, 0)] if len(units) else 0, 0)
+    if units.dtype != np.uint8:
+        return out
+    padded = np.zeros((len(out), -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = out
+    return padded.view(">u8").astype(np.uint64)
+
+
+def multikey_sort(chars: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Order of strings within their (contiguous) groups by multikey quicksort.
+
+    All open segments of a pass are split at once into less, equal and greater by their pivot's character; equal strings go on to
+    the next character, the others stay at theirs, until segments have one string or no character is left."""
+    order = np.arange(len(chars))
+    place, seg = order.copy(), group - (group[0] if len(group) else 0)
+    depth = np.zeros(len(order), np.int64)
+    while len(place):
+        head = _heads(seg)
+        number = np.diff(np.append(head, len(seg)))
+        open_ = np.repeat((number > 1) & (depth[head] < chars.shape[1]), number)
+        place, seg, depth = place[open_], seg[open_], depth[open_]
+        if not len(place):
+            break
+        head = _heads(seg)
+        number = np.diff(np.append(head, len(seg)))
+        c = chars[order[place], depth]
+        pivot = np.repeat(c[head + number // 2], number)
+        side = (c > pivot).astype(np.int64) - (c < pivot)
+        key = np.repeat(np.arange(len(head)), number) * 3 + side + 1
+        by = np.argsort(key, kind="stable")
+        order[place] = order[place[by]]
+        seg, depth = key[by], depth + (side[by] == 0)
+    return order
+
+
+def shared_units(chars: np.ndarray, order: np.ndarray, group: np.ndarray, wide: bool) -> np.ndarray:
+    """Leading units that each string of the order shares with the one before it, -1 for the first of a group."""
+    out = np.full(len(order), -1, np.int64)
+    if len(order) < 2:
+        return out
+    a, b = chars[order[1:]], chars[order[:-1]]
+    differ = a != b
+    first = np.where(differ.any(1), differ.argmax(1), chars.shape[1])
+    if wide:
+        at = np.minimum(first, chars.shape[1] - 1)
+        x = (a ^ b)[np.arange(len(a)), at]
+        first = 8 * first + np.where(first < chars.shape[1], sum((x < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8)), 0)
+    out[1:] = np.where(group[order[1:]] == group[order[:-1]], first, -1)
+    return out
+
+
+def equal_strings(units: np.ndarray, first: np.ndarray, before: np.ndarray, behind: np.ndarray, group: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, least, most): the strings that start ``least`` to ``most`` units before the suffix and are equal to another of its group.
+
+    Suffixes start at ``first`` in ``units``, with ``before`` units in front that count and ``behind`` from the start on; ``group`` is
+    contiguous.  Between the places where the runs of equal texts in front or of equal suffixes change, nothing changes, so
+    one comparison of the two runs serves all strings between."""
+    wide = units.dtype == np.uint8
+    right, left = characters(units, first, 1, behind, length), characters(units, first - 1, -1, before, max(length - gram, 1))
+    r_order, l_order = multikey_sort(right, group), multikey_sort(left, group)
+    r, l = shared_units(right, r_order, group, wide), shared_units(left, l_order, group, wide)
+    most = length - gram
+    at = np.concatenate([l + 1, length - r, length - behind, before + 1, np.zeros(len(group), np.int64)])
+    who = np.concatenate([group[l_order], group[r_order], group, group, group])
+    inside = (at >= 0) & (at <= most)
+    events = np.unique(who[inside] << 20 | at[inside])
+    if not len(events):
+        return (np.zeros(0, np.int64),) * 3
+    ev_group, ev_at = events >> 20, events & ((1 << 20) - 1)
+    ev_end = np.where(np.append(ev_group[1:], -1) == ev_group, np.append(ev_at[1:], 0) - 1, most)
+    heads = _heads(group)
+    base, size = heads[np.searchsorted(group[heads], ev_group)], np.diff(np.append(heads, len(group)))[np.searchsorted(group[heads], ev_group)]
+    total = np.concatenate([[0], np.cumsum(size)])
+    found: list[tuple[np.ndarray, ...]] = []
+    e = 0
+    while e < len(events):
+        end = max(e + 1, int(np.searchsorted(total, total[e] + SPREAD, "right")) - 1)
+        n, low = size[e:end], base[e:end]
+        start = np.cumsum(n) - n
+        ev = np.repeat(np.arange(end - e), n)
+        i = np.arange(n.sum()) - start[ev] + low[ev]
+        o = ev_at[e:end][ev]
+        l_run, r_run = np.empty(len(i), np.int64), np.empty(len(i), np.int64)
+        l_run[start[ev] + l_order[i] - low[ev]] = np.cumsum(l[i] < o)
+        r_run[start[ev] + r_order[i] - low[ev]] = np.cumsum(r[i] < length - o)
+        fits = np.flatnonzero((o <= before[i]) & (length - o <= behind[i]))
+        fits = fits[_equal_neighbours(l_run[fits] << 32 | r_run[fits])]
+        found.append((i[fits], o[fits], ev_end[e:end][ev[fits]]))
+        e = end
+    who, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((low, who))
+    who, low, high = who[order], low[order], high[order]
+    head = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (low[1:] != high[:-1] + 1)])) if len(who) else np.zeros(0, np.int64)
+    return who[head], low[head], high[np.append(head[1:], len(who)) - 1] if len(who) else high
+
+
+def _text_of(b: pa.RecordBatch, seen: set[tuple[int, int]]) -> pa.RecordBatch:
+    """The rows with a text that isn't among ``seen`` yet."""
+    new = []
+    for i, key in enumerate(zip(*(b.column(k).to_pylist() for k in _KEYS), strict=True)):
+        if key not in seen:
+            seen.add(key)
+            new.append(i)
+    return b if len(new) == b.num_rows else b.take(pa.array(new, pa.int64()))
+
+
 def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int, words: bool = False) -> DataFrame:
-    """(k1, k2, kh, at, low, high, n) of the anchors whose gram occurs n >= 2 times; units are bytes or ``words``."""
-    kinds = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "at": np.int32, "low": np.int32, "high": np.int32}
+    """(k1, k2, kh, at, low, high, lead, n) of the anchors whose gram occurs at n >= 2 places of different texts; units are bytes or ``words``."""
+    kinds = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "at": np.int32, "low": np.uint16, "high": np.uint16, "lead": np.uint32}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for b in batches:
+            b = _text_of(b, seen)
             keys = [b.column(k).to_numpy() for k in _KEYS]
             found = []
             for i, _, buf, off in t.chunks(b.column("text"), PIECE):
-                a = anchors(*(_word_values(buf, off) if words else (buf, off)), length, gram)
-                doc = a.pop("doc") + i
-                found.append(a | {k: v[doc] for k, v in zip(_KEYS, keys, strict=True)})
+                units, off = _word_values(buf, off) if words else (buf, off)
+                a = anchors(units, off, length, gram)
+                doc = a.pop("doc")
+                a |= {"low": (a["at"] - a["low"]).astype(np.uint16), "high": (a["high"] - a["at"] + length).astype(np.uint16), "lead": leading(units, off[doc] + a["at"])}
+                found.append(a | {k: v[doc + i] for k, v in zip(_KEYS, keys, strict=True)})
             a = {k: np.concatenate([x[k] for x in found]) for k in kinds} if found else {}
             if a and len(a["kh"]):
                 dealt = list(deal(_range(a["kh"], parts), parts, **a))
@@ -148,70 +274,92 @@ def repeated_anchors(keyed: DataFrame, parts: int, length: int, gram: int, words
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = unpack(batches, **kinds)
-        order = np.argsort(a["kh"], kind="stable")
-        kh = a["kh"][order]
-        head = np.flatnonzero(np.concatenate([[True], kh[1:] != kh[:-1]])) if len(kh) else np.zeros(0, np.int64)
-        n = np.repeat(np.diff(np.append(head, len(kh))), np.diff(np.append(head, len(kh))))
+        order = np.lexsort((a["at"], a["k2"], a["k1"], a["kh"]))
+        order = order[_heads(*(a[k][order] for k in ("kh", "k1", "k2", "at")))]  # a text of several tasks counts once
+        head = _heads(a["kh"][order])
+        n = np.repeat(np.diff(np.append(head, len(order))), np.diff(np.append(head, len(order))))
         order, n = order[n > 1], n[n > 1]
         for i in range(0, len(order), 1 << 17):
-            some = order[i : i + (1 << 17)]
-            yield pa.record_batch([pa.array(a["k1"][some]), pa.array(a["k2"][some]), pa.array(a["kh"][some].view(np.int64)), pa.array(a["at"][some]), pa.array(a["low"][some]), pa.array(a["high"][some]), pa.array(n[i : i + (1 << 17)])], ["k1", "k2", "kh", "at", "low", "high", "n"])
+            x = {k: v[order[i : i + (1 << 17)]] for k, v in a.items()}
+            yield pa.record_batch([pa.array(x["k1"]), pa.array(x["k2"]), pa.array(x["kh"].view(np.int64)), pa.array(x["at"]), *(pa.array(x[k].astype(np.int32)) for k in ("low", "high")), pa.array(x["lead"].astype(np.int64)), pa.array(n[i : i + (1 << 17)])], ["k1", "k2", "kh", "at", "low", "high", "lead", "n"])
 
     packed = keyed.select("k1", "k2", "text").mapInArrow(emit, "part int, " + ", ".join(f"{k} binary" for k in kinds))
-    return packed.repartition(parts, "part").mapInArrow(keep, "k1 long, k2 long, kh long, at int, low int, high int, n long")
+    return packed.repartition(parts, "part").mapInArrow(keep, "k1 long, k2 long, kh long, at int, low int, high int, lead long, n long")
+
+
+def leading(units: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first 32 bits of suffixes, whose order is that of the suffixes."""
+    if units.dtype != np.uint8:
+        return (units[at] >> np.uint64(32)).astype(np.uint32)
+    return sum(units[at + k].astype(np.uint32) << np.uint32(24 - 8 * k) for k in range(4)) if len(at) else np.zeros(0, np.uint32)
+
+
+def _bucket(lead: np.ndarray, kh: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """The range of each suffix; where splitters repeat a value, its grams are dealt over the ranges between."""
+    low, high = np.searchsorted(splitters, lead, "left"), np.searchsorted(splitters, lead, "right")
+    return low + (t.mix(kh ^ _SEED) % (high - low + 1).astype(np.uint64)).astype(np.int64)
 
 
 def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: bool = False) -> DataFrame:
-    """(k1, k2, start, end): runs of bytes (or ``words``) of documents that repeated strings cover; runs may touch or overlap."""
-    lists = repeated_anchors(keyed, parts, length, gram, words).groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "low", "high", "n")).alias("anchors"))  # of one document
-    members = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "low": np.int32, "high": np.int32}
+    """(k1, k2, start, end): runs of bytes (or ``words``) of texts that strings of other places cover; runs may touch or overlap."""
+    found = settle_table(repeated_anchors(keyed, parts, length, gram, words))
+    share = [(i + 1) / parts for i in range(parts - 1)]
+    sampled = found.where(F.pmod("kh", F.lit(4)) == 0).agg(F.percentile_approx("lead", share, 20 * parts)).first()[0] if share else None
+    splitters = np.array(sampled or [], np.int64)
+    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "at", "low", "high", "n")).alias("anchors"))  # of one text
+    members = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "at": np.int32, "low": np.int32, "high": np.int32}
     singles = {"wh": np.uint64, "many": np.bool_, "wk1": np.int64, "wk2": np.int64, "p": np.int32}
     settled = {"dk1": np.int64, "dk2": np.int64, "start": np.int32, "end": np.int32}
-    columns = [*members, "bytes", *singles, *settled]
-    reach = 1 if words else length  # words travel as the hashes of their strings
+    columns = [*members, "units", *singles, *settled]
     schema = "part int, " + ", ".join(f"{c} binary" for c in columns)
 
+    def distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for b in batches:
+            yield _text_of(b, seen)
+
     def rows(dealt: list[tuple[int, dict[str, bytes]]]) -> pa.RecordBatch:
         return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x.get(c, b"") for _, x in dealt], pa.binary()) for c in columns)], ["part", *columns])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # a text of several tasks comes as often
         for b in batches:
+            b = _text_of(b, seen)
             k1, k2 = (b.column(k).to_numpy() for k in _KEYS)
             lists = b.column("anchors")
             for i, j, buf, off in t.chunks(b.column("text"), PIECE):
-                sent = buf
                 if words:
                     buf, off = _word_values(buf, off)
-                    start = np.arange(max(len(buf) - length + 1, 0))
-                    sent = t.Spans(buf).hash(start, start + length)
                 part = lists[i:j]
                 doc = np.repeat(np.arange(j - i), part.value_lengths().to_numpy())
-                a = {k: part.flatten().field(k).to_numpy() for k in ("kh", "low", "high", "n")}
-                kh, low, high = a["kh"].view(np.uint64), a["low"], a["high"]
+                a = {k: part.flatten().field(k).to_numpy() for k in ("kh", "at", "low", "high", "n")}
+                kh, at, low, high = a["kh"].view(np.uint64), a["at"], a["low"], a["high"]
                 cold = a["n"] <= hot
                 if cold.any():
                     c = np.flatnonzero(cold)
-                    c = c[np.argsort(_range(kh[c], parts), kind="stable")]
-                    where = _range(kh[c], parts)
+                    where = _bucket(leading(buf, off[doc[c]] + at[c]).astype(np.int64), kh[c], splitters)
+                    by = np.argsort(where, kind="stable")
+                    c, where = c[by], where[by]
                     dealt = []
                     edges = np.searchsorted(where, np.arange(parts + 1))
                     for p in np.flatnonzero(np.diff(edges)):
                         m = c[edges[p] : edges[p + 1]]
-                        text, _ = t.take_spans(sent, off[doc[m]] + low[m], off[doc[m]] + high[m] + reach)
-                        dealt.append((int(p), {"kh": kh[m].tobytes(), "k1": k1[i + doc[m]].tobytes(), "k2": k2[i + doc[m]].tobytes(), "low": low[m].tobytes(), "high": high[m].tobytes(), "bytes": text.tobytes()}))
+                        here = off[doc[m]] + at[m]
+                        text, _ = t.take_spans(buf, here - low[m], here + high[m])
+                        dealt.append((int(p), {"kh": kh[m].tobytes(), "k1": k1[i + doc[m]].tobytes(), "k2": k2[i + doc[m]].tobytes(), "at": at[m].tobytes(), "low": low[m].tobytes(), "high": high[m].tobytes(), "units": text.tobytes()}))
                     yield rows(dealt)
                 if not cold.all():
                     m = np.flatnonzero(~cold)
-                    m = m[np.lexsort((low[m], doc[m]))]
-                    number = (high[m] - low[m] + 1).astype(np.int64)
+                    m = m[np.lexsort((at[m], doc[m]))]
+                    number = (low[m] + high[m] - length + 1).astype(np.int64)
                     own = np.repeat(doc[m], number)
-                    p = np.repeat(low[m] - (np.cumsum(number) - number), number) + np.arange(number.sum())
+                    p = np.repeat(at[m] - low[m] - (np.cumsum(number) - number), number) + np.arange(number.sum())
                     wh = t.Spans(buf).hash(off[own] + p, off[own] + p + length)
                     many = _equal_neighbours(wh)
                     who, start, end = _covered(own, p, many, length)
                     dealt = list(deal(_range(k1[i + who].view(np.uint64), parts), parts, dk1=k1[i + who], dk2=k2[i + who], start=start.astype(np.int32), end=end.astype(np.int32)))
-                    _, first = np.unique(wh, return_index=True)
-                    dealt += deal(_range(wh[first], parts), parts, wh=wh[first], many=many[first], wk1=k1[i + own[first]], wk2=k2[i + own[first]], p=p[first].astype(np.int32))
+                    _, one = np.unique(wh, return_index=True)
+                    dealt += deal(_range(wh[one], parts), parts, wh=wh[one], many=many[one], wk1=k1[i + own[one]], wk2=k2[i + own[one]], p=p[one].astype(np.int32))
                     yield rows(dealt)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,41 +372,41 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
             yield out(s["dk1"], s["dk2"], s["start"], s["end"])
         w = unpack(kept, **singles)
         if len(w["wh"]):
-            order = np.argsort(w["wh"], kind="stable")
+            order = np.lexsort((w["p"], w["wk2"], w["wk1"], w["wh"]))
+            again = np.ones(len(order), bool)
+            again[_heads(*(w[k][order] for k in ("wh", "wk1", "wk2", "p")))] = False
             wh, many = w["wh"][order], w["many"][order]
-            head = np.flatnonzero(np.concatenate([[True], wh[1:] != wh[:-1]]))
+            head = _heads(wh)
             count = np.diff(np.append(head, len(wh)))
-            hit = np.repeat((count > 1) | np.maximum.reduceat(many, head), count) & ~many
+            different = np.add.reduceat((~again).astype(np.int64), head)
+            hit = np.repeat((different > 1) | np.maximum.reduceat(many, head), count) & ~many & ~again
             order = order[hit]
             order = order[np.lexsort((w["p"][order], w["wk2"][order], w["wk1"][order]))]
             if len(order):
                 k1, k2, p = w["wk1"][order], w["wk2"][order], w["p"][order]
                 first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (p[1:] != p[:-1] + 1)]))
                 yield out(k1[first], k2[first], p[first], p[np.append(first[1:], len(p)) - 1] + length)
-        m = unpack(kept, **members, bytes=np.uint64 if words else np.uint8)
-        del kept
-        size = (m["high"] - m["low"] + reach).astype(np.int64)
-        begin = np.cumsum(size) - size
-        order = np.argsort(m["kh"], kind="stable")
-        number = (m["high"] - m["low"] + 1).astype(np.int64)[order]
-        edge = np.flatnonzero(np.concatenate([[True], m["kh"][order][1:] != m["kh"][order][:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-        total = np.concatenate([[0], np.cumsum(number)])
-        at = 0
-        while at < len(edge) - 1:  # whole groups of equal anchors, about SLICE_WINDOWS strings at a time
-            end = max(at + 1, int(np.searchsorted(total[edge], total[edge[at]] + SLICE_WINDOWS, "right")) - 1)
-            some = order[edge[at] : edge[end]]
-            text, text_at = t.take_spans(m["bytes"], begin[some], begin[some] + size[some])
-            n = number[edge[at] : edge[end]]
-            own = np.repeat(np.arange(len(some)), n)
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            pos = text_at[own] + step
-            who, start, stop = _covered(own, step, _equal_neighbours(text[pos] if words else t.Spans(text).hash(pos, pos + length)), length)
+        m = unpack(kept, **members, units=np.uint64 if words else np.uint8)
+        del kept, s, w
+        size = (m["low"] + m["high"]).astype(np.int64)
+        first = np.cumsum(size) - size + m["low"]
+        order = np.lexsort((m["at"], m["k2"], m["k1"], m["kh"]))
+        order = order[_heads(*(m[k][order] for k in ("kh", "k1", "k2", "at")))]
+        kh = m["kh"][order]
+        edge = np.append(_heads(kh), len(kh))
+        e = 0
+        while e < len(edge) - 1:  # whole groups of equal grams, about SLICE suffixes at a time
+            end = max(e + 1, int(np.searchsorted(edge, edge[e] + SLICE, "right")) - 1)
+            some = order[edge[e] : edge[end]]
+            group = np.repeat(np.arange(end - e), np.diff(edge[e : end + 1]))
+            who, low, high = equal_strings(m["units"], first[some], m["low"][some].astype(np.int64), m["high"][some].astype(np.int64), group, length, gram)
             if len(who):
                 row = some[who]
-                yield out(m["k1"][row], m["k2"][row], m["low"][row] + start, m["low"][row] + stop)
-            at = end
+                yield out(m["k1"][row], m["k2"][row], m["at"][row] - high, m["at"][row] - low + length)
+            e = end
 
-    joined = keyed.join(lists, [*_KEYS]).select("k1", "k2", "text", "anchors")
+    texts = keyed.select("k1", "k2", "text").mapInArrow(distinct_texts, keyed.select("k1", "k2", "text").schema)
+    joined = texts.join(lists, [*_KEYS]).select("k1", "k2", "text", "anchors")
     return joined.mapInArrow(cut, schema).repartition(parts, "part").mapInArrow(compare, "k1 long, k2 long, start int, end int")
 
 
@@ -283,22 +431,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     All columns of ``docs`` are kept in front; a clashing one gives way to the new column."""
     new = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<start:int,end:int>>", "kept": "binary", "kept_text": "string"}
     old = docs.drop(*new)
-    ids = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("doc_id").isNull(), F.coalesce("text", F.lit(""))]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = ranges(docs, RANGE_BYTES)
     k1, k2, found_runs = fresh(old, "k1", "k2", "runs")
-    keyed = old.withColumns({k1: F.xxhash64(F.lit(1), *ids), k2: F.xxhash64(F.lit(2), *ids)})
+    text = F.coalesce("text", F.lit(""))
+    keyed = old.withColumns({k1: F.xxhash64(F.lit(1), text), k2: F.xxhash64(F.lit(2), text)})
     texts = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text")
-    runs = covered_runs(texts, parts, length, gram, hot).withColumn("by_word", F.lit(False))
+    copied = texts.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(0).alias("start"), F.lit(-1).alias("end"), F.lit(False).alias("by_word"))
+    runs = copied.unionByName(covered_runs(texts, parts, length, gram, hot).withColumn("by_word", F.lit(False)))
     if words:
         runs = runs.unionByName(covered_runs(texts, parts, words, min(WORD_GRAM, words), hot, words=True).withColumn("by_word", F.lit(True)))
     runs = runs.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end", "by_word")).alias(found_runs))
     names = old.columns
 
     def in_bytes(data: bytes, found: list[dict]) -> list[tuple[int, int]]:
-        if not any(r["by_word"] for r in found):
-            return [(r["start"], r["end"]) for r in found]
-        starts, ends, _ = word_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-        return [(int(starts[r["start"]]), int(ends[r["end"] - 1])) if r["by_word"] else (r["start"], r["end"]) for r in found]
+        copied = any(r["end"] < 0 for r in found)  # another row has the same text
+        if copied and len(data) >= length:
+            return [(0, len(data))]
+        runs = [(r["start"], r["end"]) for r in found if r["end"] >= 0 and not r["by_word"]]
+        if words and (copied or any(r["by_word"] for r in found)):
+            starts, ends, _ = word_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+            runs += [(int(starts[r["start"]]), int(ends[r["end"] - 1])) for r in found if r["by_word"]]
+            if copied and len(starts) >= words:
+                runs.append((int(starts[0]), int(ends[-1])))
+        return runs
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
