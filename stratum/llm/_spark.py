@@ -83,8 +83,11 @@ def held(doc_id: Column, folds: int, out: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == out, F.lit(False))
 
 
+FIT_BYTES = 32 << 10  # labelled texts beyond so many bytes are scored, but not learnt from: what the driver gets stays bounded
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_per_class: int, fold_out: tuple[int, int] | None, seed: int) -> DataFrame:
-    """(text, y): at most ``most_per_class`` training rows of each class, by seeded hash of the id.
+    """(doc_id, text, y): at most ``most_per_class`` training rows of each class, by seeded hash of the id, of at most FIT_BYTES each.
 
     The sample is taken on the narrow label table, so its broadcast is bounded by 2 * most_per_class rows of 12 bytes;
     the text of the chosen documents alone is read in full."""
@@ -93,7 +96,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_per_cla
         known = known.where(~held(F.col("doc_id"), *fold_out))
     parts = [known.where(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most_per_class) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= FIT_BYTES)
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
 
 def ranges(docs: DataFrame, size: int) -> int:

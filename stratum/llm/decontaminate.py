@@ -4,15 +4,18 @@ Words are ``[^\\x20\\x09-\\x0D]+`` runs, A-Z lower-cased; an item and a document
 1 to 4 words is one shingle of its whole length, looked for as a word sequence of that length.  A document leaks an
 item if it contains at least THRESHOLD of the item's distinct shingles.
 
-Items are partitioned by size.  The signature of an item of q shingles is its bottom-k MinHash, the k least shingle
-hashes, with k = q - ceil(THRESHOLD * q) + 1 set by its size class: a document that holds enough of the item must hold
-one of them, however long the document is, so the search misses nothing.  Documents too short for an item's class are
-skipped.  Documents whose shingles meet a signature are candidates; for these the shared shingles are counted exactly.
-
-The benchmark's hashes are broadcast if there are at most BROADCAST_HASHES of them (80 MB); beyond that the documents'
-hashed shingles are joined to them by a shuffle.  Documents are read once and never shuffled on the first way.
-Items without words match nothing.  Null texts count as empty.  Repeated items and repeated documents are reported
-each.  Empty tables give an empty result; extra columns are ignored.
+Items are partitioned by their number of words per shingle and by size, in classes of q up to 2, 4, 8, ... shingles.  A class has its
+own index: the signatures of its items and the least number of shingles that a document needs to leak any of them; documents
+with fewer are skipped before their hashes are looked up.  The signature of an item of q shingles is its bottom-k MinHash,
+the k least shingle hashes, with k = q - ceil(THRESHOLD * q) + 1: a document that holds enough of the item must hold one of
+them, however long the document is, so the search misses nothing.  Documents whose shingles meet a signature are candidates;
+for these the shared shingles are counted exactly.
+
+The benchmark's hashes are broadcast if there are at most BROADCAST_HASHES of them (80 MB with their tables); beyond that the
+documents' hashed shingles are joined to them by a shuffle, salted SALTS times as a shingle may stand in a third of all documents.
+Both ways give the same rows.  Shingles are 62-bit hashes.  Items without words match nothing.  Null texts count as empty.
+Repeated items and repeated documents are reported each; there are no ties.  Empty tables give an empty result; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
-from stratum.llm._spark import fresh
+from stratum.llm._spark import fresh, settle_table
 
 THRESHOLD = Fraction(8, 10)
 WORDS = 5
-BROADCAST_HASHES = 5_000_000
+BROADCAST_HASHES = 1_000_000
+TABLE_BITS = 23  # of the largest bit table of a class
+SALTS = 8
 
 
 def need(q: np.ndarray) -> np.ndarray:
@@ -49,53 +54,70 @@ def doc_shingles(buf: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray,
     return h, at
 
 
+def size_class(q: np.ndarray) -> np.ndarray:
+    """0 for one shingle, 1 for two, 2 up to four, 3 up to eight, ..."""
+    return np.ceil(np.log2(np.maximum(q, 1))).astype(np.int64)
+
+
 def item_rows(items: DataFrame) -> DataFrame:
-    """(item, h, k, q, need, signature) of each distinct shingle of each item; ``item`` numbers the rows of ``items``."""
+    """(h, k, q, need, signature, item_id, item) of each distinct shingle of each item; ``item`` numbers the rows of ``items``.
+
+    The numbers are stored with the rows, so they stay what they are however often they are read."""
     kind = items.schema["item_id"].dataType.simpleString()
+    numbered = settle_table(items.select("item_id", "text", F.monotonically_increasing_id().alias("item")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = 0  # rows of the task's earlier batches
         for b in batches:
-            for i, _, buf, off in t.chunks(b.column("text")):
+            for i, j, buf, off in t.chunks(b.column("text")):
                 low = t.LOWER[buf]
                 starts, ends, bounds = t.words(low, off)
                 number = np.minimum(np.diff(bounds), WORDS)
                 h, at = t.distinct(*t.shingles(t.Spans(low).hash(starts, ends), bounds, WORDS))
                 own, q = t.owners(at), np.diff(at)
                 place = np.arange(len(h)) - at[own]  # hashes are sorted: the place is the MinHash rank
-                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(number[own].astype(np.int32)), pa.array(q[own].astype(np.int64)), pa.array(need(q)[own].astype(np.int64)), pa.array(place <= (q - need(q))[own]), b.column("item_id").take(pa.array(i + own)), pa.array((start + i + own).astype(np.int64))], ["h", "k", "q", "need", "signature", "item_id", "row"])
-            start += b.num_rows
+                some = pa.array(own)
+                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(number[own].astype(np.int32)), pa.array(q[own].astype(np.int64)), pa.array(need(q)[own].astype(np.int64)), pa.array(place <= (q - need(q))[own]), b.column("item_id")[i:j].take(some), b.column("item")[i:j].take(some)], ["h", "k", "q", "need", "signature", "item_id", "item"])
 
-    # one task per file split numbers its own rows; a repeated item gets its own number by its place
-    return items.select("item_id", "text").mapInArrow(cut, f"h long, k int, q long, need long, signature boolean, item_id {kind}, row long").withColumn("item", F.struct(F.spark_partition_id().alias("p"), "row"))
+    return numbered.mapInArrow(cut, f"h long, k int, q long, need long, signature boolean, item_id {kind}, item long")
 
 
-def _index(items: DataFrame, broadcast_hashes: int) -> tuple | None:
-    """The search tables, or None if the benchmark has more hashes than may be broadcast."""
-    found = item_rows(items).limit(broadcast_hashes + 1).toPandas()
-    if len(found) > broadcast_hashes:
+def _index(rows: DataFrame, broadcast_hashes: int) -> tuple | None:
+    """The search tables of each (words, size class), or None if the benchmark has more hashes than may be broadcast."""
+    if rows.select("h").limit(broadcast_hashes + 1).count() > broadcast_hashes:
         return None
-    found["item"] = found.groupby(found["item"].map(tuple) if len(found) else found["h"], sort=True).ngroup().astype("int64")
-    found = found.sort_values(["k", "h", "item"], kind="stable")
-    hashes, item, k = found["h"].to_numpy(np.int64).view(np.uint64), found["item"].to_numpy(np.int64), found["k"].to_numpy(np.int32)
-    per_item = found.drop_duplicates("item").sort_values("item")
-    tables = {int(n): _table(hashes[k == n], item[k == n], found["signature"].to_numpy(bool)[k == n]) for n in np.unique(k)}
-    return tables, per_item["q"].to_numpy(np.int64), per_item["need"].to_numpy(np.int64), pa.array(per_item["item_id"], from_pandas=True)
+    found = rows.select("h", "k", "signature", "item").toPandas()
+    every = rows.select("item", "item_id", "q", "need").distinct().orderBy("item").toArrow()
+    q, least = (every.column(c).to_numpy().astype(np.int64) for c in ("q", "need"))
+    item = np.searchsorted(every.column("item").to_numpy(), found["item"].to_numpy(np.int64))
+    hashes, k, signature = found["h"].to_numpy(np.int64).view(np.uint64), found["k"].to_numpy(np.int64), found["signature"].to_numpy(bool)
+    part = k * 64 + size_class(q[item])
+    tables = [(int(p) // 64, int(least[item[part == p]].min()), _table(hashes[part == p], item[part == p], signature[part == p])) for p in np.unique(part)]
+    return tables, q, least, every.column("item_id").combine_chunks()
 
 
 def _search(index: tuple, buf: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     """[document, item, shared shingles] of the leaks in a chunk."""
     tables, _, least, _ = index
-    pairs = [_shared(tables[n], least, *doc_shingles(buf, off, n)) for n in tables]
-    return [np.concatenate([p[x] for p in pairs]) if pairs else np.zeros(0, np.int64) for x in range(3)]
+    found, shingles = [], {}
+    for words, needed, table in tables:
+        if words not in shingles:
+            shingles[words] = doc_shingles(buf, off, words)
+        h, at = shingles[words]
+        if (small := np.diff(at) < needed).any():  # too short for every item of the class
+            keep = ~small[t.owners(at)]
+            h, at = h[keep], np.concatenate([[0], np.cumsum(np.where(small, 0, np.diff(at)))])
+        found.append(_shared(table, least, h, at))
+    return [np.concatenate([p[x] for p in found]) if found else np.zeros(0, np.int64) for x in range(3)]
 
 
 def leaks(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment) of each document and item that it leaks."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = _index(items, broadcast_hashes)
+    rows = item_rows(items)
+    found = _index(rows, broadcast_hashes)
     if found is None:
-        return _by_shuffle(docs, item_rows(items), kind).drop("row")
+        numbered = settle_table(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
+        return numbered.select("row", "doc_id").join(_by_shuffle(numbered, rows), "row").drop("row")
     index = docs.sparkSession.sparkContext.broadcast(found)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +132,12 @@ def leaks(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_H
 
 def clean(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    found = _index(items, broadcast_hashes)
+    rows = item_rows(items)
+    found = _index(rows, broadcast_hashes)
     if found is None:
         (mark,) = fresh(docs, "leak_row")
-        marked = docs.withColumn(mark, F.monotonically_increasing_id())
-        leaky = _by_shuffle(docs, item_rows(items), docs.schema["doc_id"].dataType.simpleString()).select(F.col("row").alias(mark)).distinct()
+        marked = settle_table(docs.withColumn(mark, F.monotonically_increasing_id()))
+        leaky = _by_shuffle(marked.select(F.col(mark).alias("row"), "text"), rows).select(F.col("row").alias(mark)).distinct()
         return marked.join(leaky, mark, "left_anti").drop(mark)
     index = docs.sparkSession.sparkContext.broadcast(found)
 
@@ -131,7 +154,7 @@ def clean(docs: DataFrame, items: DataFrame, broadcast_hashes: int = BROADCAST_H
 def _table(hashes: np.ndarray, item: np.ndarray, signature: np.ndarray) -> tuple:
     """Sorted hashes with their items, the signature hashes, and a bit table that passes few foreign hashes."""
     order = np.argsort(hashes, kind="stable")
-    bits = max(16, int(len(hashes) * 64).bit_length())
+    bits = min(max(16, int(len(hashes) * 64).bit_length()), TABLE_BITS)
     seen = np.zeros(1 << bits, bool)
     marked = np.unique(hashes[signature])
     seen[marked >> np.uint64(64 - bits)] = True
@@ -159,21 +182,27 @@ def _shared(table: tuple, least: np.ndarray, h: np.ndarray, at: np.ndarray) -> t
     return doc[enough], which[enough], shared[enough]
 
 
-def _by_shuffle(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
-    """The same for a benchmark of any size: documents' hashes meet the signatures, then the items, by shuffle joins."""
-    lengths = tuple(range(1, WORDS + 1))
+def _by_shuffle(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, item_id, n_item, n_shared, containment) for a benchmark of any size and stored ``docs(row, text)``: documents' hashes meet the
+    signatures, then those of the candidates alone the items."""
+    lengths = tuple(r["k"] for r in rows.select("k").distinct().collect())  # at most WORDS values
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, _, buf, off in t.chunks(b.column("text")):
+            for i, j, buf, off in t.chunks(b.column("text")):
                 for n in lengths:
                     h, at = t.distinct(*doc_shingles(buf, off, n))
-                    own = i + t.owners(at)
-                    yield pa.record_batch([b.column("doc_id").take(pa.array(own)), b.column("row").take(pa.array(own)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), n, np.int32))], ["doc_id", "row", "h", "k"])
-
-    lengths = tuple(r["k"] for r in rows.select("k").distinct().collect())  # at most WORDS values
-    cuts = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).mapInArrow(cut, f"doc_id {kind}, row long, h long, k int")
-    pairs = cuts.join(rows.where("signature").select("h", "k", "item").withColumnRenamed("item", "candidate"), ["h", "k"]).select("row", "candidate").distinct()
-    shared = cuts.join(rows.select("h", "k", "item", "item_id", "q", "need"), ["h", "k"]).join(pairs.withColumnRenamed("candidate", "item"), ["row", "item"])
-    found = shared.groupBy("row", "item", "doc_id", "item_id", "q", "need").agg(F.count("*").alias("n_shared")).where("n_shared >= need")
-    return found.select("row", "doc_id", "item_id", F.col("q").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("q")).alias("containment"))
+                    own = t.owners(at)
+                    yield pa.record_batch([b.column("row")[i:j].take(pa.array(own)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), n, np.int32)), pa.array(np.diff(at)[own])], ["row", "h", "k", "n"])
+
+    def met(texts: DataFrame, items: DataFrame) -> DataFrame:
+        """Shingles of both, those of a document with too few for the item left out; salted, as one may stand in very many documents."""
+        cuts = texts.select("row", "text").mapInArrow(cut, "row long, h long, k int, n long").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+        salts = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt")
+        return cuts.join(items.select("*", salts), ["h", "k", "salt"]).where("n >= need")
+
+    pairs = settle_table(met(docs, rows.where("signature").select("h", "k", "need", "item")).select("row", "item").distinct())
+    candidates = docs.join(pairs.select("row").distinct(), "row", "left_semi")
+    shared = met(candidates, rows.drop("signature")).join(pairs, ["row", "item"])
+    found = shared.groupBy("row", "item", "item_id", "q", "need").agg(F.count("*").alias("n_shared")).where("n_shared >= need")
+    return found.select("row", "item_id", F.col("q").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("q")).alias("containment"))

@@ -6,7 +6,7 @@ calibrated to a probability on rows left out of the fit (Platt scaling).  A docu
 and the probability reaches KEEP.
 
 Null text counts as empty: it has no words and fails the base rules.  Repeated rows are judged each.  With no labels
-of one class the model abstains (probability 0.5 = kept by it).
+of one class the model abstains (probability 0.5 = kept by it).  Labelled texts beyond _spark.FIT_BYTES bytes are judged, but not learnt from.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from stratum.llm._spark import labelled_sample
 FIT_ROWS = 1500  # labelled rows of each class at most
 BUCKETS = 1 << 18
 KEEP = 0.5
+CHUNK_BYTES = 1 << 20
 MIN_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 
 _SYMBOL = np.zeros(256, bool)
@@ -98,28 +99,29 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 3, rounds: int = 60) -> dic
     n = len(y)
     if not n or y.min() == y.max():
         return {"w": np.zeros((3, BUCKETS), np.float32), "bias": 0.0, "platt": (0.0, 0.0)}
-    parts: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[], [], []]
-    for first, _, buf, off in t.chunks(pa.array(texts, pa.large_string())):
+    parts: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[], [], []]  # kept in chunks, so that a round needs little besides
+    for first, _, buf, off in t.chunks(pa.array(texts, pa.large_string()), CHUNK_BYTES):
         for k, (ids, at) in enumerate(_grams(buf, off)):
             size = np.diff(at)
             key, number = np.unique(t.owners(at) * BUCKETS + ids, return_counts=True)  # one entry for each (document, bucket)
             doc = key // BUCKETS
-            parts[k].append(((first + doc).astype(np.int32), (key % BUCKETS).astype(np.int32), (number / np.maximum(size, 1)[doc]).astype(np.float32)))
-    grams = [tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in parts]
-    del parts
+            parts[k].append(((first + doc).astype(np.uint16), (key % BUCKETS).astype(np.int32), (number / np.maximum(size, 1)[doc]).astype(np.float32)))
+
+    def decision() -> np.ndarray:
+        return bias + sum(np.bincount(d, v * w[k][i], n) for k, p in enumerate(parts) for d, i, v in p)
+
     fitted = np.random.default_rng(seed).random(n) < 0.8
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) * fitted
     w, g2, bias, gb = np.zeros((3, BUCKETS), np.float64), np.full((3, BUCKETS), 1e-10), 0.0, 1e-10
     for _ in range(rounds):
-        z = bias + sum(np.bincount(d, v * w[k][i], n) for k, (d, i, v) in enumerate(grams))
-        e = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / fitted.sum()
-        for k, (d, i, v) in enumerate(grams):
-            g = np.bincount(i, v * e[d], BUCKETS)
+        e = weight * (1 / (1 + np.exp(-np.clip(decision(), -40, 40))) - y) / fitted.sum()
+        for k, p in enumerate(parts):
+            g = sum(np.bincount(i, v * e[d], BUCKETS) for d, i, v in p)
             g2[k] += g * g
             w[k] -= 1.0 * g / np.sqrt(g2[k])
         gb += e.sum() ** 2
         bias -= 0.3 * e.sum() / np.sqrt(gb)
-    z = bias + sum(np.bincount(d, v * w[k][i], n) for k, (d, i, v) in enumerate(grams))
+    z = decision()
     rest = ~fitted if 0 < y[~fitted].mean() < 1 else fitted
     a, c = 1.0, 0.0
     zs, mu, sd, target = z[rest], z[rest].mean(), z[rest].std() + 1e-9, np.where(y[rest] == 1, 1 - 1 / (2 + (y[rest] == 1).sum()), 1 / (2 + (y[rest] == 0).sum()))

@@ -9,7 +9,8 @@ in rounds, only the highest windows of toxic documents stay positive.
 
 For scoring, the softmax difference is multiplied into the embedding table once, which leaves one number per bucket.
 Null and empty texts are an empty window: their score is the model's bias.  Repeated rows are scored each.
-With no labels of one class every score is 0.
+With no labels of one class every score is 0.  Labelled texts beyond _spark.FIT_BYTES
+bytes are scored, but not learnt from.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -155,8 +156,37 @@ def test_water_filling(spark):
     assert [got[k]["target"] for k in ((0, "a"), (1, ""), (0, "c"))] == [30, 3, 15]
     assert got[0, "b"]["target"] == pytest.approx(1016 - 48)
     assert sum(r["won"] for r in got.values()) == 1016
-    shards = mixing.shard_quotas(mixing.targets(small), 7).groupBy("source").agg(F.sum("quota").alias("q")).collect()
-    assert {r["source"]: r["q"] for r in shards} == {"a": 30, "b": 968, "c": 15, None: 3}
+    shards = mixing.shard_quotas(mixing.quotas(mixing.targets(small))).groupBy("source").agg(F.sum("quota").alias("q"), F.sum("length").alias("n"), F.max(F.col("quota") - F.col("length")).alias("over")).collect()
+    assert {r["source"]: (r["q"], r["n"]) for r in shards} == {"a": (0, 10), "b": (968, 1000), "c": (0, 5), None: (0, 1)}  # beyond whole epochs
+    assert all(r["over"] <= 0 for r in shards)
+
+
+def brute_quotas(target, seats):
+    """Seats one by one to the highest quotient."""
+    won = [0] * len(target)
+    for _ in range(seats):
+        won[max(range(len(target)), key=lambda i: (Fraction(target[i]) / (2 * won[i] + 1), -i))] += 1
+    return won
+
+
+def test_quotas_by_highest_quotients(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    for blocks in (40, 333):
+        monkeypatch.setattr(mixing, "BLOCKS", blocks)
+        size = [int(x) for x in rng.integers(1, 400, 23)]
+        goal = [(0, f"s{i:02}", n, float(3 * n if i % 5 == 0 else rng.integers(1, 3 * n)), sum(size)) for i, n in enumerate(size)]
+        got = mixing.quotas(spark.createDataFrame(goal, "no_source int, source string, source_size long, target double, total long")).orderBy("source").collect()
+        block = -(-sum(size) // blocks)
+        want = brute_quotas([g[3] for g in goal], -(-sum(size) // block))
+        assert [r["won"] for r in got] == [min(w, 3 * -(-n // block)) for w, n in zip(want, size, strict=True)]
+        for r in mixing.shard_quotas(mixing.quotas(spark.createDataFrame(goal, "no_source int, source string, source_size long, target double, total long"))).groupBy("source").agg(F.collect_list(F.struct("shard", "length", "quota")).alias("s")).collect():
+            parts = sorted(r["s"])
+            assert [p["quota"] for p in parts] == brute_quotas([p["length"] for p in parts], sum(p["quota"] for p in parts))
+
+
+def test_mixing_without_words(spark):
+    got = mixing.mix_sources(spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
 
 
 PAGE = """<html><head><title>T</title><script>if (a < b) document.write("<p>no</p>")</script></head><body><nav><ul><li><a href="/">Home</a></li><li><a href="/x">News</a></li></ul></nav>
