@@ -148,3 +148,33 @@ class Budget:
 def composed(groups: list[list[float]]) -> float:
     """Budget of a table: the largest of each group of variables over disjoint cells, added over groups."""
     return sum(max(g) for g in groups)
+
+
+def no_noise(value: Column) -> Column:
+    """The mechanism without noise: the value as a number."""
+    return value.cast("double")
+
+
+def geometric_by(u1: Column, u2: Column, scale: Column) -> Column:
+    """Two-sided geometric noise where the budget differs by row; ``scale`` is log(1 - p) of ``geometric_p``."""
+    return (F.floor(F.log(1 - _inside(u1)) / scale) - F.floor(F.log(1 - _inside(u2)) / scale)).cast("long")
+
+
+def parameter(settings: dict[str, dict[str, str]], engine: str, table: str, column: str, name: str) -> str:
+    """A mechanism's parameter: that of section ``table_column`` if it has one, else that of the engine's section."""
+    for section in (f"{table}_{column}", engine):
+        if name in settings.get(section, {}):
+            return settings[section][name]
+    raise KeyError(f"no {name} for {column} of {table}, nor in {engine}")
+
+
+def column_epsilon(settings: dict[str, dict[str, str]], engine: str, table: str, column: str, master: float) -> float:
+    """A column's epsilon: its fraction of the master budget."""
+    return float(parameter(settings, engine, table, column, "epsilon_fraction")) * master
+
+
+def phases(budget: Budget, first: float) -> tuple[list[tuple[str, str, float, float]], list[tuple[str, str, float, float]]]:
+    """(level, query, epsilon, variance) of the two phases of a two-phase estimate, of which the first has a share of every budget."""
+    if not 0 < first < 1:
+        raise ValueError(f"the first phase's share {first} isn't between 0 and 1")
+    return tuple([(level, q, e * share, geometric_variance(e * share, budget.sensitivity)) for level, q, e, _ in budget.rows()] for share in (first, 1 - first))

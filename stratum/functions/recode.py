@@ -4,7 +4,8 @@ Every recode stays inside code generation; a value outside its legal range raise
 
 from __future__ import annotations
 
-from itertools import product
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +29,10 @@ def quarters_1940(gqtype: Column) -> Column:
 
 
 def quarters_2018(code: Column) -> Column:
-    """Three-character group-quarters code: blank 0, below 700 its hundreds, else 7."""
-    number = code.try_cast("int")
-    return F.when(F.trim(code) == "", 0).when(number < 700, F.floor(number / 100).cast("int")).otherwise(7)
+    """Three-character group-quarters code: blank 0, below 700 its hundreds, else 7; null or another text is an error."""
+    number = F.trim(code).try_cast("int")
+    bad = F.raise_error(F.concat(F.lit("invalid group-quarters code "), F.coalesce(code, F.lit("null")))).cast("int")
+    return F.when(F.trim(code) == "", 0).when(number.isNull(), bad).when(number < 700, F.floor(number / 100).cast("int")).otherwise(7)
 
 
 def voting_age(age: Column) -> Column:
@@ -57,16 +59,25 @@ def geocode(*parts: Column) -> Column:
     return F.concat(*parts)
 
 
-def race_combinations(flags: int = 6) -> list[str]:
-    """The flag strings but the empty one, fewest flags first, in descending order within a number of flags."""
-    every = ["".join(x) for x in product("10", repeat=flags)]
-    return sorted(every, key=lambda s: s.count("1"))[1:]
+def race_combinations(flags: int = 6) -> list[frozenset[int]]:
+    """The sets of races by their index: by number of races, then by their places."""
+    return [frozenset(c) for k in range(1, flags + 1) for c in combinations(range(flags), k)]
 
 
 def race_combination(flags: list[Column]) -> Column:
-    """Index of a combination of race flags (each 0 or 1); null if none is set."""
-    table = [y for i, s in enumerate(race_combinations(len(flags))) for y in (F.lit(s), F.lit(i))]
-    return F.try_element_at(F.create_map(*table), F.concat(*(f.cast("string") for f in flags)))
+    """Index of a combination of race flags (each 0 or 1); null if none is set.
+
+    Combinations of fewer races come first; among those of as many, each race that a combination lacks puts those that have it
+    there in front of it."""
+    m = len(flags)
+    number = sum((f.cast("int") for f in flags), F.lit(0))
+    index = F.element_at(F.array(*(F.lit(sum(comb(m, j) for j in range(1, k))) for k in range(1, m + 1))), F.greatest(number, F.lit(1)))
+    left = number
+    for place, flag in enumerate(flags):
+        ahead = F.array(*(F.lit(comb(m - place - 1, r - 1)) for r in range(1, m + 1)))
+        index = index + F.when((flag.cast("int") == 0) & (left > 0), F.element_at(ahead, F.greatest(left, F.lit(1)))).otherwise(0)
+        left = left - flag.cast("int")
+    return F.when(number > 0, index)
 
 
 def relation_quarters(relation: Column) -> Column:

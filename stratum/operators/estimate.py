@@ -3,19 +3,21 @@
 Measurements are settled (written once) before use: evaluating them again would draw other noise in secure mode, and spend
 the budget twice.  Per parent and cell the least-squares estimate under "children add up to the parent, none negative" is the
 projection on a simplex, and controlled rounding is a top-k of fractions: both are window functions over the children of one
-parent.  With more queries per unit the problem couples cells; ``couple`` solves it per parent in one grouped function."""
+parent.  With more queries per unit the problem couples cells: ``couple`` multiplies each unit's answers by a fixed matrix.  Estimates under bounds
+are in ``constrained``."""
 
 from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.functions.noise import Budget, geometric, geometric_variance, hash_uniform, secure_uniform
+from stratum.functions.noise import Budget, geometric_by, geometric_p, hash_uniform, secure_uniform
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain
 from stratum.operators.linear import LinearQuery
@@ -32,27 +34,42 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def noisy(n: Column, key: list[Column], epsilon: float, sensitivity: float, secure: bool) -> Column:
-    draw = (lambda part: secure_uniform(n)) if secure else (lambda part: hash_uniform(*key, F.lit(part)))
-    return n + geometric(draw("a"), draw("b"), epsilon, sensitivity)
+def answers_of(domain: Domain, queries: dict[str, LinearQuery], names: list[str]) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, float]]]:
+    """(name, first index, number of answers) of each query, and (cell, index, coefficient) of all; "detailed" is the histogram itself."""
+    spans, cells, at = [], [], 0
+    for name in names:
+        if name == "detailed":
+            spans.append((name, at, domain.size))
+            cells += [(c, at + c, 1.0) for c in range(domain.size)]
+        else:
+            m = queries[name].matrix()
+            spans.append((name, at, len(m)))
+            cells += [(int(c), at + int(r), float(m[r, c])) for r, c in zip(*m.nonzero(), strict=True)]
+        at += spans[-1][2]
+    return spans, cells
 
 
 def measure(hist: DataFrame, units: DataFrame, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], secure: bool = False) -> DataFrame:
-    """(geolevel, geocode, query, row, noisy, epsilon, var) of every unit: zeros are measured too, the true count is not kept."""
+    """(geolevel, geocode, query, row, noisy, epsilon, var) of every unit: zeros are measured too, the true count is not kept.
+
+    All queries of all levels are one aggregation: cells go to their answers by a broadcast table (as large as the domain and its
+    queries), and every unit adds a zero for each answer.  Answers are combined before the shuffle."""
     keys = ("geolevel", "geocode")
-    every = units.select(*keys).distinct()
-    parts = []
-    for level, name, epsilon, _ in budget.rows():
-        rows, size = (hist.withColumnRenamed("cell", "row"), domain.size) if name == "detailed" else (queries[name].answer(hist, *keys), queries[name].n_answers)
-        dense = every.where(F.col("geolevel") == level).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
-        true = F.coalesce("n", F.lit(0)).cast("long")
-        key = [F.col("geolevel"), F.col("geocode"), F.lit(name), F.col("row").cast("string")]
-        value = noisy(true, key, epsilon, budget.sensitivity, secure)
-        parts.append(dense.join(rows.where(F.col("geolevel") == level), [*keys, "row"], "left").select(*keys, F.lit(name).alias("query"), "row", value.cast("long").alias("noisy"), F.lit(epsilon).alias("epsilon"), F.lit(geometric_variance(epsilon, budget.sensitivity)).alias("var")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    spans, cells = answers_of(domain, queries, list(dict.fromkeys(q for _, q, _, _ in budget.rows())))
+    table = hist.sparkSession.createDataFrame(cells, "cell int, answer int, coef double")
+    some = hist.join(F.broadcast(table), "cell").select(*keys, "answer", (F.col("n") * F.col("coef")).alias("n"))
+    none = units.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(spans[-1][1] + spans[-1][2] - 1))).alias("answer"), F.lit(0.0).alias("n"))
+    true = some.unionByName(none).groupBy(*keys, "answer").agg(F.sum("n").cast("long").alias("n"))
+    name, first = F.lit(spans[-1][0]), F.lit(spans[-1][1])
+    for q, start, size in spans[-2::-1]:
+        name, first = F.when(F.col("answer") < start + size, q).otherwise(name), F.when(F.col("answer") < start + size, start).otherwise(first)
+    named = true.withColumn("query", name).withColumn("row", F.col("answer") - first)
+    spent = hist.sparkSession.createDataFrame([(level, q, e, v, float(np.log(1 - geometric_p(e, budget.sensitivity)))) for level, q, e, v in budget.rows()], "geolevel string, query string, epsilon double, var double, scale double")
+    rows = named.join(F.broadcast(spent), ["geolevel", "query"])
+    key = [F.col("geolevel"), F.col("geocode"), F.col("query"), F.col("row").cast("string")]
+    draw = (lambda part: secure_uniform(F.col("n"))) if secure else (lambda part: hash_uniform(*key, F.lit(part)))
+    value = F.col("n") + geometric_by(draw("a"), draw("b"), F.col("scale"))
+    return rows.select(*keys, "query", "row", value.cast("long").alias("noisy"), "epsilon", "var")
 
 
 def project(rows: DataFrame, group: list[str], order: list[str], value: str = "noisy", total: str = "total") -> DataFrame:
@@ -104,22 +121,33 @@ def top_down(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Domai
 def couple(measured: DataFrame, domain: Domain, queries: dict[str, LinearQuery]) -> DataFrame:
     """(geolevel, geocode, cell, noisy, var): weighted least squares of each unit's cells under its detailed and query answers.
 
-    A unit is a group of ``domain.size`` + answers rows at most; all units share one small normal matrix per level of noise."""
-    names = list(queries)
-    matrices = {q: queries[q].matrix() for q in names}
-    size = domain.size
-
-    def solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        detail = rows[rows["query"] == "detailed"].sort_values("row")
-        v = detail["var"].iloc[0]
-        m, g = np.eye(size) / v, detail["noisy"].to_numpy(float) / v
-        for q in names:
-            a = rows[rows["query"] == q].sort_values("row")
-            m += matrices[q].T @ matrices[q] / a["var"].iloc[0]
-            g += matrices[q].T @ a["noisy"].to_numpy(float) / a["var"].iloc[0]
-        return pd.DataFrame({"geolevel": key[0], "geocode": key[1], "cell": np.arange(size, dtype=np.int32), "noisy": np.linalg.solve(m, g), "var": v})
-
-    return measured.groupBy("geolevel", "geocode").applyInPandas(solve, "geolevel string, geocode string, cell int, noisy double, var double")
+    The solution is one fixed matrix for each pattern of variances (one for each level), so units are rows of arrays that tasks multiply
+    in batches; a row has domain.size + answers numbers."""
+    spans, cells = answers_of(domain, queries, ["detailed", *queries])
+    number = spans[-1][1] + spans[-1][2]
+    design = np.zeros((number, domain.size))
+    for c, r, x in cells:
+        design[r, c] = x
+    first = F.coalesce(*(F.when(F.col("query") == q, F.lit(at)) for q, at, _ in spans))
+    answer = F.struct((first + F.col("row")).alias("i"), F.col("noisy").cast("double").alias("noisy"), "var")
+    wanted = measured.where(F.col("query").isin([q for q, _, _ in spans]))
+    units = wanted.groupBy("geolevel", "geocode").agg(F.array_sort(F.collect_list(answer)).alias("a"))  # ``number`` entries
+    units = units.select("geolevel", "geocode", F.transform("a", lambda x: x["noisy"]).alias("noisy"), F.transform("a", lambda x: x["var"]).alias("var"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        inverse: dict[tuple[float, ...], np.ndarray] = {}
+        for rows in batches:
+            out = []
+            for noisy, var in zip(rows["noisy"], rows["var"], strict=True):
+                key = tuple(var)
+                if key not in inverse:
+                    weighted = design.T / np.array(key)
+                    inverse[key] = np.linalg.solve(weighted @ design, weighted)
+                out.append(inverse[key] @ np.asarray(noisy))
+            yield pd.DataFrame({"geolevel": rows["geolevel"], "geocode": rows["geocode"], "x": out, "var": [v[0] for v in rows["var"]]})
+
+    solved = units.mapInPandas(solve, "geolevel string, geocode string, x array<double>, var double")
+    return solved.select("geolevel", "geocode", F.posexplode("x").alias("cell", "noisy"), "var")
 
 
 def two_phase(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Domain, kept: LinearQuery) -> DataFrame:

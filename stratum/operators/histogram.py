@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+RUN = 10_000  # copies made at once
+
+
 @dataclass(frozen=True)
 class Domain:
     """Named axes and their sizes."""
@@ -61,5 +64,7 @@ def distinct_units(records: DataFrame, unit: list[str], *keys: str) -> DataFrame
 
 
 def expand(hist: DataFrame) -> DataFrame:
-    """One row per counted record."""
-    return hist.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
+    """One row per counted record; in two steps, so that no array is longer than RUN however large a count is."""
+    runs = hist.where("n > 0").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {RUN}"))))
+    first = F.col("_run") * RUN + 1
+    return runs.withColumn("copy", F.explode(F.sequence(first, F.least(F.col("n"), first + (RUN - 1))))).drop("n", "_run")

@@ -95,8 +95,53 @@ class LinearQuery:
         return df.withColumns(columns).groupBy(*keys, "row").agg(F.sum(value).alias("n"))
 
 
-def stacked(queries: list[LinearQuery], hist: DataFrame, *keys: str) -> DataFrame:
-    """Answers of several queries under one another: rows of later queries are shifted."""
+@dataclass(frozen=True)
+class KroneckerQuery:
+    """A query given by one matrix for each axis; its matrix is their Kronecker product.  Rows are numbered row-major over the factors' rows."""
+
+    domain: Domain
+    factors: tuple[tuple[tuple[float, ...], ...], ...]
+    name: str = ""
+
+    def __post_init__(self) -> None:
+        if len(self.factors) != len(self.domain.dims):
+            raise ValueError(f"{len(self.factors)} factors for {len(self.domain.dims)} axes")
+        for k, (f, n) in enumerate(zip(self.factors, self.domain.dims, strict=True)):
+            if not f or any(len(r) != n for r in f):
+                raise ValueError(f"the factor of axis {k} needs rows of {n} numbers")
+
+    @property
+    def n_answers(self) -> int:
+        return int(np.prod([len(f) for f in self.factors], dtype=int))
+
+    def matrix(self) -> np.ndarray:
+        return reduce(np.kron, (np.array(f, float) for f in self.factors), np.ones((1, 1)))
+
+    def answer(self, hist: DataFrame, *keys: str) -> DataFrame:
+        """(keys, row, n): for each axis a level is exploded to the rows of its factor that use it; answers are numbers with fractions."""
+        df, row, coef = hist, F.lit(0), F.lit(1.0)
+        for k, f in enumerate(self.factors):
+            uses = [[(r, x[c]) for r, x in enumerate(f) if x[c]] for c in range(self.domain.dims[k])]
+            entry = F.array(*(F.array(*(F.struct(F.lit(r).alias("r"), F.lit(float(v)).alias("v")) for r, v in u)) if u else F.expr("cast(array() as array<struct<r:int,v:double>>)") for u in uses))
+            df = df.withColumn(f"_f{k}", F.explode(F.element_at(entry, self.domain.axis(k) + 1)))
+            row, coef = row * len(f) + F.col(f"_f{k}.r"), coef * F.col(f"_f{k}.v")
+        return df.withColumn("row", row.cast("int")).groupBy(*keys, "row").agg(F.sum(F.col("n") * coef).alias("n"))
+
+
+def weighted_cells(hist: DataFrame, weights: DataFrame, query: LinearQuery, *keys: str) -> DataFrame:
+    """Answers of a query over counts times ``weights(cell, weight)``, one number for each cell of the domain; absent ones are 1."""
+    rows = hist.join(F.broadcast(weights), "cell", "left")  # a row for each cell at most
+    return query.answer(rows.withColumn("n", F.col("n") * F.coalesce("weight", F.lit(1.0))), *keys)
+
+
+def stacked(queries: list[LinearQuery | KroneckerQuery], hist: DataFrame, *keys: str, domain_subset: list[int] | None = None) -> DataFrame:
+    """Answers of several queries under one another: rows of later queries are shifted.  Cells outside ``domain_subset`` don't count."""
+    if len({q.domain for q in queries}) > 1:
+        raise ValueError("stacked queries need one domain")
+    if domain_subset is not None:
+        if not set(domain_subset) <= set(range(queries[0].domain.size)):
+            raise ValueError("the subset has cells outside the domain")
+        hist = hist.where(F.col("cell").isin(domain_subset))
     parts, start = [], 0
     for q in queries:
         parts.append(q.answer(hist, *keys).withColumn("row", F.col("row") + start))
@@ -104,6 +149,27 @@ def stacked(queries: list[LinearQuery], hist: DataFrame, *keys: str) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
+def check_shape(query: LinearQuery | KroneckerQuery, rhs: DataFrame, *keys: str) -> DataFrame:
+    """``rhs(keys, row, ...)`` if every unit has one right side for each answer of the query; else an error names the unit's number of rows."""
+    per = rhs.groupBy(*keys).agg(F.count("*").alias("_n"), F.countDistinct("row").alias("_d"), F.min("row").alias("_low"), F.max("row").alias("_high"))
+    fits = (F.col("_n") == query.n_answers) & (F.col("_d") == query.n_answers) & (F.col("_low") == 0) & (F.col("_high") == query.n_answers - 1)
+    bad = F.raise_error(F.concat(F.lit(f"{query.name or 'query'} has {query.n_answers} answers, a unit has "), F.col("_n").cast("string")))
+    return rhs.join(per.select(*keys, F.when(fits, True).otherwise(bad.cast("boolean")).alias("_ok")), list(keys)).where("_ok").drop("_ok")
+
+
+def reduced(query: LinearQuery, kept: tuple[str, ...]) -> LinearQuery:
+    """The query over the histogram summed to the axes ``kept``: what it does on other axes must be to sum them whole."""
+    d = query.domain
+    gone = [k for k, n in enumerate(d.names) if n not in kept]
+    for k in gone:
+        if k not in query.over or k in query.subset or k in query.weights:
+            raise ValueError(f"axis {d.names[k]} isn't summed whole")
+    left = [k for k in range(len(d.names)) if k not in gone]
+    place = {k: i for i, k in enumerate(left)}
+    move = lambda x: {place[k]: v for k, v in x.items()}
+    return LinearQuery(Domain(tuple(d.names[k] for k in left), tuple(d.dims[k] for k in left)), query.name, move(query.subset), move(query.groups), tuple(place[k] for k in query.over if k in place), move(query.weights))
+
+
 def marginal(domain: Domain, *axes: str, name: str = "") -> LinearQuery:
     """Sum over all axes but the named."""
     return LinearQuery(domain, name or "_".join(axes) or "total", over=tuple(k for k, n in enumerate(domain.names) if n not in axes))

@@ -65,6 +65,31 @@ def unit_line_1940(state: Column, county: Column, district: Column, euid: Column
     return _line("MUD1940", BUILD, state, county, district, euid, kind, quarters_type(hhgq), ten, vacancy, pop, *rest)
 
 
+def _block(geocode: Column) -> list[Column]:
+    """State, county, tract, block group and block of a 16-digit code; any other length is an error."""
+    whole = F.when(F.length(geocode) == 16, geocode).otherwise(F.raise_error(F.concat(F.lit("no 16-digit code: "), F.coalesce(geocode, F.lit("null")))))
+    return [F.substring(whole, a, n) for a, n in ((1, 2), (3, 3), (6, 6), (12, 1), (13, 4))]
+
+
+def person_line_2018(geocode: Column, euid: Column, person: Column, hhgq: Column, va: Column, hisp: Column, race: Column) -> Column:
+    """25 fields of a published person."""
+    kind = F.when(hhgq == 0, "3").otherwise("5")
+    age = F.when(va == 0, "17").otherwise("18")
+    combination = F.lpad((in_range(race, 0, 62, "CENRACE") + 1).cast("string"), 2, "0")
+    return _line("MPD", BUILD, *_block(geocode), euid, person + 1, kind, "99", "9", age, in_range(hisp, 0, 1, "CENHISP") + 1, combination, *["9999"] * 9, "9")
+
+
+def unit_line_2018(geocode: Column, euid: Column, hhgq: Column, pop: Column) -> Column:
+    """27 fields of a published unit; quarters 0 are households, 8 vacant ones."""
+    kind = F.when(hhgq.isin(0, 8), "2").otherwise("4")
+    quarters = F.when(kind == "2", "000").otherwise((hhgq * 100 + 1).cast("string"))
+    ten = F.when((kind == "2") & (pop > 0), "9").otherwise("0")
+    vacancy = F.when((kind == "2") & (pop == 0), "9").otherwise("0")
+    # fixed values of fields that aren't modelled, in the order of the published layout
+    rest = ["9", "99", "99", "9", "9", "9", "999", "9", "99", "9", "99", "99", "99", "99"]
+    return _line("MUD", BUILD, *_block(geocode), euid, kind, quarters, ten, vacancy, pop, *rest)
+
+
 def plain_line(domain: Domain, separator: str = "|") -> Column:
     """geocode and axis levels of one person."""
     return F.concat_ws(separator, "geocode", *(domain.axis(k).cast("string") for k in range(len(domain.dims))))

@@ -42,7 +42,7 @@ def legal(value: Column, text: str, kind: str = "int") -> Column:
     parts = []
     for a, b in intervals(text):
         if kind == "int":
-            parts.append(value.cast("long").between(int(a), int(b)))
+            parts.append(value.try_cast("long").between(int(a), int(b)))
         else:
             parts.append(value.between(a, b) & F.length(value).between(len(a), len(b)))
     return F.coalesce(reduce(lambda x, y: x | y, parts), F.lit(False))

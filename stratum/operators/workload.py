@@ -14,14 +14,13 @@ def race_groups(levels: int) -> list[list[int]]:
     flags = (levels + 1).bit_length() - 1
     if 2**flags - 1 != levels:
         return [[i] for i in range(levels)]
-    strings = race_combinations(flags)
-    return [[i for i, s in enumerate(strings) if s.count("1") == k] for k in range(1, flags + 1)]
+    sets = race_combinations(flags)
+    return [[i for i, s in enumerate(sets) if len(s) == k] for k in range(1, flags + 1)]
 
 
 def in_combination(levels: int, flag: int) -> list[list[int]]:
     """Levels with the flag, and those without."""
-    strings = race_combinations((levels + 1).bit_length() - 1)
-    has = [i for i, s in enumerate(strings) if s[flag] == "1"]
+    has = [i for i, s in enumerate(race_combinations((levels + 1).bit_length() - 1)) if flag in s]
     return [has, [i for i in range(levels) if i not in has]]
 
 
@@ -40,6 +39,8 @@ def workload(domain: Domain) -> dict[str, LinearQuery]:
         rest = tuple(x for x in range(len(domain.dims)) if x != k)
         groups = race_groups(levels)
         out["number_of_races"] = LinearQuery(domain, "number_of_races", groups={k: groups}, over=rest)
+        if levels == 6:  # six single races in two groups, as in 1940
+            out["racecomb"] = LinearQuery(domain, "racecomb", groups={k: [[0, 1, 2], [3, 4, 5]]}, over=rest)
         if len(groups) > 1 and len(groups[0]) < levels:
             more = [x for g in groups[1:] for x in g]
             out["two_or_more_races"] = LinearQuery(domain, "two_or_more_races", subset={k: more}, over=tuple(range(len(domain.dims))))
@@ -65,9 +66,22 @@ def table(domain: Domain, name: str) -> dict[str, LinearQuery]:
     out = {f"{name}_total": LinearQuery(domain, f"{name}_total", subset=subset, over=every)}
     if name == "p42":
         k = where["hhgq"]
-        return out | {f"{name}_hhgq": LinearQuery(domain, f"{name}_hhgq", subset=subset, over=tuple(x for x in every if x != k))}
+        rest = tuple(x for x in every if x != k)
+        out[f"{name}_hhgq"] = LinearQuery(domain, f"{name}_hhgq", subset=subset, over=rest)
+        if domain.dims[k] == 8:
+            out[f"{name}_inst_noninst"] = LinearQuery(domain, f"{name}_inst_noninst", groups={k: [[1, 2, 3, 4], [5, 6, 7]]}, over=rest)
+        return out
     race = where["race"]
+    groups = race_groups(domain.dims[race])
+    if len(groups) > 1 and len(groups[0]) < domain.dims[race]:  # an axis of combinations
+        out[f"{name}_number_of_races"] = LinearQuery(domain, f"{name}_number_of_races", subset=subset, groups={race: groups}, over=tuple(x for x in every if x != race))
+        out[f"{name}_two_or_more_races"] = LinearQuery(domain, f"{name}_two_or_more_races", subset=subset | {race: [x for g in groups[1:] for x in g]}, over=every)
     out[f"{name}_race"] = LinearQuery(domain, f"{name}_race", subset=subset, over=tuple(x for x in every if x != race))
     if "hisp" not in cuts[name]:
         out[f"{name}_hisp"] = LinearQuery(domain, f"{name}_hisp", subset=subset, over=tuple(x for x in every if x != where["hisp"]))
     return out
+
+
+def pl94(domain: Domain) -> dict[str, LinearQuery]:
+    """All redistricting tables together."""
+    return {q: made for name in ("p1", "p2", "p3", "p4", "p42") for q, made in table(domain, name).items()}

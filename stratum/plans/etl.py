@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,57 @@ def lookup(records: DataFrame, table: DataFrame, key: str, columns: list[str]) -
     return records.join(first, key, "left").select(*records.columns, *(F.col(f"found.{c}").alias(c) for c in columns))
 
 
+def by_description(ranges: dict[str, list[tuple[str, str]]], text: str) -> dict[str, str]:
+    """{variable: value} of the first range of each variable whose description contains ``text``; ``ranges``: variable -> (value, description)."""
+    found = {}
+    for name, options in ranges.items():
+        value = next((v for v, said in options if text.lower() in said.lower()), None)
+        if value is not None:
+            found[name] = value
+    return found
+
+
+def with_defaults(records: DataFrame, defaults: dict[str, str]) -> DataFrame:
+    """Blank and null fields get their defaults."""
+    return records.withColumns({c: F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", F.lit(v)).otherwise(F.col(c).cast("string")) for c, v in defaults.items() if c in records.columns})
+
+
+def with_overrides(records: DataFrame, overrides: dict[str, str]) -> DataFrame:
+    return records.withColumns({c: F.lit(v) for c, v in overrides.items() if c in records.columns})
+
+
+def named_commands(spark: SparkSession, ranges: dict[str, list[tuple[str, str]]] | None = None) -> dict[str, Callable[[dict[str, DataFrame], dict[str, str]], DataFrame | None]]:
+    """The commands of a migration: BULK_LOAD(file, layout | sep), PROCESS(of, where), APPLY_DEFAULTS(of, text), OVERRIDE(of, text),
+    TABLE_STATS(of), CHECKSUM(of), OUTPUT_RECORDS(of, file), COLLECT(of, ...): rows of several frames under one another."""
+    from stratum.sources.records import read_records
+
+    def load(frames: dict[str, DataFrame], a: dict[str, str]) -> DataFrame:
+        if "layout" in a:
+            return read_records(spark, a["file"], a["layout"])
+        return spark.read.csv(a["file"], header=True, sep=a.get("sep", ","))
+
+    def output(frames: dict[str, DataFrame], a: dict[str, str]) -> None:
+        frames[a["of"]].write.mode("errorifexists").parquet(a["file"])
+
+    def collect(frames: dict[str, DataFrame], a: dict[str, str]) -> DataFrame:
+        names = a["of"].split("+")
+        out = frames[names[0]]
+        for n in names[1:]:
+            out = out.unionByName(frames[n], allowMissingColumns=True)
+        return out
+
+    return {
+        "BULK_LOAD": load,
+        "PROCESS": lambda frames, a: frames[a["of"]].where(a["where"]) if "where" in a else frames[a["of"]],
+        "APPLY_DEFAULTS": lambda frames, a: with_defaults(frames[a["of"]], by_description(ranges or {}, a["text"])),
+        "OVERRIDE": lambda frames, a: with_overrides(frames[a["of"]], by_description(ranges or {}, a["text"])),
+        "TABLE_STATS": lambda frames, a: statistics(frames[a["of"]]),
+        "CHECKSUM": lambda frames, a: checksum(frames[a["of"]], {k: k for k in CHECKSUM}),
+        "OUTPUT_RECORDS": output,
+        "COLLECT": collect,
+    }
+
+
 _STEP = re.compile(r"\s*(?:(\w+)\s*=\s*)?(\w+)\s*\(([^()]*)\)\s*")
 
 

@@ -13,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.operators.estimate import settle
+
 
 def load_config(path: str) -> configparser.ConfigParser:
     """INI file; ``include=FILE`` of a section (or of [DEFAULT]) brings in that file's values where this one has none."""
@@ -58,17 +60,68 @@ def states(loops: list[tuple[str, str, list[str]]]) -> Iterator[dict[tuple[str,
         yield dict(zip(names, reversed(values), strict=True))
 
 
-def run_all(loops: list[tuple[str, str, list[str]]], source: DataFrame, run: Callable[[DataFrame, dict], DataFrame]) -> DataFrame:
-    """Results of every state with its parameters as columns; the input is cached once for all runs."""
-    source = source.cache()
+def run_all(loops: list[tuple[str, str, list[str]]], source: DataFrame, run: Callable[[DataFrame, dict], DataFrame], will: Callable[[dict], None] | None = None, did: Callable[[dict, DataFrame], None] | None = None) -> DataFrame:
+    """Results of every state with its parameters as columns; the input is computed once, stored, and read by all runs.
+
+    ``will`` and ``did`` are called before and after the plan of each run is made."""
+    source = settle(source)
     parts = []
     for state in states(loops):
+        if will:
+            will(state)
         result = run(source, state)
+        if did:
+            did(state, result)
         for (section, name), value in state.items():
             result = result.withColumn(f"{section}_{name}", F.lit(value))
         parts.append(result)
     return reduce(DataFrame.unionByName, parts)
 
 
+def substitute(config: configparser.ConfigParser, state: dict[tuple[str, str], str]) -> configparser.ConfigParser:
+    """A copy of a configuration with a state's values."""
+    out = configparser.ConfigParser()
+    out.read_dict({s: dict(config.items(s, raw=True)) for s in config.sections()})
+    for (section, name), value in state.items():
+        if not out.has_section(section):
+            out.add_section(section)
+        out.set(section, name, value.replace("%", "%%"))
+    return out
+
+
+class Registry:
+    """Callables by name, for plans that name their reader, engine and writer in a configuration."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, Callable] = {}
+
+    def add(self, name: str) -> Callable[[Callable], Callable]:
+        def put(f: Callable) -> Callable:
+            if name in self.known:
+                raise ValueError(f"{name} is registered already")
+            self.known[name] = f
+            return f
+
+        return put
+
+    def of(self, config: configparser.ConfigParser, section: str, name: str) -> Callable:
+        wanted = config.get(section, name)
+        if wanted not in self.known:
+            raise KeyError(f"{section}.{name}: nothing is registered as {wanted}")
+        return self.known[wanted]
+
+
+def setting(config: configparser.ConfigParser, section: str, name: str, kind: type, default: object = None) -> object:
+    """A typed value: int, float, bool, str, or list of words separated by commas; without it the default, and without one an error."""
+    if not config.has_option(section, name):
+        if default is None:
+            raise KeyError(f"no {section}.{name}")
+        return default
+    if kind is bool:
+        return config.getboolean(section, name)
+    text = config.get(section, name)
+    return [x.strip() for x in text.split(",") if x.strip()] if kind is list else kind(text)
+
+
 def average_by(results: DataFrame, x: str, y: str) -> DataFrame:
     return results.groupBy(x).agg(F.avg(y).alias(y))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import noise as N
 from stratum.functions import recode as R
+from stratum.operators import constrained as K
 from stratum.operators import constraints as C
 from stratum.operators import estimate as E
 from stratum.operators import metrics as M
@@ -17,9 +18,9 @@ from stratum.operators import microdata as D
 from stratum.operators import validate as V
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain, distinct_units, expand
-from stratum.operators.linear import LinearQuery, marginal, marginal_family, stacked
+from stratum.operators.linear import KroneckerQuery, LinearQuery, check_shape, marginal, marginal_family, reduced, stacked, weighted_cells
+from stratum.operators.workload import pl94, workload
 from stratum.operators.workload import table as redistricting
-from stratum.operators.workload import workload
 from stratum.plans import etl
 from stratum.plans.sqltables import Noise, NoisyTables, regrouped
 from stratum.sources import layout
@@ -146,10 +147,10 @@ def geo_rollup_all_levels(spark, sf):
     return hist(spark, sf)
 
 
-@query(BASE + "SELECT geolevel, geocode, CAST(c AS INTEGER) AS cell, coalesce(n, 0) AS n FROM (SELECT DISTINCT geolevel, geocode FROM hist WHERE geolevel <> 'customer') CROSS JOIN (SELECT unnest(range(60)) AS c) LEFT JOIN (SELECT geolevel, geocode, cell AS c, n FROM hist) USING (geolevel, geocode, c)")
+@query(BASE + "SELECT geolevel, geocode, CAST(c AS INTEGER) AS cell, coalesce(n, 0) AS n FROM (SELECT DISTINCT geolevel, geocode FROM hist) CROSS JOIN (SELECT unnest(range(60)) AS c) LEFT JOIN (SELECT geolevel, geocode, cell AS c, n FROM hist) USING (geolevel, geocode, c)")
 def dense_zero_cells(spark, sf):
-    upper = hist(spark, sf).where("geolevel <> 'customer'")
-    return DOMAIN.dense(upper, upper, *KEYS)
+    every = hist(spark, sf)
+    return DOMAIN.dense(every, every, *KEYS)
 
 
 @query(BASE + "SELECT substring(geocode, 1, 4) AS nation, hhgq, count(DISTINCT o_orderkey) AS n FROM unit GROUP BY ALL")
@@ -202,6 +203,37 @@ def query_matrix_rows(spark, sf):
     return hist(spark, sf).join(F.broadcast(coef), "cell").groupBy(*KEYS, "row").agg(F.sum(F.col("n") * F.col("coef")).alias("n"))
 
 
+@query(BASE + "SELECT geolevel, geocode, CAST(g.r * 2 + va AS INTEGER) AS row, CAST(sum(n * g.v) AS DOUBLE) AS n FROM axes JOIN (VALUES (0, 0, 1.0), (1, 0, 0.5), (1, 1, 0.5), (2, 1, 1.0), (4, 1, -1.0)) g(level, r, v) ON hhgq = level WHERE race <> 1 GROUP BY ALL")
+def query_kronecker_factors(spark, sf):
+    q = KroneckerQuery(DOMAIN, (((1.0, 0.5, 0, 0, 0), (0, 0.5, 1.0, 0, -1.0)), ((1.0, 0), (0, 1.0)), ((1.0, 1.0),), ((1.0, 0, 1.0),)), "factors")
+    return q.answer(hist(spark, sf), *KEYS)
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(hhgq AS INTEGER) AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE cell % 2 = 0 GROUP BY ALL UNION ALL SELECT geolevel, geocode, CAST(5 + race AS INTEGER), CAST(sum(n) AS BIGINT) FROM axes WHERE cell % 2 = 0 GROUP BY ALL")
+def query_stacked_subset(spark, sf):
+    return stacked([marginal(DOMAIN, "hhgq"), marginal(DOMAIN, "race")], hist(spark, sf), *KEYS, domain_subset=list(range(0, 60, 2)))
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(race AS INTEGER) AS row, CAST(sum(n * (1 + (cell % 7) / 10.0)) AS DOUBLE) AS n FROM axes GROUP BY ALL")
+def query_weight_array(spark, sf):
+    weights = spark.range(DOMAIN.size).select(F.col("id").cast("int").alias("cell"), (1 + F.col("id") % 7 / 10).alias("weight"))
+    return weighted_cells(hist(spark, sf), weights, marginal(DOMAIN, "race"), *KEYS)
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(hhgq AS INTEGER) AS row, CAST(n AS BIGINT) AS rhs FROM udense")
+def query_shape_checked(spark, sf):
+    rhs = C.unit_table(unit_levels(spark, sf), 5, *KEYS).select(*KEYS, F.col("hhgq").alias("row"), F.col("n").alias("rhs"))
+    return check_shape(marginal(DOMAIN, "hhgq"), rhs, *KEYS)
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(va AS INTEGER) AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE hhgq IN (0, 2) GROUP BY ALL")
+def query_reduced_schema(spark, sf):
+    """A query over all axes, answered on the histogram that keeps two of them."""
+    small = Domain(("hhgq", "va"), (5, 2))
+    rows = marginal(DOMAIN, *small.names).answer(hist(spark, sf), *KEYS).withColumnRenamed("row", "cell")
+    return reduced(LinearQuery(DOMAIN, subset={0: [0, 2]}, over=(0, 2, 3)), small.names).answer(rows, *KEYS)
+
+
 _SETS = {1: "(hhgq), (va), (hisp), (race)", 2: "(hhgq, va), (hhgq, hisp), (hhgq, race), (va, hisp), (va, race), (hisp, race)", 3: "(hhgq, va, hisp), (hhgq, va, race), (hhgq, hisp, race), (va, hisp, race)"}
 _LABEL = "concat_ws('_', CASE grouping(hhgq) WHEN 0 THEN 'hhgq' END, CASE grouping(va) WHEN 0 THEN 'va' END, CASE grouping(hisp) WHEN 0 THEN 'hisp' END, CASE grouping(race) WHEN 0 THEN 'race' END)"
 
@@ -218,11 +250,13 @@ _family("marginal_3way_all", [3])
 _family("marginal_all", [1, 2, 3])
 
 
-@query(BASE + "SELECT geolevel, CAST(coalesce(hhgq, -1) AS INTEGER) AS hhgq, CAST(coalesce(va, -1) AS INTEGER) AS va, CAST(coalesce(race, -1) AS INTEGER) AS race, CAST(grouping(hhgq) * 4 + grouping(va) * 2 + grouping(race) AS BIGINT) AS gid, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE geolevel = 'region' GROUP BY GROUPING SETS ((geolevel, hhgq, va, race), (geolevel, hhgq, va), (geolevel, hhgq, race), (geolevel, va, race), (geolevel, hhgq), (geolevel, va), (geolevel, race), (geolevel))")
+@query(BASE + "SELECT geolevel, geocode, CAST(coalesce(hhgq, -1) AS INTEGER) AS hhgq, CAST(coalesce(va, -1) AS INTEGER) AS va, CAST(coalesce(race, -1) AS INTEGER) AS race, CAST(grouping(hhgq) * 4 + grouping(va) * 2 + grouping(race) AS BIGINT) AS gid, CAST(sum(n) AS BIGINT) AS n FROM axes GROUP BY GROUPING SETS ((geolevel, geocode, hhgq, va, race), (geolevel, geocode, hhgq, va), (geolevel, geocode, hhgq, race), (geolevel, geocode, va, race), (geolevel, geocode, hhgq), (geolevel, geocode, va), (geolevel, geocode, race), (geolevel, geocode))")
 def marginal_cube(spark, sf):
-    rows = DOMAIN.decode(hist(spark, sf).where("geolevel = 'region'"))
-    cube = rows.cube("hhgq", "va", "race").agg(F.grouping_id().alias("gid"), F.sum("n").cast("long").alias("n"))
-    return cube.fillna(-1, ["hhgq", "va", "race"]).withColumn("geolevel", F.lit("region"))
+    rows = DOMAIN.decode(hist(spark, sf))
+    axes = [F.col(c) for c in ("hhgq", "va", "race")]
+    sets = [[F.col("geolevel"), F.col("geocode"), *(a for i, a in enumerate(axes) if not m >> (2 - i) & 1)] for m in range(8)]
+    gid = sum(F.grouping(a).cast("long") * 2 ** (2 - i) for i, a in enumerate(axes))
+    return rows.groupingSets(sets, *KEYS, *axes).agg(gid.alias("gid"), F.sum("n").cast("long").alias("n")).fillna(-1, ["hhgq", "va", "race"]).select(*KEYS, "hhgq", "va", "race", "gid", "n")
 
 
 def _race_table(name: str, groups: str, make: Callable[[], LinearQuery]) -> None:
@@ -240,15 +274,15 @@ _race_table("two_or_more_races_analogue", "CASE WHEN race7 >= 3 THEN 0 END", lam
 _race_table("race_in_combination_analogue", "CASE WHEN race7 IN (0, 3, 4, 6) THEN 0 ELSE 1 END", lambda: workload(RACES)["race0_in_combination"])
 
 _CUTS = {"p1": "true", "p2": "hisp = 0", "p3": "va = 1", "p4": "va = 1 AND hisp = 0", "p42": "hhgq > 0"}
-_ROWS = {"total": "0", "race": "race", "hisp": "hisp", "hhgq": "hhgq - 1"}
+_ROWS = {"total": "0", "race": "race", "hisp": "hisp", "hhgq": "hhgq - 1", "number_of_races": "CASE WHEN race < 2 THEN 0 ELSE 1 END", "two_or_more_races": "0"}
 
 
 def _table(name: str) -> None:
     parts = redistricting(DOMAIN, name)
-    each = [f"SELECT geolevel, geocode, '{q}' AS query, CAST({_ROWS[q.split('_')[1]]} AS INTEGER) AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE {_CUTS[name]} AND geolevel <> 'customer' GROUP BY ALL" for q in parts]
+    each = [f"SELECT geolevel, geocode, '{q}' AS query, CAST({_ROWS[q.partition('_')[2]]} AS INTEGER) AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE {_CUTS[name]}{' AND race = 2' * q.endswith('two_or_more_races')} GROUP BY ALL" for q in parts]
 
     def run(spark, sf):
-        rows = hist(spark, sf).where("geolevel <> 'customer'")
+        rows = hist(spark, sf)
         out = None
         for q, made in parts.items():
             part = made.answer(rows, *KEYS).withColumn("query", F.lit(q))
@@ -262,11 +296,52 @@ for _name in _CUTS:
     _table(_name)
 
 
-# ---- invariants and constraints --------------------------------------------------------------------------------------
+@query(" UNION ALL ".join(f"SELECT * FROM ({ORACLE_SQL[f'table_{n}']})" for n in _CUTS))
+def table_pl94(spark, sf):
+    out = None
+    for q, made in pl94(DOMAIN).items():
+        part = made.answer(hist(spark, sf), *KEYS).withColumn("query", F.lit(q))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_SIX = Domain(("hhgq", "race"), (5, 6))
+_EIGHT = Domain(("hhgq", "race"), (8, 7))
+
+
+@query(BASE + "SELECT substring(geocode, 1, 4) AS nation, CAST(CASE WHEN race7 < 3 THEN 0 ELSE 1 END AS INTEGER) AS row, CAST(count(*) AS BIGINT) AS n FROM person WHERE race7 < 6 GROUP BY ALL")
+def racecomb(spark, sf):
+    rows = persons(spark, sf).where("race7 < 6").select(F.substring("geocode", 1, 4).alias("nation"), "hhgq", F.col("race7").alias("race"))
+    return workload(_SIX)["racecomb"].answer(_SIX.histogram(rows, "nation"), "nation")
 
 
-def _upper(df: DataFrame) -> DataFrame:
-    return df.where("geolevel <> 'customer'")
+_EIGHT_SQL = BASE + ", e AS (SELECT substring(geocode, 1, 4) AS nation, (hhgq + race7) % 8 AS h, race7 FROM person) "
+
+
+def _eight(spark: SparkSession, sf: str) -> DataFrame:
+    rows = persons(spark, sf).select(F.substring("geocode", 1, 4).alias("nation"), ((F.col("hhgq") + F.col("race7")) % 8).cast("int").alias("hhgq"), F.col("race7").alias("race"))
+    return _EIGHT.histogram(rows, "nation")
+
+
+@query(_EIGHT_SQL + "SELECT nation, CAST(CASE WHEN h <= 4 THEN 0 ELSE 1 END AS INTEGER) AS row, CAST(count(*) AS BIGINT) AS n FROM e WHERE h > 0 GROUP BY ALL")
+def inst_noninst(spark, sf):
+    return workload(_EIGHT)["inst_noninst"].answer(_eight(spark, sf), "nation")
+
+
+@query(_EIGHT_SQL + """SELECT nation, 'p1_number_of_races' AS query, CAST(CASE WHEN race7 < 3 THEN 0 WHEN race7 < 6 THEN 1 ELSE 2 END AS INTEGER) AS row, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY ALL
+UNION ALL SELECT nation, 'p1_two_or_more_races', 0, CAST(count(*) AS BIGINT) FROM e WHERE race7 >= 3 GROUP BY ALL""")
+def table_p1_races(spark, sf):
+    """The parts of the tables that need an axis of race combinations."""
+    combos = Domain(("hhgq", "va", "hisp", "race"), (1, 1, 1, 7))
+    parts = redistricting(combos, "p1")
+    rows = persons(spark, sf).select(F.substring("geocode", 1, 4).alias("nation"), *(F.lit(0).alias(c) for c in ("hhgq", "va", "hisp")), F.col("race7").alias("race"))
+    tall = combos.histogram(rows, "nation")
+    names = ("p1_number_of_races", "p1_two_or_more_races")
+    made = [parts[n].answer(tall, "nation").withColumn("query", F.lit(n)) for n in names]
+    return made[0].unionByName(made[1])
+
+
+# ---- invariants and constraints --------------------------------------------------------------------------------------
 
 
 @query(BASE + """SELECT geolevel, geocode, 'tot' AS name, 0 AS idx, tot AS value FROM tots
@@ -311,13 +386,13 @@ def constraint_check(spark, sf):
 
 
 _UNION = """, sets AS (SELECT row_number() OVER (ORDER BY len(s), s) - 1 AS row, s FROM (SELECT list_sort([x FOR x IN [0, 1, 2, 3, 4] IF (m >> x) & 1 = 1]) AS s FROM (SELECT unnest(range(32)) AS m)) WHERE len(s) IN (2, 3, 4)),
-uv AS (SELECT geolevel, geocode, row, sum(v) AS v, any_value(units) AS units, any_value(tot) AS tot FROM ut JOIN sets ON list_contains(s, hhgq) WHERE geolevel <> 'customer' GROUP BY ALL)
+uv AS (SELECT geolevel, geocode, row, sum(v) AS v, any_value(units) AS units, any_value(tot) AS tot FROM ut JOIN sets ON list_contains(s, hhgq) GROUP BY ALL)
 """
 
 
 @query(BASE + _UNION + f"SELECT geolevel, geocode, CAST(row AS INTEGER) AS row, CAST({_LB} AS BIGINT) AS lb, CAST({_UB} AS BIGINT) AS ub FROM uv")
 def union_constraint_bounds(spark, sf):
-    return C.union_bounds(_upper(hist(spark, sf)), _upper(unit_levels(spark, sf)), 5, range(2, 5), *KEYS)
+    return C.union_bounds(hist(spark, sf), unit_levels(spark, sf), 5, range(2, 5), *KEYS)
 
 
 @query(BASE + f"""SELECT 'nation' AS geolevel, count(*) AS parents, CAST(coalesce(sum(bad), 0) AS BIGINT) AS backups FROM (
@@ -376,7 +451,7 @@ def laplace_dp(spark, sf):
 
 @query()
 def smooth_gamma(spark, sf):
-    df, u = _noise(hist(spark, sf).where("geolevel <> 'customer'"))
+    df, u = _noise(hist(spark, sf))
     return df.select(*KEYS, "cell", F.round(N.smooth_gamma(F.col("n"), F.col("n"), u, 0.05, 0.4), 6).alias("v"))
 
 
@@ -483,11 +558,78 @@ def topdown_estimate_queries(spark, sf):
     return E.top_down(measured(spark, sf), _totals(spark, sf), H, DOMAIN, names).withColumn("l2", F.round("l2", 6))
 
 
-@query()
+def _two_phase_sql() -> str:
+    first = _top_down_sql().replace("FROM measured WHERE query = 'detailed'", "FROM measured WHERE query = 'hhgq'")
+    held = "SELECT m.geocode, m.row AS cell, m.row // 12 AS hrow, noisy, a.syn AS total FROM measured m JOIN at_customer a ON m.query = 'detailed' AND m.geolevel = 'customer' AND a.geocode = m.geocode AND a.cell = m.row // 12"
+    done = _round_sql(_project_sql("held", "geocode, hrow", "cell"), "geocode, hrow", "cell")
+    return first + f", held AS ({held}), done AS (SELECT geocode, cell, syn FROM {done}) SELECT geolevel, CASE WHEN len = 1 THEN '0' ELSE substring(geocode, 1, len) END AS geocode, CAST(cell AS INTEGER) AS cell, CAST(sum(syn) AS BIGINT) AS syn FROM done, levels GROUP BY ALL"
+
+
+@query(_two_phase_sql())
 def two_phase_estimate(spark, sf):
     return E.two_phase(measured(spark, sf), _totals(spark, sf), H, DOMAIN, workload(DOMAIN)["hhgq"])
 
 
+def set_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    return K.set_bounds(leaf(spark, sf), unit_hist(spark, sf), 5, H)
+
+
+def constrained(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(estimates, bounds)."""
+    bounds = E.settle(set_bounds(spark, sf))
+    noisy = E.measure(hist(spark, sf), bounds.select(*KEYS), DOMAIN, BUDGET, workload(DOMAIN))
+    return K.constrained_top_down(noisy, bounds, H, DOMAIN), bounds
+
+
+_SET_V = " + ".join(f"CASE WHEN s >> {r} & 1 = 1 THEN u{r} ELSE 0 END" for r in range(5))
+_SETS_SQL = f""", lu AS (SELECT geocode, {", ".join(f"CAST(sum(CASE WHEN hhgq = {r} THEN n ELSE 0 END) AS BIGINT) AS u{r}" for r in range(5))} FROM uhist WHERE hhgq < 5 GROUP BY 1),
+ls AS (SELECT geocode, s, {_SET_V} AS v, u0 + u1 + u2 + u3 + u4 AS units, coalesce(tot, 0) AS tot FROM lu LEFT JOIN (SELECT geocode, tot FROM tots WHERE geolevel = 'customer') USING (geocode), (SELECT unnest(range(32)) AS s)),
+sb AS (SELECT geolevel, CASE WHEN len = 1 THEN '0' ELSE substring(geocode, 1, len) END AS geocode, s, CAST(sum(CASE WHEN v > 0 THEN greatest(tot - (units - v), 0) ELSE 0 END) AS BIGINT) AS most FROM ls, levels GROUP BY ALL)
+"""
+
+
+@query(BASE + _SETS_SQL + "SELECT geolevel, geocode, CAST(s AS INTEGER) AS s, most FROM sb")
+def constraint_set_bounds(spark, sf):
+    return set_bounds(spark, sf).select(*KEYS, F.posexplode("most").alias("s", "most"))
+
+
+@query()
+def topdown_constrained(spark, sf):
+    return constrained(spark, sf)[0]
+
+
+_KINDS = "CASE len WHEN 5 THEN 'total' WHEN 1 THEN 'ub' WHEN 4 THEN 'lb' ELSE 'union' END"
+
+
+@query(BASE + _SETS_SQL + f"SELECT geolevel, {_KINDS} AS cons, count(*) AS checked, CAST(0 AS BIGINT) AS failures FROM (SELECT geolevel, geocode, s, bit_count(s) AS len FROM sb WHERE s > 0) GROUP BY ALL")
+def topdown_constrained_check(spark, sf):
+    """The estimates break none of the totals and bounds that SQL counts."""
+    return K.kept(*constrained(spark, sf), DOMAIN)
+
+
+@query(BASE + "SELECT geolevel, CAST(0 AS BIGINT) AS slack FROM levels")
+def topdown_constrained_slack(spark, sf):
+    """No parent needs slack, as its bounds are the sums of its children's."""
+    return K.slack_by_level(constrained(spark, sf)[0])
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(sum(n) AS BIGINT) AS n FROM hist GROUP BY ALL")
+def topdown_constrained_totals(spark, sf):
+    """The estimates keep every unit's exact total."""
+    return constrained(spark, sf)[0].groupBy(*KEYS).agg(F.sum("syn").cast("long").alias("n")).where("n > 0")
+
+
+@query(" UNION ALL ".join(f"SELECT {i + 1} AS phase, '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for i, rows in enumerate(N.phases(BUDGET, 0.3)) for a, b, e, v in rows))
+def budget_phases(spark, sf):
+    rows = [(i + 1, *r) for i, part in enumerate(N.phases(BUDGET, 0.3)) for r in part]
+    return spark.createDataFrame(rows, "phase int, geolevel string, query string, epsilon double, var double").select("phase", "geolevel", "query", F.round("epsilon", 9).alias("epsilon"), F.round("var", 6).alias("var"))
+
+
+@query(BASE + "SELECT geolevel, geocode, CAST(cell AS INTEGER) AS cell, CAST(n AS DOUBLE) AS v FROM hist")
+def noise_none(spark, sf):
+    return hist(spark, sf).select(*KEYS, "cell", N.no_noise(F.col("n")).alias("v"))
+
+
 # ---- synthetic records ------------------------------------------------------------------------------------------------
 
 _UNITS = ", eu AS (SELECT geocode, hhgq, row_number() OVER (PARTITION BY geocode ORDER BY hhgq, i) - 1 AS unit, row_number() OVER (ORDER BY geocode, hhgq, i) - 1 AS euid FROM (SELECT geocode, hhgq, unnest(range(1, n + 1)) AS i FROM uhist))"
@@ -577,12 +719,12 @@ def metrics_sum_avg(spark, sf):
 
 @query(_EST + _LONG + ", q AS (SELECT geolevel, metric, quantile_cont(value, [0.1, 0.5, 0.9]) AS v FROM lm GROUP BY ALL) SELECT geolevel, metric, CAST(unnest([0.1, 0.5, 0.9]) AS DOUBLE) AS quantile, round(unnest(v), 6) AS value FROM q")
 def metrics_quantiles(spark, sf):
-    return M.rounded(M.quantiles(metric_rows(spark, sf), [0.1, 0.5, 0.9], 0, "geolevel"))
+    return M.rounded(M.quantiles(metric_rows(spark, sf), [0.1, 0.5, 0.9], read(spark, sf, "customer").count(), "geolevel"))
 
 
-@query(_EST + _LONG + "SELECT geolevel, metric, string_agg(geocode || '=' || CAST(CAST(value AS BIGINT) AS VARCHAR), ',' ORDER BY geocode) AS units FROM lm WHERE geolevel <> 'customer' AND metric <> 'tvd_geounit' GROUP BY ALL")
+@query(_EST + _LONG + "SELECT geolevel, metric, string_agg(geocode || '=' || CAST(CAST(value AS BIGINT) AS VARCHAR), ',' ORDER BY geocode) AS units FROM lm WHERE metric <> 'tvd_geounit' GROUP BY ALL")
 def metrics_collect(spark, sf):
-    rows = M.collected(metric_rows(spark, sf).where("geolevel <> 'customer' AND metric <> 'tvd_geounit'"), "geolevel")
+    rows = M.collected(metric_rows(spark, sf).where("metric <> 'tvd_geounit'"), "geolevel")
     line = F.array_join(F.transform("units", lambda u: F.concat(u["geocode"], F.lit("="), u["value"].cast("long").cast("string"))), ",")
     return rows.select("geolevel", "metric", line.alias("units"))
 
@@ -643,6 +785,29 @@ def validate_reasons(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", V.reasons(checks).alias("reason"))
 
 
+_CODE16 = "('00000' || geocode)"
+_PL18 = "concat_ws('|', 'MPD', '3.1.4', substring({g}, 1, 2), substring({g}, 3, 3), substring({g}, 6, 6), substring({g}, 12, 1), substring({g}, 13, 4), euid, person + 1, CASE WHEN p.hhgq = 0 THEN '3' ELSE '5' END, '99', '9', CASE WHEN cell // 6 % 2 = 0 THEN '17' ELSE '18' END, cell // 3 % 2 + 1, lpad(CAST(cell % 3 + 1 AS VARCHAR), 2, '0'), '9999', '9999', '9999', '9999', '9999', '9999', '9999', '9999', '9999', '9')".format(g=_CODE16)
+
+
+@query(BASE + _PLACED + f"SELECT {_PL18} AS value FROM placed p JOIN eu USING (geocode, unit)")
+def person_lines_2018(spark, sf):
+    made = D.units(unit_hist(spark, sf)).select("geocode", "unit", "euid")
+    rows = D.persons(leaf(spark, sf), unit_hist(spark, sf), DOMAIN).join(made, ["geocode", "unit"])
+    axes = [DOMAIN.axis(k) for k in (1, 2, 3)]
+    return rows.select(D.person_line_2018(F.concat(F.lit("00000"), "geocode"), F.col("euid"), F.col("person"), F.col("hhgq"), *axes).alias("value"))
+
+
+_UL18 = "concat_ws('|', 'MUD', '3.1.4', substring({g}, 1, 2), substring({g}, 3, 3), substring({g}, 6, 6), substring({g}, 12, 1), substring({g}, 13, 4), euid, CASE WHEN hhgq IN (0, 8) THEN '2' ELSE '4' END, CASE WHEN hhgq IN (0, 8) THEN '000' ELSE CAST(hhgq * 100 + 1 AS VARCHAR) END, CASE WHEN hhgq IN (0, 8) AND pop > 0 THEN '9' ELSE '0' END, CASE WHEN hhgq IN (0, 8) AND pop = 0 THEN '9' ELSE '0' END, pop, '9', '99', '99', '9', '9', '9', '999', '9', '99', '9', '99', '99', '99', '99')".format(g=_CODE16)
+
+
+@query(BASE + _PLACED + f", pops AS (SELECT geocode, unit, count(*) AS pop FROM placed GROUP BY ALL) SELECT {_UL18} AS value FROM (SELECT geocode, CASE WHEN hhgq = 5 THEN 8 ELSE hhgq END AS hhgq, euid, coalesce(pop, 0) AS pop FROM eu LEFT JOIN pops USING (geocode, unit))")
+def unit_lines_2018(spark, sf):
+    made = D.units(unit_hist(spark, sf))
+    rows = D.final_population(made, D.persons(leaf(spark, sf), unit_hist(spark, sf), DOMAIN))
+    kind = F.when(F.col("hhgq") == 5, 8).otherwise(F.col("hhgq"))
+    return rows.select(D.unit_line_2018(F.concat(F.lit("00000"), "geocode"), F.col("euid"), kind, F.col("pop")).alias("value"))
+
+
 # ---- recodes, sources, migration ---------------------------------------------------------------------------------------
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-import json
 import re
 import sqlite3
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,26 +113,50 @@ def from_sas_input(text: str) -> list[Field]:
     return [Field(n.lower(), int(a) - 1, int(b or a), "string" if s else "long") for n, s, a, b in found]
 
 
+SLICE_ROWS = 50_000
+# fixed values: affinities of SQLite's declared types, tried in this order
+_AFFINITY = (("INT", "long"), ("CHAR", "string"), ("CLOB", "string"), ("TEXT", "string"), ("REAL", "double"), ("FLOA", "double"), ("DOUB", "double"))
+
+
 def sqlite_tables(spark: SparkSession, path: str, out: str, skip: Iterable[str] = ()) -> list[str]:
-    """Every table of a SQLite file as Parquet, moved in slices of bounded size."""
+    """Every table of a SQLite file, which all executors must see, as Parquet.
+
+    The driver reads names, declared types and row numbers' ends only; slices of SLICE_ROWS row numbers are read by tasks under one
+    declared schema, so a table without rows or with a null column is written too.  Numbers of other types are strings."""
     done = []
     with sqlite3.connect(path) as db:
-        names = [r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name")]
-        for name in names:
+        for (name,) in db.execute("SELECT name FROM sqlite_master WHERE type = 'table' AND name NOT LIKE 'sqlite_%' ORDER BY name").fetchall():
             if name in skip:
                 continue
-            rows = db.execute(f'SELECT * FROM "{name}"')  # noqa: S608
-            columns, mode = [c[0] for c in rows.description], "overwrite"
-            while part := rows.fetchmany(50_000):
-                spark.createDataFrame(part, columns).write.mode(mode).parquet(f"{out}/{name}")
-                mode = "append"
+            kinds = [(c[1], next((k for key, k in _AFFINITY if key in (c[2] or "").upper()), "string")) for c in db.execute(f'PRAGMA table_info("{name}")')]
+            low, high = db.execute(f'SELECT coalesce(min(rowid), 0), coalesce(max(rowid), -1) FROM "{name}"').fetchone()  # noqa: S608
+            sqlite_rows(spark, path, name, kinds, low, high).write.mode("overwrite").parquet(f"{out}/{name}")
             done.append(name)
     return done
 
 
-def random_records(spark: SparkSession, n: int, ranges: dict[str, tuple[int, int]], seed: int) -> DataFrame:
-    """Records with uniform legal values."""
-    return spark.range(n).select(*(F.floor(F.rand(seed + i) * (b - a + 1) + a).cast("long").alias(k) for i, (k, (a, b)) in enumerate(ranges.items())))
+def sqlite_rows(spark: SparkSession, path: str, name: str, kinds: list[tuple[str, str]], low: int, high: int) -> DataFrame:
+    """Rows of one table by slices of row numbers."""
+    as_kind = {"long": int, "double": float, "string": str}
+
+    def read(slices: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+            for part in slices:
+                for first in part["first"]:
+                    rows = db.execute(f'SELECT * FROM "{name}" WHERE rowid BETWEEN ? AND ?', (int(first), int(first) + SLICE_ROWS - 1)).fetchall()  # noqa: S608
+                    columns = zip(*rows, strict=True) if rows else ((),) * len(kinds)
+                    made = {c: [None if v is None else as_kind[k](v) for v in col] for (c, k), col in zip(kinds, columns, strict=True)}
+                    yield pd.DataFrame({c: pd.Series(v, dtype={"long": "Int64", "double": "Float64", "string": "object"}[k]) for (c, k), v in zip(kinds, made.values(), strict=True)})
+
+    firsts = spark.range(low, high + 1, SLICE_ROWS, max(1, -(-(high + 1 - low) // SLICE_ROWS))).withColumnRenamed("id", "first")
+    return firsts.mapInPandas(read, ", ".join(f"`{c}` {k}" for c, k in kinds))
+
+
+def sas_table(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """A .sas7bdat or .xpt file as Parquet, in chunks of SLICE_ROWS rows: the format can only be read from its start by one reader."""
+    for i, part in enumerate(pd.read_sas(path, chunksize=SLICE_ROWS, encoding="utf-8")):
+        spark.createDataFrame(part.astype(object).where(part.notna(), None), ", ".join(f"`{c}` {'double' if t.kind == 'f' else 'string'}" for c, t in part.dtypes.items())).write.mode("append" if i else "overwrite").parquet(out)
+    return spark.read.parquet(out)
 
 
 def write_lines(lines: DataFrame, path: str, parts: int = 100) -> None:
@@ -152,23 +175,31 @@ def one_file(folder: str, target: str, comments: dict[str, str] | None = None) -
             out.write(part.read_bytes())
 
 
-def append_result(path: str, result: dict) -> None:
-    """One JSON line."""
-    with Path(path).open("a") as f:
-        f.write(json.dumps(result, default=float) + "\n")
+def save_levels(rows: DataFrame, folder: str, parts: int = 100) -> None:
+    """Histograms or estimates with one folder for each geolevel."""
+    rows.repartition(parts, "geolevel", "geocode").write.partitionBy("geolevel").parquet(folder)
+
+
+def save_units(rows: DataFrame, folder: str, config: dict[str, dict[str, str]], flags: DataFrame, keep: Iterable[str] | None = None, kind: str = "parquet", parts: int = 100) -> None:
+    """Units with the columns ``keep`` alone (all if not given) as Parquet or JSON, their configuration and (geolevel, slack) of each level.
+
+    ``config`` and the flags, one row a level, are small files of their own in the same folder."""
+    spark = rows.sparkSession
+    chosen = rows.select(*keep) if keep else rows
+    chosen.repartition(parts).write.format(kind).save(f"{folder}/units")
+    settings = [(s, k, v) for s, items in config.items() for k, v in items.items()]
+    spark.createDataFrame(settings, "section string, name string, value string").coalesce(1).write.json(f"{folder}/config")
+    flags.coalesce(1).write.json(f"{folder}/slack")
 
 
-def text_table(header: list[str], rows: list[list], style: str = "text") -> str:
-    """Small table as text, HTML or LaTeX."""
-    cells = [list(map(str, r)) for r in [header, *rows]]
-    if style == "html":
-        return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in cells) + "</table>"
-    if style == "latex":
-        return "\n".join([r"\begin{tabular}{" + "l" * len(header) + "}", *(" & ".join(r) + r" \\" for r in cells), r"\end{tabular}"])
-    width = [max(len(r[i]) for r in cells) for i in range(len(header))]
-    return "\n".join("  ".join(c.rjust(w) if c.replace(".", "", 1).lstrip("-").isdigit() else c.ljust(w) for c, w in zip(r, width, strict=True)).rstrip() for r in cells)
+def write_plain(lines: DataFrame, path: str, split_by_state: bool = False, parts: int = 100) -> None:
+    """Lines (value) of persons in at most ``parts`` files, or with a folder for the first two characters of each geocode."""
+    if split_by_state:
+        lines.withColumn("state", F.substring("value", 1, 2)).write.partitionBy("state").text(path)
+    else:
+        write_lines(lines.select("value"), path, parts)
 
 
-def read_delimited_header(path: str) -> list[str]:
-    with Path(path).open(newline="") as f:
-        return next(csv.reader(f))
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Metrics as JSON lines in one file: a few rows for each level."""
+    metrics.coalesce(1).write.json(path)
