@@ -9,7 +9,7 @@ same in every run.
 Scripts, styles, comments and markup never become blocks.  Character references are decoded, white space in a block
 becomes one blank, blocks are trimmed and joined by one newline in page order.  Null and empty pages and pages
 without article blocks give an empty text; repeated pages are extracted each; extra columns are ignored; broken
-markup (unclosed tags or quotes) is read as far as it goes.
+markup (unclosed tags or quotes) is read as far as it goes; blocks have no ties.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 PATH, WORDS, NUMBERS, HIDDEN = 64, 24, 8, 16
 TRAIN_PAGES, EPOCHS = 1200, 6
 PAGES_AT_ONCE = 256
+DEPTH = 40  # of a tag path: deeper nesting is broken markup
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -39,8 +42,10 @@ _ENDS_P = _BLOCK - frozenset("button caption label option td th tr tbody thead t
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(tag path from the outside in, text, characters inside links) of every leaf block."""
+    """(tag path of the DEPTH nearest block tags from the outside in, text, characters inside links) of every leaf block."""
     stack: list[tuple[str, str]] = []  # (tag, tag with its class and id words)
+    opened: Counter[str] = Counter()  # of the stack
+    frame: list[str] = []  # the block tags of the stack
     out: list[tuple[tuple[str, ...], str, int]] = []
     parts: list[str] = []
     links, path = 0, ()
@@ -57,11 +62,18 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         nonlocal links, path
         if text:
             if not parts or not path:
-                path = tuple(x[1] for x in stack if x[0] in _BLOCK)
+                path = tuple(frame[-DEPTH:])
             parts.append(text)
-            if any(x[0] == "a" for x in stack):
+            if opened["a"]:
                 links += len(text)
 
+    def close(first: int) -> None:
+        for name, _ in stack[first:]:
+            opened[name] -= 1
+            if name in _BLOCK:
+                frame.pop()
+        del stack[first:]
+
     at = 0
     for m in _TOKEN.finditer(page):
         take(page[at : m.start()])
@@ -76,21 +88,24 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         if tag in _BLOCK:
             flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    close(i)
                     break
         elif tag not in _VOID:
-            if tag in _ENDS_P:
+            if tag in _ENDS_P and opened["p"]:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
-                        del stack[i:]
+                        close(i)
                         break
                     if stack[i][0] in _BLOCK:
                         break
             attrs = m[4] or m[7]
             marks = " ".join(a or b or c for a, b, c in _MARKS.findall(attrs)).lower() if attrs else ""
             stack.append((tag, f"{tag} {marks}" if marks else tag))
+            opened[tag] += 1
+            if tag in _BLOCK:
+                frame.append(stack[-1][1])
     take(page[at:])
     flush()
     return out
@@ -147,20 +162,21 @@ def _reverse(n: np.ndarray, length: int) -> np.ndarray:
     return np.where(i < n[:, None], n[:, None] - 1 - i, i)
 
 
-def _run(w: dict, side: str, x: np.ndarray) -> dict:
-    """One direction of the LSTM over (pages, blocks, inputs); keeps what the gradient needs."""
+def _run(w: dict, side: str, x: np.ndarray, keep: bool = True) -> dict:
+    """One direction of the LSTM over (pages, blocks, inputs); keeps what the gradient needs, if asked to."""
     n, length, _ = x.shape
     z_in = x @ w[side + "x"] + w[side + "b"]
     h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
-    hs, cs, gates = np.zeros((n, length, HIDDEN), np.float32), np.zeros((n, length, HIDDEN), np.float32), np.zeros((n, length, 4 * HIDDEN), np.float32)
+    hs = np.zeros((n, length, HIDDEN), np.float32)
+    cs, gates = (np.zeros((n, length if keep else 1, size), np.float32) for size in (HIDDEN, 4 * HIDDEN))
     for s in range(length):
         z = z_in[:, s] + h @ w[side + "h"]
-        g = gates[:, s]
+        g = gates[:, s if keep else 0]
         g[:, : 3 * HIDDEN] = _sigmoid(z[:, : 3 * HIDDEN])
         g[:, 3 * HIDDEN :] = np.tanh(z[:, 3 * HIDDEN :])
         c = g[:, HIDDEN : 2 * HIDDEN] * c + g[:, :HIDDEN] * g[:, 3 * HIDDEN :]
         h = g[:, 2 * HIDDEN : 3 * HIDDEN] * np.tanh(c)
-        hs[:, s], cs[:, s] = h, c
+        hs[:, s], cs[:, s if keep else 0] = h, c
     return {"x": x, "h": hs, "c": cs, "g": gates}
 
 
@@ -195,15 +211,16 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, n
 
 
-def forward(w: dict, x: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, dict, dict, np.ndarray]:
+def forward(w: dict, x: np.ndarray, n: np.ndarray, keep: bool = True) -> tuple[np.ndarray, dict, dict, np.ndarray]:
     turn = _reverse(n, x.shape[1])
-    ahead, back = _run(w, "f", x), _run(w, "r", np.take_along_axis(x, turn[:, :, None], 1))
+    ahead, back = _run(w, "f", x, keep), _run(w, "r", np.take_along_axis(x, turn[:, :, None], 1), keep)
     both = np.concatenate([ahead["h"], np.take_along_axis(back["h"], turn[:, :, None], 1)], 2)
     return both @ w["o"] + w["ob"], ahead, back, turn
 
 
+@cache
 def train(seed: int = 4) -> dict:
-    """LSTM weights, fitted by Adam to the generator's pages."""
+    """LSTM weights, fitted by Adam to the generator's pages; once in a process for each seed."""
     rng = np.random.default_rng(seed)
     pages = [_made_up(rng) for _ in range(TRAIN_PAGES)]
     cut = [blocks(page) for page, _ in pages]
@@ -319,7 +336,7 @@ def main_texts(w: dict, pages: list[str | None]) -> list[str]:
         while end < len(order) and end - at < PAGES_AT_ONCE and (end - at + 1) * len(cut[order[end]]) <= 20_000:
             end += 1
         some = order[at:end]
-        z = forward(w, *_padded([vectors(cut[i]) for i in some]))[0]
+        z = forward(w, *_padded([vectors(cut[i]) for i in some]), keep=False)[0]
         for row, i in enumerate(some):
             out[i] = "\n".join(text for (_, text, _), keep in zip(cut[i], z[row], strict=False) if keep > 0)
         at = end

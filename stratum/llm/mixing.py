@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm._spark import WORD, settle
+from stratum.llm._spark import WORD, settle, settle_table
 
 EPOCHS = 3
 BLOCKS = 1_000_000
@@ -32,10 +32,10 @@ GRID, STEPS = 64, 8  # divisors tried at once, and how often
 _NAME = ("no_source", "source")
 
 
-def sizes(docs: DataFrame, seed: int) -> DataFrame:
+def sizes(docs: DataFrame, seed: int, columns: tuple[str, ...] = ()) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     h = F.xxhash64(F.lit(seed), "doc_id", "text")
-    return docs.select("doc_id", F.col("source").isNull().cast("int").alias("no_source"), F.coalesce("source", F.lit("")).alias("source"), size.alias("size"), h.alias("h"), F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket"))
+    return docs.select("doc_id", F.col("source").isNull().cast("int").alias("no_source"), F.coalesce("source", F.lit("")).alias("source"), size.alias("size"), h.alias("h"), F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket"), *(F.col(c).alias(f"_{c}") for c in columns))
 
 
 def weighted(by_source: DataFrame) -> DataFrame:
@@ -117,9 +117,9 @@ def _coprime(n: str) -> str:
     return f"case {' '.join(f'when {n} % {p} <> 0 then {p}L' for p in (999983, 999979, 999961, 999959, 999953, 999931))} else 1L end"
 
 
-def mix_sources(docs: DataFrame, seed: int = 2) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs(doc_id, text, source)``."""
-    rows = settle(sizes(docs, seed))
+def mix_sources(docs: DataFrame, seed: int = 2, columns: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, columns) of every row of ``docs(doc_id, text, source)``; ``columns`` of it travel along."""
+    rows = settle_table(sizes(docs, seed, columns))
     per_bucket = settle(rows.groupBy(*_NAME, "bucket").agg(F.sum("size").alias("bucket_size")))
     goal = sharded(quotas(targets(per_bucket.groupBy(*_NAME).agg(F.sum("bucket_size").alias("source_size")))))
     goal = goal.withColumns({"step_big": F.expr(_coprime("(length + 1)")), "step": F.expr(_coprime("length")), "shift": F.pmod(F.xxhash64(F.lit(seed), *_NAME), F.lit(1 << 40))})
@@ -137,4 +137,4 @@ def mix_sources(docs: DataFrame, seed: int = 2) -> DataFrame:
             if(x.s < big, pmod((x.j - x.s * (length + 1)) * step_big + shift, length + 1), pmod((x.j - big - x.s * length) * step + shift, greatest(length, 1))) < each + if(x.s < more, 1, 0),
             least(high, (x.j + 1) * block) - greatest(low, x.j * block), 0L))
     """)
-    return placed.select("doc_id", "size", F.col("source_size").cast("long"), "target", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+    return placed.select("doc_id", "size", F.col("source_size").cast("long"), "target", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"), *(F.col(f"_{c}").alias(c) for c in columns))
