@@ -21,25 +21,34 @@ PASSAGE_WORDS = 51  # every repeat of more than 50 words holds a repeated run of
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: the rows that the quality rules keep.  Null and empty texts have no words and go; repeated rows are judged alike;
+    an empty table stays empty."""
     judged = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
     return judged.where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8 on shingles of five words at 80 %: of each group of linked documents the one of the least id stays (ties: the least
+    digest), of repeated rows one.  Documents without a word (null, empty, blank) are linked with nothing and all stay."""
     return jaccard_join.keep_one(docs, k=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: every row, its text without the strings of 400 bytes and the runs of 51 words that stand elsewhere too, and n_chars
+    counted again.  A null text stays null; a repeated text goes as a whole, where it is long enough."""
     cut = repeated_bytes.remove_repeats(docs, words=PASSAGE_WORDS).withColumn("text", F.col("kept_text"))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: the rows that hold no benchmark item to 80 %.  Null and empty texts hold none."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(docs)
+    """Operator 2: every row with its text, its size in words, and how many of its words the mix takes (0: none of it; above the size: in
+    several epochs).  Null sources are one source; null and empty texts have size 0."""
+    return mixing.mix_sources(docs, columns=("source", "text"))
 
 
 STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("benchmark leaks", benchmark_leaks), ("mix", mix)]
