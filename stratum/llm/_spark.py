@@ -70,10 +70,6 @@ def lower(text: Column) -> Column:
     return F.translate(text, LETTERS, LETTERS.lower())
 
 
-def word_list(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
