@@ -24,7 +24,8 @@ class Noise:
 @dataclass
 class NoisyTables:
     """``pre``: name -> SQL in order, each result a view for the later ones; ``noise``: table -> groups of measures (a group's
-    cells are disjoint); ``out``: name -> SQL that reads the noisy tables under their own names."""
+    cells are disjoint); ``out``: name -> SQL that reads the noisy tables under their own names.  ``before`` and ``after``: functions of whole
+tables, applied in order to a table of ``pre`` before its noise, and to a table of ``out`` on both sides."""
 
     pre: dict[str, str]
     noise: dict[str, list[list[Noise]]]
@@ -32,6 +33,8 @@ class NoisyTables:
     cells: dict[str, list[str]]
     master_epsilon: float
     secure: bool = False
+    before: dict[str, list[Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
+    after: dict[str, list[Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
 
     def spent(self) -> dict[str, float]:
@@ -46,13 +49,19 @@ class NoisyTables:
         for name, df in inputs.items():
             self._view(df, true_side, name)
         for name, sql in self.pre.items():
-            before[name] = true_side.sql(sql)
+            before[name] = self._through(true_side.sql(sql), self.before.get(name, []))
             before[name].createOrReplaceTempView(name)
         for name in set(self.pre) - set(self.noise):
             self.warnings.append(f"table {name} has no noise and isn't published")
         for name, groups in self.noise.items():
             self._view(settle(self.noised(before[name], name, groups)), noisy_side, name)
-        return {n: true_side.sql(q) for n, q in self.out.items()}, {n: noisy_side.sql(q) for n, q in self.out.items()}
+        return tuple({n: self._through(side.sql(q), self.after.get(n, [])) for n, q in self.out.items()} for side in (true_side, noisy_side))
+
+    @staticmethod
+    def _through(df: DataFrame, functions: list[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+        for f in functions:
+            df = df.transform(f)
+        return df
 
     @staticmethod
     def _view(df: DataFrame, session: SparkSession, name: str) -> None:

@@ -313,3 +313,28 @@ def test_registry_and_settings():
         known.add("geometric")(math.log)
     assert experiment.substitute(config, {("noise", "n"): "4"})["noise"]["n"] == "4" and config["noise"]["n"] == "3"
     assert LinearQuery(SMALL, over=(0,)).n_answers == 2
+
+
+def test_functions_of_whole_tables(spark):
+    from stratum.plans.sqltables import NoisyTables
+
+    tables = NoisyTables(
+        pre={"t": "SELECT k, count(*) AS n FROM rows GROUP BY k"}, noise={"t": [[]]}, out={"o": "SELECT k, n FROM t"}, cells={"t": ["k"]}, master_epsilon=0.0,
+        before={"t": [lambda df: df.where("k < 2")]}, after={"o": [lambda df: df.withColumn("n", F.col("n") * 10), lambda df: df.withColumn("n", F.col("n") + 1)]},
+    )
+    tables.noise["t"] = []
+    rows = spark.createDataFrame([(i % 3,) for i in range(9)], "k int")
+    for side in tables.run(spark, {"rows": rows}):
+        assert sorted(tuple(r) for r in side["o"].collect()) == [(0, 31), (1, 31)]
+
+
+def test_layout_values(spark, tmp_path, monkeypatch):
+    import pandas as pd
+
+    got = spark.createDataFrame([(7, "ab")], "n long, s string").select(layout.formatted("n", "INTEGER", 4), layout.formatted("s", "CHAR", 4)).first()
+    assert tuple(got) == ("0007", "  ab")
+    assert spark.range(1).select(layout.formatted("id", "INTEGER", 2, "zz")).first()[0] == "zz"
+    assert N.laplace_variance(3.0) == 18.0
+    monkeypatch.setattr(layout.pd, "read_sas", lambda *a, **k: iter([pd.DataFrame({"a": [1.0, None], "b": ["x", None]}), pd.DataFrame({"a": [2.0], "b": ["y"]})]))
+    rows = layout.sas_table(spark, "any.sas7bdat", str(tmp_path / "s")).orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(None, None), (1.0, "x"), (2.0, "y")]
