@@ -128,6 +128,20 @@ class KroneckerQuery:
         return df.withColumn("row", row.cast("int")).groupBy(*keys, "row").agg(F.sum(F.col("n") * coef).alias("n"))
 
 
+def answers(queries: dict[str, LinearQuery | KroneckerQuery], hist: DataFrame, *keys: str) -> DataFrame:
+    """(keys, query, row, n) of all queries in one aggregation; whole numbers where all queries count.
+
+    Cells go to their answers by a broadcast table with an entry for each cell and answer that uses it, as large as the queries, not the data."""
+    entries = []
+    for name, q in queries.items():
+        m = q.matrix()
+        entries += [(int(c), name, int(r), float(m[r, c])) for r, c in zip(*m.nonzero(), strict=True)]
+    table = hist.sparkSession.createDataFrame(entries, "cell int, query string, row int, coef double")
+    total = F.sum(F.col("n") * F.col("coef"))
+    whole = all(coef.is_integer() for *_, coef in entries)
+    return hist.join(F.broadcast(table), "cell").groupBy(*keys, "query", "row").agg((total.cast("long") if whole else total).alias("n"))
+
+
 def weighted_cells(hist: DataFrame, weights: DataFrame, query: LinearQuery, *keys: str) -> DataFrame:
     """Answers of a query over counts times ``weights(cell, weight)``, one number for each cell of the domain; absent ones are 1."""
     rows = hist.join(F.broadcast(weights), "cell", "left")  # a row for each cell at most

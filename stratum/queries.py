@@ -18,7 +18,7 @@ from stratum.operators import microdata as D
 from stratum.operators import validate as V
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain, distinct_units, expand
-from stratum.operators.linear import KroneckerQuery, LinearQuery, check_shape, marginal, marginal_family, reduced, stacked, weighted_cells
+from stratum.operators.linear import KroneckerQuery, LinearQuery, answers, check_shape, marginal, marginal_family, reduced, stacked, weighted_cells
 from stratum.operators.workload import pl94, workload
 from stratum.operators.workload import table as redistricting
 from stratum.plans import etl
@@ -281,15 +281,7 @@ def _table(name: str) -> None:
     parts = redistricting(DOMAIN, name)
     each = [f"SELECT geolevel, geocode, '{q}' AS query, CAST({_ROWS[q.partition('_')[2]]} AS INTEGER) AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE {_CUTS[name]}{' AND race = 2' * q.endswith('two_or_more_races')} GROUP BY ALL" for q in parts]
 
-    def run(spark, sf):
-        rows = hist(spark, sf)
-        out = None
-        for q, made in parts.items():
-            part = made.answer(rows, *KEYS).withColumn("query", F.lit(q))
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    query(BASE + " UNION ALL ".join(each), f"table_{name}")(run)
+    query(BASE + " UNION ALL ".join(each), f"table_{name}")(lambda spark, sf: answers(parts, hist(spark, sf), *KEYS))
 
 
 for _name in _CUTS:
@@ -298,11 +290,7 @@ for _name in _CUTS:
 
 @query(" UNION ALL ".join(f"SELECT * FROM ({ORACLE_SQL[f'table_{n}']})" for n in _CUTS))
 def table_pl94(spark, sf):
-    out = None
-    for q, made in pl94(DOMAIN).items():
-        part = made.answer(hist(spark, sf), *KEYS).withColumn("query", F.lit(q))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return answers(pl94(DOMAIN), hist(spark, sf), *KEYS)
 
 
 _SIX = Domain(("hhgq", "race"), (5, 6))
