@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, runs, unpack
-from stratum.llm._spark import components, fresh, id_filter, ranges, settle, settle_table
+from stratum.llm._spark import components, fresh, id_filter, most_frequent, ranges, settle, settle_table
 
 BLOCK = 4096
 PRUNE = 8192  # a longer list is compared without looking at sketches first
@@ -122,7 +122,7 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent tokens.  They only order tokens, so a count may miss occurrences spread thinly over tasks."""
 
     found = rows.where("often IS NOT NULL").groupBy(F.col("often").alias("h")).agg(F.sum("times").alias("n"))
-    return np.sort(found.orderBy(F.desc("n"), "h").limit(HOT_TOKENS).toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(most_frequent(found, "n", HOT_TOKENS).toPandas()["h"].to_numpy(np.int64).view(np.uint64))
 
 
 def _kept_entries(token: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
