@@ -4,10 +4,11 @@ Every recode stays inside code generation; a value outside its legal range raise
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 from math import comb
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -103,3 +104,33 @@ def number_or_blank(value: Column) -> Column:
     """Number text without a needless fraction; NaN and null become the empty string."""
     whole = (value == F.floor(value)) & (F.abs(value) < 1e18)
     return F.when(value.isNull() | F.isnan(value), "").when(whole, value.cast("long").cast("string")).otherwise(value.cast("string"))
+
+
+def unquoted(value: Column) -> Column:
+    """Text without one pair of quotation marks around it."""
+    return F.regexp_replace(value, r"^(['\"])(.*)\1$", "$2")
+
+
+def clean_int(value: Column) -> Column:
+    """The integer of a text with blanks, quotation marks, thousands separators or a zero fraction; null for anything else."""
+    plain = F.regexp_replace(F.trim(unquoted(F.trim(value))), ",", "")
+    return F.regexp_replace(plain, r"\.0*$", "").try_cast("long")
+
+
+# recodes that a configuration may name, by the columns that they take
+BY_NAME = {
+    "int": lambda c: strict_int(c, "field"), "clean_int": clean_int, "quarters_1940": quarters_1940, "quarters_2018": quarters_2018, "quarters_level": quarters_level, "voting_age": voting_age, "hispanic_1940": hispanic_1940,
+    "hispanic_2018": hispanic_2018, "race_index": lambda c: race_index(c, 6), "race_index_63": lambda c: race_index(c, 63), "relation_quarters": relation_quarters, "geocode": geocode, "race_combination": lambda *flags: race_combination(list(flags)),
+}
+
+_STEP = re.compile(r"\s*(\w+)\s*\(([^()]*)\)\s*")
+
+
+def recoded(records: DataFrame, steps: dict[str, str]) -> DataFrame:
+    """Columns added in order, each by a named recode of others, as a configuration lists them: {"va": "voting_age(age)"}."""
+    for name, text in steps.items():
+        m = _STEP.fullmatch(text)
+        if not m or m[1] not in BY_NAME:
+            raise ValueError(f"{name}: no recode {text}")
+        records = records.withColumn(name, BY_NAME[m[1]](*(F.col(c.strip()) for c in m[2].split(",") if c.strip())))
+    return records

@@ -54,6 +54,23 @@ def padded_between(value: Column, low: str, high: str, width: int) -> Column:
     return F.lpad(value, width, " ").between(pad(low), pad(high))
 
 
+def in_ranges(value: Column, ranges: list[tuple[str, str]], kind: str, width: int = 0) -> Column:
+    """Whether a text field is in one of its ranges: NULL is a blank field, N/A any value; numbers compare as numbers, touching ranges of
+    integers as one; strings after padding on the left to the field's width."""
+    blank = F.trim(F.coalesce(value, F.lit(""))) == ""
+    plain = [r for r in ranges if r[0].upper() not in ("NULL", "N/A")]
+    parts = [blank] * any(r[0].upper() == "NULL" for r in ranges)
+    if any(r[0].upper() == "N/A" for r in ranges):
+        return F.lit(True)
+    if kind == "int":
+        parts += [F.trim(value).try_cast("long").between(a, b) for a, b in merged([(int(a), int(b)) for a, b in plain])]
+    elif kind == "float":
+        parts += [F.trim(value).try_cast("double").between(float(a), float(b)) for a, b in plain]
+    else:
+        parts += [padded_between(value, a, b, width) for a, b in plain]
+    return F.coalesce(reduce(lambda x, y: x | y, (F.coalesce(p, F.lit(False)) for p in parts)), F.lit(False)) if parts else F.lit(False)
+
+
 def reasons(checks: dict[str, Column]) -> Column:
     """'VAR (value) out of range' of every failed check of a record, joined by ', '."""
     said = [F.when(~ok, F.concat(F.lit(f"{n} ("), F.coalesce(F.col(n).cast("string"), F.lit("null")), F.lit(") out of range"))) for n, ok in checks.items()]

@@ -811,6 +811,24 @@ def scalar_recodes(spark, sf):
     return read(spark, sf, "part").select("p_partkey", R.quarters_2018(F.lpad((size % 10 * 100).cast("string"), 3, "0")).alias("gq18"), R.quarters_1940(size % 10).alias("gq40"), R.relation_quarters(size % 17).alias("rel"), R.voting_age(size).alias("va"))
 
 
+@query("SELECT o_orderkey, CASE WHEN CAST(substring(o_orderpriority, 1, 1) AS INTEGER) BETWEEN 2 AND 4 THEN -1 ELSE CAST(substring(o_orderpriority, 1, 1) AS INTEGER) END AS gq, CAST(floor(o_totalprice) AS BIGINT) AS price, CAST(o_orderstatus || o_orderpriority AS VARCHAR) AS code FROM orders")
+def recode_steps(spark, sf):
+    rows = read(spark, sf, "orders").withColumn("digit", F.substring("o_orderpriority", 1, 1)).withColumn("text", F.concat(F.lit(" '"), F.floor("o_totalprice").cast("string"), F.lit(".00' ")))
+    made = R.recoded(rows, {"number": "int(digit)", "gq": "quarters_1940(number)", "price": "clean_int(text)", "code": "geocode(o_orderstatus, o_orderpriority)"})
+    return made.select("o_orderkey", F.col("gq").cast("int").alias("gq"), "price", "code")
+
+
+@query("""SELECT p_partkey, p_size BETWEEN 1 AND 20 OR p_size BETWEEN 41 AND 50 AS ints, p_retailprice BETWEEN 900.5 AND 1500.25 AS floats, lpad(CAST(p_size AS VARCHAR), 3, ' ') BETWEEN '  5' AND ' 30' AS strings,
+  p_size % 7 = 0 AS blanks, true AS whatever FROM part""")
+def validate_ranges(spark, sf):
+    size = F.col("p_size").cast("string")
+    blank = F.when(F.col("p_size") % 7 == 0, F.lit("  ")).otherwise(size)
+    return read(spark, sf, "part").select(
+        "p_partkey", V.in_ranges(size, [("1", "10"), ("11", "20"), ("41", "50")], "int").alias("ints"), V.in_ranges(F.col("p_retailprice").cast("string"), [("900.5", "1500.25")], "float").alias("floats"),
+        V.in_ranges(size, [("5", "30")], "string", 3).alias("strings"), V.in_ranges(blank, [("NULL", "")], "int").alias("blanks"), V.in_ranges(size, [("N/A", "")], "int").alias("whatever"),
+    )
+
+
 FIELDS = [layout.Field("c_custkey", 1, 9, "long"), layout.Field("c_name", 9, 29), layout.Field("c_nationkey", 30, 33, "long"), layout.Field("c_mktsegment", 33, 43)]
 
 

@@ -338,3 +338,14 @@ def test_layout_values(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout.pd, "read_sas", lambda *a, **k: iter([pd.DataFrame({"a": [1.0, None], "b": ["x", None]}), pd.DataFrame({"a": [2.0], "b": ["y"]})]))
     rows = layout.sas_table(spark, "any.sas7bdat", str(tmp_path / "s")).orderBy("a").collect()
     assert [tuple(r) for r in rows] == [(None, None), (1.0, "x"), (2.0, "y")]
+
+
+def test_recode_steps_and_ranges(spark):
+    rows = spark.createDataFrame([(" '1,234.0' ", "2"), ("x", "7"), (None, " ")], "a string, b string")
+    assert [r["n"] for r in R.recoded(rows, {"n": "clean_int(a)"}).collect()] == [1234, None, None]
+    with pytest.raises(ValueError, match="no recode"):
+        R.recoded(rows, {"n": "nothing(a)"})
+    ok = lambda *a: [r[0] for r in rows.select(V.in_ranges(F.col("b"), *a)).collect()]
+    assert ok([("1", "3"), ("4", "7")], "int") == [True, True, False]
+    assert ok([("NULL", ""), ("6.5", "8")], "float") == [False, True, True]
+    assert ok([("1", "3")], "string", 2) == [True, False, False] and ok([("N/A", "")], "string", 2) == [True] * 3 and ok([], "int") == [False] * 3
