@@ -79,7 +79,7 @@ def held(doc_id: Column, folds: int, out: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == out, F.lit(False))
 
 
-FIT_BYTES = 32 << 10  # labelled texts beyond so many bytes are scored, but not learnt from: what the driver gets stays bounded
+FIT_BYTES = 64 << 10  # labelled texts beyond so many bytes are scored, but not learnt from: what the driver gets stays bounded
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_per_class: int, fold_out: tuple[int, int] | None, seed: int) -> DataFrame:
