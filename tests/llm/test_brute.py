@@ -207,7 +207,7 @@ def test_equal_rows_take_no_longer(spark):
     frame = spark.range(10_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
     began = time.perf_counter()
     got = repeated_bytes.digest(repeated_bytes.remove_repeats(frame)).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
-    assert [tuple(r) for r in got] == [(len(text), len(text), 1, 10_000)] and time.perf_counter() - began < 60
+    assert [tuple(r) for r in got] == [(len(text), len(text), 1, 10_000)] and time.perf_counter() - began < 180
 
 
 @pytest.mark.parametrize("hot", [1000, 3])
@@ -280,7 +280,7 @@ def test_nested_and_long_pages(spark):
     pages = spark.createDataFrame([(1, "u", deep, "x"), (2, "v", long, "y")], "page_id long, url string, html string, text string")
     began = time.perf_counter()
     got = {r["page_id"]: r for r in html_text.extract_text(pages).collect()}
-    assert time.perf_counter() - began < 60 and len(got) == 2
+    assert time.perf_counter() - began < 180 and len(got) == 2
     assert got[2]["text"].count("Some words") == 5000
 
 
