@@ -42,9 +42,9 @@ def weighted(by_source: DataFrame) -> DataFrame:
     """Adds weight to (no_source, source, source_size): the place of the source in code-point order, modulo 3."""
     placed = settle(by_source.repartitionByRange(*_NAME).sortWithinPartitions(*_NAME).withColumn("part", F.spark_partition_id()))
     before = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row for each range
-    starts = {p: sum(n for q, n in before.items() if q < p) for p in before}
-    start = F.coalesce(*(F.when(F.col("part") == p, n) for p, n in starts.items()), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(*_NAME)) - 1 + start
+    starts = [(p, sum(n for q, n in before.items() if q < p)) for p in before]
+    placed = placed.join(F.broadcast(placed.sparkSession.createDataFrame(starts, "part int, start long")), "part")  # a row for each range
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(*_NAME)) - 1 + F.col("start")
     return placed.select(*_NAME, "source_size", (rank % 3 + 1).cast("double").alias("weight"))
 
 
