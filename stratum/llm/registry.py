@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import context_mixing, decontaminate, fill_middle, html_text, jaccard_join, language, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
+from stratum.llm import context_mixing, decontaminate, fill_middle, html_text, jaccard_join, language, lexical_search, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
 from stratum.llm._spark import table
 
 
@@ -51,13 +51,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op4_html_text, op5_toxicity, op6_repeated_bytes, op7_context_mixing, op8_jaccard_join, op9_language, op10_decontaminate,
-    op13_fill_in_middle,
+    op11_lexical_search, op13_fill_in_middle,
 )}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -86,6 +90,18 @@ link AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WH
 reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id, coalesce(c.c, 0) AS n_links
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) r USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS c FROM link GROUP BY a) c USING (doc_id)
+""",
+    "op11_lexical_search": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS q, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT r, term, count(*) AS tf FROM d GROUP BY r, term),
+z AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM d GROUP BY r),
+c AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM z),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term),
+m AS (SELECT r, doc_id, 75 + (25 * n * big_n) // l AS m FROM z, c),
+s AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM i JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20
 """,
     "op13_fill_in_middle": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
