@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import context_mixing, decontaminate, fill_middle, html_text, jaccard_join, language, lexical_search, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
+from stratum.llm import context_mixing, decontaminate, fill_middle, html_text, jaccard_join, language, lexical_search, mixing, quality_pairs, quality_rules, repeated_bytes, shared_windows, toxicity
 from stratum.llm._spark import table
 
 
@@ -55,13 +55,17 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_shared_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_windows.digest(shared_windows.remove_shared(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bradley_terry_quality, op2_sainte_lague_mix, op3_quality_rules, op4_html_text, op5_toxicity, op6_repeated_bytes, op7_context_mixing, op8_jaccard_join, op9_language, op10_decontaminate,
-    op11_lexical_search, op13_fill_in_middle,
+    op11_lexical_search, op12_shared_windows, op13_fill_in_middle,
 )}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -102,6 +106,16 @@ m AS (SELECT r, doc_id, 75 + (25 * n * big_n) // l AS m FROM z, c),
 s AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM i JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY q, item_id, r, doc_id),
 o AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20
+""",
+    "op12_shared_windows": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT r, doc_id, unnest(range(1, len(w) - 48)) AS p, unnest(list_transform(range(1, len(w) - 48), lambda p: array_to_string(w[p:p + 49], ' '))) AS s FROM d WHERE len(w) >= 50),
+m AS (SELECT s, min(doc_id) AS m FROM s GROUP BY s),
+hit AS (SELECT r, p FROM s JOIN m USING (s) WHERE m < doc_id),
+gone AS (SELECT DISTINCT r, p + unnest(range(50)) AS x FROM hit),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS x, unnest(w) AS word FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY x) AS k FROM words ANTI JOIN gone USING (r, x) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
 """,
     "op13_fill_in_middle": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
