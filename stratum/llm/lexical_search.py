@@ -63,10 +63,12 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def unpack(data: np.ndarray) -> np.ndarray:
     """What ``pack`` packed."""
+    if not len(data):
+        return np.zeros(0, np.int64)
     last = np.flatnonzero(data < 128)
     first = np.concatenate([[0], last[:-1] + 1])
     place = np.arange(len(data)) - np.repeat(first, last - first + 1)
-    return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), first) if len(data) else np.zeros(0, np.int64)
+    return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), first)
 
 
 def groups(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
