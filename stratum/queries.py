@@ -15,6 +15,7 @@ from stratum.operators import constraints as C
 from stratum.operators import estimate as E
 from stratum.operators import metrics as M
 from stratum.operators import microdata as D
+from stratum.operators import topdown as T
 from stratum.operators import validate as V
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain, distinct_units, expand
@@ -607,6 +608,70 @@ def topdown_constrained_totals(spark, sf):
     return constrained(spark, sf)[0].groupBy(*KEYS).agg(F.sum("syn").cast("long").alias("n")).where("n > 0")
 
 
+# the rules of two published configurations: quarters bounded at the leaves, totals exact at one upper level; the second has a structural zero
+ZEROS = {"nurse_nva_0": LinearQuery(DOMAIN, "nurse_nva_0", subset={0: [3], 1: [0]}, over=(0, 1, 2, 3))}
+_LEAF, _BOUNDED = ("gqhh_vect", "gqhh_tot"), ("hhgq_total_lb", "hhgq_total_ub")
+RULES = {
+    "1940": {"customer": T.Rule(_LEAF, _BOUNDED), "region": T.Rule(("tot",), ("total", *_BOUNDED))},
+    "2018": {"customer": T.Rule(_LEAF, (*_BOUNDED, "nurse_nva_0")), "nation": T.Rule(("tot",), ("total", *_BOUNDED))},
+}
+
+
+def level_constraints(spark: SparkSession, sf: str, year: str) -> DataFrame:
+    return T.level_constraints(hist(spark, sf), unit_levels(spark, sf), H, 5, RULES[year], tuple(ZEROS))
+
+
+def _level_sql(year: str) -> str:
+    """(geolevel, geocode, cons, row, sign, rhs): of each level's own counts, summed to the levels above up to the next that names the constraint."""
+    upper, parts = {"1940": "region", "2018": "nation"}[year], []
+    below = H.levels[: H.levels.index(upper)]
+    spread = lambda source, levels: f"SELECT x.geolevel, CASE WHEN len = 1 THEN '0' ELSE substring(s.geocode, 1, len) END AS geocode, cons, row, sign, CAST(sum(rhs) AS BIGINT) AS rhs FROM ({source}) s, levels x WHERE x.geolevel IN ({', '.join(repr(v) for v in levels)}) GROUP BY ALL"
+    free = "SELECT geocode, 'hhgq_total_lb' AS cons, CAST(hhgq AS INTEGER) AS row, 'ge' AS sign, v AS rhs FROM ut WHERE geolevel = 'customer' UNION ALL SELECT geocode, 'hhgq_total_ub', CAST(hhgq AS INTEGER), 'le', v * CASE hhgq WHEN 0 THEN 99 ELSE 99999 END FROM ut WHERE geolevel = 'customer'"
+    parts.append(spread(free, below))
+    parts.append(spread(f"SELECT geocode, cons, row, sign, rhs FROM ({_BOUNDS}) WHERE geolevel = '{upper}'", H.levels[len(below) :]))
+    parts.append(spread(f"SELECT geocode, 'total' AS cons, 0 AS row, '=' AS sign, coalesce(tot, 0) AS rhs FROM ugeo LEFT JOIN tots USING (geolevel, geocode) WHERE geolevel = '{upper}'", H.levels[len(below) :]))
+    if year == "2018":
+        parts.append(spread("SELECT geocode, 'nurse_nva_0' AS cons, 0 AS row, '=' AS sign, 0 AS rhs FROM ugeo WHERE geolevel = 'customer'", H.levels))
+    return " UNION ALL ".join(parts)
+
+
+for _year in RULES:
+    query(BASE + _level_sql(_year), f"level_constraints_{_year}")(lambda spark, sf, year=_year: level_constraints(spark, sf, year))
+
+
+def by_levels(spark: SparkSession, sf: str, year: str) -> tuple[DataFrame, DataFrame, DataFrame, T.Constrained]:
+    """(estimates, flags, right sides, constraints)."""
+    queries = T.constraint_queries(DOMAIN, zeros=ZEROS if year == "2018" else None)
+    sets = T.Constrained.of(DOMAIN, queries)
+    rhs = E.settle(level_constraints(spark, sf, year))
+    estimates, flags = T.top_down(measured(spark, sf), rhs, H, DOMAIN, BUDGET, workload(DOMAIN), sets)
+    return estimates, flags, rhs, sets
+
+
+_RHS_COUNT = "SELECT geolevel, cons, count(*) AS checked, CAST(0 AS BIGINT) AS failures FROM ({}) GROUP BY ALL"
+
+for _year in RULES:
+    query(BASE + _RHS_COUNT.format(_level_sql(_year)), f"topdown_levels_{_year}_check")(lambda spark, sf, year=_year: (lambda e, f, r, c: T.checked(e, r, c))(*by_levels(spark, sf, year)))
+
+
+@query(BASE + "SELECT geolevel, geocode, tot AS n FROM tots WHERE geolevel IN ('region', 'root')")
+def topdown_levels_totals(spark, sf):
+    """Totals are exact from the level whose rule names them upwards."""
+    return by_levels(spark, sf, "1940")[0].where("geolevel IN ('region', 'root')").groupBy(*KEYS).agg(F.sum("syn").cast("long").alias("n"))
+
+
+@query(BASE + "SELECT geolevel, count(*) AS units, count(*) AS converged, CAST(0 AS BIGINT) AS slack FROM ugeo GROUP BY ALL")
+def topdown_levels_residuals(spark, sf):
+    """Both residuals of every unit's solve are below 1e-6, and no parent needs slack."""
+    flags = by_levels(spark, sf, "1940")[1]
+    return flags.groupBy("geolevel").agg(F.count("*").alias("units"), F.sum(((F.col("primal") < 1e-6) & (F.col("dual") < 1e-6)).cast("long")).alias("converged"), F.max("slack").alias("slack"))
+
+
+@query()
+def topdown_levels(spark, sf):
+    return by_levels(spark, sf, "2018")[0]
+
+
 @query(" UNION ALL ".join(f"SELECT {i + 1} AS phase, '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for i, rows in enumerate(N.phases(BUDGET, 0.3)) for a, b, e, v in rows))
 def budget_phases(spark, sf):
     rows = [(i + 1, *r) for i, part in enumerate(N.phases(BUDGET, 0.3)) for r in part]
