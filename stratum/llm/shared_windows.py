@@ -22,7 +22,7 @@ long texts are cut whole.  Extra columns are kept, clashing ones give way; empty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +32,15 @@ from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
 from stratum.llm._blocks import deal, runs, unpack
-from stratum.llm._spark import fresh, ranges
+from stratum.llm._spark import ranges
 
 WINDOW = 50
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)  # every difference of two members modulo 31 occurs once
 ANCHOR = WINDOW - PERIOD + 1
-ASKED = 1 << 20  # hashes that a task groups before it asks
+ASKED = 1 << 19  # hashes that a task groups before it asks
 RANGE_BYTES = 8 << 20  # of text for each range of hashes
 
-_SPANS = "k1 long, k2 long, doc long, hashes binary, at binary"  # of one document, at in steps from the one before
+Batches = Iterator[pa.RecordBatch]
 _DEALT = {"hash": np.uint64, "doc": np.int64, "several": np.bool_, "entry": np.int32}
 
 
@@ -53,14 +53,15 @@ def steps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _packed(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """Rows of _SPANS of the documents that have hashes."""
+    """(k1, k2, doc, hashes, at in steps): the rows of the documents that have hashes."""
     some, moved = np.flatnonzero(np.diff(bounds)), steps(at, bounds)
     cut = lambda x: pa.array([x[bounds[d] : bounds[d + 1]].tobytes() for d in some], pa.binary())
     return pa.record_batch([pa.array(k1[some]), pa.array(k2[some]), pa.array(doc[some]), cut(hashes), cut(moved)], ["k1", "k2", "doc", "hashes", "at"])
 
 
-def holders(spans: DataFrame, parts: int) -> DataFrame:
-    """(k1, k2, at, least): of each row of ``spans`` the places whose hash stands in several documents (in steps), and the least of these.
+def holders(texts: DataFrame, spans: Callable[[Batches], Batches], parts: int) -> DataFrame:
+    """(k1, k2, at, least): of each row that ``spans`` makes of ``texts`` the places whose hash stands in several documents (in steps), and the
+    least of these.
 
     Rows of one document count as one holder, and each gets its answer."""
     schema = "part int, home long, hash binary, doc binary, several binary, entry binary, k1 binary, k2 binary, n binary, at binary"
@@ -72,7 +73,7 @@ def holders(spans: DataFrame, parts: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, number, task = [], 0, 0, TaskContext.get().partitionId()
-        for b in batches:
+        for b in spans(batches):
             for i in range(b.num_rows):
                 one = b.slice(i, 1)
                 held.append(one)
@@ -164,7 +165,7 @@ def holders(spans: DataFrame, parts: int) -> DataFrame:
             cut = lambda x: pa.array([x[edge[d] : edge[d + 1]].tobytes() for d in some], pa.binary())
             yield pa.record_batch([pa.array(k1), pa.array(k2), cut(place), cut(holder)], ["k1", "k2", "at", "least"])
 
-    asked = spans.mapInArrow(ask, schema).repartition(parts, "part").mapInArrow(answer, schema)
+    asked = texts.mapInArrow(ask, schema).repartition(parts, "part").mapInArrow(answer, schema)
     return asked.repartition(parts, "home").sortWithinPartitions("home").mapInArrow(read, "k1 long, k2 long, at binary, least binary")
 
 
@@ -173,29 +174,29 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return buf, *t.words(buf, off)
 
 
-def anchors(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_SPANS of the ANCHOR words at cover places of each text of ``window`` words or more."""
+def anchors(window: int = WINDOW) -> Callable[[Batches], Batches]:
+    """Spans of the ANCHOR words at cover places of each text of ``window`` words or more that has a doc_id."""
     anchor, member = window - PERIOD + 1, np.isin(np.arange(PERIOD), COVER)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Batches) -> Batches:
         for b in batches:
             for i, j, buf, off in t.chunks(b.column("text")):
                 start, end, bounds = t.words(buf, off)
-                n = np.diff(bounds)
+                n = np.where(b.column("doc")[i:j].is_valid(), np.diff(bounds), 0)
                 own = t.owners(bounds)
                 place = np.arange(len(start)) - bounds[own]
                 w = np.flatnonzero(member[place % PERIOD] & (place + anchor <= n[own]) & (n[own] >= window))
                 h = t.Spans(t.Spans(buf).hash(start, end)).hash(w, w + anchor)
-                k1, k2, doc = (b.column(c).to_numpy()[i:j] for c in ("k1", "k2", "doc"))
+                k1, k2, doc = _numbers(b, i, j)
                 yield _packed(k1, k2, doc, np.searchsorted(own[w], np.arange(j - i + 1)), h, place[w])
 
-    return texts.mapInArrow(cut, _SPANS)
+    return cut
 
 
-def windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_SPANS of the windows that hold one of the anchors ``at`` of their text (of ``holders``)."""
+def windows(window: int = WINDOW) -> Callable[[Batches], Batches]:
+    """Spans of the windows that hold one of the anchors ``at`` of their text (of ``holders``)."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Batches) -> Batches:
         for b in batches:
             for i, j, buf, off in t.chunks(b.column("text")):
                 start, end, bounds = t.words(buf, off)
@@ -207,10 +208,14 @@ def windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
                 w = np.flatnonzero(np.cumsum(change)[:-1] > 0)
                 own = t.owners(bounds)
                 h = t.Spans(t.Spans(buf).hash(start, end)).hash(w, w + window)
-                k1, k2, doc = (b.column(c).to_numpy()[i:j] for c in ("k1", "k2", "doc"))
+                k1, k2, doc = _numbers(b, i, j)
                 yield _packed(k1, k2, doc, np.searchsorted(own[w], np.arange(j - i + 1)), h, w - bounds[own[w]])
 
-    return texts.mapInArrow(cut, _SPANS)
+    return cut
+
+
+def _numbers(b: pa.RecordBatch, i: int, j: int) -> tuple[np.ndarray, ...]:
+    return tuple(b.column(c)[i:j].fill_null(0).to_numpy() for c in ("k1", "k2", "doc"))
 
 
 def remove_shared(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -221,31 +226,32 @@ def remove_shared(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     new = {"n_words": "long", "n_removed": "long", "spans": "array<struct<start:int,end:int>>", "kept_text": "string"}
     old = docs.drop(*new)
     parts = ranges(docs, RANGE_BYTES)
-    k1, k2, at, least, doc = fresh(old, "k1", "k2", "at", "least", "doc")
     text, number = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
-    keyed = old.withColumns({k1: F.xxhash64(F.lit(1), number, text), k2: F.xxhash64(F.lit(2), number, text), doc: number})
-    texts = keyed.where(F.col(doc).isNotNull()).select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(doc).alias("doc"), text.alias("text"))
-    shared = holders(anchors(texts, window), parts).groupBy("k1", "k2").agg(F.first("at").alias("at"))  # rows of a repeated document are alike
-    found = holders(windows(texts.join(shared, ["k1", "k2"]), window), parts)
-    one = found.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.first("at").alias(at), F.first("least").alias(least))
+    # both joins below read one shuffle of this frame
+    keyed = old.select(F.xxhash64(F.lit(1), number, text).alias("k1"), F.xxhash64(F.lit(2), number, text).alias("k2"), number.alias("doc"), "text", *(F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(old.columns) if c.lower() != "text"))
+    narrow = keyed.select("k1", "k2", "doc", "text")
+    shared = holders(narrow, anchors(window), parts).groupBy("k1", "k2").agg(F.first("at").alias("at"))  # rows of a repeated document are alike
+    found = holders(keyed.join(shared, ["k1", "k2"]), windows(window), parts)
+    one = found.groupBy("k1", "k2").agg(F.first("at").alias("at"), F.first("least").alias("least"))
 
     names = old.columns
+    column = {c: "text" if c.lower() == "text" else f"c{n}" for n, c in enumerate(names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, off in t.chunks(b.column("text")):
                 start, end, bounds = t.words(buf, off)
                 change = np.zeros(len(start) + 1, np.int64)
-                for d, (moved, who, me) in enumerate(zip(b.column(at)[i:j].to_pylist(), b.column(least)[i:j].to_pylist(), b.column(doc)[i:j].to_pylist(), strict=True)):
+                for d, (moved, who, me) in enumerate(zip(*(b.column(c)[i:j].to_pylist() for c in ("at", "least", "doc")), strict=True)):
                     if moved is not None:
                         w = bounds[d] + np.cumsum(np.frombuffer(moved, np.int32).astype(np.int64))[np.frombuffer(who, np.int64) < me]
                         change[w] += 1  # the places of one text differ
                         change[w + window] -= 1
                 gone = np.cumsum(change)[:-1] > 0
-                yield pa.record_batch([*(b.column(c)[i:j] for c in names), *_kept(buf, start, end, bounds, gone)], [*names, *new])
+                yield pa.record_batch([*(b.column(column[c])[i:j] for c in names), *_kept(buf, start, end, bounds, gone)], [*names, *new])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in old.schema), *(f"{k} {v}" for k, v in new.items())])
-    return keyed.join(one, [k1, k2], "left").select(*(f"`{c}`" for c in names), at, least, doc).mapInArrow(cut, schema)
+    return keyed.join(one, ["k1", "k2"], "left").mapInArrow(cut, schema)
 
 
 def _kept(buf: np.ndarray, start: np.ndarray, end: np.ndarray, bounds: np.ndarray, gone: np.ndarray) -> list[pa.Array]:
