@@ -10,7 +10,7 @@ rounds them.  A parent of very many children goes to ``crowded``, which splits t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from stratum.functions.noise import Budget
 from stratum.operators import constraints as C
 from stratum.operators import solve as S
+from stratum.operators.crowded import BLOCK, crowded
 from stratum.operators.estimate import answers_of, settle
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain
 from stratum.operators.linear import LinearQuery, marginal
 
 KEYS = ("geolevel", "geocode")
+CROWD = 20_000  # children of one parent that a task may hold
 INVARIANTS = ("tot", "gqhh_vect", "gqhh_tot")
 
 
@@ -175,11 +177,23 @@ def _solver(constrained: Constrained, hess: np.ndarray, parts: list, kept: np.nd
     return run
 
 
-def top_down(measured: DataFrame, rhs: DataFrame, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], constrained: Constrained, kept: str | None = None) -> tuple[DataFrame, DataFrame]:
+def _solved(children: DataFrame, constrained: Constrained, hess: np.ndarray, parts: list, kept: np.ndarray | None, crowd: int) -> DataFrame:
+    """Parents of up to ``crowd`` children in one group each, the others split."""
+    many = children.groupBy("parent").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("parent")
+    if many.isEmpty():
+        return children.groupBy("parent").applyInPandas(_solver(constrained, hess, parts, kept, True), ANSWER)
+    many = settle(many)
+    few = children.join(many, "parent", "left_anti").groupBy("parent").applyInPandas(_solver(constrained, hess, parts, kept, True), ANSWER)
+    split = crowded(children.join(many, "parent", "left_semi"), hess, lambda a: linear(a, parts), bounds_of, constrained.sets, min(BLOCK, crowd))
+    return few.unionByName(split.drop("estimate"))
+
+
+def top_down(measured: DataFrame, rhs: DataFrame, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], constrained: Constrained, kept: str | None = None, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """((geolevel, geocode, cell, syn), (geolevel, geocode, slack, primal, dual) of each unit's solve).
 
     A unit's slack is how far, at least, the sums of it and its siblings are from their parent's cells; where it isn't 0, upper levels follow the leaves.
-    ``kept`` names a constraint whose answers hold the parent's even then."""
+    ``kept`` names a constraint whose answers hold the parent's even then.  Parents of more than ``crowd`` children are solved by ``crowded``, which has the
+    same estimate; there the parent's cells give way to the nearest in reach, and nothing is ``kept``."""
     spans, by_level = weights(domain, budget, queries, h)
     held = None if kept is None else np.array(sorted({s for (name, _), s in constrained.place.items() if name == kept}))
     rows = settle(packed(measured, spans).join(listed(rhs, constrained), list(KEYS), "left"))
@@ -189,12 +203,53 @@ def top_down(measured: DataFrame, rhs: DataFrame, h: Hierarchy, domain: Domain,
     for level in reversed(h.levels[:-1]):
         above = done.select(F.col("geocode").alias("parent"), F.col("x").alias("above"))
         below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode"))).join(above, "parent")
-        done = settle(below.groupBy("parent").applyInPandas(_solver(constrained, *by_level[level], held, True), ANSWER))
+        done = settle(_solved(below, constrained, *by_level[level], held, crowd))
         flags = flags.unionByName(done.drop("x"))
     leaves = done.select("geocode", F.posexplode("x").alias("cell", "n")).where("n > 0")
     return h.rollup(leaves, "cell").withColumnRenamed("n", "syn"), flags
 
 
+def below(measured: DataFrame, rhs: DataFrame, above: DataFrame, level: str, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], constrained: Constrained) -> DataFrame:
+    """(geolevel, geocode, x, slack, primal, dual) of one level under given parents ``above(geocode, cell, n)``."""
+    spans, by_level = weights(domain, budget, queries, h)
+    cells = above.groupBy(F.col("geocode").alias("parent")).agg(F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("m"))  # as many as the domain has
+    dense = cells.select("parent", F.transform(F.sequence(F.lit(0), F.lit(domain.size - 1)), lambda c: F.coalesce(F.element_at("m", c), F.lit(0)).cast("long")).alias("above"))
+    rows = settle(packed(measured.where(F.col("geolevel") == level), spans).join(listed(rhs, constrained), list(KEYS), "left"))
+    children = rows.withColumn("parent", h.parent(level, F.col("geocode"))).join(dense, "parent")
+    return settle(children.groupBy("parent").applyInPandas(_solver(constrained, *by_level[level], None, True), ANSWER))
+
+
+def least_slacks(parents: DataFrame, rhs: DataFrame, level: str, h: Hierarchy, constrained: Constrained) -> DataFrame:
+    """(geocode, slack) of every parent above ``level``: how far its cells ``parents(geocode, cell, n)`` are, at least, from what the bounds of its
+    children allow together.  One row of arrays a child, summed before anything is gathered: a parent of any number of children is one row."""
+    number = len(constrained.sets.above)
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            low, high = S.tight(*bounds_of(list(frame["cons"]), number), constrained.sets)
+            if (low > high).any():
+                raise ValueError("a child's bounds contradict each other")
+            yield pd.DataFrame({"parent": frame["parent"], "low": list(low), "high": list(high)})
+
+    children = listed(rhs.where(F.col("geolevel") == level), constrained).select(h.parent(level, F.col("geocode")).alias("parent"), "cons")
+    each = children.mapInPandas(drawn, "parent string, low array<double>, high array<double>")
+    sums = each.groupBy("parent").agg(F.array(*(F.sum(F.col("low")[s]) for s in range(number))).alias("low"), F.array(*(F.sum(F.col("high")[s]) for s in range(number))).alias("high"))
+    cells = parents.groupBy("geocode").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # as many as the domain has
+
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            out = []
+            for low, high, rows in zip(frame["low"], frame["high"], frame["cells"], strict=True):
+                goal = np.zeros(constrained.sets.member.shape[1], np.int64)
+                for r in rows if rows is not None else ():
+                    goal[r["cell"]] = r["n"]
+                out.append(S.least_slack(goal, np.array(low)[None], np.array(high)[None], constrained.sets))
+            yield pd.DataFrame({"geocode": frame["geocode"], "slack": out})
+
+    both = sums.withColumnRenamed("parent", "geocode").join(cells, "geocode", "left")
+    return both.mapInPandas(least, "geocode string, slack long")
+
+
 def marginal_rows(estimates: DataFrame, query: LinearQuery, units: DataFrame, name: str = "minSchema") -> DataFrame:
     """The answers of a first phase's ``estimates`` as equality rows for the second, of every unit and level."""
     rows = query.answer(estimates.withColumnRenamed("syn", "n"), *KEYS)

@@ -672,6 +672,72 @@ def topdown_levels(spark, sf):
     return by_levels(spark, sf, "2018")[0]
 
 
+def _clashing(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds of nations that their regions can't keep: each has three quarters of its first category's persons at most, a ninth more of its second's at
+    least, and customers none."""
+    n = marginal(DOMAIN, "hhgq").answer(hist(spark, sf).where("geolevel = 'nation'"), *KEYS)
+    most = n.where("row = 0").select(*KEYS, F.lit("hhgq_total_ub").alias("cons"), "row", F.lit("le").alias("sign"), F.expr("n * 3 div 4").alias("rhs"))
+    least = n.where("row = 1").select(*KEYS, F.lit("hhgq_total_lb").alias("cons"), "row", F.lit("ge").alias("sign"), F.expr("n * 10 div 9").alias("rhs"))
+    return most.unionByName(least)
+
+
+_CLASH_SQL = """, cn AS (SELECT geolevel, geocode, hhgq AS row, CAST(sum(n) AS BIGINT) AS n FROM axes WHERE geolevel = 'nation' AND hhgq < 2 GROUP BY ALL),
+cb AS (SELECT substring(geocode, 1, 2) AS geocode, sum(CASE row WHEN 0 THEN n - n * 3 // 4 ELSE 0 END) AS over, sum(CASE row WHEN 1 THEN n * 10 // 9 - n ELSE 0 END) AS short FROM cn GROUP BY 1)
+SELECT geocode, CAST(over + short AS BIGINT) AS slack, over + short > 0 AS fallback"""
+
+
+@query(BASE + _CLASH_SQL + " FROM cb")
+def least_slack_of_regions(spark, sf):
+    """Regions as they are under their nations' clashing bounds: what is over in one category and short in another."""
+    sets = T.Constrained.of(DOMAIN, T.constraint_queries(DOMAIN))
+    found = T.least_slacks(hist(spark, sf).where("geolevel = 'region'").drop("geolevel"), _clashing(spark, sf), "nation", H, sets)
+    return found.select("geocode", "slack", (F.col("slack") > 0).alias("fallback"))
+
+
+@query(BASE + _CLASH_SQL + ", TRUE AS near, TRUE AS bounded FROM cb")
+def fallback_solve(spark, sf):
+    """Nations estimated under regions as they are: the slack is the least, the whole numbers miss the regions by one more at most, and keep every bound."""
+    sets = T.Constrained.of(DOMAIN, T.constraint_queries(DOMAIN))
+    rhs = _clashing(spark, sf)
+    above = hist(spark, sf).where("geolevel = 'region'").drop("geolevel")
+    made = T.below(measured(spark, sf), rhs, above, "nation", H, DOMAIN, BUDGET, workload(DOMAIN), sets)
+    cells = made.select("geocode", F.posexplode("x").alias("cell", "n")).groupBy(F.substring("geocode", 1, 2).alias("geocode"), "cell").agg(F.sum("n").alias("n"))
+    miss = cells.join(above.withColumnRenamed("n", "goal"), ["geocode", "cell"], "full").groupBy("geocode").agg(F.sum(F.abs(F.coalesce("n", F.lit(0)) - F.coalesce("goal", F.lit(0)))).alias("miss"))
+    kept = T.checked(made.select(*KEYS, F.posexplode("x").alias("cell", "syn")), rhs, sets).agg(F.sum("failures").alias("failures"))
+    slack = made.groupBy(F.substring("geocode", 1, 2).alias("geocode")).agg(F.max("slack").alias("slack"))
+    return slack.join(miss, "geocode").crossJoin(F.broadcast(kept)).select("geocode", "slack", (F.col("slack") > 0).alias("fallback"), (F.col("miss") <= F.col("slack") + 1).alias("near"), (F.col("failures") == 0).alias("bounded"))
+
+
+HHGQ = Domain(("hhgq",), (5,))
+MARGINAL = N.Budget(0.3, BUDGET.levels, 1.0, {})
+
+
+def two_phases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, T.Constrained]:
+    """(second phase's estimates, their flags, equality rows of the first phase, constraints): quarters alone under the rules of 1940, then all
+    cells with every unit's quarters held at all levels."""
+    true, at = hist(spark, sf), unit_levels(spark, sf)
+    first = T.Constrained.of(HHGQ, T.constraint_queries(HHGQ))
+    marginals = marginal(DOMAIN, "hhgq").answer(true, *KEYS).select(*KEYS, F.col("row").alias("cell"), F.col("n").cast("long").alias("n"))
+    quarters, _ = T.top_down(E.measure(marginals, at, HHGQ, MARGINAL, {}), level_constraints(spark, sf, "1940"), H, HHGQ, MARGINAL, {}, first)
+    held = E.settle(T.marginal_rows(quarters, marginal(HHGQ, "hhgq"), at))
+    second = T.Constrained.of(DOMAIN, {"minSchema": marginal(DOMAIN, "hhgq")})
+    estimates, flags = T.top_down(measured(spark, sf), held, H, DOMAIN, BUDGET, workload(DOMAIN), second, kept="minSchema")
+    return estimates, flags, held, second
+
+
+@query(BASE + "SELECT geolevel, 'minSchema' AS cons, CAST(count(*) * 5 AS BIGINT) AS checked, CAST(0 AS BIGINT) AS failures FROM ugeo GROUP BY ALL")
+def two_phase_levels_check(spark, sf):
+    """The first phase's quarters hold in the second at every level."""
+    estimates, _, held, sets = two_phases(spark, sf)
+    return T.checked(estimates, held, sets)
+
+
+@query(BASE + "SELECT geolevel, geocode, tot AS n FROM tots WHERE geolevel IN ('region', 'root')")
+def two_phase_levels_totals(spark, sf):
+    """The first phase's exact totals are the second's."""
+    return two_phases(spark, sf)[0].where("geolevel IN ('region', 'root')").groupBy(*KEYS).agg(F.sum("syn").cast("long").alias("n"))
+
+
 @query(" UNION ALL ".join(f"SELECT {i + 1} AS phase, '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for i, rows in enumerate(N.phases(BUDGET, 0.3)) for a, b, e, v in rows))
 def budget_phases(spark, sf):
     rows = [(i + 1, *r) for i, part in enumerate(N.phases(BUDGET, 0.3)) for r in part]
