@@ -4,26 +4,29 @@ The bounds of a unit follow from its leaves: persons of the leaf in a set S of c
 its units outside S, and none if it has no unit in S.  Their sums over leaves bound every unit above, so a parent's value
 that keeps its own bounds always has children that keep theirs (the sets' bounds are submodular, and so are their sums).
 
-Per parent one grouped function estimates and rounds all children together, as they share the parent's cells: least squares
-under the linear constraints by alternating projections, whole numbers by exchanges along shortest paths between categories, and cells
-within a category likewise.  A group has children x cells numbers; the number of children of one parent bounds a task, as the
+Per parent one grouped function estimates and rounds all children together, as they share the parent's cells: ``solve.estimate`` of every
+measured query, whole numbers by exchanges along shortest paths between categories, and cells
+within a category likewise.  Constraints that are named level by level, with totals free elsewhere, are in ``topdown``.  A group has children x cells numbers; the number of children of one parent bounds a task, as the
 geography does.  Where a parent's value can't be reached (bounds that aren't its own, given from outside), the least total slack on
 the parent's categories is taken instead, flagged, and upper levels are added up again from the leaves."""
 
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.noise import Budget
+from stratum.operators import solve as S
 from stratum.operators.estimate import settle
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain
-
-ROUNDS = 60  # of alternating projections
+from stratum.operators.linear import LinearQuery
+from stratum.operators.topdown import linear, packed, weights
 
 
 def set_bounds(hist: DataFrame, units: DataFrame, levels: int, h: Hierarchy) -> DataFrame:
@@ -137,31 +140,19 @@ def whole_cells(target: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np
     return x
 
 
-def least_squares(noisy: np.ndarray, parent: np.ndarray, tot: np.ndarray, category: np.ndarray, low: np.ndarray, high: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def least_squares(noisy: np.ndarray, parent: np.ndarray, tot: np.ndarray, category: np.ndarray, low: np.ndarray, high: np.ndarray, rounds: int = S.ROUNDS) -> np.ndarray:
     """Nearest (children, cells) numbers that are not negative, add up to the parent's cells and the children's totals, with categories in
-    [low, high], by alternating projections with corrections (Dykstra)."""
-    x = noisy.astype(float).copy()
-    m = low.shape[1]
-    size = np.bincount(category, minlength=m)
-    member = np.eye(m)[category]
-    fixed = [np.zeros_like(x) for _ in range(2)]
-    for _ in range(rounds):
-        x += (parent - x.sum(0)) / len(x)
-        y = x + fixed[0]
-        x = np.maximum(y, 0)
-        fixed[0] = y - x
-        x += ((tot - x.sum(1)) / x.shape[1])[:, None]
-        y = x + fixed[1]
-        sums = y @ member
-        x = y + ((np.clip(sums, low, high) - sums) / np.maximum(size, 1))[:, category]
-        fixed[1] = y - x
-    return x
+    [low, high]."""
+    member = np.vstack([np.ones(len(category), bool), np.arange(low.shape[1])[:, None] == category])
+    total = np.asarray(tot, float)[:, None]
+    return S.estimate(np.eye(len(category)), noisy.astype(float), member, np.hstack([total, low]), np.hstack([total, high]), parent, rounds=rounds).x
 
 
-def solve_children(noisy: np.ndarray, parent: np.ndarray, most: np.ndarray, category: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+def solve_children(noisy: np.ndarray, parent: np.ndarray, most: np.ndarray, category: np.ndarray, hess: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(least squares, whole numbers, slack) of the children of one parent; ``most[:, -1]`` are their exact totals.
 
-    Short cuts: a parent without persons gives zeros; a single child is its parent."""
+    Least squares is over ``noisy`` cells, or with ``hess`` of x'Hx/2 - h'x with ``noisy`` as h, under the bounds of all sets of categories.  Short cuts: a
+    parent without persons gives zeros; a single child is its parent."""
     m = int(category.max()) + 1
     tot = most[:, -1]
     if not parent.sum() and not tot.sum():
@@ -170,12 +161,20 @@ def solve_children(noisy: np.ndarray, parent: np.ndarray, most: np.ndarray, cate
     every = most.shape[1] - 1
     high = most[:, [1 << r for r in range(m)]]
     low = tot[:, None] - most[:, [every ^ 1 << r for r in range(m)]]
+    have = np.bincount(category, parent, m)
     if len(noisy) == 1 and parent.sum() == tot[0]:
-        sums = np.bincount(category, parent, m)
-        if (sums >= low[0]).all() and (sums <= high[0]).all():
+        if (have >= low[0]).all() and (have <= high[0]).all():
             return parent[None].astype(float), parent[None].astype(np.int64), 0
-    x = least_squares(noisy, parent, tot, category, low, high)
-    columns = np.bincount(category, parent, m).astype(np.int64)
+    inside = np.arange(1 << m)[:, None] >> np.arange(m) & 1
+    reach = (inside @ have <= most.sum(0)).all() and have.sum() == tot.sum()  # the sets' bounds are submodular, and so are their sums
+    top = most.astype(float)
+    bottom = np.where(np.arange(1 << m) == every, top, -np.inf)
+    live = np.flatnonzero(parent > 0) if reach else np.arange(len(category))
+    member = (inside[1:] @ (np.arange(m)[:, None] == category)).astype(bool)
+    x = np.zeros(noisy.shape)
+    matrix = np.eye(len(category)) if hess is None else hess
+    x[:, live] = S.estimate(matrix[np.ix_(live, live)], noisy[:, live].astype(float), member[:, live], bottom[:, 1:], top[:, 1:], parent[live] if reach else None).x
+    columns = have.astype(np.int64)
     y, slack = whole_categories(x @ np.eye(m)[category], most, columns)
     out = np.zeros(noisy.shape, np.int64)
     for r in range(m):
@@ -213,26 +212,29 @@ def solve_root(noisy: np.ndarray, most: np.ndarray, category: np.ndarray, zeros:
     return out
 
 
-def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, domain: Domain, axis: str = "hhgq", zeros: list[int] | None = None) -> DataFrame:
-    """(geolevel, geocode, cell, syn, slack): the noisy detailed answers made whole, consistent and true to totals and bounds.
+def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], axis: str = "hhgq", zeros: list[int] | None = None) -> DataFrame:
+    """(geolevel, geocode, cell, syn, slack): estimates from all measured queries, made whole, consistent and true to totals and bounds.
 
-    ``measured(geolevel, geocode, query, row, noisy)`` has a detailed answer for every cell of every unit; ``bounds`` is of ``set_bounds``."""
+    ``measured(geolevel, geocode, query, row, noisy)`` has the answers of every unit to the queries of ``budget``; ``bounds`` is of ``set_bounds``."""
     size, k = domain.size, domain.names.index(axis)
     category = np.array([c // domain.strides[k] % domain.dims[k] for c in range(size)])
     zeros = zeros or []
-    detail = measured.where("query = 'detailed'").groupBy("geolevel", "geocode").agg(F.array_sort(F.collect_list(F.struct("row", F.col("noisy").cast("double").alias("v")))).alias("cells"))  # ``size`` entries
-    rows = settle(detail.select("geolevel", "geocode", F.transform("cells", lambda c: c["v"]).alias("noisy")).join(bounds, ["geolevel", "geocode"]))
+    spans, by_level = weights(domain, budget, queries, h)
+    rows = settle(packed(measured, spans).join(bounds, ["geolevel", "geocode"]))
     top = h.levels[-1]
+    root_hess, root_parts = by_level[top]
 
     def root(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"geolevel": top, "geocode": frame["geocode"], "x": [solve_root(np.array(n), np.array(b), category, zeros) for n, b in zip(frame["noisy"], frame["most"], strict=True)], "slack": 0})
+        cells = np.linalg.solve(root_hess, linear(np.stack(frame["answers"]), root_parts).T).T
+        return pd.DataFrame({"geolevel": top, "geocode": frame["geocode"], "x": [solve_root(n, np.array(b), category, zeros) for n, b in zip(cells, frame["most"], strict=True)], "slack": 0})
+
+    def children(hess: np.ndarray, parts: list) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.sort_values("geocode")
+            _, whole, slack = solve_children(linear(np.stack(frame["answers"]), parts), np.array(frame["above"].iloc[0]), np.stack(frame["most"]), category, hess)
+            return pd.DataFrame({"geolevel": frame["geolevel"], "geocode": frame["geocode"], "x": list(whole), "slack": slack})
 
-    def children(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("geocode")
-        noisy = np.stack(frame["noisy"])
-        noisy[:, zeros] = 0
-        _, whole, slack = solve_children(noisy, np.array(frame["above"].iloc[0]), np.stack(frame["most"]), category)
-        return pd.DataFrame({"geolevel": frame["geolevel"], "geocode": frame["geocode"], "x": list(whole), "slack": slack})
+        return run
 
     schema = "geolevel string, geocode string, x array<long>, slack long"
     done = settle(rows.where(F.col("geolevel") == top).groupBy("geocode").applyInPandas(root, schema))
@@ -240,7 +242,7 @@ def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, d
     for level in reversed(h.levels[:-1]):
         above = done.select(F.col("geocode").alias("parent"), F.col("x").alias("above"))
         below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode"))).join(above, "parent")
-        done = settle(below.groupBy("parent").applyInPandas(children, schema))
+        done = settle(below.groupBy("parent").applyInPandas(children(*by_level[level]), schema))
         flags = flags.unionByName(done.select("geolevel", "geocode", "slack"))
     leaves = done.select("geocode", F.posexplode("x").alias("cell", "n"))
     return h.rollup(leaves, "cell").withColumnRenamed("n", "syn").join(flags, ["geolevel", "geocode"])

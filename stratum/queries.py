@@ -567,7 +567,7 @@ def constrained(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(estimates, bounds)."""
     bounds = E.settle(set_bounds(spark, sf))
     noisy = E.measure(hist(spark, sf), bounds.select(*KEYS), DOMAIN, BUDGET, workload(DOMAIN))
-    return K.constrained_top_down(noisy, bounds, H, DOMAIN), bounds
+    return K.constrained_top_down(noisy, bounds, H, DOMAIN, BUDGET, workload(DOMAIN)), bounds
 
 
 _SET_V = " + ".join(f"CASE WHEN s >> {r} & 1 = 1 THEN u{r} ELSE 0 END" for r in range(5))

@@ -252,12 +252,20 @@ def test_release_from_files(spark, tmp_path):
     assert len(lines) == len(people) and {len(x) for x in lines} == {23} and len(units) == len(homes) and {len(x) for x in units} == {25}
     assert sum(int(x[10]) for x in units) == len(people)
     checks = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "out" / "checks")).collect()]
-    assert {c["cons"] for c in checks} == {"total", "ub", "lb", "union"} and all(c["failures"] == 0 for c in checks)
-    per = {r["geocode"]: r["n"] for r in made.truth.groupBy("geocode").agg(F.sum("n").alias("n")).collect()}
-    saved = spark.read.parquet(str(tmp_path / "out" / "estimates")).where("geolevel = 'district'").groupBy("geocode").agg(F.sum("syn").alias("n")).where("n > 0").collect()
-    assert {r["geocode"]: r["n"] for r in saved} == per
+    assert {c["cons"] for c in checks} == {"total", "hhgq_total_ub", "hhgq_total_lb"} and all(c["failures"] == 0 for c in checks)
+    assert {c["geolevel"] for c in checks if c["cons"] == "total"} == {"state", "root"}  # no district's or county's total is published
     # every occupied unit has a person, as the bounds say
     assert all(int(x[10]) > 0 for x in units)
+    # a configuration whose rules name the districts' totals has them exact, and a structural zero holds at every level
+    config.read_dict({"constraints": {"invariants.district": "tot, gqhh_vect, gqhh_tot", "constraints.district": "total, hhgq_total_lb, hhgq_total_ub, nurse_nva_0"}, "writer": {"folder": str(tmp_path / "exact")}})
+    made = release.run(spark, config)
+    per = {r["geocode"]: r["n"] for r in made.truth.groupBy("geocode").agg(F.sum("n").alias("n")).collect()}
+    saved = spark.read.parquet(str(tmp_path / "exact" / "estimates"))
+    assert {r["geocode"]: r["n"] for r in saved.where("geolevel = 'district'").groupBy("geocode").agg(F.sum("syn").alias("n")).where("n > 0").collect()} == per
+    assert made.checks.where("cons = 'nurse_nva_0' AND failures = 0").count() == 4 and saved.where(F.col("cell").between(3 * 24, 3 * 24 + 11) & (F.col("syn") > 0)).count() == 0
+    config.read_dict({"constraints": {"constraints.planet": "total"}})
+    with pytest.raises(ValueError, match="planet"):
+        release.run(spark, config)
     (tmp_path / "bad.txt").write_text(household(1, "0001", 5))
     with pytest.raises(PySparkException):
         release.recoded_1940(records.read_records(spark, str(tmp_path / "bad.txt"), "household_1940"), records.read_records(spark, str(tmp_path / "p.txt"), "person_1940"))[1].collect()
