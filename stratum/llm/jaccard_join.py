@@ -18,7 +18,7 @@ set.  Two classes link if 100 * intersection >= percent * union.
    the tokens in which the two differ are read.  A pair counts in the task that leads its least common token, so once.
    Links feed a union-find; only its forest and the number of links of each set leave, so components join true links alone.
 
-Tokens are 62-bit hashes, lists and sets are known by 48 bits of a hash where a clash only makes a task larger.
+Tokens are 62-bit hashes, sent as 48 bits where a clash only makes a list longer; sets are known by the 128 bits of a digest of their tokens.
 Null text is empty; repeated rows are separate documents of one class; ties between classes go to the least id, then the
 least digest; a null doc_id counts in links, but a component's id is the least non-null id (null if there is none); extra
 columns are ignored; empty tables give empty results.
@@ -38,6 +38,7 @@ from stratum.llm import _text as t
 from stratum.llm._blocks import deal, runs, unpack
 from stratum.llm._spark import components, fresh, id_filter, most_frequent, ranges, settle, settle_table
 
+NAME = 16  # bytes of a digest
 BLOCK = 4096
 PRUNE = 8192  # a longer list is compared without looking at sketches first
 FLUSH_KEYS = 2_000_000
@@ -57,10 +58,21 @@ def digests(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
 
 
 def short(digest: bytes) -> int:
-    """48 bits of a digest."""
+    """48 bits of a digest, for a filter that may pass too much."""
     return int.from_bytes(digest[:6], "little")
 
 
+def numbered(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different names in order, number of each): rows of NAME bytes, so that a task works with numbers in the names' order."""
+    high, low = (np.ascontiguousarray(names[:, i : i + 8]).view(">u8").ravel() for i in (0, 8))
+    order = np.lexsort((low, high))
+    new = np.ones(len(order), bool)
+    new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return names[order[new]], number
+
+
 def _six(x: np.ndarray) -> np.ndarray:
     """The low six bytes of each number, one row each."""
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()
@@ -168,16 +180,17 @@ def shared_leaders(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> Da
         def flush() -> pa.RecordBatch:
             token, own, size, place = (np.concatenate(x) for x in zip(*found, strict=True))
             part = (t.mix(token) % np.uint64(parts)).astype(np.int64)
-            dealt = list(deal(part, parts, token=_six(token), own=_six(own), size=size.astype(np.uint32), place=place.astype(np.uint32)))
+            dealt = list(deal(part, parts, token=_six(token), own=own, size=size.astype(np.uint32), place=place.astype(np.uint32)))
             return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x[c] for _, x in dealt], pa.binary()) for c in columns)], ["part", *columns])
 
         for b in batches:
             for _, _, buf, off in t.chunks(b.column("text")):
                 h, at = sets(buf, off, k)
-                name = np.array([short(d) if d else -1 for d in digests(h, at)], np.int64)
+                made = digests(h, at)
+                name = np.frombuffer(b"".join(d or bytes(NAME) for d in made), np.uint8).reshape(-1, NAME)
                 new = np.zeros(len(name), bool)
-                for i, x in enumerate(name.tolist()):  # copies in a task count once
-                    if x >= 0 and x not in seen:
+                for i, x in enumerate(made):  # copies in a task count once
+                    if x is not None and x not in seen:
                         seen.add(x)
                         new[i] = True
                 h = ordered(h, at, model.value)
@@ -194,7 +207,8 @@ def shared_leaders(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> Da
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = unpack(batches, token=np.uint8, own=np.uint8, size=np.uint32, place=np.uint32)
-        leader, member, place = led(_eight(x["token"]), _eight(x["own"]), x["size"].astype(np.int64), x["place"].astype(np.int64), percent)
+        names, own = numbered(x["own"].reshape(-1, NAME))
+        leader, member, place = led(_eight(x["token"]), own, x["size"].astype(np.int64), x["place"].astype(np.int64), percent)
         order = np.lexsort((place, member, leader))
         leader, member, place = leader[order], member[order], place[order].astype(np.uint32)
         head = np.flatnonzero(np.concatenate([[True], (leader[1:] != leader[:-1]) | (member[1:] != member[:-1])])) if len(leader) else np.zeros(0, np.int64)
@@ -202,10 +216,11 @@ def shared_leaders(docs: DataFrame, k: int, percent: int, hot: np.ndarray) -> Da
         for i in range(0, len(head), 1 << 15):
             some = head[i : i + (1 << 15)]
             packed = [place[a:b].tobytes() for a, b in zip(some.tolist(), at[i + 1 : i + 1 + len(some)].tolist(), strict=True)]
-            yield pa.record_batch([pa.array(leader[some]), pa.array(member[some]), pa.array(packed, pa.binary())], ["leader", "member", "places"])
+            who = [pa.array([r.tobytes() for r in names[of[some]]], pa.binary()) for of in (leader, member)]
+            yield pa.record_batch([*who, pa.array(packed, pa.binary())], ["leader", "member", "places"])
 
     dealt = docs.select("text").mapInArrow(emit, "part int, " + ", ".join(f"{c} binary" for c in columns)).repartition(parts, "part")
-    return dealt.mapInArrow(link, "leader long, member long, places binary")
+    return dealt.mapInArrow(link, "leader binary, member binary, places binary")
 
 
 def with_partner(size: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
@@ -351,9 +366,7 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     rows = made.where("often IS NULL").select("doc_id", "n_shingles", "digest")
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     hot = docs.sparkSession.sparkContext.broadcast(frequent_tokens(made))
-    text = F.hex("digest")
-    low = F.conv(F.concat(*(F.substring(text, i, 2) for i in range(11, 0, -2))), 16, 10).cast("long")
-    described = made.where("digest IS NOT NULL").groupBy(low.alias("member")).agg(F.count("*").alias("copies"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    described = made.where("digest IS NOT NULL").groupBy(F.col("digest").alias("member")).agg(F.count("*").alias("copies"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
     parts = ranges(docs, RANGE_BYTES)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,9 +376,10 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
             yield from run.select(["leader", "member", "places", "copies"]).to_batches()
 
     led_sets = shared_leaders(docs, k, percent, hot.value).groupBy("member", "leader").agg(F.collect_list("places").alias("places")).join(described, "member").select("leader", "member", "places", "copies", "size", "sketch")
-    pairs = settle_table(led_sets.repartition(parts, "leader").sortWithinPartitions("leader").mapInArrow(prune, "leader long, member long, places array<binary>, copies long"))
+    pairs = settle_table(led_sets.repartition(parts, "leader").sortWithinPartitions("leader").mapInArrow(prune, "leader binary, member binary, places array<binary>, copies long"))
     crowds = pairs.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
-    wanted = id_filter(pairs, "member")
+    low = F.conv(F.concat(*(F.substring(F.hex("member"), i, 2) for i in range(11, 0, -2))), 16, 10).cast("long")
+    wanted = id_filter(pairs.select(low.alias("member")), "member")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -379,12 +393,12 @@ def near_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
                         seen.add(made[x])
                         live.append(x)
                 some = pa.array(live, pa.int64())
-                yield pa.record_batch([pa.array(number[live]), pa.array([made[x] for x in live], pa.binary()), b.column("text")[i:j].take(some)], ["member", "digest", "text"])
+                yield pa.record_batch([pa.array([made[x] for x in live], pa.binary()), b.column("text")[i:j].take(some)], ["member", "text"])
 
-    texts = docs.select("text").mapInArrow(name, "member long, digest binary, text string")
-    placed = texts.join(pairs, "member").join(crowds, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    texts = docs.select("text").mapInArrow(name, "member binary, text string")
+    placed = texts.join(pairs.join(crowds, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))), "member").withColumn("digest", F.col("member"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.withColumn("task", F.concat_ws("-", "leader", F.least("block", "other"), F.greatest("block", "other"))).select("task", "block", "copies", "places", "digest", "text")
+    placed = placed.withColumn("task", F.concat_ws("-", F.hex("leader"), F.least("block", "other"), F.greatest("block", "other"))).select("task", "block", "copies", "places", "digest", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "task"):

@@ -25,7 +25,7 @@ def test_stages(spark, sf, tmp_path):
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in registry.QUERIES) == list(range(1, 14))
 
 
 def planted(n):
