@@ -79,17 +79,26 @@ def laplace_variance(scale: float) -> float:
     return 2 * scale**2
 
 
-@F.pandas_udf(T.DoubleType())
-def heavy_tail(u: pd.Series) -> pd.Series:
-    """Quantile of the density sqrt(2) / (pi (1 + z^4)), by bisection on its closed-form distribution function."""
-    q = u.to_numpy(float)
-    low, high = np.full(len(q), -1e6), np.full(len(q), 1e6)
-    for _ in range(100):
-        z = (low + high) / 2
-        r = math.sqrt(2) * z
-        f = 0.5 + (np.log1p(2 * r / (z * z - r + 1)) / 2 + np.arctan(r + 1) + np.arctan(r - 1)) / (2 * math.pi)
-        low, high = np.where(f < q, z, low), np.where(f < q, high, z)
-    return pd.Series((low + high) / 2)
+HALVINGS = 100
+
+
+def heavy_tail_share(z: Column) -> Column:
+    """Distribution function of the density sqrt(2) / (pi (1 + z^4))."""
+    r = z * math.sqrt(2)
+    return 0.5 + (F.log1p(2 * r / (z * z - r + 1)) / 2 + F.atan(r + 1) + F.atan(r - 1)) / (2 * math.pi)
+
+
+def heavy_tail(u: Column) -> Column:
+    """Quantile of that density, by a fixed number of bisections in one fold inside the JVM; ``u`` is computed once."""
+    struct = lambda q, low, high: F.struct(q.alias("q"), low.alias("low"), high.alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        z = (s["low"] + s["high"]) / 2
+        below = heavy_tail_share(z) < s["q"]
+        return struct(s["q"], F.when(below, z).otherwise(s["low"]), F.when(below, s["high"]).otherwise(z))
+
+    start = struct(u.cast("double"), F.lit(-1e6), F.lit(1e6))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve, lambda s: (s["low"] + s["high"]) / 2)
 
 
 def smooth_laplace(value: Column, largest: Column, u: Column, alpha: float, delta: float, epsilon: float, ignore: bool = False) -> Column:

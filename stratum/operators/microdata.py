@@ -34,9 +34,10 @@ def starts(unit_hist: DataFrame) -> DataFrame:
 
 def persons(hist: DataFrame, unit_hist: DataFrame, domain: Domain) -> DataFrame:
     """(geocode, hhgq, cell, unit, person): persons dealt in turn to the units of their type, in cell order."""
-    rows = domain.decode(expand(hist.select("geocode", "cell", "n")))
-    k = F.row_number().over(Window.partitionBy("geocode", "hhgq").orderBy("cell", "copy")) - 1
-    placed = rows.withColumn("k", k.cast("long")).join(starts(unit_hist), ["geocode", "hhgq"])
+    before = Window.partitionBy("geocode", "hhgq").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = domain.decode(hist.groupBy("geocode", "cell").agg(F.sum("n").alias("n"))).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # the cells of a block and type are numbered, not its persons: these count on within their cell, in whatever task they are
+    placed = expand(cells).withColumn("k", (F.col("base") + F.col("copy") - 1).cast("long")).join(starts(unit_hist), ["geocode", "hhgq"])
     return placed.select("geocode", "hhgq", "cell", (F.col("start") + F.col("k") % F.col("size")).alias("unit"), F.floor(F.col("k") / F.col("size")).alias("person"))
 
 

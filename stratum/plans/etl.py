@@ -9,6 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.functions.noise import hash_uniform
+from stratum.operators.validate import intervals, merged
+
 
 def migrate(records: DataFrame, body: dict[str, str], defaults: dict[str, object] | None = None, overrides: dict[str, object] | None = None, where: str | None = None) -> DataFrame:
     """Output records: defaults first, then SQL expressions over the input, then overrides; ``where`` filters the input."""
@@ -32,6 +35,26 @@ def statistics(records: DataFrame) -> DataFrame:
     return records.agg(*aggs).select(F.explode(F.array(*names)).alias("s")).select("s.*")
 
 
+def random_records(keys: DataFrame, variables: dict[str, str], seed: int = 1, key: str = "id") -> DataFrame:
+    """``keys(key)`` with a legal value of every variable, each as likely as the others: ``variables`` gives legal lists such as "0-99,999" or "A-F".
+
+    Values come from a hash of the seed, the variable and the key, so they are the same in any partitions and on every run.  Ranges of single letters give
+    letters, others integers; ranges that touch or overlap count once."""
+    made = {}
+    for name, text in variables.items():
+        ends = intervals(text)
+        letters = all(len(x) == 1 and not x.isdigit() for e in ends for x in e)
+        ranges = merged([(ord(a), ord(b)) if letters else (int(a), int(b)) for a, b in ends])
+        size = sum(b - a + 1 for a, b in ranges)
+        place = F.floor(hash_uniform(F.lit(str(seed)), F.lit(name), F.col(key).cast("string")) * size)
+        value, past = F, 0
+        for a, b in ranges:
+            value = value.when(place < past + b - a + 1, place + (a - past))
+            past += b - a + 1
+        made[name] = F.char(value) if letters else value.cast("long")
+    return keys.select(key, *(v.alias(k) for k, v in made.items()))
+
+
 # fixed values: factors of the record checksum
 CHECKSUM = {"YEAR": 1, "PERNUM": 3, "RELATE": 5, "SEX": 7, "AGE": 11, "RACE": 13}
 

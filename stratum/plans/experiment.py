@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import configparser
+import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from decimal import Decimal
 from functools import reduce
 from itertools import product
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,33 @@ def load_config(path: str) -> configparser.ConfigParser:
     return own
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Of what a frame computes: its resolved plan, and the path, size and time of change of every file that it reads."""
+    files = sorted(df.inputFiles())
+    seen = []
+    if files:
+        seen = df.sparkSession.read.format("binaryFile").load(files).select("path", "length", F.col("modificationTime").cast("double")).collect()  # one row a file
+    return hashlib.sha256(repr((df.semanticHash(), df.schema.simpleString(), sorted(map(tuple, seen)))).encode()).hexdigest()
+
+
+def cached(df: DataFrame, folder: str) -> DataFrame:
+    """The frame's rows from ``folder``, where a run that computed the same of the same files has left them, else computed and left there for others.
+
+    A table counts once its write has ended and its entry names it, so a run that was lost leaves nothing that is read.  ``folder`` must be shared by driver and executors."""
+    spark, entry = df.sparkSession, f"{folder}/{fingerprint(df)}"
+    try:
+        found = spark.read.schema("path string").parquet(entry).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    path = found["path"] if found else f"{entry}-{uuid.uuid4().hex}"
+    if not found:
+        df.write.parquet(path)
+        spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(entry)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _LOOP = re.compile(r"FOR\s+(\w+)\.([\w.]+)\s*(?:=\s*(\S+)\s+TO\s+(\S+)(?:\s+(MUL)?STEP\s+(\S+))?|IN\s+(.+))\s*", re.I)
 
 

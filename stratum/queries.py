@@ -438,7 +438,12 @@ def laplace_dp(spark, sf):
     return df.select(*KEYS, "cell", F.round(N.laplace_dp(F.col("n"), u, 2.0, 2.0), 6).alias("v"))
 
 
-@query()
+_TAIL = f"0.5 + (ln(1 + 2 * z * {N.math.sqrt(2)!r} / (z * z - z * {N.math.sqrt(2)!r} + 1)) / 2 + atan(z * {N.math.sqrt(2)!r} + 1) + atan(z * {N.math.sqrt(2)!r} - 1)) / {2 * N.math.pi!r}"
+
+
+@query(BASE.replace("WITH geo", "WITH RECURSIVE geo", 1) + f""", half AS (SELECT geolevel, geocode, cell, n, {_UH} AS q, CAST(-1e6 AS DOUBLE) AS low, CAST(1e6 AS DOUBLE) AS high, 0 AS k FROM hist
+UNION ALL SELECT geolevel, geocode, cell, n, q, CASE WHEN f < q THEN z ELSE low END, CASE WHEN f < q THEN high ELSE z END, k + 1 FROM (SELECT *, {_TAIL} AS f FROM (SELECT *, (low + high) / 2 AS z FROM half WHERE k < {N.HALVINGS})))
+SELECT geolevel, geocode, CAST(cell AS INTEGER) AS cell, round(n + greatest(n * 0.05, 1.0) * {5 / (0.4 - 5 * N.math.log(1.05))!r} * (low + high) / 2, 6) AS v FROM half WHERE k = {N.HALVINGS}""")
 def smooth_gamma(spark, sf):
     df, u = _noise(hist(spark, sf))
     return df.select(*KEYS, "cell", F.round(N.smooth_gamma(F.col("n"), F.col("n"), u, 0.05, 0.4), 6).alias("v"))
@@ -454,19 +459,31 @@ def pub1075_suppression(spark, sf):
 _P = N.geometric_p(0.5, 1.0)
 
 
-@query(f"SELECT k, round({_P / (2 - _P)!r} * pow({1 - _P!r}, abs(k)), 9) AS p FROM (SELECT unnest(range(-20, 21)) AS k)")
+@query(f"SELECT CAST(l_quantity - 25 AS BIGINT) AS k, count(*) AS n, round({_P / (2 - _P)!r} * pow({1 - _P!r}, abs(CAST(l_quantity - 25 AS BIGINT))), 9) AS p FROM lineitem GROUP BY 1")
 def geometric_pmf_grid(spark, sf):
-    return spark.range(-20, 21).select(F.col("id").alias("k"), F.round(N.geometric_pmf(F.col("id"), _P), 9).alias("p"))
+    """How likely the mechanism is to add what each quantity differs from 25."""
+    k = (F.col("l_quantity") - 25).cast("long")
+    return read(spark, sf, "lineitem").groupBy(k.alias("k")).agg(F.count("*").alias("n")).withColumn("p", F.round(N.geometric_pmf(F.col("k"), _P), 9))
 
 
-@query(f"SELECT i, CAST(CASE WHEN i < 50 THEN -a + 1 ELSE a + 1 END AS BIGINT) AS x FROM (SELECT i, ceil(ln((CASE WHEN i > 50 THEN 1 - i / 100.0 ELSE i / 100.0 END) * {2 - _P!r}) / {N.math.log(1 - _P)!r}) - 1 AS a FROM (SELECT unnest(range(1, 100)) AS i))")
+@query(f"SELECT o_orderkey, CAST(CASE WHEN q < 0.5 THEN -a + 1 ELSE a + 1 END AS BIGINT) AS x FROM (SELECT o_orderkey, q, ceil(ln((CASE WHEN q > 0.5 THEN 1 - q ELSE q END) * {2 - _P!r}) / {N.math.log(1 - _P)!r}) - 1 AS a FROM (SELECT o_orderkey, (o_orderkey % 99 + 1) / 100.0 AS q FROM orders))")
 def geometric_quantile_grid(spark, sf):
-    return spark.range(1, 100).select(F.col("id").alias("i"), N.geometric_quantile(F.col("id") / 100, _P).alias("x"))
+    """The mechanism's quantile at a share that each order's key gives."""
+    return read(spark, sf, "orders").select("o_orderkey", N.geometric_quantile((F.col("o_orderkey") % 99 + 1) / 100, _P).alias("x"))
+
+
+def _spent(spark: SparkSession, sf: str, rows: list[tuple], columns: str) -> DataFrame:
+    """Budget rows of the levels with the number of units that each level's budget is spent on."""
+    number = unit_levels(spark, sf).select(*KEYS).distinct().groupBy("geolevel").agg(F.count("*").alias("units"))
+    return spark.createDataFrame(rows, columns).join(number, "geolevel")
+
 
+_UNIT_COUNT = "(SELECT geolevel, count(*) AS units FROM ugeo GROUP BY 1)"
 
-@query(" UNION ALL ".join(f"SELECT '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for a, b, e, v in BUDGET.rows()))
+
+@query(BASE + "SELECT geolevel, query, epsilon, var, units FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for a, b, e, v in BUDGET.rows()) + f") JOIN {_UNIT_COUNT} USING (geolevel)")
 def budget_table(spark, sf):
-    return spark.createDataFrame(BUDGET.rows(), "geolevel string, query string, epsilon double, var double").select("geolevel", "query", F.round("epsilon", 9).alias("epsilon"), F.round("var", 6).alias("var"))
+    return _spent(spark, sf, BUDGET.rows(), "geolevel string, query string, epsilon double, var double").select("geolevel", "query", F.round("epsilon", 9).alias("epsilon"), F.round("var", 6).alias("var"), "units")
 
 
 def _measured_sql() -> str:
@@ -738,10 +755,10 @@ def two_phase_levels_totals(spark, sf):
     return two_phases(spark, sf)[0].where("geolevel IN ('region', 'root')").groupBy(*KEYS).agg(F.sum("syn").cast("long").alias("n"))
 
 
-@query(" UNION ALL ".join(f"SELECT {i + 1} AS phase, '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for i, rows in enumerate(N.phases(BUDGET, 0.3)) for a, b, e, v in rows))
+@query(BASE + "SELECT phase, geolevel, query, epsilon, var, units FROM (" + " UNION ALL ".join(f"SELECT {i + 1} AS phase, '{a}' AS geolevel, '{b}' AS query, round(CAST({e!r} AS DOUBLE), 9) AS epsilon, round(CAST({v!r} AS DOUBLE), 6) AS var" for i, rows in enumerate(N.phases(BUDGET, 0.3)) for a, b, e, v in rows) + f") JOIN {_UNIT_COUNT} USING (geolevel)")
 def budget_phases(spark, sf):
     rows = [(i + 1, *r) for i, part in enumerate(N.phases(BUDGET, 0.3)) for r in part]
-    return spark.createDataFrame(rows, "phase int, geolevel string, query string, epsilon double, var double").select("phase", "geolevel", "query", F.round("epsilon", 9).alias("epsilon"), F.round("var", 6).alias("var"))
+    return _spent(spark, sf, rows, "phase int, geolevel string, query string, epsilon double, var double").select("phase", "geolevel", "query", F.round("epsilon", 9).alias("epsilon"), F.round("var", 6).alias("var"), "units")
 
 
 @query(BASE + "SELECT geolevel, geocode, CAST(cell AS INTEGER) AS cell, CAST(n AS DOUBLE) AS v FROM hist")
@@ -1061,3 +1078,14 @@ def sql_derived_rates(spark, sf):
 def na_fill_group_total(spark, sf):
     rows = read(spark, sf, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"), "o_orderpriority", F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("orders"))
     return regrouped(rows, ["o_orderpriority"], {"price": "max", "orders": "count"}, ["status", "o_orderpriority"]).withColumn("price", F.round("price", 2))
+
+
+# ---- random records ---------------------------------------------------------------------------------------------------
+
+LEGAL = {"AGE": "0-99,999", "SEX": "1-2,9", "GRADE": "A-F,P"}
+
+
+@query(f"SELECT o_orderkey, CASE WHEN a < 100 THEN a ELSE 999 END AS AGE, CASE WHEN x < 2 THEN x + 1 ELSE 9 END AS SEX, substring('ABCDEFP', g + 1, 1) AS GRADE FROM (SELECT o_orderkey, {', '.join(f"""CAST(floor({_U(f"'1|{v}|' || o_orderkey")} * {n}) AS BIGINT) AS {c}""" for v, n, c in (("AGE", 101, "a"), ("SEX", 3, "x"), ("GRADE", 7, "g")))} FROM orders)")
+def random_records(spark, sf):
+    """A record of legal values for every order."""
+    return etl.random_records(read(spark, sf, "orders"), LEGAL, key="o_orderkey")
