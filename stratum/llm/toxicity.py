@@ -3,7 +3,8 @@
 A word is a run of letters, digits and non-ASCII bytes, lower-cased; its vector is the mean of the embeddings of its
 padded character 3- to 5-grams and of itself (hashed buckets), so misspellings share most of their vectors.  A window
 of WINDOW words is the mean of its words; a softmax over two classes reads it.  A document's score is that of its
-highest window (windows overlap by half and cover the whole text), so a few toxic words count in a long text.
+highest window (windows overlap by half and cover the whole text), so a few toxic words count in a long text.  Windows
+are short, as a toxic word among many others hardly moves their mean.
 Embeddings and softmax are learnt together by gradient descent: first all windows carry the document's label, then,
 in rounds, only the highest windows of toxic documents stay positive.
 
@@ -29,7 +30,8 @@ FIT_ROWS = 2500  # training rows of each class at most
 BITS, DIM = 19, 6
 BUCKETS = 1 << BITS
 FALSE_ALARM = 5  # a clean training document above the cut weighs as much as so many toxic ones below it
-WINDOW, STRIDE = 16, 8
+WINDOW, STRIDE = 4, 2
+BATCH = 1000  # windows of a step
 GRAMS = (3, 4, 5)
 
 _INSIDE = np.zeros(256, bool)
@@ -98,7 +100,7 @@ def _window_means(values: np.ndarray, first: np.ndarray, past: np.ndarray) -> np
     return (total[past] - total[first]) / np.maximum(past - first, 1).reshape(-1, *[1] * (values.ndim - 1))
 
 
-def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dict:
+def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 6) -> dict:
     """{"table": softmax difference of each bucket, "bias": of the softmax}."""
     if not len(y) or y.min() == y.max():
         return {"table": np.zeros(BUCKETS, np.float32), "bias": -40.0}
@@ -132,27 +134,29 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dic
     bounds = np.concatenate([[0], np.cumsum(np.concatenate(doc_first))])
     sub_id, sub_count = np.concatenate(sub_ids), np.concatenate(sub_sizes)
     sub_at = np.concatenate([[0], np.cumsum(sub_count)])
+    used, sub_id = np.unique(sub_id, return_inverse=True)  # only these learn; a bucket not met in training says nothing
+    sub_id = sub_id.astype(np.int32)
     del word_of, doc_first, sub_ids, sub_sizes
     first, past, at = windows(bounds)
-    owner = t.owners(at)
-    table, softmax, bias = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.5, DIM), 0.0
-    g_table, g_soft, g_bias = np.full((BUCKETS, DIM), 1e-8, np.float32), np.full(DIM, 1e-8), 1e-8
+    first, past, owner = first.astype(np.int32), past.astype(np.int32), t.owners(at).astype(np.int32)
+    table, softmax, bias = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32), rng.normal(0, 0.5, DIM), 0.0
+    g_table, g_soft, g_bias = np.full((len(used), DIM), 1e-8, np.float32), np.full(DIM, 1e-8), 1e-8
 
     def logits() -> np.ndarray:
         each = np.add.reduceat((table @ softmax)[sub_id], sub_at[:-1]) / sub_count
         return _window_means(each[words], first, past) + bias
 
-    target, weight = y[owner].astype(float), np.ones(len(owner))
+    target, weight = y[owner].astype(np.float32), np.ones(len(owner), np.float32)
     for turn in range(rounds):
         if turn >= 2:  # the highest windows of toxic documents, all of the others
             z = logits()
             top = np.maximum.reduceat(z, at[:-1])[owner]
-            target = ((y[owner] == 1) & (z >= top - 0.5)).astype(float)
-            weight = np.where(y[owner] == 0, 1.0, target)
-            hard = (y[owner] == 0) & (z < np.quantile(z, 0.3)) & (rng.random(len(z)) < 0.7)
+            target = ((y[owner] == 1) & (z >= top - 0.5)).astype(np.float32)
+            weight = np.where(y[owner] == 0, np.float32(1), target)
+            hard = (y[owner] == 0) & (z < np.quantile(z, 0.6)) & (rng.random(len(z)) < 0.9)
             weight[hard] = 0
         live = rng.permutation(np.flatnonzero(weight > 0))
-        for batch in np.array_split(live, max(1, len(live) // 8000)):
+        for batch in np.array_split(live, max(1, len(live) // BATCH)):
             size = past[batch] - first[batch]
             pos = np.repeat(first[batch] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             local, back = np.unique(words[pos], return_inverse=True)
@@ -165,7 +169,7 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dic
             mean = np.stack([np.bincount(row, vec[back, d], len(batch)) for d in range(DIM)], 1) * part[:, None]
             e = weight[batch] * (1 / (1 + np.exp(-np.clip(mean @ softmax + bias, -40, 40))) - target[batch]) / weight[batch].sum()
             coef = np.bincount(back, (e * part)[row], len(local)) / number  # gradient of each word's mean, along the softmax
-            hit = np.bincount(subs, np.repeat(coef, number), BUCKETS)
+            hit = np.bincount(subs, np.repeat(coef, number), len(used))
             at_once = np.flatnonzero(hit)
             g = hit[at_once, None] * softmax
             soft = mean.T @ e
@@ -175,7 +179,8 @@ def fit(texts: list[str], y: np.ndarray, seed: int = 5, rounds: int = 12) -> dic
             softmax -= 0.2 * soft / np.sqrt(g_soft)
             g_bias += e.sum() ** 2
             bias -= 0.2 * e.sum() / np.sqrt(g_bias)
-    model = {"table": (table @ softmax).astype(np.float32), "bias": float(bias)}
+    model = {"table": np.zeros(BUCKETS, np.float32), "bias": float(bias)}
+    model["table"][used] = table @ softmax
     top = np.maximum.reduceat(logits(), at[:-1])  # the cut between the classes' highest windows goes to 0.5
     cuts = np.quantile(top, np.linspace(0, 1, 2001))
     wrong = [(FALSE_ALARM * ((top >= c) & (y == 0)) + ((top < c) & (y == 1))).mean() for c in cuts]
