@@ -154,6 +154,7 @@ def languages(docs: DataFrame, folds: int = 4, out_fold: int = 2, seed: int = 9)
                 yield pa.record_batch([b.column("lang")[i:j], pa.array([sym[x : min(y, x + max(most // 4, 1))].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["lang", "symbols"])
 
     sample = docs.select("doc_id", "lang", F.lower("text").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
+    sample = sample.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # of rows with one id, one
     rows = sample.select("lang", "text").mapInArrow(cut_symbols, "lang string, symbols binary").orderBy("lang", "symbols").toPandas()
     model = docs.sparkSession.sparkContext.broadcast(fit(list(rows.itertuples(index=False, name=None))))
     kind = docs.schema["doc_id"].dataType.simpleString()

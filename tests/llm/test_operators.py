@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.llm import context_mixing, decontaminate, html_text, jaccard_join, language, mixing, quality_pairs, quality_rules, repeated_bytes, toxicity
-from stratum.llm._spark import components
+from stratum.llm._spark import components, labelled_sample
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,6 +94,28 @@ def test_toxicity(table):
     assert all(zlib.crc32(str(d).encode()) % 5 == 0 for d in joined["doc_id"])
 
 
+def test_samples_are_bounded_where_ids_repeat(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 1), (3, 0), (4, None)], "doc_id long, quality int")
+    docs = spark.range(70_000).selectExpr("1L AS doc_id", "concat('text ', id) AS text").unionByName(spark.createDataFrame([(2, "b"), (2, "b"), (3, "c"), (4, "d")], "doc_id long, text string"))
+    got = labelled_sample(docs, labels, "quality", 100, None, 1).collect()
+    assert sorted((r["doc_id"], r["y"]) for r in got) == [(1, 1), (2, 0)]
+    again = labelled_sample(docs.repartition(7), labels, "quality", 100, None, 1).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+    spoken = docs.withColumn("lang", F.when(F.col("doc_id") == 1, "en").otherwise("de"))
+    assert language.languages(spoken).where("lang_pred = 'und'").count() == 0
+
+
+def test_toxicity_finds_toxic_texts(spark):
+    """On held-out rows: recall and precision, which no constant has, and the order of the scores."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = toxicity.toxicity_scores(spark.read.parquet(f"{folder}/documents.parquet"), labels).where("held_out").join(labels.where("toxic IS NOT NULL"), "doc_id").toPandas()
+    hit, toxic = rows["predicted"] == 1, rows["toxic"] == 1
+    assert (hit & toxic).sum() >= 0.8 * toxic.sum() and (hit & toxic).sum() >= 0.8 * hit.sum()
+    ranks = rows["score"].rank()
+    assert (ranks[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum()) > 0.95
+
+
 def test_misspelt_words_share_subwords():
     texts = [f"alpha beta gamma {w} delta" for w in ["worthless", "worthlessly", "disgusting"] * 20] + ["alpha beta gamma delta epsilon"] * 60
     model = toxicity.fit(texts, np.array([1] * 60 + [0] * 60))
