@@ -31,7 +31,7 @@ PAGES_AT_ONCE = 256
 DEPTH = 40  # of a tag path: deeper nesting is broken markup
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select)\b[^<>]*+(?:<(?![a-zA-Z/!?])[^<>]*+)*+>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)(?:>|(?=<)|\Z)",
     re.S | re.I,
 )

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -423,3 +424,15 @@ def test_edge_rows_are_scored(docs, none, labels):
     assert language.languages(none).count() == 0
     assert mixing.mix_sources(none).count() == 0
     assert jaccard_join.near_classes(none).count() == 0
+
+
+def test_unclosed_hidden_tags_take_linear_time():
+    took = []
+    for n in (30_000, 120_000):
+        began = time.perf_counter()
+        html_text.blocks("<script " * n)
+        html_text.blocks("<p>text</p>" + "<style a='1' " * n + "<p>more</p>")
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0] + 1
+    kept = [b[1] for b in html_text.blocks("<p>one</p><script type='a' x=1 < 2>hidden</script><script>var a = '<p>no</p>';</script><p>two</p>")]
+    assert kept == ["one", "two"]
