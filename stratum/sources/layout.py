@@ -6,6 +6,7 @@ import re
 import sqlite3
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from io import BytesIO
 from pathlib import Path
 
 import pandas as pd
@@ -153,9 +154,31 @@ def sqlite_rows(spark: SparkSession, path: str, name: str, kinds: list[tuple[str
 
 
 def sas_table(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """A .sas7bdat or .xpt file as Parquet, in chunks of SLICE_ROWS rows: the format can only be read from its start by one reader."""
-    for i, part in enumerate(pd.read_sas(path, chunksize=SLICE_ROWS, encoding="utf-8")):
-        spark.createDataFrame(part.astype(object).where(part.notna(), None), ", ".join(f"`{c}` {'double' if t.kind == 'f' else 'string'}" for c, t in part.dtypes.items())).write.mode("append" if i else "overwrite").parquet(out)
+    """.sas7bdat or .xpt files of one layout (a path or pattern that Spark can list) as Parquet.
+
+    Spark reads the files, of 2 GB at most each, and a task reads one from its start, as the format asks, in chunks of SLICE_ROWS rows that go straight to the
+    output; the driver sees column names only.  A first small job reads these: texts are strings, everything else is a double."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content").repartition("path")
+
+    def opened(name: str, content: bytes, rows: int) -> Iterator[pd.DataFrame]:
+        return iter(pd.read_sas(BytesIO(content), format="xport" if name.lower().endswith(".xpt") else "sas7bdat", chunksize=rows, encoding="utf-8"))
+
+    def columns(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                if (part := next(opened(name, content, 100), None)) is not None:
+                    yield pd.DataFrame({"schema": [", ".join(f"`{c}` {'double' if t.kind == 'f' else 'string'}" for c, t in part.dtypes.items())]})
+
+    found = files.mapInPandas(columns, "schema string").distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError("the files differ in their columns" if found else f"no rows in {path}")
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                yield from opened(name, content, SLICE_ROWS)
+
+    files.mapInPandas(rows, found[0]["schema"]).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 

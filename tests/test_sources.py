@@ -1,6 +1,7 @@
 """Layouts, readers and writers on small files."""
 
 import sqlite3
+import struct
 
 import pytest
 from pyspark.errors import PySparkException
@@ -104,3 +105,65 @@ def test_steps(spark):
     assert frames["B"].first()["count"] == 3
     with pytest.raises(ValueError, match="NOPE"):
         etl.Steps({}).run({"1": "A=NOPE()"})
+
+
+def ibm(value):
+    """A number as eight bytes of base 16."""
+    if value is None:
+        return b"." + bytes(7)
+    if not value:
+        return bytes(8)
+    sign, value, power = 128 if value < 0 else 0, abs(value), 64
+    while value >= 1:
+        value, power = value / 16, power + 1
+    while value < 1 / 16:
+        value, power = value * 16, power - 1
+    return bytes([sign | power]) + int(value * 2**56).to_bytes(7, "big")
+
+
+def transport(path, names, rows):
+    """A transport file of numbers and of texts of eight characters."""
+    pad = lambda b: b + b" " * (-len(b) % 80)
+    head = lambda kind, tail: b"HEADER RECORD*******" + kind.ljust(8) + b"HEADER RECORD!!!!!!!" + tail
+    stamp = b"16FEB11:10:07:55"
+    out = head(b"LIBRARY", b"0" * 30 + b"  ") + b"SAS     SAS     SASLIB  9.1     WIN     " + b" " * 24 + stamp + pad(stamp)
+    out += head(b"MEMBER", b"000000000000000001600000000140  ") + head(b"DSCRPTR", b"0" * 30 + b"  ")
+    out += b"SAS     DATA    SASDATA 9.1     WIN     " + b" " * 24 + stamp + pad(stamp)
+    out += head(b"NAMESTR", b"000000" + f"{len(names):04}".encode() + b"0" * 20 + b"  ")
+    body = b""
+    for k, (name, text) in enumerate(names):
+        body += struct.pack(">hhhh8s40s8shhh2s8shhl52s", 2 if text else 1, 0, 8, k + 1, name.encode().ljust(8), b" " * 40, b" " * 8, 0, 0, 0, b"  ", b" " * 8, 0, 0, 8 * k, bytes(52))
+    out += pad(body) + head(b"OBS", b"0" * 30 + b"  ")
+    data = b"".join(v.encode().ljust(8) if text else ibm(v) for r in rows for v, (_, text) in zip(r, names, strict=True))
+    path.write_bytes(out + pad(data))
+
+
+def test_sas_files(spark, tmp_path, monkeypatch):
+    rows = [[(float(i * 1000 + k), f"n{k}", None if k % 5 == 0 else -k / 4) for k in range(1, 120)] for i in range(3)]
+    names = [("ID", False), ("NAME", True), ("X", False)]
+    for i, part in enumerate(rows):
+        transport(tmp_path / f"{i}.xpt", names, part)
+    monkeypatch.setattr(layout, "SLICE_ROWS", 50)
+    got = layout.sas_table(spark, str(tmp_path / "*.xpt"), str(tmp_path / "out"))
+    assert [f.dataType.simpleString() for f in got.schema] == ["double", "string", "double"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((r for part in rows for r in part), key=str)
+    transport(tmp_path / "other.xpt", [("ID", False), ("AGE", False)], [(1.0, 2.0)])
+    with pytest.raises(ValueError, match="differ"):
+        layout.sas_table(spark, str(tmp_path / "*.xpt"), str(tmp_path / "out2"))
+
+
+def test_declared_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n2,y\n")
+    got = layout.declared(spark, str(tmp_path / "a.csv"), {"id": "int", "name": "str"})
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, "x"), (2, "y")] and got.schema["id"].dataType.simpleString() == "int"
+
+
+def test_quantiles_of_many_units(spark):
+    """Beyond EXACT_UNITS quantiles are within 0.001 of the rank."""
+    from stratum.operators import metrics
+
+    values = spark.range(60_000).selectExpr("'leaf' AS geolevel", "'L1' AS metric", "cast(pmod(id * 7919, 60000) AS double) AS value")
+    got = {r["quantile"]: r["value"] for r in metrics.quantiles(values, [0.0, 0.25, 0.5, 0.9, 1.0], 60_000, "geolevel").collect()}
+    assert all(abs(v / 59_999 - q) <= 0.0011 for q, v in got.items()) and len(got) == 5
+    few = {r["quantile"]: r["value"] for r in metrics.quantiles(values.where("value < 101"), [0.25, 0.5], 101, "geolevel").collect()}
+    assert few == {0.25: 25.0, 0.5: 50.0}
