@@ -18,7 +18,7 @@ import numpy as np
 
 RELAX = 1.6  # over-relaxation
 ROUNDS = 20_000
-TOLERANCE, RELATIVE = 1e-7, 1e-10
+TOLERANCE, RELATIVE = 1e-7, 1e-12
 BIG = 1e6  # cost of one unit of slack
 
 

@@ -336,16 +336,11 @@ def test_functions_of_whole_tables(spark):
         assert sorted(tuple(r) for r in side["o"].collect()) == [(0, 31), (1, 31)]
 
 
-def test_layout_values(spark, tmp_path, monkeypatch):
-    import pandas as pd
-
+def test_layout_values(spark):
     got = spark.createDataFrame([(7, "ab")], "n long, s string").select(layout.formatted("n", "INTEGER", 4), layout.formatted("s", "CHAR", 4)).first()
     assert tuple(got) == ("0007", "  ab")
     assert spark.range(1).select(layout.formatted("id", "INTEGER", 2, "zz")).first()[0] == "zz"
     assert N.laplace_variance(3.0) == 18.0
-    monkeypatch.setattr(layout.pd, "read_sas", lambda *a, **k: iter([pd.DataFrame({"a": [1.0, None], "b": ["x", None]}), pd.DataFrame({"a": [2.0], "b": ["y"]})]))
-    rows = layout.sas_table(spark, "any.sas7bdat", str(tmp_path / "s")).orderBy("a").collect()
-    assert [tuple(r) for r in rows] == [(None, None), (1.0, "x"), (2.0, "y")]
 
 
 def test_recode_steps_and_ranges(spark):
