@@ -41,7 +41,7 @@ from stratum.llm._spark import components, fresh, id_filter, most_frequent, rang
 NAME = 16  # bytes of a digest
 BLOCK = 4096
 PRUNE = 8192  # a longer list is compared without looking at sketches first
-FLUSH_KEYS = 2_000_000
+FLUSH_KEYS = 600_000
 HOT_TOKENS, HOT_PER_TASK, HOT_LEAST = 1 << 18, 1 << 15, 4  # in the order, sent by a task, least number of documents in a task's chunk
 RANGE_BYTES = 16 << 20  # of text for each range of tokens
 
