@@ -322,3 +322,13 @@ def test_crowded_level_in_a_run(spark):
     estimates, flags, rhs, sets = run(spark, crowd=5)
     assert all(r["failures"] == 0 for r in T.checked(estimates, rhs, sets).collect())
     assert flags.where("slack > 0").count() == 0 and flags.count() == 27  # a leaf without units is none
+
+
+def test_whole_numbers_carry_many_steps_at_once():
+    """Millions of persons out of reach: as many searches as for few, and the least slack."""
+    goal = np.full((1, N), 500_000)
+    low, high = np.zeros((1, 6)), np.full((1, 6), np.inf)
+    high[0, 1], low[0, 2] = 3_000_000, 7_000_000
+    assert S.least_slack(goal[0], low, high, SETS) == 3_000_000 + 1_000_000
+    got = S.whole(goal.astype(float), low, high, SETS, goal[0], slack=True)
+    assert got[0, :12].sum() == 3_000_000 and got[0, 12:24].sum() == 7_000_000 and (got[0, 24:] == 500_000).all()
