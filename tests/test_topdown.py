@@ -332,3 +332,11 @@ def test_whole_numbers_carry_many_steps_at_once():
     assert S.least_slack(goal[0], low, high, SETS) == 3_000_000 + 1_000_000
     got = S.whole(goal.astype(float), low, high, SETS, goal[0], slack=True)
     assert got[0, :12].sum() == 3_000_000 and got[0, 12:24].sum() == 7_000_000 and (got[0, 24:] == 500_000).all()
+
+
+def test_residuals_of_large_counts():
+    """A unit of hundreds of millions of persons converges as far as a small one."""
+    hess, lin, low, high, _ = problem(4)
+    many = 100_000_000
+    made = S.estimate(hess, lin + many * np.ones(N) @ hess, MEMBER, low + many * MEMBER.sum(1), high + many * MEMBER.sum(1))
+    assert made.primal < 1e-6 and made.dual < 1e-6
