@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.estimate import settle
 from stratum.operators.histogram import Domain
 
 
@@ -55,16 +56,42 @@ def summary(values: DataFrame, how: str, *keys: str) -> DataFrame:
     return values.groupBy(*keys, "metric").agg(f("value").alias("value")).withColumn("aggtype", F.lit(how))
 
 
-EXACT_UNITS = 25_000
+EXACT_UNITS = 25_000  # that one group may hold
+SPLITS = 1000  # ranges that more values are ranked in
 
 
 def quantiles(values: DataFrame, at: list[float], units: int, *keys: str) -> DataFrame:
-    """(keys, metric, quantile, value): interpolated quantiles, exact up to EXACT_UNITS units, else within 0.001 of the rank."""
+    """(keys, metric, quantile, value): interpolated quantiles, exact however many ``units`` there are."""
+    if units > EXACT_UNITS:
+        return _ranked_quantiles(values, at, *keys)
     points = F.array(*map(F.lit, at))
-    f = F.percentile("value", points) if units <= EXACT_UNITS else F.percentile_approx("value", points, 1000)
+    f = F.percentile("value", points)
     return values.groupBy(*keys, "metric").agg(f.alias("q")).select(*keys, "metric", F.posexplode("q").alias("i", "value")).select(*keys, "metric", F.element_at(points, F.col("i") + 1).alias("quantile"), "value")
 
 
+def _ranked_quantiles(values: DataFrame, at: list[float], *keys: str) -> DataFrame:
+    """(keys, metric, quantile, value) without a group or window that holds all values of a metric.
+
+    Equal values are one row with their number.  Approximate quantiles cut the values into ranges; counts of ranges say which of them hold the ranks
+    asked for, and only these are put in order."""
+    by = [*keys, "metric"]
+    same = settle(values.where("value IS NOT NULL").groupBy(*by, "value").agg(F.count("*").alias("many")))
+    cuts = same.groupBy(*by).agg(F.array_distinct(F.percentile_approx("value", F.array(*(F.lit(i / SPLITS) for i in range(1, SPLITS))), 10 * SPLITS)).alias("cuts"))
+    dealt = same.join(F.broadcast(cuts), by).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("value")))).drop("cuts")
+    upto = Window.partitionBy(*by).orderBy("range")
+    sizes = dealt.groupBy(*by, "range").agg(F.sum("many").alias("size"))
+    sizes = sizes.withColumn("end", F.sum("size").over(upto)).withColumn("all", F.sum("size").over(Window.partitionBy(*by)))
+    place = F.col("quantile") * (F.col("all") - 1)
+    asked = sizes.withColumn("quantile", F.explode(F.array(*map(F.lit, at)))).withColumns({"low": F.floor(place), "high": F.ceil(place), "part": place - F.floor(place), "begin": F.col("end") - F.col("size")})
+    asked = asked.where((F.col("low") < F.col("end")) & (F.col("high") >= F.col("begin"))).select(*by, "range", "begin", "quantile", "low", "high", "part")
+    wanted = dealt.join(F.broadcast(asked.select(*by, "range", "begin").distinct()), [*by, "range"])
+    ranked = wanted.withColumn("last", F.col("begin") + F.sum("many").over(Window.partitionBy(*by, "range").orderBy("value"))).withColumn("first", F.col("last") - F.col("many"))
+    holds = lambda rank: (F.col("first") <= F.col(rank)) & (F.col(rank) < F.col("last"))
+    found = ranked.join(F.broadcast(asked.drop("begin")), [*by, "range"]).where(holds("low") | holds("high"))
+    ends = found.groupBy(*by, "quantile", "part").agg(*(F.max(F.when(holds(r), F.col("value"))).alias(f"{r}_value") for r in ("low", "high")))
+    return ends.select(*by, "quantile", (F.col("low_value") + F.col("part") * (F.col("high_value") - F.col("low_value"))).alias("value"))
+
+
 def collected(values: DataFrame, *keys: str) -> DataFrame:
     """(keys, metric, units): sorted (geocode, value) of each metric; for levels of few units."""
     return values.groupBy(*keys, "metric").agg(F.sort_array(F.collect_list(F.struct("geocode", "value"))).alias("units"))

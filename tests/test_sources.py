@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stratum.operators import metrics
 from stratum.plans import etl, experiment
 from stratum.sources import layout
 
@@ -167,3 +168,15 @@ def test_quantiles_of_many_units(spark):
     assert all(abs(v / 59_999 - q) <= 0.0011 for q, v in got.items()) and len(got) == 5
     few = {r["quantile"]: r["value"] for r in metrics.quantiles(values.where("value < 101"), [0.25, 0.5], 101, "geolevel").collect()}
     assert few == {0.25: 25.0, 0.5: 50.0}
+
+
+def test_quantiles_of_many_units_are_exact(spark, monkeypatch):
+    """Ranked by ranges, with ties across them and nulls: the values that sorting everything gives."""
+    monkeypatch.setattr(metrics, "SPLITS", 20)
+    values = spark.range(60_000).select(F.lit("x").alias("geolevel"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("metric"), F.when(F.col("id") % 5 == 0, 7.0).when(F.col("id") % 11 != 0, (F.col("id") * 7919 % 60_000) / 7).alias("value"))
+    at = [0.0, 0.1, 0.3337, 0.5, 0.9, 1.0]
+    got = {(r["metric"], r["quantile"]): r["value"] for r in metrics.quantiles(values, at, 60_000, "geolevel").collect()}
+    frame = values.toPandas().dropna()
+    assert len(got) == 12
+    for (metric, q), v in got.items():
+        assert v == pytest.approx(frame[frame["metric"] == metric]["value"].quantile(q), abs=1e-9)
