@@ -53,13 +53,16 @@ def measure(hist: DataFrame, units: DataFrame, domain: Domain, budget: Budget, q
     """(geolevel, geocode, query, row, noisy, epsilon, var) of every unit: zeros are measured too, the true count is not kept.
 
     All queries of all levels are one aggregation: cells go to their answers by a broadcast table (as large as the domain and its
-    queries), and every unit adds a zero for each answer.  Answers are combined before the shuffle."""
+    queries) and are combined before the shuffle.  A unit's answers are then one row, which lists its zeros too: zeros are neither aggregated nor moved."""
     keys = ("geolevel", "geocode")
     spans, cells = answers_of(domain, queries, list(dict.fromkeys(q for _, q, _, _ in budget.rows())))
     table = hist.sparkSession.createDataFrame(cells, "cell int, answer int, coef double")
     some = hist.join(F.broadcast(table), "cell").select(*keys, "answer", (F.col("n") * F.col("coef")).alias("n"))
-    none = units.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(spans[-1][1] + spans[-1][2] - 1))).alias("answer"), F.lit(0.0).alias("n"))
-    true = some.unionByName(none).groupBy(*keys, "answer").agg(F.sum("n").cast("long").alias("n"))
+    counted = some.groupBy(*keys, "answer").agg(F.sum("n").cast("long").alias("n"))
+    packed = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("answer", "n"))).alias("counts"))  # as many as answers
+    every = units.select(*keys).distinct().join(packed, list(keys), "full")
+    listed = every.select(*keys, "counts", F.explode(F.sequence(F.lit(0), F.lit(spans[-1][1] + spans[-1][2] - 1))).alias("answer"))
+    true = listed.select(*keys, "answer", F.coalesce(F.element_at("counts", F.col("answer")), F.lit(0)).cast("long").alias("n"))
     name, first = F.lit(spans[-1][0]), F.lit(spans[-1][1])
     for q, start, size in spans[-2::-1]:
         name, first = F.when(F.col("answer") < start + size, q).otherwise(name), F.when(F.col("answer") < start + size, start).otherwise(first)

@@ -340,3 +340,14 @@ def test_residuals_of_large_counts():
     many = 100_000_000
     made = S.estimate(hess, lin + many * np.ones(N) @ hess, MEMBER, low + many * MEMBER.sum(1), high + many * MEMBER.sum(1))
     assert made.primal < 1e-6 and made.dual < 1e-6
+
+
+def test_zeros_are_not_aggregated(spark):
+    """A unit's zeros are listed after the counts are combined, and a unit without persons has them all."""
+    domain = Domain(("a",), (3,))
+    hist = spark.createDataFrame([("root", "0", 1, 5)], "geolevel string, geocode string, cell int, n long")
+    units = spark.createDataFrame([("root", "0"), ("root", "1")], "geolevel string, geocode string")
+    got = measure(hist, units, domain, Budget(1.0, {"root": 1.0}, 1.0, {}), {})
+    assert [(r["geocode"], r["row"]) for r in got.orderBy("geocode", "row").collect()] == [(g, k) for g in "01" for k in range(3)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate")
