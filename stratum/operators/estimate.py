@@ -34,6 +34,11 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tasks(settled: DataFrame) -> int:
+    """Tasks for what is made of a settled table: as many as it has parts, and as shuffles have, so that a task's share doesn't grow with the table."""
+    return max(int(settled.sparkSession.conf.get("spark.sql.shuffle.partitions")), settled.rdd.getNumPartitions())
+
+
 def answers_of(domain: Domain, queries: dict[str, LinearQuery], names: list[str]) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, float]]]:
     """(name, first index, number of answers) of each query, and (cell, index, coefficient) of all; "detailed" is the histogram itself."""
     spans, cells, at = [], [], 0
@@ -102,6 +107,7 @@ def top_down(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Domai
     Each level is settled before the next, as parents feed all their children.  With ``queries`` the noisy answers of these pull the
     estimate before it is projected (``couple``)."""
     measured = settle(measured)
+    parts = tasks(measured)
     detail = measured.where("query = 'detailed'").select("geolevel", "geocode", F.col("row").alias("cell"), "noisy", "var")
     if queries:
         detail = couple(measured, domain, queries)
@@ -114,6 +120,8 @@ def top_down(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Domai
         else:
             rows = rows.withColumn("parent", h.parent(level, F.col("geocode"))).join(above, ["parent", "cell"])
             group, order = ["parent", "cell"], ["geocode"]
+        if level == h.levels[0]:  # the level whose groups are as large as the input; there are as many of them as cells and parents
+            rows = rows.repartition(parts, *group)
         done = rounded_to(project(rows, group, order), group, order).select("geolevel", "geocode", "cell", "l2", "syn")
         done = settle(done)
         above = done.select(F.col("geocode").alias("parent"), "cell", F.col("syn").alias("total"))
@@ -157,14 +165,17 @@ def two_phase(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Doma
     """First a marginal top-down, then the full histogram with every unit's marginal held at the first phase's estimate.
 
     In phase two each cell group of a unit (the cells of one marginal row) is projected to that row's value."""
+    measured = settle(measured)
+    parts = tasks(measured)
     first = measured.where(F.col("query") == kept.name).select("geolevel", "geocode", F.lit("detailed").alias("query"), "row", "noisy", "epsilon", "var")
     marginal = settle(top_down(first, totals, h, domain))
     fixed = marginal.select("geolevel", "geocode", F.col("cell").alias("row"), F.col("syn").alias("total"))
     m = kept.matrix()
     row_of = F.element_at(F.array(*(F.lit(int(m[:, c].argmax())) for c in range(domain.size))), F.col("cell") + 1)
     leaf = h.levels[0]
-    rows = measured.where((F.col("query") == "detailed") & (F.col("geolevel") == leaf)).select("geolevel", "geocode", F.col("row").alias("cell"), "noisy").withColumn("row", row_of).join(fixed, ["geolevel", "geocode", "row"])
+    rows = measured.where((F.col("query") == "detailed") & (F.col("geolevel") == leaf)).select("geolevel", "geocode", F.col("row").alias("cell"), "noisy").withColumn("row", row_of).repartition(parts, "geolevel", "geocode", "row").join(fixed.repartition(parts, "geolevel", "geocode", "row"), ["geolevel", "geocode", "row"])
     group = ["geocode", "row"]
+    rows = rows.repartition(parts, "geocode")
     leaves = rounded_to(project(rows, group, ["cell"]), group, ["cell"]).select("geocode", "cell", F.col("syn").alias("n"))
     return h.rollup(leaves, "cell").withColumnRenamed("n", "syn")
 

@@ -36,5 +36,13 @@ class Hierarchy:
         return leaf_rows.select(F.explode(units).alias("unit"), *rest).select("unit.*", *rest)
 
     def rollup(self, leaf_rows: DataFrame, *keys: str, value: str = "n") -> DataFrame:
-        """Sums of ``value`` by (geolevel, geocode, keys) for all levels; upper levels combine before the shuffle."""
-        return self.spread(leaf_rows).groupBy("geolevel", "geocode", *keys).agg(F.sum(value).cast("long").alias(value))
+        """Sums of ``value`` by (geolevel, geocode, keys) for all levels.
+
+        Leaves, which are nearly all of the rows, keep the partitioning they come in; upper levels combine before the shuffle."""
+        total = F.sum(value).cast("long").alias(value)
+        leaves = leaf_rows.groupBy("geocode", *keys).agg(total)
+        own = leaves.select(F.lit(self.levels[0]).alias("geolevel"), "geocode", *keys, value)
+        if len(self.levels) == 1:
+            return own
+        upper = Hierarchy(self.levels[1:], self.lengths[1:]).spread(leaves).groupBy("geolevel", "geocode", *keys).agg(total)
+        return own.unionByName(upper)

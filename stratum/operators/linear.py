@@ -190,11 +190,13 @@ def marginal(domain: Domain, *axes: str, name: str = "") -> LinearQuery:
 
 
 def marginal_family(domain: Domain, hist: DataFrame, sizes: list[int], *keys: str) -> DataFrame:
-    """All marginals of the given numbers of axes in one pass of grouping sets: (keys, marginal, axes..., n)."""
+    """All marginals of the given numbers of axes in one pass: (keys, marginal, axes..., n); an axis that is summed is null.
+
+    A row is listed once for each marginal; its keys stay, so rows that come dealt out by keys are summed where they are."""
     from itertools import combinations
 
-    decoded = domain.decode(hist)
-    sets = [[*keys, *c] for s in sizes for c in combinations(domain.names, s)]
-    label = F.concat_ws("_", *(F.when(F.grouping(n) == 0, F.lit(n)) for n in domain.names))
-    grouped = decoded.groupingSets([[F.col(c) for c in s] for s in sets], *keys, *domain.names)
-    return grouped.agg(label.alias("marginal"), F.sum("n").cast("long").alias("n")).select(*keys, "marginal", *domain.names, "n")
+    sets = [c for s in sizes for c in combinations(domain.names, s)]
+    level = {n: domain.axis(k) for k, n in enumerate(domain.names)}
+    place = lambda s: F.struct(F.lit("_".join(s)).alias("marginal"), *((level[n] if n in s else F.lit(None).cast("int")).alias(n) for n in domain.names))
+    listed = hist.select(*keys, "n", F.explode(F.array(*map(place, sets))).alias("_m")).select(*keys, "n", "_m.*")
+    return listed.groupBy(*keys, "marginal", *domain.names).agg(F.sum("n").cast("long").alias("n"))

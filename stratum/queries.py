@@ -51,6 +51,14 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+ORDERS = 100_000  # that a task has persons and cells of
+
+
+def tasks(spark: SparkSession, sf: str) -> int:
+    """Tasks that persons and their cells are dealt out to: more for larger tables, so that none holds more than it does now."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-read(spark, sf, "orders").count() // ORDERS))
+
+
 # ---- the model's tables ---------------------------------------------------------------------------------------------
 
 
@@ -69,15 +77,18 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
 def persons(spark: SparkSession, sf: str) -> DataFrame:
     race = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).when(F.col("l_returnflag") == "R", 2)
     p = read(spark, sf, "lineitem").select("l_orderkey", (F.col("l_quantity") >= 18).cast("int").alias("va"), (F.col("l_linestatus") == "F").cast("int").alias("hisp"), race.alias("race"), (F.col("l_linenumber") - 1).alias("race7"))
-    return p.join(units(spark, sf), F.col("l_orderkey") == F.col("o_orderkey")).select("geocode", "hhgq", "va", "hisp", "race", "race7")
+    n = tasks(spark, sf)
+    both = p.repartition(n, "l_orderkey").join(units(spark, sf).repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return both.select("geocode", "hhgq", "va", "hisp", "race", "race7")
 
 
 def leaf(spark: SparkSession, sf: str) -> DataFrame:
-    return DOMAIN.histogram(persons(spark, sf), "geocode")
+    return DOMAIN.histogram(persons(spark, sf).repartition(tasks(spark, sf), "geocode"), "geocode")
 
 
 def hist(spark: SparkSession, sf: str) -> DataFrame:
-    return H.rollup(leaf(spark, sf), "cell")
+    """Units of all levels, each in one task with all its cells."""
+    return H.rollup(leaf(spark, sf), "cell").repartition(tasks(spark, sf), *KEYS)
 
 
 def unit_hist(spark: SparkSession, sf: str) -> DataFrame:
@@ -815,8 +826,9 @@ _D = "c2 - c1"
 
 
 def paired(spark: SparkSession, sf: str) -> DataFrame:
-    true = hist(spark, sf)
-    return M.paired(true, estimate(true, *KEYS), *KEYS)
+    true, n = hist(spark, sf), tasks(spark, sf)
+    both = M.paired(*(x.repartition(n, *KEYS, "cell") for x in (true, estimate(true, *KEYS))), *KEYS)
+    return both.repartition(n, *KEYS)
 
 
 _UNIT_METRICS = f"""SELECT geolevel, geocode, 1 AS geoCount, CAST(sum(abs({_D})) AS BIGINT) AS L1_geounit, round(sum(abs({_D})) / nullif(sum(c2), 0), 6) AS avgL1_geounit, round(sqrt(sum(({_D}) * ({_D}))), 6) AS L2_geounit,
