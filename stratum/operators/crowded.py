@@ -2,7 +2,8 @@
 
 Given a price for each of the parent's cells, every child's best estimate is a problem of its own.  The sums of these are the parent's
 cells at the right prices, which Newton's method finds in a few rounds: a round solves all children at the present prices, block by
-block, and only the sums of their cells and of their responses to prices (cells x cells) leave a task.  The prices maximise a concave
+block, and only the sums of their cells and of their responses to prices (cells x cells) leave a task.  A block keeps which cells are above 0 and
+which bounds hold, where the next round begins (``solve.standing``).  The prices maximise a concave
 function; steps are damped, more after one that lowers it and less after one that raises it.  So the answer is that of solving all children together, up to the residual.
 
 Whole numbers: blocks are rounded first, as units whose bounds are the sums of their children's tight bounds, to the parent's cells; then every
@@ -27,27 +28,12 @@ BLOCK = 1000  # children
 ROUNDS = 60
 DAMP = 1e-2  # of the largest response, to begin with
 GAP = 1e-6  # of the children's sums to the parent's cells
+TASK = 8  # blocks
+ANSWERS = "parent string, block long, sums array<double>, bend array<double>, value double, free binary, side binary"
 BLOCKS = "parent string, block long, geolevel string, geocodes array<string>, lin binary, low binary, high binary, sums array<double>"
 STATE = "parent string, goal array<double>, base array<double>, step array<double>, damp double, value double, gap double, off array<double>, slope binary, slack long"
 
 
-def response(hess: np.ndarray, x: np.ndarray, member: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Sum over the children of how their cells fall as prices rise: of the cells above 0, less what the bounds they stand at hold fast."""
-    total = np.zeros_like(hess)
-    at = x @ member.T.astype(float)
-    held = (np.abs(at - low) < 1e-6) | (np.abs(at - high) < 1e-6)
-    kinds, number = np.unique(np.hstack([x > 1e-7, held]), axis=0, return_counts=True)  # children that stand alike respond alike
-    for kind, many in zip(kinds, number, strict=True):
-        f = np.flatnonzero(kind[: x.shape[1]])
-        if len(f):
-            inverse = np.linalg.inv(hess[np.ix_(f, f)])
-            c = member[kind[x.shape[1] :]][:, f].astype(float)
-            if c.any():
-                inverse = inverse - inverse @ c.T @ np.linalg.pinv(c @ inverse @ c.T) @ c @ inverse
-            total[np.ix_(f, f)] += many * inverse
-    return total
-
-
 def _arrays(row: pd.Series, n: int, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.frombuffer(row[c]).reshape(-1, k) for c, k in (("lin", n), ("low", s), ("high", s)))
 
@@ -69,7 +55,9 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
         return pd.DataFrame({"parent": frame["parent"].iloc[:1], "block": frame["block"].iloc[:1], "geolevel": frame["geolevel"].iloc[:1], "geocodes": [list(frame["geocode"])], "lin": [lin.tobytes()], "low": [low.tobytes()], "high": [high.tobytes()], "sums": [[*low.sum(0), *high.sum(0)]]})
 
     dealt = children.drop("above").join(sizes.select("parent", number.alias("blocks")), "parent").withColumn("block", F.pmod(F.xxhash64("geocode"), F.col("blocks")))
-    blocks = settle(dealt.drop("blocks").groupBy("parent", "block").applyInPandas(pack, BLOCKS))
+    every = sizes.agg(F.sum(number)).first()[0] or 0
+    parts = max(int(children.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(every) // TASK))
+    blocks = settle(dealt.drop("blocks").groupBy("parent", "block").applyInPandas(pack, BLOCKS).repartition(parts, "parent", "block"))
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -84,29 +72,23 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
     total = blocks.groupBy("parent").agg(F.array(*(F.sum(F.col("sums")[k]) for k in range(2 * s))).alias("sums"))
     state = settle(total.join(sizes.select("parent", "above"), "parent").mapInPandas(begin, STATE))
 
-    def solved(row: pd.Series) -> tuple[np.ndarray, np.ndarray, S.Sets, np.ndarray, np.ndarray, np.ndarray, S.Estimate]:
-        """(cells that the parent has, their prices, ..., estimate) of a block."""
+    def solved(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, S.Standing]:
+        """(cells that the parent has, their prices, linear terms, estimate) of a block."""
         live = np.flatnonzero(np.array(row["goal"]) > 0)
         price = (np.array(row["base"]) + np.array(row["step"]))[live]
         lin, low, high = _arrays(row, n, s)
-        part = sets.cut(live)
-        made = S.estimate(hess[np.ix_(live, live)], lin[:, live] - price, part.member, low, high)
-        return live, price, part, lin[:, live], low, high, made
+        guess = (None, None) if row["free"] is None else (np.frombuffer(row["free"], bool).reshape(len(lin), -1), np.frombuffer(row["side"], np.int8).reshape(len(lin), -1))
+        return live, price, lin[:, live], S.standing(hess[np.ix_(live, live)], lin[:, live] - price, sets.cut(live).member, low, high, *guess)
 
     def respond(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, list] = {}
         for frame in batches:
             for _, row in frame.iterrows():
-                live, price, part, lin, low, high, made = solved(row)
-                h = hess[np.ix_(live, live)]
+                live, price, lin, made = solved(row)
                 sums, slope = np.zeros(n), np.zeros((n, n))
                 sums[live] = made.x.sum(0)
-                slope[np.ix_(live, live)] = response(h, made.x, part.member, low, high)
-                value = float(0.5 * np.einsum("ij,jk,ik->", made.x, h, made.x) - ((lin - price) * made.x).sum())
-                old = found.setdefault(row["parent"], [0.0, 0.0, 0.0])
-                found[row["parent"]] = [old[0] + sums, old[1] + slope, old[2] + value]
-        if found:
-            yield pd.DataFrame({"parent": list(found), "sums": [v[0] for v in found.values()], "bend": [np.ravel(v[1]) for v in found.values()], "value": [v[2] for v in found.values()]})
+                slope[np.ix_(live, live)] = made.response
+                value = float(0.5 * ((made.x @ hess[np.ix_(live, live)]) * made.x).sum() - ((lin - price) * made.x).sum())
+                yield pd.DataFrame({"parent": [row["parent"]], "block": [row["block"]], "sums": [sums], "bend": [np.ravel(slope)], "value": [value], "free": [made.free.tobytes()], "side": [made.side.tobytes()]})
 
     def step(frame: pd.DataFrame) -> pd.DataFrame:
         """The next prices of one parent from its tasks' sums."""
@@ -125,10 +107,12 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
             delta[live] = np.linalg.solve(slope[np.ix_(live, live)] + damp * most * np.eye(len(live)), off[live])
         return pd.DataFrame({"parent": [first["parent"]], "goal": [goal], "base": [base], "step": [delta], "damp": [damp], "value": [value], "gap": [gap], "off": [off], "slope": [slope.tobytes()], "slack": [first["slack"]]})
 
+    stands = blocks.select("parent", "block", F.lit(None).cast("binary").alias("free"), F.lit(None).cast("binary").alias("side"))
     for _ in range(ROUNDS):
         open_ = state.where(F.col("gap") > GAP)
-        answers = blocks.join(open_.drop("slope", "off"), "parent").mapInPandas(respond, "parent string, sums array<double>, bend array<double>, value double")
-        moved = answers.withColumnRenamed("value", "part").join(open_, "parent").join(sizes.select("parent", "children"), "parent").groupBy("parent").applyInPandas(step, STATE)
+        answers = settle(blocks.join(F.broadcast(open_.drop("slope", "off")), "parent").join(stands, ["parent", "block"]).mapInPandas(respond, ANSWERS))
+        stands = answers.select("parent", "block", "free", "side")
+        moved = answers.select("parent", "sums", "bend", F.col("value").alias("part")).join(open_, "parent").join(sizes.select("parent", "children"), "parent").groupBy("parent").applyInPandas(step, STATE)
         state = settle(moved.unionByName(state.where(F.col("gap") <= GAP)))
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= GAP:
             break
@@ -137,14 +121,14 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
         for frame in batches:
             out = []
             for _, row in frame.iterrows():
-                live, _, _, _, _, _, made = solved(row)
+                live, _, _, made = solved(row)
                 x = np.zeros((made.x.shape[0], n))
                 x[:, live] = made.x
                 out.append((x.tobytes(), x.sum(0), made.primal, made.dual))
             yield frame[["parent", "block", "geolevel", "geocodes", "low", "high", "sums", "goal", "slack", "gap"]].assign(x=[o[0] for o in out], part=[o[1] for o in out], primal=[o[2] for o in out], dual=[o[3] for o in out])
 
     schema = "parent string, block long, geolevel string, geocodes array<string>, low binary, high binary, sums array<double>, goal array<double>, slack long, gap double, x binary, part array<double>, primal double, dual double"
-    estimated = settle(blocks.join(state.drop("slope", "off"), "parent").mapInPandas(shared, schema))
+    estimated = settle(blocks.join(F.broadcast(state.drop("slope", "off")), "parent").join(stands, ["parent", "block"], "left").mapInPandas(shared, schema))
 
     def goals(frame: pd.DataFrame) -> pd.DataFrame:
         goal = np.array(frame["goal"].iloc[0])

@@ -351,3 +351,28 @@ def test_zeros_are_not_aggregated(spark):
     assert [(r["geocode"], r["row"]) for r in got.orderBy("geocode", "row").collect()] == [(g, k) for g in "01" for k in range(3)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("Aggregate")
+
+
+def test_children_that_share_nothing_stand_alone():
+    """From right, wrong or no guesses the solves of single children are those of the rounds, and few are left to these."""
+    hess, lin, low, high, _ = problem(60)
+    low[5, 2] = high[5, 2] = 0
+    want = S.estimate(hess, lin, MEMBER, low, high).x
+    cold = S.standing(hess, lin, MEMBER, low, high)
+    assert np.abs(cold.x - want).max() < 1e-5 and cold.primal < 1e-6 and cold.dual < 1e-6
+    for guess in ((cold.free, cold.side), (~cold.free, np.ones_like(cold.side)), (np.zeros_like(cold.free), -cold.side)):
+        assert np.abs(S.standing(hess, lin, MEMBER, low, high, *guess).x - want).max() < 1e-5
+    price = np.full(N, 1e-6)  # the response is how cells fall as prices rise
+    fall = cold.x.sum(0) - S.standing(hess, lin - price, MEMBER, low, high, cold.free, cold.side).x.sum(0)
+    assert np.abs(fall - cold.response @ price).max() < 1e-3 * np.abs(fall).max() + 1e-6
+
+
+def test_children_are_rounded_within_their_own_bounds_first():
+    """The flow is left with the parent's cells only, however many children there are."""
+    hess, lin, low, high, true = problem(300)
+    target = S.estimate(hess, lin, MEMBER, low, high, true.sum(0)).x
+    x = np.floor(target + 0.5).astype(np.int64)
+    assert ((x @ MEMBER.T < low) | (x @ MEMBER.T > high)).any()
+    S._within(x, target, low, high, SETS, np.ones(N, bool))
+    at = x @ MEMBER.T
+    assert (at >= low).all() and (at <= high).all() and np.abs(x - target).max() < 2
