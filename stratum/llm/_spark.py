@@ -82,16 +82,21 @@ def held(doc_id: Column, folds: int, out: int) -> Column:
 FIT_BYTES = 64 << 10  # labelled texts beyond so many bytes are scored, but not learnt from: what the driver gets stays bounded
 
 
+def labelled(labels: DataFrame, label: str, fold_out: tuple[int, int] | None) -> DataFrame:
+    """(doc_id, y) of all training rows: an id counts once, and one with both labels has none."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"))
+    if fold_out:
+        known = known.where(~held(F.col("doc_id"), *fold_out))
+    return known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").drop("most")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most_per_class: int, fold_out: tuple[int, int] | None, seed: int) -> DataFrame:
     """(doc_id, text, y): at most ``most_per_class`` training rows of each class, by seeded hash of the id, of at most FIT_BYTES each.
 
     An id counts once, however many rows have it: of several texts the one of the least hash is taken, and an id with both labels has none.
     The sample is taken on the narrow label table, so its broadcast is bounded by 2 * most_per_class rows of 12 bytes;
     the text of the chosen documents alone is read in full."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"))
-    if fold_out:
-        known = known.where(~held(F.col("doc_id"), *fold_out))
-    known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").drop("most")
+    known = labelled(labels, label, fold_out)
     parts = [known.where(F.col("y") == y).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most_per_class) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= FIT_BYTES)

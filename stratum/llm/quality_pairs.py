@@ -2,18 +2,20 @@
 
 Training rows of label 1 are preferred to those of label 0.  Each preference pair contributes a logistic loss on the
 difference of the two documents' features, so the model learns a ranking score ``w . f(text)``.  The decision cuts
-that score at a quantile of the labelled scores: the share of label 0 among the training rows.  The published score
+that score at a quantile of the labelled scores: the share of label 0 among the training rows.  All training rows count: their
+features are a table, dealt out to tasks, in which every row is paired with PAIRS_PER_ROW rows of the other class; only sums of
+gradients and curvatures (features x features) leave a task in each step of Newton's method.  An id counts once, however many rows
+have it: of several texts the one of the least hash is taken, and an id with both labels has none.  The published score
 is a logistic map of the ranking score that puts the cut at 0.7.
 
 Features are text statistics only, computed over whole texts in Arrow batches (bounded pieces of a batch at a time).
 Null and empty texts have all-zero statistics and are scored like any other row.  Repeated rows are scored each.
-With no labels of one class, every document gets score 0.5.  Labelled texts beyond _spark.FIT_BYTES
-bytes are scored, but not learnt from.
+With no labels of one class, every document gets score 0.5.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import _text as t
-from stratum.llm._spark import held, labelled_sample
+from stratum.llm._spark import held, labelled, settle, settle_table
 
-PAIR_ROWS = 6000  # training rows of each class at most
+TASK_ROWS = 1000  # of the smaller class in a task
+PAIRED_ROWS = 4096  # at once
 PAIRS_PER_ROW = 20
+STEPS, ENOUGH = 30, 1e-6
+RIDGE = 1e-4
 CUT = 0.7
 
 
@@ -65,24 +70,86 @@ def features(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.concatenate([base, np.sqrt(np.maximum(base[:, 1:], 0)), np.minimum(n_words, 20)[:, None] / 20], 1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 1, steps: int = 400) -> dict:
-    """Bradley-Terry weights, feature scale and the score at the label-0 quantile."""
+def pairs(x: np.ndarray, y: np.ndarray, seed: int) -> Iterator[np.ndarray]:
+    """Differences good - bad, PAIRS_PER_ROW for each row, of as many rows at a time as memory should hold."""
     good, bad = x[y == 1], x[y == 0]
-    if not len(good) or not len(bad):
-        return {"w": np.zeros(x.shape[1]), "scale": np.ones(x.shape[1]), "cut": 0.0, "slope": 0.0}
-    scale = x.std(0) + 1e-3
     rng = np.random.default_rng(seed)
-    few = min(len(good), len(bad)) * PAIRS_PER_ROW
-    d = (good[rng.integers(len(good), size=few)] - bad[rng.integers(len(bad), size=few)]) / scale
-    w, g2 = np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    for _ in range(steps):
-        grad = -(d * (1 / (1 + np.exp(np.clip(d @ w, -50, 50))))[:, None]).mean(0) + 1e-4 * w
-        g2 += grad * grad
-        w -= 0.3 * grad / (np.sqrt(g2) + 1e-9)
-    s = (x / scale) @ w
-    share = (y == 0).mean()
-    low, cut, high = np.quantile(s, [max(share - 0.005, 0), share, min(share + 0.005, 1)])
-    return {"w": w, "scale": scale, "cut": float((low + cut + high) / 3), "slope": 1.0}
+    if len(good) and len(bad):
+        for i in range(0, len(x), PAIRED_ROWS):
+            some, other = np.repeat(x[i : i + PAIRED_ROWS], PAIRS_PER_ROW, 0), np.repeat(y[i : i + PAIRED_ROWS], PAIRS_PER_ROW) == 1
+            yield np.where(other[:, None], some - bad[rng.integers(len(bad), size=len(some))], good[rng.integers(len(good), size=len(some))] - some)
+
+
+def sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, seed: int) -> np.ndarray:
+    """Number of pairs, loss, gradient and curvature at ``w``, summed over the pairs, in one row."""
+    n, loss, gradient, curve = 0, 0.0, np.zeros(len(w)), np.zeros((len(w), len(w)))
+    for d in pairs(x, y, seed):
+        z = np.clip(d @ w, -50, 50)
+        p = 1 / (1 + np.exp(z))
+        n, loss, gradient, curve = n + len(d), loss + np.log1p(np.exp(-z)).sum(), gradient - p @ d, curve + (d * (p * (1 - p))[:, None]).T @ d
+    return np.concatenate([[n, loss], gradient, curve.ravel()])
+
+
+def weights(summed: Callable[[np.ndarray], np.ndarray], features: int) -> np.ndarray:
+    """The least mean loss by Newton's method with steps cut until the loss falls; ``summed(w)`` is ``sums`` over all pairs."""
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        got = summed(w)
+        n = max(got[0], 1)
+        return got[1] / n + RIDGE / 2 * w @ w, got[2 : 2 + features] / n + RIDGE * w, got[2 + features :].reshape(features, features) / n + RIDGE * np.eye(features)
+
+    w = np.zeros(features)
+    loss, gradient, curve = at(w)
+    for _ in range(STEPS):
+        if np.abs(gradient).max() < ENOUGH:
+            break
+        step = -np.linalg.solve(curve, gradient)
+        new = at(w + step)
+        while new[0] > loss and np.abs(step).max() > 1e-9:
+            step = step / 4
+            new = at(w + step)
+        w, (loss, gradient, curve) = w + step, new
+    return w
+
+
+def _none(features: int) -> dict:
+    return {"w": np.zeros(features), "scale": np.ones(features), "cut": 0.0, "slope": 0.0}
+
+
+def _near(share: float) -> list[float]:
+    return [max(share - 0.005, 0.0), share, min(share + 0.005, 1.0)]
+
+
+def fit(x: np.ndarray, y: np.ndarray, seed: int = 1) -> dict:
+    """Bradley-Terry weights, feature scale and the score at the label-0 quantile, of rows at hand."""
+    if (y == 1).all() or (y == 0).all():
+        return _none(x.shape[1])
+    scale = x.std(0) + 1e-3
+    w = weights(lambda w: sums(x / scale, y, w, seed), x.shape[1])
+    return {"w": w, "scale": scale, "cut": float(np.quantile((x / scale) @ w, _near((y == 0).mean())).mean()), "slope": 1.0}
+
+
+def learn(rows: DataFrame, features: int, seed: int = 1) -> dict:
+    """``fit`` of a table ``rows(doc_id, y, x)``; a task pairs the rows that are dealt to it."""
+    number = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
+    if len(number) < 2:
+        return _none(features)
+    scale = np.array(rows.agg(*(F.stddev_pop(F.col("x")[k]) for k in range(features))).first()) + 1e-3
+    dealt = settle(rows.repartition(max(1, min(number.values()) // TASK_ROWS), F.xxhash64(F.lit(seed), "doc_id")).sortWithinPartitions("doc_id"))
+
+    def summed(w: np.ndarray) -> np.ndarray:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = [(np.array(b.column("x").flatten()).reshape(-1, features) / scale, b.column("y").to_numpy()) for b in batches]
+            if parts:
+                out = sums(np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts]), w, seed)
+                yield pa.record_batch([pa.array(range(len(out)), pa.int32()), pa.array(out)], ["k", "v"])
+
+        return dealt.mapInArrow(each, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas().sort_values("k")["v"].to_numpy()  # features squared
+
+    w = weights(summed, features)
+    score = sum((F.col("x")[k] * float(w[k] / scale[k]) for k in range(features)), F.lit(0.0))
+    cut = dealt.agg(F.percentile_approx(score, F.array(*map(F.lit, _near(number[0] / (number[0] + number[1])))), F.lit(100_000))).first()[0]
+    return {"w": w, "scale": scale, "cut": float(sum(cut) / 3), "slope": 1.0}
 
 
 def apply(model: dict, x: np.ndarray) -> np.ndarray:
@@ -94,21 +161,24 @@ def apply(model: dict, x: np.ndarray) -> np.ndarray:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, out_fold: int = 2, seed: int = 1) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs(doc_id, text)``; labels of the held-out fold are not used."""
-    sample = labelled_sample(docs, labels, "quality", PAIR_ROWS, (folds, out_fold), seed)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, off in t.chunks(b.column("text")):
-                yield pa.record_batch([b.column("doc_id")[i:j], b.column("y")[i:j], pa.array(list(features(buf, off)), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
+                part = b.slice(i, j - i)
+                yield pa.record_batch([part.column("doc_id"), part.column("held_out"), part.column("h"), pa.array(list(features(buf, off)), pa.list_(pa.float64()))], ["doc_id", "held_out", "h", "x"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInArrow(stats, f"doc_id {kind}, y int, x array<double>").orderBy("doc_id", "x").toPandas()
-    model = fit(np.stack(rows["x"]) if len(rows) else np.zeros((0, 26)), rows["y"].to_numpy(), seed)
+    rows = docs.select("doc_id", held(F.col("doc_id"), folds, out_fold).alias("held_out"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    every = settle_table(rows.mapInArrow(stats, f"doc_id {kind}, held_out boolean, h long, x array<double>"))
+    known = labelled(labels, "quality", (folds, out_fold))
+    train = every.where("NOT held_out").join(known, "doc_id").groupBy("doc_id", "y").agg(F.min_by("x", "h").alias("x"))
+    model = learn(settle(train), features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1], seed)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, buf, off in t.chunks(b.column("text")):
-                yield pa.record_batch([b.column("doc_id")[i:j], b.column("held_out")[i:j], apply(model, features(buf, off))], ["doc_id", "held_out", "score"])
+            x = np.array(b.column("x").flatten()).reshape(b.num_rows, -1)
+            yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(apply(model, x))], ["doc_id", "held_out", "score"])
 
-    scored = docs.select("doc_id", held(F.col("doc_id"), folds, out_fold).alias("held_out"), "text").mapInArrow(score, f"doc_id {kind}, held_out boolean, score double")
+    scored = every.select("doc_id", "held_out", "x").mapInArrow(score, f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))

@@ -436,3 +436,19 @@ def test_unclosed_hidden_tags_take_linear_time():
     assert took[1] < 12 * took[0] + 1
     kept = [b[1] for b in html_text.blocks("<p>one</p><script type='a' x=1 < 2>hidden</script><script>var a = '<p>no</p>';</script><p>two</p>")]
     assert kept == ["one", "two"]
+
+
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """The table's fit is that of all its rows, long texts included; two tasks' pairs are as good as one's."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (3000, 26))
+    y = (x[:, 0] + x[:, 1] > rng.normal(0, 1, 3000)).astype(int)
+    rows = spark.createDataFrame([(i, int(b), [float(v) for v in a]) for i, (a, b) in enumerate(zip(x, y, strict=True))], "doc_id long, y int, x array<double>")
+    one = quality_pairs.fit(x, y)
+    monkeypatch.setattr(quality_pairs, "TASK_ROWS", 700)
+    got = quality_pairs.learn(rows, 26)
+    assert np.corrcoef(got["w"], one["w"])[0, 1] > 0.99 and abs(got["cut"] - one["cut"]) < 0.2
+    docs = spark.createDataFrame([(i, ("# | " if i % 2 else "plain words here. ") * (20_000 if i < 40 else 3)) for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")  # all beyond 64 KB
+    scored = {r["doc_id"]: r["score"] for r in quality_pairs.quality_scores(docs, labels).collect()}
+    assert scored[0] > 0.7 > scored[1]
