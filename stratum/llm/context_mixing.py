@@ -14,7 +14,7 @@ weights of its own after each BLOCK tokens, so its score depends on no other tex
 probability by gate.  The sum over bits is the score; ``bits_per_byte`` is it per byte of the tokens and their ends.
 
 Everything gathered covers all training documents: token counts are a grouped sum over distinct words of tasks, context counts are sums of
-a table of fixed size from each task, weights are learnt from the first LEARN_ALL bits of each task and one chunk of its documents in LEARN (by hash of the texts) after them.  Bounded are the code
+a table of fixed size from each task, weights are learnt from all bits.  Bounded are the code
 (WORDS words at most, whole classes of like counts) and the contexts (SLOTS slots each, without a check), so in a very large corpus rare contexts share slots.
 
 Tokens are compared by 62-bit hashes.  Null text is empty: it has the end token only.  Repeated rows are scored (and counted) each;
@@ -40,7 +40,7 @@ SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
 CONTEXTS, LEVELS = 3, 5
 GATES = 12 * LEVELS * LEVELS  # kind and place of the bit, and how sure the second and the third context are
-BLOCK, LEARN, LEARN_ALL = 64, 8, 2_000_000
+BLOCK = 64
 CHUNK = 1 << 19  # bytes of text coded at a time
 RANGES, RANGE_BYTES = 64, 16 << 20
 PRIOR = 0.3
@@ -331,10 +331,8 @@ def learn(rows: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray, Mixer]:
         for b in batches:
             for _, _, buf, off in t.chunks(b.column("text"), CHUNK):
                 x = tokens(buf, off)
-                teaches = mixer.bits < LEARN_ALL or int(np.add.reduce(x.h) >> np.uint64(40)) % LEARN == 0
                 for part in bits(shared.value, x)[:2]:
-                    if teaches:
-                        mixer.code(part, x.docs, inputs, learn=True)
+                    mixer.code(part, x.docs, inputs, learn=True)
                     for k in range(CONTEXTS):
                         waiting[k].append(part.slots[k] * 2 + part.value)
                 if sum(map(len, waiting[0])) > 4_000_000:

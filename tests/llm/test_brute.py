@@ -316,3 +316,16 @@ def test_stages_on_edge_rows(spark, sf, stage, tmp_path):
         elif stage == 3:
             assert len(got) == len(data)  # no row holds a benchmark item
 
+
+
+def test_context_mixing_learns_from_all_bits(spark):
+    """Weights follow every bit of a task, also after millions of them."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 4000, 10_000)) for _ in range(40)]
+    x = context_mixing.tokens(*chunk(texts))
+    known, count = np.unique(x.h, return_counts=True)
+    code = context_mixing.prefix_code(known, count, 0)
+    every = sum(len(part.value) for part in context_mixing.bits(code, x)[:2])
+    assert every > 3_000_000
+    mixer = context_mixing.learn(spark.createDataFrame([(v,) for v in texts], "text string").coalesce(1), code)[2]
+    assert mixer.refine.sum() == every
