@@ -6,14 +6,15 @@ that keeps its own bounds always has children that keep theirs (the sets' bounds
 
 Per parent one grouped function estimates and rounds all children together, as they share the parent's cells: ``solve.estimate`` of every
 measured query, whole numbers by exchanges along shortest paths between categories, and cells
-within a category likewise.  Constraints that are named level by level, with totals free elsewhere, are in ``topdown``.  A group has children x cells numbers; the number of children of one parent bounds a task, as the
-geography does.  Where a parent's value can't be reached (bounds that aren't its own, given from outside), the least total slack on
+within a category likewise.  Constraints that are named level by level, with totals free elsewhere, are in ``topdown``.  A group has children x cells numbers.  Of leaves the bounds of
+single categories imply those of all sets, which are nested then: a parent of more than CROWD such children goes to ``crowded``, which splits them over tasks, has the same estimate and
+rounds it by flows.  Where a parent's value can't be reached (bounds that aren't its own, given from outside), the least total slack on
 the parent's categories is taken instead, flagged, and upper levels are added up again from the leaves."""
 
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,12 +23,15 @@ from pyspark.sql import functions as F
 
 from stratum.functions.noise import Budget
 from stratum.operators import solve as S
+from stratum.operators.crowded import BLOCK, crowded
 from stratum.operators.estimate import settle
 from stratum.operators.hierarchy import Hierarchy
 from stratum.operators.histogram import Domain
 from stratum.operators.linear import LinearQuery
 from stratum.operators.topdown import linear, packed, weights
 
+CROWD = 200  # children of one parent that a group may hold if they can be split
+
 
 def set_bounds(hist: DataFrame, units: DataFrame, levels: int, h: Hierarchy) -> DataFrame:
     """(geolevel, geocode, tot, most): for every unit the most persons in each set of categories; ``most[S]`` with S a bit mask.
@@ -212,13 +216,14 @@ def solve_root(noisy: np.ndarray, most: np.ndarray, category: np.ndarray, zeros:
     return out
 
 
-def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], axis: str = "hhgq", zeros: list[int] | None = None) -> DataFrame:
+def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, domain: Domain, budget: Budget, queries: dict[str, LinearQuery], axis: str = "hhgq", zeros: list[int] | None = None, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(geolevel, geocode, cell, syn, slack): estimates from all measured queries, made whole, consistent and true to totals and bounds.
 
     ``measured(geolevel, geocode, query, row, noisy)`` has the answers of every unit to the queries of ``budget``; ``bounds`` is of ``set_bounds``."""
     size, k = domain.size, domain.names.index(axis)
     category = np.array([c // domain.strides[k] % domain.dims[k] for c in range(size)])
     zeros = zeros or []
+    nested = S.Sets.of(np.vstack([np.ones(size, bool), np.arange(domain.dims[k])[:, None] == category]))
     spans, by_level = weights(domain, budget, queries, h)
     rows = settle(packed(measured, spans).join(bounds, ["geolevel", "geocode"]))
     top = h.levels[-1]
@@ -241,13 +246,38 @@ def constrained_top_down(measured: DataFrame, bounds: DataFrame, h: Hierarchy, d
     flags = done.select("geolevel", "geocode", "slack")
     for level in reversed(h.levels[:-1]):
         above = done.select(F.col("geocode").alias("parent"), F.col("x").alias("above"))
-        below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode"))).join(above, "parent")
-        done = settle(below.groupBy("parent").applyInPandas(children(*by_level[level]), schema))
+        below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode")))
+        marked = below.select("parent", "most").mapInPandas(_marked, "parent string, single boolean")
+        many = settle(marked.groupBy("parent").agg(F.count("*").alias("n"), F.min("single").alias("single")).where((F.col("n") > crowd) & F.col("single")).select("parent"))
+        few = below.join(F.broadcast(many), "parent", "left_anti").join(above, "parent").groupBy("parent").applyInPandas(children(*by_level[level]), schema)
+        if not many.isEmpty():
+            hess, parts = by_level[level]
+            wide = below.withColumnRenamed("most", "cons").join(F.broadcast(many.join(above, "parent")), "parent")
+            split = crowded(wide, hess, lambda a, parts=parts: linear(a, parts), lambda most, _: single_bounds(np.stack(most))[:2], nested, block)
+            few = few.unionByName(split.select("geolevel", "geocode", "x", "slack"))
+        done = settle(few)
         flags = flags.unionByName(done.select("geolevel", "geocode", "slack"))
     leaves = done.select("geocode", F.posexplode("x").alias("cell", "n"))
     return h.rollup(leaves, "cell").withColumnRenamed("n", "syn").join(flags, ["geolevel", "geocode"])
 
 
+def single_bounds(most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(low, high, whether they imply the bounds of all sets) of each child; ``low`` and ``high`` are of all cells and of each category."""
+    m = most.shape[1].bit_length() - 1
+    tot, every = most[:, -1:], most.shape[1] - 1
+    high = most[:, [1 << r for r in range(m)]]
+    low = tot - most[:, [every ^ 1 << r for r in range(m)]]
+    inside = np.arange(1 << m)[:, None] >> np.arange(m) & 1
+    implied = np.minimum(high @ inside.T, tot - low @ (1 - inside).T)
+    return np.hstack([tot, low]).astype(float), np.hstack([tot, high]).astype(float), (implied <= most).all(1)
+
+
+def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in batches:
+        if len(frame):
+            yield pd.DataFrame({"parent": frame["parent"], "single": single_bounds(np.stack(frame["most"]))[2]})
+
+
 def slack_by_level(estimates: DataFrame) -> DataFrame:
     """(geolevel, slack): the largest slack that a parent of the level's units needed."""
     return estimates.groupBy("geolevel").agg(F.max("slack").cast("long").alias("slack"))

@@ -54,10 +54,10 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
         lin = np.ascontiguousarray(linear(np.stack(frame["answers"])))
         return pd.DataFrame({"parent": frame["parent"].iloc[:1], "block": frame["block"].iloc[:1], "geolevel": frame["geolevel"].iloc[:1], "geocodes": [list(frame["geocode"])], "lin": [lin.tobytes()], "low": [low.tobytes()], "high": [high.tobytes()], "sums": [[*low.sum(0), *high.sum(0)]]})
 
-    dealt = children.drop("above").join(sizes.select("parent", number.alias("blocks")), "parent").withColumn("block", F.pmod(F.xxhash64("geocode"), F.col("blocks")))
+    dealt = children.drop("above").join(F.broadcast(sizes.select("parent", number.alias("blocks"))), "parent").withColumn("block", F.pmod(F.xxhash64("geocode"), F.col("blocks")))
     every = sizes.agg(F.sum(number)).first()[0] or 0
     parts = max(int(children.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(every) // TASK))
-    blocks = settle(dealt.drop("blocks").groupBy("parent", "block").applyInPandas(pack, BLOCKS).repartition(parts, "parent", "block"))
+    blocks = settle(dealt.drop("blocks").repartition(parts, "parent", "block").groupBy("parent", "block").applyInPandas(pack, BLOCKS))
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -107,10 +107,14 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
             delta[live] = np.linalg.solve(slope[np.ix_(live, live)] + damp * most * np.eye(len(live)), off[live])
         return pd.DataFrame({"parent": [first["parent"]], "goal": [goal], "base": [base], "step": [delta], "damp": [damp], "value": [value], "gap": [gap], "off": [off], "slope": [slope.tobytes()], "slack": [first["slack"]]})
 
+    def dealt_out(rows: DataFrame) -> DataFrame:
+        """One part for each TASK blocks, however few bytes they are: solving takes the time."""
+        return rows.repartition(parts, "parent", "block")
+
     stands = blocks.select("parent", "block", F.lit(None).cast("binary").alias("free"), F.lit(None).cast("binary").alias("side"))
     for _ in range(ROUNDS):
         open_ = state.where(F.col("gap") > GAP)
-        answers = settle(blocks.join(F.broadcast(open_.drop("slope", "off")), "parent").join(stands, ["parent", "block"]).mapInPandas(respond, ANSWERS))
+        answers = settle(dealt_out(blocks).join(F.broadcast(open_.drop("slope", "off")), "parent").join(dealt_out(stands), ["parent", "block"]).mapInPandas(respond, ANSWERS))
         stands = answers.select("parent", "block", "free", "side")
         moved = answers.select("parent", "sums", "bend", F.col("value").alias("part")).join(open_, "parent").join(sizes.select("parent", "children"), "parent").groupBy("parent").applyInPandas(step, STATE)
         state = settle(moved.unionByName(state.where(F.col("gap") <= GAP)))
@@ -128,7 +132,7 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
             yield frame[["parent", "block", "geolevel", "geocodes", "low", "high", "sums", "goal", "slack", "gap"]].assign(x=[o[0] for o in out], part=[o[1] for o in out], primal=[o[2] for o in out], dual=[o[3] for o in out])
 
     schema = "parent string, block long, geolevel string, geocodes array<string>, low binary, high binary, sums array<double>, goal array<double>, slack long, gap double, x binary, part array<double>, primal double, dual double"
-    estimated = settle(blocks.join(F.broadcast(state.drop("slope", "off")), "parent").join(stands, ["parent", "block"], "left").mapInPandas(shared, schema))
+    estimated = settle(dealt_out(blocks).join(F.broadcast(state.drop("slope", "off")), "parent").join(dealt_out(stands), ["parent", "block"], "left").mapInPandas(shared, schema))
 
     def goals(frame: pd.DataFrame) -> pd.DataFrame:
         goal = np.array(frame["goal"].iloc[0])
@@ -151,4 +155,4 @@ def crowded(children: DataFrame, hess: np.ndarray, linear, bounds_of, sets: S.Se
                 y[:, live] = S.whole(x[:, live], low, high, sets.cut(live), goal[live])
                 yield pd.DataFrame({"geolevel": row["geolevel"], "geocode": row["geocodes"], "x": list(y), "estimate": list(x), "slack": row["slack"], "primal": max(row["primal"], row["gap"]), "dual": row["dual"]})
 
-    return estimated.drop("sums", "goal", "part").join(own, ["parent", "block"]).mapInPandas(rounded, "geolevel string, geocode string, x array<long>, estimate array<double>, slack long, primal double, dual double")
+    return dealt_out(estimated.drop("sums", "goal", "part")).join(dealt_out(own), ["parent", "block"]).mapInPandas(rounded, "geolevel string, geocode string, x array<long>, estimate array<double>, slack long, primal double, dual double")

@@ -1,8 +1,14 @@
 """What a task holds doesn't grow with the tables."""
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratum import queries as Q
+from stratum.operators import constrained as K
+from stratum.operators import estimate as E
+from stratum.operators import solve as S
+from stratum.operators.hierarchy import Hierarchy
 
 
 @pytest.mark.parametrize("name", ["measurement_table", "marginal_1way_all", "marginal_2way_all", "marginal_all", "table_pl94", "error_metrics_marg", "error_metrics_geounit"])
@@ -12,3 +18,39 @@ def test_as_many_tasks_as_the_tables_need(name, spark, sf, monkeypatch):
     want = -(-Q.read(spark, sf, "orders").count() // 100)
     assert want > 10
     assert Q.QUERIES[name](spark, sf).rdd.getNumPartitions() == want
+
+
+def test_constrained_children_are_split(spark, sf, monkeypatch):
+    """Leaves of one parent go to several blocks; their totals, all bounds of sets and the parent's cells are kept as in one group."""
+    h = Hierarchy(("customer", "root"), (11, 1))
+    bounds = E.settle(K.set_bounds(Q.leaf(spark, sf), Q.unit_hist(spark, sf), 5, h))
+    noisy = E.measure(Q.hist(spark, sf), bounds.select(*Q.KEYS), Q.DOMAIN, Q.BUDGET, Q.workload(Q.DOMAIN))
+    split = []
+    crowded = K.crowded
+    monkeypatch.setattr(K, "crowded", lambda children, *a: split.append(children.groupBy("parent").count().count()) or crowded(children, *a))
+    made = E.settle(K.constrained_top_down(noisy, bounds, h, Q.DOMAIN, Q.BUDGET, Q.workload(Q.DOMAIN), crowd=50, block=40))
+    assert split == [1]
+    assert all(r["failures"] == 0 for r in K.kept(made, bounds, Q.DOMAIN).collect())
+    assert all(r["slack"] == 0 for r in K.slack_by_level(made).collect())
+    own = {r["geocode"]: r["n"] for r in made.where("geolevel = 'customer'").groupBy("geocode").agg(F.sum("syn").alias("n")).collect()}
+    assert own == {r["geocode"]: r["tot"] for r in bounds.where("geolevel = 'customer'").collect()}
+
+
+def test_bounds_of_single_categories():
+    """Those of a leaf imply the bounds of all sets; others need not."""
+    units, tot = np.array([[2, 0, 1], [0, 0, 3], [1, 1, 1]]), np.array([5, 4, 9])
+    inside = np.arange(8)[:, None] >> np.arange(3) & 1
+    v = units @ inside.T
+    most = np.where(v > 0, np.maximum(tot[:, None] - (units.sum(1, keepdims=True) - v), 0), 0)
+    low, high, single = K.single_bounds(most)
+    assert single.all() and (low[:, 0] == tot).all() and (low[0, 1:] == [2, 0, 1]).all() and high[0, 2] == 0 and low[1, 3] == 4
+    assert not K.single_bounds(np.array([[[0, 5, 6, 9, 10][s.bit_count()] for s in range(16)]]))[2].any()
+
+
+def test_bound_without_a_free_cell_is_settled(monkeypatch):
+    """A category that must have a person, but whose cells all want to be below 0, needs no rounds of ``estimate``."""
+    monkeypatch.setattr(S, "estimate", lambda *a, **k: pytest.fail("left to the rounds"))
+    member = np.vstack([np.ones(6, bool), np.arange(2)[:, None] == np.arange(6) // 3])
+    low, high = np.array([[9.0, 1, 1]]), np.array([[9.0, 8, 8]])
+    made = S.standing(np.eye(6) + 0.5 * member[1:].T.astype(float) @ member[1:], np.array([[5.0, 4, 6, -7, -9, -6]]), member, low, high)
+    assert made.x.sum() == pytest.approx(9) and made.x[0, 3:] == pytest.approx([0, 0, 1])
