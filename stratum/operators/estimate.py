@@ -108,12 +108,15 @@ def top_down(measured: DataFrame, totals: DataFrame, h: Hierarchy, domain: Domai
     estimate before it is projected (``couple``)."""
     measured = settle(measured)
     parts = tasks(measured)
-    detail = measured.where("query = 'detailed'").select("geolevel", "geocode", F.col("row").alias("cell"), "noisy", "var")
-    if queries:
-        detail = couple(measured, domain, queries)
+
+    def detail(level: str) -> DataFrame:
+        """A level's cells; units of other levels are left out before ``couple``, not after."""
+        own = measured.where(F.col("geolevel") == level)
+        return couple(own, domain, queries) if queries else own.where("query = 'detailed'").select("geolevel", "geocode", F.col("row").alias("cell"), "noisy", "var")
+
     out, above = None, None
     for level in reversed(h.levels):
-        rows = detail.where(F.col("geolevel") == level)
+        rows = detail(level)
         if above is None:
             rows = rows.join(totals.where(F.col("geolevel") == level).select("geocode", F.col("n").alias("total")), "geocode")
             group, order = ["geocode"], ["cell"]

@@ -54,3 +54,20 @@ def test_bound_without_a_free_cell_is_settled(monkeypatch):
     low, high = np.array([[9.0, 1, 1]]), np.array([[9.0, 8, 8]])
     made = S.standing(np.eye(6) + 0.5 * member[1:].T.astype(float) @ member[1:], np.array([[5.0, 4, 6, -7, -9, -6]]), member, low, high)
     assert made.x.sum() == pytest.approx(9) and made.x[0, 3:] == pytest.approx([0, 0, 1])
+
+
+def test_units_are_dealt_out(spark, sf, monkeypatch):
+    """Occupied and vacant units come from as many tasks as orders need, not from the session's shuffle partitions."""
+    want = -(-Q.read(spark, sf, "orders").count() // 100)
+    monkeypatch.setattr(Q, "ORDERS", 100)
+    assert Q.unit_hist(spark, sf).rdd.getNumPartitions() == want
+    assert Q.units(spark, sf).rdd.getNumPartitions() == want
+
+
+def test_levels_are_coupled_once(spark, sf, monkeypatch):
+    """Each level's units are multiplied for that level only, not those of all levels for each."""
+    seen = []
+    couple = E.couple
+    monkeypatch.setattr(E, "couple", lambda rows, *a: seen.append({r["geolevel"] for r in rows.select("geolevel").distinct().collect()}) or couple(rows, *a))
+    Q.topdown_estimate_queries(spark, sf)
+    assert seen == [{x} for x in reversed(Q.H.levels)]
