@@ -71,7 +71,8 @@ def geography(spark: SparkSession, sf: str) -> DataFrame:
 
 def units(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").select("o_orderkey", "o_custkey", (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("hhgq"))
-    return o.join(geography(spark, sf), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "geocode", "hhgq")
+    n = tasks(spark, sf)
+    return o.repartition(n, "o_custkey").join(geography(spark, sf).repartition(n, "c_custkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "geocode", "hhgq")
 
 
 def persons(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,10 +94,11 @@ def hist(spark: SparkSession, sf: str) -> DataFrame:
 
 def unit_hist(spark: SparkSession, sf: str) -> DataFrame:
     """(geocode, hhgq, n): level 5 is vacant."""
-    used = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    occupied = units(spark, sf).join(used.withColumn("used", F.lit(1)), "o_orderkey", "left")
+    n = tasks(spark, sf)
+    used = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).repartition(n, "o_orderkey").distinct()
+    occupied = units(spark, sf).repartition(n, "o_orderkey").join(used.withColumn("used", F.lit(1)), "o_orderkey", "left")
     level = F.when(F.col("used").isNull(), 5).otherwise(F.col("hhgq"))
-    return occupied.groupBy("geocode", level.alias("hhgq")).agg(F.count("*").alias("n"))
+    return occupied.select("geocode", level.alias("hhgq")).repartition(n, "geocode").groupBy("geocode", "hhgq").agg(F.count("*").alias("n"))
 
 
 def unit_levels(spark: SparkSession, sf: str) -> DataFrame:
