@@ -224,6 +224,17 @@ def sureness(seen: np.ndarray) -> np.ndarray:
     return sum((seen > n).astype(np.int8) for n in (0, 2, 9, 49))
 
 
+def paired(pull: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """Stretched probability and sureness of each slot side by side, so that one look-up finds both."""
+    return np.stack([pull.astype(np.float32).view(np.int32), sure.astype(np.int32)], -1).view(np.int64)[..., 0]
+
+
+def looked_up(seen: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(stretched probability by each context, how sure the second and the third are) of bits."""
+    pairs = [seen[k].take(slots[k], mode="clip").view(np.int32).reshape(-1, 2) for k in range(CONTEXTS)]
+    return [np.ascontiguousarray(p[:, 0]).view(np.float32) for p in pairs], pairs[1][:, 1] * LEVELS + pairs[2][:, 1]
+
+
 class Mixer:
     """Weights by gate, and the counts of the refining table (gate, stretched probability in steps of 1/2)."""
 
@@ -245,11 +256,11 @@ class Mixer:
             doc, size, start = b.run_doc[first:past], b.run_size[first:past], begin[first:past] - low
             x, sure = inputs([s[low:high] for s in b.slots])
             value = b.value[low:high]
-            gate = b.gate[low:high] * (LEVELS * LEVELS)
-            gate += sure
+            gate = b.gate[low:high] * (LEVELS * LEVELS) + sure
+            weights = np.ascontiguousarray(self.weights.T)
             z = np.zeros(high - low, np.float32)
             for k in range(CONTEXTS):
-                w = self.weights[:, k].take(gate)
+                w = weights[k].take(gate, mode="clip")
                 w += np.repeat(own[k, doc], size)
                 w *= x[k]
                 z += w
@@ -318,15 +329,18 @@ def learn(rows: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray, Mixer]:
         waiting: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
         mixer = Mixer()
 
+        seen = paired(np.zeros((CONTEXTS, SLOTS), np.float32), np.zeros((CONTEXTS, SLOTS), np.int8))
+
         def settle() -> None:
             for k, places in enumerate(waiting):
                 if places:
                     table[k] += np.bincount(np.concatenate(places), minlength=2 * SLOTS).reshape(SLOTS, 2).astype(np.uint32)
                 places.clear()
+                zero, one = table[k].T.astype(np.float32)  # counts stand until the next settling, and so does what follows from them
+                seen[k] = paired(stretched(zero, one), sureness(zero + one))
 
-        def inputs(slots: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-            pairs = [table[k].take(slots[k], 0).astype(np.float32) for k in range(CONTEXTS)]
-            return [stretched(p[:, 0], p[:, 1]) for p in pairs], sureness(pairs[1].sum(1)) * LEVELS + sureness(pairs[2].sum(1))
+        def inputs(slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+            return looked_up(seen, slots)
 
         for b in batches:
             for _, _, buf, off in t.chunks(b.column("text"), CHUNK):
@@ -385,9 +399,10 @@ def token_scores(docs: DataFrame, folds: int = 10, out_fold: int = 0) -> DataFra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, table, sure, weights, refine = model.value
         mixer = Mixer(weights, refine)
+        seen = paired(table, sure)
 
-        def inputs(slots: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-            return [table[k].take(slots[k]) for k in range(CONTEXTS)], sure[1].take(slots[1]) * LEVELS + sure[2].take(slots[2])
+        def inputs(slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+            return looked_up(seen, slots)
 
         base = np.log10((code.counts + 0.1) / mass)
         for b in batches:

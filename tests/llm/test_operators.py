@@ -452,3 +452,17 @@ def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")  # all beyond 64 KB
     scored = {r["doc_id"]: r["score"] for r in quality_pairs.quality_scores(docs, labels).collect()}
     assert scored[0] > 0.7 > scored[1]
+
+
+def test_context_mixing_looks_up_pairs():
+    """One look-up finds what a slot's counts say, as the formula does bit by bit."""
+    from stratum.llm import context_mixing as C
+
+    rng = np.random.default_rng(3)
+    zero, one = rng.integers(0, 90, (2, C.CONTEXTS, 50)).astype(np.float32)
+    slots = [rng.integers(0, 50, 400).astype(np.int32) for _ in range(C.CONTEXTS)]
+    pull, sure = C.looked_up(C.paired(C.stretched(zero, one), C.sureness(zero + one)), slots)
+    for k in range(C.CONTEXTS):
+        assert (pull[k] == C.stretched(zero[k][slots[k]], one[k][slots[k]])).all()
+    level = [C.sureness((zero + one)[k][slots[k]]).astype(int) for k in range(C.CONTEXTS)]
+    assert (sure == level[1] * C.LEVELS + level[2]).all()
