@@ -42,6 +42,7 @@ CONTEXTS, LEVELS = 3, 5
 GATES = 12 * LEVELS * LEVELS  # kind and place of the bit, and how sure the second and the third context are
 BLOCK = 64
 CHUNK = 1 << 19  # bytes of text coded at a time
+AHEAD = 1 << 15  # bits looked up at a time
 RANGES, RANGE_BYTES = 64, 16 << 20
 PRIOR = 0.3
 RATE, OWN = 0.05, 0.02  # steps of the weights and of those of a text
@@ -169,7 +170,8 @@ def _runs(doc: np.ndarray, block: np.ndarray, size: np.ndarray) -> tuple[np.ndar
 
 def bits(code: Code, x: Tokens) -> tuple[Bits, Bits, np.ndarray, np.ndarray]:
     """(bits of the word codes, of the other words' bytes, place of each token in the code, whether it has one)."""
-    at = np.minimum(np.searchsorted(code.words, x.h), max(len(code.words) - 1, 0))
+    at, order = np.empty(len(x.h), np.int64), np.argsort(x.h)  # in order of the hashes look-ups stay close together
+    at[order] = np.minimum(np.searchsorted(code.words, x.h[order]), max(len(code.words) - 1, 0))
     known = code.words[at] == x.h if len(code.words) else np.zeros(len(x.h), bool)
     one, two = np.roll(x.h, 1), np.roll(x.h, 2)
     one[x.place < 1], two[x.place < 2] = 3, 3
@@ -215,8 +217,12 @@ def bits(code: Code, x: Tokens) -> tuple[Bits, Bits, np.ndarray, np.ndarray]:
     return words, spelt, at, known
 
 
+SURE = np.int32(7)  # last bits of a stretched probability that are kept free for the sureness
+
+
 def stretched(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
-    return np.clip(np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR))), -8, 8).astype(np.float32)
+    x = np.clip(np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR))), -8, 8).astype(np.float32)
+    return (x.view(np.int32) & ~SURE).view(np.float32)
 
 
 def sureness(seen: np.ndarray) -> np.ndarray:
@@ -225,14 +231,20 @@ def sureness(seen: np.ndarray) -> np.ndarray:
 
 
 def paired(pull: np.ndarray, sure: np.ndarray) -> np.ndarray:
-    """Stretched probability and sureness of each slot side by side, so that one look-up finds both."""
-    return np.stack([pull.astype(np.float32).view(np.int32), sure.astype(np.int32)], -1).view(np.int64)[..., 0]
+    """Stretched probability and sureness of each slot in four bytes, so that one look-up in a small table finds both."""
+    return (pull.astype(np.float32).view(np.int32) & ~SURE) | sure
 
 
 def looked_up(seen: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """(stretched probability by each context, how sure the second and the third are) of bits."""
-    pairs = [seen[k].take(slots[k], mode="clip").view(np.int32).reshape(-1, 2) for k in range(CONTEXTS)]
-    return [np.ascontiguousarray(p[:, 0]).view(np.float32) for p in pairs], pairs[1][:, 1] * LEVELS + pairs[2][:, 1]
+    pairs = [seen[k].take(slots[k].astype(np.intp), mode="clip") for k in range(CONTEXTS)]
+    return [(p & ~SURE).view(np.float32) for p in pairs], (pairs[1] & SURE) * np.int32(LEVELS) + (pairs[2] & SURE)
+
+
+def count(table: np.ndarray, places: list[np.ndarray]) -> None:
+    """Adds the bits of ``places`` (twice the slot, and the bit) to the ``table`` of (slot, bit), in place: a second table of its size would be read and written as often."""
+    for at in places:
+        np.add.at(table.reshape(-1), at.astype(np.intp), np.uint32(1))
 
 
 class Mixer:
@@ -244,45 +256,75 @@ class Mixer:
         self.slope = np.full((GATES, CONTEXTS), 1.0)
         self.bits = 0
 
-    def code(self, b: Bits, docs: int, inputs: Callable, learn: bool) -> np.ndarray:
-        """log2 probability of each document; ``inputs(slots)`` gives stretched probabilities and how sure the contexts are.  ``learn``: the weights follow."""
+    def code(self, b: Bits, docs: int, inputs: Callable, learn: bool) -> np.ndarray | None:
+        """log2 probability of each document; ``inputs(slots)`` gives stretched probabilities and how sure the contexts are.  ``learn``: the weights follow
+        instead, and no probability is asked for."""
         total = np.zeros(docs)
         own = np.zeros((CONTEXTS, docs), np.float32)  # what a document's past adds to the weights
         centre = 1 / (1 + np.exp(-(np.arange(33) - 16) / 2))
         refined = ((self.refine[..., 1] + 30 * centre) / (self.refine.sum(-1) + 30)).astype(np.float32).ravel()
         begin = np.concatenate([[0], np.cumsum(b.run_size)])
-        for first, past in zip(b.blocks[:-1], b.blocks[1:], strict=True):
-            low, high = begin[first], begin[past]
-            doc, size, start = b.run_doc[first:past], b.run_size[first:past], begin[first:past] - low
-            x, sure = inputs([s[low:high] for s in b.slots])
-            value = b.value[low:high]
-            gate = b.gate[low:high] * (LEVELS * LEVELS) + sure
-            weights = np.ascontiguousarray(self.weights.T)
-            z = np.zeros(high - low, np.float32)
-            for k in range(CONTEXTS):
-                w = weights[k].take(gate, mode="clip")
-                w += np.repeat(own[k, doc], size)
-                w *= x[k]
-                z += w
-            np.clip(z, -18, 18, out=z)
-            p = 1 / (1 + np.exp(-z))
-            step = np.clip(np.rint(z + z), -16, 16).astype(np.int32)
-            step += gate * 33 + 16
-            chosen = np.float32(0.5) * (p + refined.take(step))
-            np.abs(value.astype(np.float32) - 1 + chosen, out=chosen)  # of the bit that came
-            total[doc] += np.add.reduceat(np.log2(np.maximum(chosen, 1e-7)), start)
-            error = value - p
-            for k in range(CONTEXTS):
-                x[k] = e = error * x[k]
-                own[k, doc] = np.clip(own[k, doc] + OWN * np.add.reduceat(e, start) / np.sqrt(size + 1.0), -0.5, 0.5)
+        root = np.sqrt(b.run_size + 1.0)
+        weights, slope = (np.ascontiguousarray(x.T) for x in (self.weights, self.slope))
+        edge = begin[b.blocks]  # first bit of each block, and the end
+        at = 0
+        while at < len(edge) - 1:  # what no block changes is worked out for as many blocks at a time as have AHEAD bits
+            past = max(at + 1, int(np.searchsorted(edge, edge[at] + AHEAD, "right")) - 1)
+            base, end = edge[at], edge[past]
+            pulls, sure = inputs([s[base:end] for s in b.slots])
+            pulls = np.stack(pulls)
+            gates = b.gate[base:end] * np.intp(LEVELS * LEVELS) + sure
+            places = gates * 33 + 16
+            values = b.value[base:end].astype(np.float32)
+            for i in range(at, past):
+                low, high = edge[i] - base, edge[i + 1] - base
+                runs = slice(b.blocks[i], b.blocks[i + 1])
+                doc, size, start = b.run_doc[runs], b.run_size[runs], begin[runs] - edge[i]
+                x, gate, value, step = pulls[:, low:high], gates[low:high], values[low:high], places[low:high]
+                w = weights.take(gate, 1, mode="clip")
+                past_own = own[:, doc]
+                w += past_own.repeat(size, 1)
+                w *= x
+                z = w[0]
+                for k in range(1, CONTEXTS):
+                    z += w[k]
+                np.maximum(z, -18, out=z)
+                np.minimum(z, 18, out=z)
+                p = np.negative(z)
+                np.exp(p, out=p)
+                p += 1
+                np.divide(1, p, out=p)
+                z += z
+                np.rint(z, out=z)
+                np.maximum(z, -16, out=z)
+                np.minimum(z, 16, out=z)
+                step += z.astype(np.intp)
+                error = value - p
+                if not learn:
+                    p += refined.take(step, mode="clip")
+                    p *= np.float32(0.5)
+                    value -= 1
+                    p += value
+                    np.abs(p, out=p)  # of the bit that came
+                    np.maximum(p, 1e-7, out=p)
+                    np.log2(p, out=p)
+                    total[doc] += np.add.reduceat(p, start)
+                x *= error
+                own[:, doc] = np.clip(past_own + OWN * np.add.reduceat(x, start, 1) / root[runs], -0.5, 0.5)
                 if learn:
-                    g = np.bincount(gate, e, GATES)
-                    self.slope[:, k] += g * g
-                    self.weights[:, k] += RATE * g / np.sqrt(self.slope[:, k])
+                    g = np.stack([np.bincount(gate, e, GATES) for e in x])
+                    slope += g * g
+                    weights += RATE * g / np.sqrt(slope)
             if learn:
-                self.bits += high - low
-                self.refine += np.bincount(step * 2 + value, minlength=GATES * 66).reshape(GATES, 33, 2)
-        return total
+                places *= 2
+                places += b.value[base:end]
+                self.refine += np.bincount(places, minlength=GATES * 66).reshape(GATES, 33, 2)
+            at = past
+        if not learn:
+            return total
+        self.bits += len(b.value)
+        self.weights, self.slope = np.ascontiguousarray(weights.T), np.ascontiguousarray(slope.T)
+        return None
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -331,13 +373,13 @@ def learn(rows: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray, Mixer]:
 
         seen = paired(np.zeros((CONTEXTS, SLOTS), np.float32), np.zeros((CONTEXTS, SLOTS), np.int8))
 
-        def settle() -> None:
+        def settle(more: bool) -> None:
             for k, places in enumerate(waiting):
-                if places:
-                    table[k] += np.bincount(np.concatenate(places), minlength=2 * SLOTS).reshape(SLOTS, 2).astype(np.uint32)
+                count(table[k], places)
                 places.clear()
-                zero, one = table[k].T.astype(np.float32)  # counts stand until the next settling, and so does what follows from them
-                seen[k] = paired(stretched(zero, one), sureness(zero + one))
+                if more:
+                    zero, one = table[k].T.astype(np.float32)  # counts stand until the next settling, and so does what follows from them
+                    seen[k] = paired(stretched(zero, one), sureness(zero + one))
 
         def inputs(slots: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
             return looked_up(seen, slots)
@@ -350,8 +392,8 @@ def learn(rows: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray, Mixer]:
                     for k in range(CONTEXTS):
                         waiting[k].append(part.slots[k] * 2 + part.value)
                 if sum(map(len, waiting[0])) > 4_000_000:
-                    settle()
-        settle()
+                    settle(True)
+        settle(False)
         if table.any():
             flat = table.reshape(RANGES, size, 2)
             packed = np.concatenate([mixer.weights.ravel().astype(float) * mixer.bits, mixer.refine.ravel(), [mixer.bits]])

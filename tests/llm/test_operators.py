@@ -466,3 +466,31 @@ def test_context_mixing_looks_up_pairs():
         assert (pull[k] == C.stretched(zero[k][slots[k]], one[k][slots[k]])).all()
     level = [C.sureness((zero + one)[k][slots[k]]).astype(int) for k in range(C.CONTEXTS)]
     assert (sure == level[1] * C.LEVELS + level[2]).all()
+
+
+def test_context_mixing_blocks_ahead(monkeypatch):
+    """However many blocks are looked up at a time, scores, weights and counts are the same to the last bit; a slot takes four bytes."""
+    from stratum.llm import context_mixing as C
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, n) % 900) for n in (0, 1, 40, 700, 3000)]
+    data = [s.encode() for s in texts]
+    x = C.tokens(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]))
+    words, number = np.unique(x.h, return_counts=True)
+    parts = C.bits(C.prefix_code(words[number > 1], number[number > 1], int(number[number == 1].sum())), x)[:2]
+    zero, one = rng.integers(0, 90, (2, C.CONTEXTS, C.SLOTS)).astype(np.float32)
+    seen = C.paired(C.stretched(zero, one), C.sureness(zero + one))
+    assert seen.itemsize == 4
+    made = []
+    for ahead in (1, 5000, 1 << 20):
+        monkeypatch.setattr(C, "AHEAD", ahead)
+        mixer = C.Mixer()
+        for part in parts:
+            mixer.code(part, x.docs, lambda slots: C.looked_up(seen, slots), learn=True)
+        scores = [C.Mixer(mixer.weights, mixer.refine).code(part, x.docs, lambda slots: C.looked_up(seen, slots), learn=False) for part in parts]
+        made.append([mixer.weights, mixer.slope, mixer.refine, *scores])
+        assert mixer.refine.sum() == mixer.bits == sum(len(part.value) for part in parts)
+    assert all((a == b).all() for other in made[1:] for a, b in zip(made[0], other, strict=True))
+    table = np.zeros((C.SLOTS, 2), np.uint32)
+    C.count(table, [part.slots[1] * 2 + part.value for part in parts])
+    assert (table.ravel() == np.bincount(np.concatenate([part.slots[1] * 2 + part.value for part in parts]), minlength=2 * C.SLOTS)).all()
