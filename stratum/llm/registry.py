@@ -32,7 +32,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_bytes.digest(repeated_bytes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return repeated_bytes.digest(repeated_bytes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=repeated_bytes.PASSAGE))
 
 
 def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ between them.  The steps are the same over the sequence of a document's word has
 Where a script has no blanks (Thai to Tibetan, Myanmar, Khmer, kana, Chinese) each character counts as a word, so no repeat
 of n words of any length is missed.
 
+With ``passage`` the repeated runs of so many words, which 400 bytes may miss, are found beside the bytes and counted, not removed.
+
 Texts are identified by 128 bits of hash; there are no ties.  Null and empty texts have nothing to remove; texts
 shorter than LENGTH neither; extra columns are kept; empty tables give empty results.
 """
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +47,7 @@ from stratum.llm._spark import fresh, ranges, settle_table
 
 LENGTH, GRAM = 400, 64
 WORD_GRAM = 12  # words
+PASSAGE = 51  # words: every repeat of more than 50 words holds a repeated run of so many
 HOT = 1000
 SLICE = 4000  # suffixes that a bucket sorts at a time, whole grams
 SPREAD = 2_000_000  # (suffix, place) pairs that it compares at a time
@@ -300,26 +304,47 @@ def _bucket(lead: np.ndarray, kh: np.ndarray, splitters: np.ndarray) -> np.ndarr
     return low + (t.mix(kh ^ _SEED) % (high - low + 1).astype(np.uint64)).astype(np.int64)
 
 
-def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: bool = False) -> DataFrame:
-    """(k1, k2, start, end): runs of bytes (or ``words``) of texts that strings of other places cover; runs may touch or overlap."""
+def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: bool = False, passage: int | None = None) -> DataFrame:
+    """(k1, k2, start, end, by_word): runs of bytes (or ``words``) of texts that strings of other places cover; runs may touch or overlap.
+
+    With ``passage``, runs of words that repeated runs of so many words cover come as well, from the same reading of the texts.  Their
+    windows are compared by 64-bit hashes, a task having all windows around the anchors of one gram."""
     found = settle_table(repeated_anchors(keyed, parts, length, gram, words))
     share = [(i + 1) / parts for i in range(parts - 1)]
     sampled = found.where(F.pmod("kh", F.lit(4)) == 0).agg(F.percentile_approx("lead", share, 20 * parts)).first()[0] if share else None
     splitters = np.array(sampled or [], np.int64)
-    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "at", "low", "high", "n")).alias("anchors"))  # of one text
+    every = found.withColumn("by_word", F.lit(False))
+    if passage:
+        every = every.unionByName(settle_table(repeated_anchors(keyed, parts, passage, min(WORD_GRAM, passage), True)).withColumn("by_word", F.lit(True)))
+    lists = every.groupBy("k1", "k2").agg(F.collect_list(F.struct("kh", "at", "low", "high", "n", "by_word")).alias("anchors"))  # of one text
     members = {"kh": np.uint64, "k1": np.int64, "k2": np.int64, "at": np.int32, "low": np.int32, "high": np.int32}
     singles = {"wh": np.uint64, "many": np.bool_, "wk1": np.int64, "wk2": np.int64, "p": np.int32}
     settled = {"dk1": np.int64, "dk2": np.int64, "start": np.int32, "end": np.int32}
     columns = [*members, "units", *singles, *settled]
-    schema = "part int, " + ", ".join(f"{c} binary" for c in columns)
+    schema = "part int, by_word boolean, " + ", ".join(f"{c} binary" for c in columns)
 
     def distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for b in batches:
             yield _text_of(b, seen)
 
-    def rows(dealt: list[tuple[int, dict[str, bytes]]]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), *(pa.array([x.get(c, b"") for _, x in dealt], pa.binary()) for c in columns)], ["part", *columns])
+    def rows(dealt: list[tuple[int, dict[str, bytes]]], by_word: bool) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([p for p, _ in dealt], pa.int32()), pa.array([by_word] * len(dealt), pa.bool_()), *(pa.array([x.get(c, b"") for _, x in dealt], pa.binary()) for c in columns)], ["part", "by_word", *columns])
+
+    def windows(units: np.ndarray, off: np.ndarray, doc: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+        """(number of each anchor's strings, and of each string its document, place and hash)."""
+        number = (low + high - length + 1).astype(np.int64)
+        own = np.repeat(doc, number)
+        p = np.repeat(at - low - (np.cumsum(number) - number), number) + np.arange(number.sum())
+        return number, own, p, t.Spans(units).hash(off[own] + p, off[own] + p + length)
+
+    def witnesses(own: np.ndarray, p: np.ndarray, wh: np.ndarray, k1: np.ndarray, k2: np.ndarray, length: int) -> list[tuple[int, dict[str, bytes]]]:
+        """What repeats within the task, and one witness of each string."""
+        many = _equal_neighbours(wh)
+        who, start, end = _covered(own, p, many, length)
+        dealt = list(deal(_range(k1[who].view(np.uint64), parts), parts, dk1=k1[who], dk2=k2[who], start=start.astype(np.int32), end=end.astype(np.int32)))
+        _, one = np.unique(wh, return_index=True)
+        return dealt + list(deal(_range(wh[one], parts), parts, wh=wh[one], many=many[one], wk1=k1[own[one]], wk2=k2[own[one]], p=p[one].astype(np.int32)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # a text of several tasks comes as often
@@ -332,11 +357,12 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
                     buf, off = _word_values(buf, off)
                 part = lists[i:j]
                 doc = np.repeat(np.arange(j - i), part.value_lengths().to_numpy())
-                a = {k: part.flatten().field(k).to_numpy() for k in ("kh", "at", "low", "high", "n")}
+                a = {k: part.flatten().field(k).to_numpy(zero_copy_only=k != "by_word") for k in ("kh", "at", "low", "high", "n", "by_word")}
                 kh, at, low, high = a["kh"].view(np.uint64), a["at"], a["low"], a["high"]
                 cold = a["n"] <= hot
-                if cold.any():
-                    c = np.flatnonzero(cold)
+                own1, own2 = k1[i:j], k2[i:j]
+                c = np.flatnonzero(cold & ~a["by_word"])
+                if len(c):
                     where = _bucket(leading(buf, off[doc[c]] + at[c]).astype(np.int64), kh[c], splitters)
                     by = np.argsort(where, kind="stable")
                     c, where = c[by], where[by]
@@ -346,32 +372,40 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
                         m = c[edges[p] : edges[p + 1]]
                         here = off[doc[m]] + at[m]
                         text, _ = t.take_spans(buf, here - low[m], here + high[m])
-                        dealt.append((int(p), {"kh": kh[m].tobytes(), "k1": k1[i + doc[m]].tobytes(), "k2": k2[i + doc[m]].tobytes(), "at": at[m].tobytes(), "low": low[m].tobytes(), "high": high[m].tobytes(), "units": text.tobytes()}))
-                    yield rows(dealt)
-                if not cold.all():
-                    m = np.flatnonzero(~cold)
+                        dealt.append((int(p), {"kh": kh[m].tobytes(), "k1": own1[doc[m]].tobytes(), "k2": own2[doc[m]].tobytes(), "at": at[m].tobytes(), "low": low[m].tobytes(), "high": high[m].tobytes(), "units": text.tobytes()}))
+                    yield rows(dealt, False)
+                m = np.flatnonzero(~cold & ~a["by_word"])
+                if len(m):
+                    m = m[np.lexsort((at[m], doc[m]))]
+                    _, own, p, wh = windows(buf, off, doc[m], at[m], low[m], high[m], length)
+                    yield rows(witnesses(own, p, wh, own1, own2, length), False)
+                if not a["by_word"].any():
+                    continue
+                units, off = _word_values(buf, off)
+                m = np.flatnonzero(~cold & a["by_word"])
+                if len(m):
                     m = m[np.lexsort((at[m], doc[m]))]
-                    number = (low[m] + high[m] - length + 1).astype(np.int64)
-                    own = np.repeat(doc[m], number)
-                    p = np.repeat(at[m] - low[m] - (np.cumsum(number) - number), number) + np.arange(number.sum())
-                    wh = t.Spans(buf).hash(off[own] + p, off[own] + p + length)
-                    many = _equal_neighbours(wh)
-                    who, start, end = _covered(own, p, many, length)
-                    dealt = list(deal(_range(k1[i + who].view(np.uint64), parts), parts, dk1=k1[i + who], dk2=k2[i + who], start=start.astype(np.int32), end=end.astype(np.int32)))
-                    _, one = np.unique(wh, return_index=True)
-                    dealt += deal(_range(wh[one], parts), parts, wh=wh[one], many=many[one], wk1=k1[i + own[one]], wk2=k2[i + own[one]], p=p[one].astype(np.int32))
-                    yield rows(dealt)
+                    _, own, p, wh = windows(units, off, doc[m], at[m], low[m], high[m], passage)
+                    yield rows(witnesses(own, p, wh, own1, own2, passage), True)
+                m = np.flatnonzero(cold & a["by_word"])
+                if len(m):
+                    where = _range(kh[m], parts)
+                    m = m[np.argsort(where, kind="stable")]
+                    edges = np.searchsorted(np.sort(where), np.arange(parts + 1))
+                    number, _, _, wh = windows(units, off, doc[m], at[m], low[m], high[m], passage)
+                    past = np.append(0, np.cumsum(number))
+                    dealt = []
+                    for p in np.flatnonzero(np.diff(edges)):
+                        x = m[edges[p] : edges[p + 1]]
+                        dealt.append((int(p), {"k1": own1[doc[x]].tobytes(), "k2": own2[doc[x]].tobytes(), "at": at[x].tobytes(), "low": low[x].tobytes(), "high": high[x].tobytes(), "units": wh[past[edges[p]] : past[edges[p + 1]]].tobytes()}))
+                    yield rows(dealt, True)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(k1), pa.array(k2), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["k1", "k2", "start", "end"])
-
-        kept = list(batches)
-        s = unpack(kept, **settled)
-        if len(s["start"]):
-            yield out(s["dk1"], s["dk2"], s["start"], s["end"])
-        w = unpack(kept, **singles)
-        if len(w["wh"]):
+        def out(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, end: np.ndarray, by_word: bool = words) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(k1), pa.array(k2), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array([by_word] * len(k1), pa.bool_())], ["k1", "k2", "start", "end", "by_word"])
+
+        def repeated(w: dict[str, np.ndarray], length: int) -> tuple[np.ndarray, ...]:
+            """Runs that strings with witnesses elsewhere cover."""
             order = np.lexsort((w["p"], w["wk2"], w["wk1"], w["wh"]))
             again = np.ones(len(order), bool)
             again[_heads(*(w[k][order] for k in ("wh", "wk1", "wk2", "p")))] = False
@@ -382,12 +416,32 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
             hit = np.repeat((different > 1) | np.maximum.reduceat(many, head), count) & ~many & ~again
             order = order[hit]
             order = order[np.lexsort((w["p"][order], w["wk2"][order], w["wk1"][order]))]
-            if len(order):
-                k1, k2, p = w["wk1"][order], w["wk2"][order], w["p"][order]
-                first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (p[1:] != p[:-1] + 1)]))
-                yield out(k1[first], k2[first], p[first], p[np.append(first[1:], len(p)) - 1] + length)
+            k1, k2, p = w["wk1"][order], w["wk2"][order], w["p"][order]
+            if not len(order):
+                return k1, k2, p, p
+            first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (p[1:] != p[:-1] + 1)]))
+            return k1[first], k2[first], p[first], p[np.append(first[1:], len(p)) - 1] + length
+
+        kept, worded = [], []
+        for b in batches:
+            kept.append(b.filter(pc.invert(b.column("by_word"))) if passage else b)
+            worded += [b.filter(b.column("by_word"))] if passage else []
+        for some, by_word, size in ((kept, words, length), (worded, True, passage)):
+            s = unpack(some, **settled)
+            if len(s["start"]):
+                yield out(s["dk1"], s["dk2"], s["start"], s["end"], by_word)
+            w = unpack(some, **singles)
+            if len(w["wh"]):
+                yield out(*repeated(w, size), by_word)
+        m = unpack(worded, **members, units=np.uint64)
+        if len(m["units"]):
+            number = (m["low"] + m["high"] - passage + 1).astype(np.int64)
+            place = np.repeat(m["at"] - m["low"] - (np.cumsum(number) - number), number) + np.arange(number.sum())
+            w = {"wh": m["units"], "many": np.zeros(len(place), bool), "wk1": np.repeat(m["k1"], number), "wk2": np.repeat(m["k2"], number), "p": place}
+            yield out(*repeated(w, passage), True)
+        del worded, some, s, w
         m = unpack(kept, **members, units=np.uint64 if words else np.uint8)
-        del kept, s, w
+        del kept
         size = (m["low"] + m["high"]).astype(np.int64)
         first = np.cumsum(size) - size + m["low"]
         order = np.lexsort((m["at"], m["k2"], m["k1"], m["kh"]))
@@ -407,7 +461,7 @@ def covered_runs(keyed: DataFrame, parts: int, length: int = LENGTH, gram: int =
 
     texts = keyed.select("k1", "k2", "text").mapInArrow(distinct_texts, keyed.select("k1", "k2", "text").schema)
     joined = texts.join(lists, [*_KEYS]).select("k1", "k2", "text", "anchors")
-    return joined.mapInArrow(cut, schema).repartition(parts, "part").mapInArrow(compare, "k1 long, k2 long, start int, end int")
+    return joined.mapInArrow(cut, schema).repartition(parts, "part").mapInArrow(compare, "k1 long, k2 long, start int, end int, by_word boolean")
 
 
 def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -421,15 +475,19 @@ def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, words: int | None = None, passage: int | None = None) -> DataFrame:
     """Every row of ``docs`` with n_bytes, n_removed, n_spans, spans (array of start, end) and kept (the remaining bytes).
 
     With ``words``, repeated runs of so many words go as well, from the first byte of their first word to the last of their last.
 
+    With ``passage``, n_passage_words counts the words of repeated runs of so many words at least; they are not removed for that.
+
     A run may cut a code point in two; ``kept_text`` is ``kept`` without the bytes of such broken code points.
 
     All columns of ``docs`` are kept in front; a clashing one gives way to the new column."""
     new = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<start:int,end:int>>", "kept": "binary", "kept_text": "string"}
+    if passage:
+        new["n_passage_words"] = "long"
     old = docs.drop(*new)
     parts = ranges(docs, RANGE_BYTES)
     k1, k2, found_runs = fresh(old, "k1", "k2", "runs")
@@ -437,9 +495,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     keyed = old.withColumns({k1: F.xxhash64(F.lit(1), text), k2: F.xxhash64(F.lit(2), text)})
     texts = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text")
     copied = texts.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2", F.lit(0).alias("start"), F.lit(-1).alias("end"), F.lit(False).alias("by_word"))
-    runs = copied.unionByName(covered_runs(texts, parts, length, gram, hot).withColumn("by_word", F.lit(False)))
+    runs = copied.unionByName(covered_runs(texts, parts, length, gram, hot, passage=passage))
     if words:
-        runs = runs.unionByName(covered_runs(texts, parts, words, min(WORD_GRAM, words), hot, words=True).withColumn("by_word", F.lit(True)))
+        runs = runs.unionByName(covered_runs(texts, parts, words, min(WORD_GRAM, words), hot, words=True))
     runs = runs.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end", "by_word")).alias(found_runs))
     names = old.columns
 
@@ -455,6 +513,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 runs.append((int(starts[0]), int(ends[-1])))
         return runs
 
+    def passage_words(data: bytes, found: list[dict]) -> int:
+        if any(r["end"] < 0 for r in found):
+            number = len(word_units(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0])
+            if number >= passage:
+                return number
+        return sum(e - s for s, e in merge([(r["start"], r["end"]) for r in found if r["by_word"]]))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 500):
@@ -468,8 +533,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                         kept.append(data[at:start])
                         at = end
                     left = b"".join([*kept, data[at:]])
-                    rows.append((len(data), sum(e - s for s, e in spans), len(spans), [{"start": s, "end": e} for s, e in spans], left, left.decode(errors="ignore") if spans else text))
-                made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary(), pa.string()))]
+                    rows.append((len(data), sum(e - s for s, e in spans), len(spans), [{"start": s, "end": e} for s, e in spans], left, left.decode(errors="ignore") if spans else text, passage_words(data, found or []) if passage else 0))
+                made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary(), pa.string(), pa.int64())[: len(new)])]
                 yield pa.record_batch([*(part.column(n) for n in names), *made], [*names, *new])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in old.schema), *(f"{k} {v}" for k, v in new.items())])
@@ -477,5 +542,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
-    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), and n_passage_words if it was counted."""
+    more = [c for c in removed.columns if c == "n_passage_words"]
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), *more)

@@ -329,3 +329,25 @@ def test_context_mixing_learns_from_all_bits(spark):
     assert every > 3_000_000
     mixer = context_mixing.learn(spark.createDataFrame([(v,) for v in texts], "text string").coalesce(1), code)[2]
     assert mixer.refine.sum() == every
+
+
+def brute_passages(texts, n):
+    """Words of each text that a run of n words covers which starts elsewhere too."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", x or "") for x in texts]
+    seen = collections.Counter(tuple(w[p : p + n]) for w in words for p in range(len(w) - n + 1))
+    return [len({p + i for p in range(len(w) - n + 1) if seen[tuple(w[p : p + n])] > 1 for i in range(n)}) for w in words]
+
+
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_passages_shorter_than_the_bytes_are_counted(spark, hot):
+    """A repeated run of 51 words that has fewer than 400 bytes is counted, and nothing else is removed for it."""
+    rng = np.random.default_rng(8)
+    some = lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 60_000, n))
+    short, other, long = some(51), some(50), some(5000)
+    assert len(short) < 400
+    texts = [some(70) + " " + short, short + "\n" + some(300), f"{some(9)} {other} {some(4)}", f"{some(90)} {other} {some(3)}", long, some(20) + " " + " ".join(long.split()[2000:2080]), short + " q " + short, *[some(60)] * 2, *[some(30)] * 2, *(f"{some(3)} {short} {some(5)}" for _ in range(4)), None, "", "a"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    made = repeated_bytes.digest(repeated_bytes.remove_repeats(frame, hot=hot, passage=51)).orderBy("doc_id").collect()
+    assert [r["n_passage_words"] for r in made] == brute_passages(texts, 51)
+    assert [tuple(r)[:-1] for r in made] == [(i, *x) for i, x in enumerate(brute_cut(texts, 400))]
+    assert made[0]["n_passage_words"] == 51 and made[0]["n_removed"] == 0 and made[2]["n_passage_words"] == 0
