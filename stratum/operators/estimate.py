@@ -24,14 +24,17 @@ from stratum.operators.linear import LinearQuery
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Rows written once to the shared checkpoint folder."""
+    """Rows written once to the shared checkpoint folder, of unknown size.
+
+    A checkpoint inherits the plan's estimate of bytes, which joins multiply: where rounds join settled tables, its digits grow as a power of their number, and fill the driver."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):  # a temporary folder is for sessions on one machine only
             raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    jdf = df.checkpoint()._jdf
+    return DataFrame(df.sparkSession._jsparkSession.internalCreateDataFrame(jdf.queryExecution().toRdd(), jdf.schema(), False), df.sparkSession)
 
 
 def tasks(settled: DataFrame) -> int:
