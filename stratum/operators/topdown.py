@@ -177,14 +177,15 @@ def _solver(constrained: Constrained, hess: np.ndarray, parts: list, kept: np.nd
     return run
 
 
-def _solved(children: DataFrame, constrained: Constrained, hess: np.ndarray, parts: list, kept: np.ndarray | None, crowd: int) -> DataFrame:
-    """Parents of up to ``crowd`` children in one group each, the others split."""
-    many = children.groupBy("parent").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("parent")
+def _solved(children: DataFrame, above: DataFrame, constrained: Constrained, hess: np.ndarray, parts: list, kept: np.ndarray | None, crowd: int) -> DataFrame:
+    """Parents of up to ``crowd`` children in one group each, the others split.
+
+    Children of the others, whose parents are few, get these sent and stay where they are: a shuffle by parent would gather them in as many tasks."""
+    many = settle(children.groupBy("parent").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("parent"))
+    few = children.join(F.broadcast(many), "parent", "left_anti").join(above, "parent").groupBy("parent").applyInPandas(_solver(constrained, hess, parts, kept, True), ANSWER)
     if many.isEmpty():
-        return children.groupBy("parent").applyInPandas(_solver(constrained, hess, parts, kept, True), ANSWER)
-    many = settle(many)
-    few = children.join(many, "parent", "left_anti").groupBy("parent").applyInPandas(_solver(constrained, hess, parts, kept, True), ANSWER)
-    split = crowded(children.join(many, "parent", "left_semi"), hess, lambda a: linear(a, parts), bounds_of, constrained.sets, min(BLOCK, crowd))
+        return few
+    split = crowded(children.join(F.broadcast(many.join(above, "parent")), "parent"), hess, lambda a: linear(a, parts), bounds_of, constrained.sets, min(BLOCK, crowd))
     return few.unionByName(split.drop("estimate"))
 
 
@@ -202,8 +203,8 @@ def top_down(measured: DataFrame, rhs: DataFrame, h: Hierarchy, domain: Domain,
     flags = done.drop("x")
     for level in reversed(h.levels[:-1]):
         above = done.select(F.col("geocode").alias("parent"), F.col("x").alias("above"))
-        below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode"))).join(above, "parent")
-        done = settle(_solved(below, constrained, *by_level[level], held, crowd))
+        below = rows.where(F.col("geolevel") == level).withColumn("parent", h.parent(level, F.col("geocode")))
+        done = settle(_solved(below, above, constrained, *by_level[level], held, crowd))
         flags = flags.unionByName(done.drop("x"))
     leaves = done.select("geocode", F.posexplode("x").alias("cell", "n")).where("n > 0")
     return h.rollup(leaves, "cell").withColumnRenamed("n", "syn"), flags

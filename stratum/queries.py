@@ -105,6 +105,19 @@ def unit_levels(spark: SparkSession, sf: str) -> DataFrame:
     return H.rollup(unit_hist(spark, sf), "hhgq")
 
 
+def counted(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(hist, unit_levels) of a query that reads them many times: line items and orders are read once, and each unit's counts settled as one row.
+
+    Units of all levels are in one task with all their counts."""
+    packed = lambda rows, name, *keys: rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(name, "n"))).alias(name))
+    leaves = E.settle(packed(unit_hist(spark, sf), "hhgq", "geocode").join(packed(leaf(spark, sf), "cell", "geocode"), "geocode", "left"))
+    upper = Hierarchy(H.levels[1:], H.lengths[1:])
+    sums = lambda name: packed(upper.spread(leaves.select("geocode", F.explode(name).alias(name, "n"))).groupBy(*KEYS, name).agg(F.sum("n").alias("n")), name, *KEYS)
+    above = E.settle(sums("hhgq").join(sums("cell"), list(KEYS), "left"))
+    every = leaves.select(F.lit(H.levels[0]).alias("geolevel"), "geocode", "hhgq", "cell").unionByName(above).repartition(E.tasks(leaves), *KEYS)
+    return tuple(every.select(*KEYS, F.explode(name).alias(name, "n")) for name in ("cell", "hhgq"))
+
+
 def estimate(rows: DataFrame, *keys: str) -> DataFrame:
     """Deterministic stand-in for an estimate: counts shifted by hash noise, kept non-negative."""
     u = N.hash_uniform(*(F.col(k) for k in keys), F.col("cell").cast("string"))
@@ -745,13 +758,15 @@ MARGINAL = N.Budget(0.3, BUDGET.levels, 1.0, {})
 def two_phases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, T.Constrained]:
     """(second phase's estimates, their flags, equality rows of the first phase, constraints): quarters alone under the rules of 1940, then all
     cells with every unit's quarters held at all levels."""
-    true, at = hist(spark, sf), unit_levels(spark, sf)
+    true, at = counted(spark, sf)
     first = T.Constrained.of(HHGQ, T.constraint_queries(HHGQ))
     marginals = marginal(DOMAIN, "hhgq").answer(true, *KEYS).select(*KEYS, F.col("row").alias("cell"), F.col("n").cast("long").alias("n"))
-    quarters, _ = T.top_down(E.measure(marginals, at, HHGQ, MARGINAL, {}), level_constraints(spark, sf, "1940"), H, HHGQ, MARGINAL, {}, first)
+    rules = T.level_constraints(true, at, H, 5, RULES["1940"])
+    quarters, _ = T.top_down(E.measure(marginals, at, HHGQ, MARGINAL, {}), rules, H, HHGQ, MARGINAL, {}, first)
     held = E.settle(T.marginal_rows(quarters, marginal(HHGQ, "hhgq"), at))
     second = T.Constrained.of(DOMAIN, {"minSchema": marginal(DOMAIN, "hhgq")})
-    estimates, flags = T.top_down(measured(spark, sf), held, H, DOMAIN, BUDGET, workload(DOMAIN), second, kept="minSchema")
+    noisy = E.measure(true, at, DOMAIN, BUDGET, workload(DOMAIN))
+    estimates, flags = T.top_down(noisy, held, H, DOMAIN, BUDGET, workload(DOMAIN), second, kept="minSchema")
     return estimates, flags, held, second
 
 

@@ -81,3 +81,16 @@ def test_settled_tables_inherit_no_estimate(spark):
     size = rows.join(rows.select("k"), "k")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     assert size.bit_length() < 1000
     assert sorted((r["k"], r["v"]) for r in rows.collect()) == [(k, [k] * 9) for k in range(5)]
+
+
+def test_two_phases_count_once(spark, sf, monkeypatch):
+    """Both phases' counts come from one reading of the line items for persons and one for occupied units, and are those of ``hist`` and ``unit_levels``."""
+    seen = []
+    read = Q.read
+    monkeypatch.setattr(Q, "read", lambda spark, sf, name: seen.append(name) or read(spark, sf, name))
+    Q.two_phases(spark, sf)
+    assert seen.count("lineitem") == 2
+    true, at = Q.counted(spark, sf)
+    for got, want in ((true, Q.hist(spark, sf)), (at, Q.unit_levels(spark, sf))):
+        rows = [sorted(tuple(r) for r in d.select(*want.columns).collect()) for d in (got, want)]
+        assert rows[0] == rows[1]
