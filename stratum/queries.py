@@ -608,8 +608,10 @@ def set_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def constrained(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(estimates, bounds)."""
-    bounds = E.settle(set_bounds(spark, sf))
-    noisy = E.measure(hist(spark, sf), bounds.select(*KEYS), DOMAIN, BUDGET, workload(DOMAIN))
+    true, at = counted(spark, sf)
+    own = lambda rows: rows.where(F.col("geolevel") == H.levels[0]).drop("geolevel")
+    bounds = E.settle(K.set_bounds(own(true), own(at), 5, H))
+    noisy = E.measure(true, bounds.select(*KEYS), DOMAIN, BUDGET, workload(DOMAIN))
     return K.constrained_top_down(noisy, bounds, H, DOMAIN, BUDGET, workload(DOMAIN)), bounds
 
 

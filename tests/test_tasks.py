@@ -94,3 +94,30 @@ def test_two_phases_count_once(spark, sf, monkeypatch):
     for got, want in ((true, Q.hist(spark, sf)), (at, Q.unit_levels(spark, sf))):
         rows = [sorted(tuple(r) for r in d.select(*want.columns).collect()) for d in (got, want)]
         assert rows[0] == rows[1]
+
+
+def _four_categories() -> tuple[np.ndarray, np.ndarray]:
+    member = np.vstack([np.ones(8, bool), np.arange(4)[:, None] == np.arange(8) // 2])
+    return np.eye(8) + 0.5 * member[1:].T.astype(float) @ member[1:], member
+
+
+def test_bounds_that_imply_each_other_are_settled(monkeypatch):
+    """Where the total and all categories are at a bound, one price is free; it is chosen so that the others' signs are right."""
+    monkeypatch.setattr(S, "estimate", lambda *a, **k: pytest.fail("left to the rounds"))
+    hess, member = _four_categories()
+    low, high = np.array([[7.0, 2, 1, 2, 1]]), np.array([[7.0, 3, 2, 3, 2]])
+    made = S.standing(hess, np.array([[19.0, -7, -4, 18, 8, 23, 7, 29]]), member, low, high)
+    assert made.x @ member.T == pytest.approx(np.array([[7, 2, 1, 2, 2]])) and made.primal < 1e-9 and made.dual < 1e-9
+
+
+def test_no_digits_are_left_to_add_up():
+    """Prices of a crowded parent settle on the sum of its children: those that stay in doubt are as exact as the others."""
+    rng = np.random.default_rng(3)
+    hess, member = _four_categories()
+    units = rng.integers(1, 3, (4000, 4))
+    total = units.sum(1, keepdims=True) + rng.integers(0, 12, (4000, 1))
+    low, high = np.hstack([total, units]).astype(float), np.hstack([total, total - (units.sum(1, keepdims=True) - units)]).astype(float)
+    made = S.standing(hess, rng.integers(-9, 30, (4000, 8)).astype(float), member, low, high)
+    at = made.x @ member.T
+    assert made.primal < 1e-9 and made.dual < 1e-9
+    assert (at > low - 1e-9).all() and (at < high + 1e-9).all()
